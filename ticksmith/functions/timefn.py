@@ -3,13 +3,19 @@
 Batch results are kept in TIMESTAMP_NTZ holding **UTC wall-clock** time, so a
 result is the same whatever ``spark.sql.session.timeZone`` the caller runs
 with.  Several built-ins silently cast NTZ to the session-zone TIMESTAMP
-(``date_trunc``, ``timestampdiff``, ``unix_micros`` after a cast); the
-helpers here avoid those paths:
+(``date_trunc``, ``date_format``, ``timestampdiff``); the helpers here avoid
+those paths:
 
-* ``window(c, width).start`` truncates NTZ with pure arithmetic;
-* ``make_timestamp(..., 'UTC')`` turns NTZ fields into an instant with an
-  explicit zone, ``unix_micros`` then gives epoch micros;
-* ``convert_timezone(src, dst, ntz)`` moves wall-clock between named zones.
+* ``ntz - TIMESTAMP_NTZ'1970-01-01'`` is a zone-free interval, cast to
+  seconds it gives epoch micros; buckets are integer arithmetic on those;
+* ``convert_timezone(src, dst, ntz)`` moves wall clock between named zones;
+* text comes from ``CAST(ntz AS STRING)``, which is zone-free.
+
+Each helper reads its input column once (``iso_text`` at most three
+times).  That matters: Catalyst pushes filters through projections by
+inlining the projected expressions, so a helper that read its input many
+times would multiply an expensive input (e.g. a parsed string) inside the
+pushed-down predicate.
 
 Strings with an explicit offset (``2026-04-21T10:15:00.123456+03:00``) are
 parsed with ``try_cast(... AS TIMESTAMP)``, which is exact; junk gives NULL.
@@ -29,20 +35,26 @@ SESSION_CLOSE_MINUTE = 15 * 60 + 30
 
 _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
-
-def _second(c: Column) -> Column:
-    return F.extract(F.lit("SECOND"), c)
+_UNIT_MICROS = {"microsecond": 1, "millisecond": 1_000, "second": 1_000_000,
+                "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}
 
 
-def wall_to_instant(c: Column, tz: str = "UTC") -> Column:
-    """Read an NTZ wall-clock value as local time in ``tz`` -> TIMESTAMP."""
-    return F.make_timestamp(F.year(c), F.month(c), F.dayofmonth(c),
-                            F.hour(c), F.minute(c), _second(c), F.lit(tz))
+def width_micros(width: str) -> int:
+    """'5 minutes' -> 300000000 (fixed-length units only)."""
+    n, unit = width.strip().split()
+    unit = unit.lower().rstrip("s")
+    return int(n) * _UNIT_MICROS[unit]
 
 
 def ntz_micros(c: Column) -> Column:
-    """Epoch microseconds of an NTZ value read as UTC (BIGINT)."""
-    return F.unix_micros(wall_to_instant(c, "UTC"))
+    """Epoch microseconds of an NTZ value read as UTC (BIGINT).
+
+    ``ts - epoch`` between two NTZ values is a zone-free DAY TO SECOND
+    interval; its seconds (DECIMAL, 6 places) times 10^6 are the micros.
+    ``c`` is referenced once.
+    """
+    secs = (c - F.expr(_EPOCH)).cast("interval second").cast("decimal(20,6)")
+    return (secs * F.lit(1_000_000)).cast("bigint")
 
 
 def micros_to_ntz(us: Column) -> Column:
@@ -50,6 +62,11 @@ def micros_to_ntz(us: Column) -> Column:
     return F.timestamp_add("MICROSECOND", us, F.expr(_EPOCH))
 
 
+def wall_to_instant(c: Column, tz: str = "UTC") -> Column:
+    """Read an NTZ wall-clock value as local time in ``tz`` -> TIMESTAMP."""
+    return F.timestamp_micros(ntz_micros(local_to_utc(c, tz) if tz != "UTC" else c))
+
+
 def instant_to_utc(c: Column) -> Column:
     """TIMESTAMP (instant) -> NTZ UTC wall clock."""
     return micros_to_ntz(F.unix_micros(c))
@@ -85,8 +102,10 @@ def local_date(utc: Column, tz: str) -> Column:
 
 
 def floor_time(c: Column, width: str) -> Column:
-    """Start of the epoch-aligned bucket of ``width`` (e.g. '1 minute')."""
-    return F.window(c, width).start
+    """Start of the epoch-aligned bucket of ``width`` (e.g. '1 minute'),
+    by integer arithmetic on epoch micros (zone-free, ``c`` read once)."""
+    w = F.lit(width_micros(width))
+    return micros_to_ntz(F.floor(ntz_micros(c) / w).cast("bigint") * w)
 
 
 def month_key(c: Column) -> Column:
@@ -94,24 +113,30 @@ def month_key(c: Column) -> Column:
     return (F.year(c) * 100 + F.month(c)).cast("int")
 
 
-def iso_local(utc: Column, tz: str) -> Column:
-    """Python ``datetime.now(tz).isoformat()`` text for an NTZ UTC instant.
+def _two_digits(n: Column) -> Column:
+    return F.lpad(n.cast("string"), 2, "0")
+
 
-    ``YYYY-MM-DDTHH:MM:SS[.ffffff]+HH:MM``; the fraction is left out when it
-    is zero, exactly as ``isoformat`` does.
+def iso_text(local: Column, utc: Column) -> Column:
+    """``isoformat()`` text from a local wall clock and the same instant in
+    UTC: ``YYYY-MM-DDTHH:MM:SS[.ffffff]+HH:MM``, the fraction left out when
+    it is zero, exactly as Python does.  Pass attributes for ``local`` /
+    ``utc``; ``local`` is read three times, ``utc`` once.
     """
-    local = utc_to_local(utc, tz)
-    offset_min = ((ntz_micros(local) - ntz_micros(utc)) / F.lit(60_000_000)).cast("int")
-    sign = F.when(offset_min < 0, F.lit("-")).otherwise(F.lit("+"))
-    abs_off = F.abs(offset_min)
-    micros = (F.pmod(ntz_micros(local), F.lit(1_000_000))).cast("int")
-    base = F.format_string("%04d-%02d-%02dT%02d:%02d:%02d",
-                           F.year(local), F.month(local), F.dayofmonth(local),
-                           F.hour(local), F.minute(local),
-                           F.floor(_second(local)).cast("int"))
-    frac = F.when(micros == 0, F.lit("")).otherwise(F.format_string(".%06d", micros))
-    off = F.format_string("%s%02d:%02d", sign, (abs_off / 60).cast("int"), abs_off % 60)
-    return F.concat(base, frac, off)
+    base = F.translate(F.substring(local.cast("string"), 1, 19), " ", "T")
+    # micros within the second survive any zone shift (offsets are whole
+    # seconds), so the session-zone cast is harmless here
+    frac = F.nullif(F.pmod(F.unix_micros(local.cast("timestamp")), F.lit(1_000_000)), F.lit(0))
+    frac_txt = F.coalesce(F.concat(F.lit("."), F.lpad(frac.cast("string"), 6, "0")), F.lit(""))
+    off = (local - utc).cast("interval minute").cast("int")
+    sign = F.when(off < 0, F.lit("-")).otherwise(F.lit("+"))
+    off_txt = F.concat(sign, _two_digits((F.abs(off) / 60).cast("int")), F.lit(":"), _two_digits(F.abs(off) % 60))
+    return F.concat(base, frac_txt, off_txt)
+
+
+def iso_local(utc: Column, tz: str) -> Column:
+    """``datetime.now(tz).isoformat()`` text for an NTZ UTC instant."""
+    return iso_text(utc_to_local(utc, tz), utc)
 
 
 def in_session(utc: Column, tz: str = NAIROBI,
@@ -120,13 +145,13 @@ def in_session(utc: Column, tz: str = NAIROBI,
     """Trading-session predicate on an NTZ UTC instant.
 
     Monday-Friday and ``open <= local minute-of-day < close``; no holiday
-    calendar (none exists in the reference either).
+    calendar (none exists in the reference either).  Written on the local
+    minute-of-week (1970-01-01 was a Thursday, so Monday 00:00 is epoch
+    minute 4 * 1440) so the local time is computed once.
     """
-    local = utc_to_local(utc, tz)
-    minute_of_day = F.hour(local) * 60 + F.minute(local)
-    return ((F.weekday(local) < 5)
-            & (minute_of_day >= open_minute)
-            & (minute_of_day < close_minute))
+    minute = F.floor(ntz_micros(utc_to_local(utc, tz)) / F.lit(60_000_000))
+    mow = F.pmod(minute.cast("bigint") + F.lit(3 * 1440), F.lit(7 * 1440))
+    return (F.pmod(mow, F.lit(1440)).between(open_minute, close_minute - 1)) & (mow < 5 * 1440)
 
 
 def epoch_order_key(ts_micros: Column, seq: Column) -> Column:

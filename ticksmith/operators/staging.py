@@ -46,15 +46,16 @@ def keep_latest(df: DataFrame, partition_by: list[Column], order_by: list[Column
 
 
 def _parsed(bronze: DataFrame, tz: str) -> DataFrame:
-    ts = parse_to_utc(F.col("fetched_at"))
+    # Two projections: the parsed instant is an attribute when trade_date and
+    # the dedup key read it, so the string parse runs once per row.
     seq = F.col("seq") if "seq" in bronze.columns else F.lit(None).cast("bigint")
     return (bronze
             .filter(valid_tick(F.col("price"), F.col("ticker")))
             .select("ticker", "name", "price", "volume", "market_cap", "currency", "exchange",
                     F.col("fetched_at").alias("fetched_at_raw"),
-                    ts.alias("fetched_at"),
-                    local_date(ts, tz).alias("trade_date"),
-                    "inserted_at", seq.alias("seq")))
+                    parse_to_utc(F.col("fetched_at")).alias("fetched_at"),
+                    "inserted_at", seq.alias("seq"))
+            .withColumn("trade_date", local_date(F.col("fetched_at"), tz)))
 
 
 def stage_ticks(bronze: DataFrame, tz: str = NAIROBI, grain: str = DEDUP_GRAIN) -> DataFrame:

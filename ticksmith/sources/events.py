@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticksmith.functions.timefn import NAIROBI, iso_local, local_to_utc
+from ticksmith.functions.timefn import NAIROBI, iso_text, local_to_utc
 from ticksmith.sources.tables import read_table
 
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
@@ -46,7 +46,7 @@ SNAPSHOT_NULL_CAP_MOD = 11      # market cap NULL   -> 0.0
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "events", EVENT_COLS)
+    return read_table(spark, sf_dir, "events", EVENT_COLS, spread_key="event_id")
 
 
 def user_ticker(user_id: Column) -> Column:
@@ -70,6 +70,7 @@ def events_as_bronze(events: DataFrame, ticker: str = "user", tz: str = NAIROBI)
     """Bronze raw ticks (schema ``BRONZE``) from ``events``."""
     t = _ticker(ticker)
     utc = local_to_utc(F.col("ts"), tz)
+    # ts is the local wall clock already, so the text needs no second zone shift
     return events.select(
         t.alias("ticker"),
         t.alias("name"),
@@ -77,7 +78,7 @@ def events_as_bronze(events: DataFrame, ticker: str = "user", tz: str = NAIROBI)
         _volume().alias("volume"),
         (F.col("value") * F.lit(1_000_000.0)).alias("market_cap"),
         F.lit("KES").alias("currency"),
-        iso_local(utc, tz).alias("fetched_at"),
+        iso_text(F.col("ts"), utc).alias("fetched_at"),
         F.lit("NSE").alias("exchange"),
         utc.alias("inserted_at"),
         F.col("event_id").alias("seq"),

@@ -17,11 +17,31 @@ def table_path(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}.parquet"
 
 
+def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
+    """Give a batch scan at least one partition per core.
+
+    Parquet splits only at row-group boundaries, so a table stored as one
+    big row group is read by one task and every expression before the first
+    shuffle runs single-threaded.  When the scan has fewer partitions than
+    the default parallelism, rows are hash-partitioned once on ``key``
+    (deterministic, so a retried task sees the same rows); a table of real
+    size already has far more splits than cores and is left alone.
+    """
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.isStreaming or want <= 1 or df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, key)
+
+
 def read_table(spark: SparkSession, base: str, name: str,
-               columns: Sequence[str] | None = None) -> DataFrame:
+               columns: Sequence[str] | None = None,
+               spread_key: str | None = None) -> DataFrame:
     """Read ``<base>/<name>.parquet`` (a file or a directory of parts)."""
     df = spark.read.parquet(table_path(base, name))
-    return df.select(*columns) if columns else df
+    if columns:
+        df = df.select(*columns)
+    return spread(df, spread_key) if spread_key else df
 
 
 def read_partitioned(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
