@@ -118,16 +118,28 @@ def _bigint(raw: Column) -> Column:
     return F.coalesce(txt.try_cast("bigint"), txt.try_cast("double").try_cast("bigint"))
 
 
+def bind(df: DataFrame, name: str, expr: Column) -> DataFrame:
+    """Evaluate ``expr`` once per row as column ``name`` (a LATERAL VIEW).
+
+    Catalyst pushes filters through projections by inlining the projected
+    expressions, once per reference: a filter reading nine fields of a
+    ``from_json`` result would parse the text nine times.  A column produced
+    by a generator is an attribute no filter can inline, so the expression
+    below it runs exactly once per row.
+    """
+    return df.select("*", F.inline(F.array(F.struct(expr.alias(name)))))
+
+
 def parse_messages(messages: DataFrame) -> DataFrame:
     """JSON text -> tick columns + ``reject`` reason (NULL when good).
 
     Every numeric field is read as text first and cast with ``try_cast``, so
     ``"12.5"``, ``7``, ``1.9`` and ``NaN`` are accepted and ``"abc"`` is a
     reject rather than a failure.  Pass-through columns: ``seq``, ``key``
-    and ``value`` (raw text, kept for the quarantine).
+    and ``value`` (raw text, kept for the quarantine).  The text is parsed
+    once per row (``bind``), however many fields later filters read.
     """
-    j = F.from_json(F.col("value"), _RAW_SCHEMA, _JSON_OPTIONS)
-    df = messages.select("*", j.alias("_j"))
+    df = bind(messages, "_j", F.from_json(F.col("value"), _RAW_SCHEMA, _JSON_OPTIONS))
     raw = {c: F.col(f"_j.{c}") for c in TICK_COLS}
     parsed = {
         "price": _double(raw["price"]),

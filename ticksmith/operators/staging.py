@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ticksmith.functions.numeric import is_positive
 from ticksmith.functions.timefn import NAIROBI, floor_time, local_date, parse_to_utc
+from ticksmith.operators.ingest import bind
 from ticksmith.schemas import STAGED_TICK_COLS
 
 # Fixed value: dedup grain (the reference's comment says second, its code minute).
@@ -46,16 +47,18 @@ def keep_latest(df: DataFrame, partition_by: list[Column], order_by: list[Column
 
 
 def _parsed(bronze: DataFrame, tz: str) -> DataFrame:
-    # Two projections: the parsed instant is an attribute when trade_date and
-    # the dedup key read it, so the string parse runs once per row.
+    # F3 stays a plain filter on stored columns (pushed into the Parquet
+    # scan); the parsed instant is bound once per row, so the later
+    # "parsed?" filter, the trade date and the dedup key all read an
+    # attribute instead of re-parsing the text.
     seq = F.col("seq") if "seq" in bronze.columns else F.lit(None).cast("bigint")
-    return (bronze
-            .filter(valid_tick(F.col("price"), F.col("ticker")))
-            .select("ticker", "name", "price", "volume", "market_cap", "currency", "exchange",
-                    F.col("fetched_at").alias("fetched_at_raw"),
-                    parse_to_utc(F.col("fetched_at")).alias("fetched_at"),
-                    "inserted_at", seq.alias("seq"))
-            .withColumn("trade_date", local_date(F.col("fetched_at"), tz)))
+    valid = bronze.filter(valid_tick(F.col("price"), F.col("ticker")))
+    timed = bind(valid, "_fetched_utc", parse_to_utc(F.col("fetched_at")))
+    return timed.select("ticker", "name", "price", "volume", "market_cap", "currency", "exchange",
+                        F.col("fetched_at").alias("fetched_at_raw"),
+                        F.col("_fetched_utc").alias("fetched_at"),
+                        local_date(F.col("_fetched_utc"), tz).alias("trade_date"),
+                        "inserted_at", seq.alias("seq"))
 
 
 def stage_ticks(bronze: DataFrame, tz: str = NAIROBI, grain: str = DEDUP_GRAIN) -> DataFrame:
