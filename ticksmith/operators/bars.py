@@ -36,7 +36,7 @@ def ohlc_bars(ticks: DataFrame, time_col: str, key: str = "ticker",
     tcol = F.col(time_col)
     is_instant = isinstance(ticks.schema[time_col].dataType, T.TimestampType)
     micros = F.unix_micros(tcol) if is_instant else ntz_micros(tcol)
-    tie = F.coalesce(F.col(seq), F.lit(0)) if seq else F.lit(0)
+    tie = F.coalesce(F.col(seq), F.lit(-1)) if seq else F.lit(0)
     order = epoch_order_key(micros, tie)
     p = F.col(price)
     bars = (ticks

@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from ticksmith.functions.numeric import (is_nonzero, is_positive, no_negative_zero,
                                          round_half_even)
 from ticksmith.functions.text import GAINER, LOSER
+from ticksmith.functions.timefn import NAIROBI
 from ticksmith.operators.ingest import sink_time
+from ticksmith.operators.staging import latest_prices
 from ticksmith.schemas import DAILY_COLS, MOVERS_COLS
 
 # Movers per side and the minimum polls for a reliable signal.
@@ -58,6 +60,14 @@ def daily_summary(staged: DataFrame, updated_at: datetime | str | None = None) -
             .select(*DAILY_COLS))
 
 
+def daily_summary_from_bronze(bronze: DataFrame, updated_at: datetime | str | None = None,
+                              tz: str = NAIROBI) -> DataFrame:
+    """A2 over D1 without a sort: ``daily_summary(stage_ticks(bronze))``
+    computed as two hash aggregations (``latest_prices`` then the daily
+    one).  The plan to use when the mart is rebuilt from all of bronze."""
+    return daily_summary(latest_prices(bronze, tz), updated_at)
+
+
 def eligible_movers(daily: DataFrame, min_ticks: int = MIN_TICKS) -> DataFrame:
     """moved (rounded pct != 0) and at least ``min_ticks`` polls."""
     return daily.filter(is_nonzero(F.col("pct_change")) & (F.col("total_ticks") >= min_ticks))

@@ -4,8 +4,8 @@
 ``fetched_at`` parsed to a UTC instant, ``trade_date`` in the venue zone,
 then keep-latest per (ticker, minute of ``fetched_at``).  The reference
 orders the dedup by ``inserted_at`` only (1 s precision, so ties are
-arbitrary); here the order is ``inserted_at, fetched_at, price, seq``, all
-descending, which is total.
+arbitrary); here ties go to the later arrival, ``inserted_at DESC, seq
+DESC``, which is total because ``seq`` is unique.
 
 The dedup is ``row_number() = 1`` over a window (QUALIFY).  Catalyst turns
 it into a partial ``WindowGroupLimit`` before the shuffle and a final one
@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticksmith.functions.numeric import is_positive
-from ticksmith.functions.timefn import NAIROBI, floor_time, local_date, parse_to_utc
+from ticksmith.functions.timefn import (NAIROBI, epoch_order_key, floor_time, local_date,
+                                        ntz_micros, parse_to_utc)
 from ticksmith.operators.ingest import bind
 from ticksmith.schemas import STAGED_TICK_COLS
 
@@ -64,12 +65,37 @@ def _parsed(bronze: DataFrame, tz: str) -> DataFrame:
 def stage_ticks(bronze: DataFrame, tz: str = NAIROBI, grain: str = DEDUP_GRAIN) -> DataFrame:
     """P5 + F3 + D1: bronze raw ticks -> clean, typed, deduplicated ticks."""
     ok = _parsed(bronze, tz).filter(F.col("fetched_at").isNotNull())
-    order = [F.col("inserted_at").desc(), F.col("fetched_at").desc(),
-             F.col("price").desc(), F.col("seq").desc()]
+    order = [F.col("inserted_at").desc(), F.col("seq").desc()]
     return keep_latest(ok, [F.col("ticker"), floor_time(F.col("fetched_at"), grain)], order) \
         .select(*STAGED_TICK_COLS)
 
 
+def latest_order_key(inserted_at: Column, seq: Column) -> Column:
+    """The D1 order (``inserted_at DESC, seq DESC``, NULLs lowest) packed
+    into one DECIMAL so ``max_by`` keeps the hash-aggregate path."""
+    us = F.coalesce(ntz_micros(inserted_at), F.lit(-(2 ** 62)))
+    return epoch_order_key(us, F.coalesce(seq, F.lit(-1)))
+
+
+def latest_prices(bronze: DataFrame, tz: str = NAIROBI, grain: str = DEDUP_GRAIN) -> DataFrame:
+    """D1 for the marts, sort-free: per (ticker, minute) the price and
+    ``fetched_at`` of the latest row, as a hash aggregation.
+
+    ``stage_ticks`` keeps whole rows and so needs a window (a sort of every
+    tick); the daily mart only needs price and time, and ``max_by`` over a
+    packed order key is a mergeable aggregate — partial aggregation before
+    the shuffle, no sort, and a hot (ticker, minute) ships one row per map
+    task.  Same rows as ``stage_ticks`` projected to these columns.
+    """
+    ok = _parsed(bronze, tz).filter(F.col("fetched_at").isNotNull())
+    key = latest_order_key(F.col("inserted_at"), F.col("seq"))
+    latest = (ok.groupBy("ticker", floor_time(F.col("fetched_at"), grain).alias("minute"))
+              .agg(F.max_by("price", key).alias("price"),
+                   F.max_by("fetched_at", key).alias("fetched_at")))
+    return latest.select("ticker", "price", "fetched_at",
+                         local_date(F.col("fetched_at"), tz).alias("trade_date"))
+
+
 def stage_rejects(bronze: DataFrame, tz: str = NAIROBI) -> DataFrame:
     """Valid-looking ticks whose ``fetched_at`` text does not parse."""
     return (_parsed(bronze, tz).filter(F.col("fetched_at").isNull())

@@ -1,0 +1 @@
+"""Composed jobs, storage layout and the query catalogue."""

@@ -34,7 +34,7 @@ def staged(ticker: str) -> str:
               FROM events) e
         WHERE price > 0 AND NOT isnan(price) AND ticker <> ''
         QUALIFY row_number() OVER (PARTITION BY ticker, date_trunc('minute', {UTC})
-                                   ORDER BY {UTC} DESC, {UTC} DESC, price DESC, event_id DESC) = 1"""
+                                   ORDER BY {UTC} DESC, event_id DESC) = 1"""
 
 
 def r2(x: str) -> str:
