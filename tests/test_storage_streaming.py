@@ -1,0 +1,144 @@
+"""Layout, retention (K6-K10) and Structured Streaming."""
+
+from __future__ import annotations
+
+import datetime as dt
+import os
+
+from pyspark.sql import functions as F
+
+from ticksmith.operators import ingest
+from ticksmith.plans import storage
+from ticksmith.plans.batch import bars_from_bronze
+from ticksmith.schemas import BAR, BAR_COLS, BRONZE
+from ticksmith.sources import events_as_bronze, events_as_messages, read_events
+from ticksmith.sources.kafka import read_message_log, write_message_log
+from ticksmith.streaming import jobs
+
+from .conftest import SF_SMALL, rows
+
+
+def _bronze_rows(spark, times):
+    data = [(f"T{i % 3}", f"T{i % 3}", 1.0 + i, 0, 0.0, "KES", "2026-04-21T10:00:00+03:00", "NSE", t, i)
+            for i, t in enumerate(times)]
+    return spark.createDataFrame(data, BRONZE)
+
+
+def test_work_dir_comes_from_session(spark):
+    assert storage.work_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_write_table_month_partitions_and_read_back(spark, tmp_dir):
+    times = [dt.datetime(2024, 1, 31, 23, 0), dt.datetime(2024, 2, 1, 1, 0), dt.datetime(2024, 2, 10)]
+    path = os.path.join(tmp_dir, "bronze")
+    storage.write_table(_bronze_rows(spark, times), path, partition_source="inserted_at",
+                        sort_cols=["ticker", "inserted_at"])
+    assert sorted(d for d in os.listdir(path) if d.startswith("ym=")) == ["ym=202401", "ym=202402"]
+    back = spark.read.schema(storage.table_schema(BRONZE)).parquet(path)
+    assert dict(back.dtypes)["ym"] == "int"
+    assert rows(back, "seq", "ym") == [(0, 202401), (1, 202402), (2, 202402)]
+    # month pruning from a day range
+    feb = storage.between_days(back, "2024-02-01", "2024-02-05", "inserted_at")
+    assert rows(feb, "seq") == [(1,)]
+    assert "PartitionFilters: [isnotnull(ym" in feb._jdf.queryExecution().executedPlan().toString()
+
+
+def test_retain_keeps_rows_newer_than_ttl(spark):
+    times = [dt.datetime(2024, 1, 14, 23, 59), dt.datetime(2024, 1, 15, 0, 0), dt.datetime(2024, 1, 15, 0, 1)]
+    b = storage.with_month(_bronze_rows(spark, times), "inserted_at")
+    kept = storage.retain(b, "2026-01-15")
+    assert rows(kept, "seq") == [(2,)]
+
+
+def test_enforce_retention_drops_old_months(spark, tmp_dir):
+    times = [dt.datetime(2023, 12, 5), dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 20), dt.datetime(2024, 3, 1)]
+    path = os.path.join(tmp_dir, "bronze")
+    storage.write_table(_bronze_rows(spark, times), path, partition_source="inserted_at")
+    storage.enforce_retention(spark, path, BRONZE, as_of="2026-01-15")
+    back = spark.read.schema(storage.table_schema(BRONZE)).parquet(path)
+    assert rows(back, "seq") == [(2,), (3,)]
+    assert not os.path.exists(os.path.join(path, "ym=202312"))
+
+
+def test_materialize_writes_under_checkpoint_dir(spark):
+    df = spark.range(5)
+    m = storage.materialize(df, "probe")
+    assert m.count() == 5
+    assert storage.work_dir(spark) in m.inputFiles()[0]
+
+
+def _event_stream(spark, sf):
+    schema = read_events(spark, sf).schema
+    return jobs.file_stream(spark, sf, schema, glob="events.parquet")
+
+
+def test_stream_bars_equal_batch_bars_on_sealed_windows(spark, tmp_dir):
+    ticks = events_as_bronze(_event_stream(spark, SF_SMALL), "event_type")
+    out = os.path.join(tmp_dir, "bars")
+    jobs.run_available_now(jobs.bar_stream(ticks, "event", "0 seconds"), out, os.path.join(tmp_dir, "ckpt"))
+    streamed = spark.read.schema(BAR).parquet(out).select(*BAR_COLS)
+    batch = bars_from_bronze(events_as_bronze(read_events(spark, SF_SMALL), "event_type"))
+    max_t = batch.agg(F.max("window_end")).first()[0]
+    sealed = batch.filter(F.col("window_end") < max_t)
+    assert rows(streamed) == rows(sealed)
+
+
+def test_stream_drops_late_rows_behind_watermark(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "log")
+    t = dt.datetime(2026, 4, 21, 7, 0)
+    def batch_of(rows_):
+        df = spark.createDataFrame(rows_, "ticker string, price double, ts timestamp_ntz, seq long")
+        from ticksmith.functions import iso_local
+        ticks = df.select("ticker", F.col("ticker").alias("name"), "price", F.lit(0).cast("bigint").alias("volume"),
+                          F.lit(0.0).alias("market_cap"), F.lit("KES").alias("currency"),
+                          iso_local(F.col("ts"), "Africa/Nairobi").alias("fetched_at"),
+                          F.lit("NSE").alias("exchange"), "seq")
+        return ingest.to_messages(ticks)
+    write_message_log(batch_of([("A", 1.0, t, 1), ("A", 2.0, t + dt.timedelta(minutes=12), 2)]), src)
+    msgs = read_message_log(spark, src, stream=True, max_files_per_trigger=1)
+    bars_out, ckpt = os.path.join(tmp_dir, "bars"), os.path.join(tmp_dir, "ckpt")
+    q = jobs.start_bars(msgs, bars_out, ckpt, delay="5 minutes", trigger={"availableNow": True})
+    q.awaitTermination(120)
+    # a tick 11 minutes behind the newest one: behind the watermark -> dropped from bars
+    write_message_log(batch_of([("A", 9.0, t + dt.timedelta(minutes=1), 3),
+                                ("A", 3.0, t + dt.timedelta(minutes=30), 4)]), src)
+    q = jobs.start_bars(read_message_log(spark, src, stream=True, max_files_per_trigger=1),
+                        bars_out, ckpt, delay="5 minutes", trigger={"availableNow": True})
+    q.awaitTermination(120)
+    dropped = sum(p.get("stateOperators", [{}])[0].get("numRowsDroppedByWatermark", 0)
+                  for p in q.recentProgress if p.get("stateOperators"))
+    out = spark.read.schema(storage.table_schema(BAR)).parquet(bars_out)
+    got = rows(out, "window_start", "open_price", "tick_count")
+    assert (t, 1.0, 1) in got                       # the late 9.0 did not change the first bar
+    assert all(r[1] != 9.0 for r in got)
+    assert dropped >= 1
+
+
+def test_bronze_stream_restart_is_exactly_once(spark, tmp_dir):
+    src, out, ckpt = (os.path.join(tmp_dir, n) for n in ("log", "bronze", "ckpt"))
+    ev = read_events(spark, SF_SMALL)
+    msgs = events_as_messages(ev, "user")
+    write_message_log(msgs.filter("seq < 500"), src)
+    q = jobs.start_bronze(read_message_log(spark, src, stream=True), out, ckpt, trigger={"availableNow": True})
+    q.awaitTermination(120)
+    write_message_log(msgs.filter("seq >= 500"), src)
+    # restart from the same checkpoint: only the new file is read
+    q = jobs.start_bronze(read_message_log(spark, src, stream=True), out, ckpt, trigger={"availableNow": True})
+    q.awaitTermination(120)
+    back = spark.read.schema(storage.table_schema(BRONZE)).parquet(out)
+    good = ingest.parsed_ticks(ingest.parse_messages(msgs))
+    assert back.count() == good.count()
+    assert back.select("seq").distinct().count() == back.count()
+
+
+def test_fan_out_two_queries(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "log")
+    write_message_log(events_as_messages(read_events(spark, SF_SMALL), "event_type"), src)
+    qs = jobs.start_ingest(lambda: read_message_log(spark, src, stream=True),
+                           os.path.join(tmp_dir, "bronze"), os.path.join(tmp_dir, "bars"),
+                           os.path.join(tmp_dir, "ckpt"), delay="0 seconds", trigger={"availableNow": True})
+    for q in qs:
+        q.awaitTermination(120)
+    bronze = spark.read.schema(storage.table_schema(BRONZE)).parquet(os.path.join(tmp_dir, "bronze"))
+    bars = spark.read.schema(storage.table_schema(BAR)).parquet(os.path.join(tmp_dir, "bars"))
+    assert bronze.count() > 0 and bars.count() > 0
