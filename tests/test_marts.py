@@ -91,11 +91,14 @@ def test_sort_free_daily_equals_composition(spark):
     assert rows(fast) == rows(slow)
 
 
-def test_top_k_uses_window_group_limit(spark):
+def test_movers_plans(spark):
     daily = _daily(spark, [("A", 1.0, 3)])
-    for df in (marts.top_movers(daily), marts.top_movers_single_pass(daily)):
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        assert "WindowGroupLimit" in plan
+    # single pass: top-k per (day, side) trimmed inside each task before the shuffle
+    plan = marts.top_movers_single_pass(daily)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+    # two branches: the ranked relation (and everything under it) is planned once
+    plan = marts.top_movers(daily)._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in plan and plan.count("Exchange") == 1
 
 
 def test_ordered_readers(spark):

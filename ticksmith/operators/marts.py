@@ -74,28 +74,32 @@ def eligible_movers(daily: DataFrame, min_ticks: int = MIN_TICKS) -> DataFrame:
 
 
 def top_movers(daily: DataFrame, k: int = TOP_N, min_ticks: int = MIN_TICKS) -> DataFrame:
-    """W1 + W2 + F8 + P8 + U1: gainers and losers per day, two ranked branches.
-
-    Each branch is its own ``row_number`` window with the rank filter right
-    above it, so Catalyst plans a partial ``WindowGroupLimit`` (top ``k`` per
-    day inside each map task) before the shuffle by ``trade_date``: a day
-    with a million tickers ships at most ``k`` rows per task.  ``ticker`` is
-    the tie-break the reference lacks.
+    """W1 + W2 + F8 + P8 + U1: gainer and loser ranks per day, two branches.
+
+    Both ranks are computed in one ``ranked`` relation (the two windows share
+    one shuffle by ``trade_date``).  The UNION ALL of the gainer branch and
+    the loser branch is done row-wise: each ranked row yields its two branch
+    rows through a two-element generator and the branch filter keeps at most
+    one.  A DataFrame ``union`` would plan ``ranked`` — and the whole daily
+    computation under it — once per branch.  ``ticker`` is the tie-break the
+    reference lacks.
     """
-    elig = eligible_movers(daily, min_ticks).select("trade_date", "ticker", "close_price", "pct_change")
     pct = F.col("pct_change")
-
-    def branch(direction: str, order: Column, sign: Column) -> DataFrame:
-        w = Window.partitionBy("trade_date").orderBy(order, F.col("ticker"))
-        return (elig.withColumn("rank", F.row_number().over(w))
-                .filter(sign & (F.col("rank") <= k))
-                .select("trade_date", F.lit(direction).alias("direction"),
-                        F.col("rank").cast("int").alias("rank"),
-                        "ticker", "close_price", "pct_change"))
-
-    gainers = branch(GAINER, pct.desc(), pct > 0)
-    losers = branch(LOSER, pct.asc(), pct < 0)
-    return gainers.unionByName(losers).select(*MOVERS_COLS)
+    gw = Window.partitionBy("trade_date").orderBy(pct.desc(), F.col("ticker"))
+    lw = Window.partitionBy("trade_date").orderBy(pct.asc(), F.col("ticker"))
+    ranked = (eligible_movers(daily, min_ticks)
+              .select("trade_date", "ticker", "close_price", "pct_change",
+                      F.row_number().over(gw).alias("gainer_rank"),
+                      F.row_number().over(lw).alias("loser_rank")))
+
+    def branch(direction: str, rank: str, sign: Column) -> Column:
+        return F.struct(F.lit(direction).alias("direction"), F.col(rank).cast("int").alias("rank"),
+                        (sign & (F.col(rank) <= k)).alias("_keep"))
+
+    branches = F.array(branch(GAINER, "gainer_rank", pct > 0), branch(LOSER, "loser_rank", pct < 0))
+    return (ranked.select("trade_date", "ticker", "close_price", "pct_change", F.inline(branches))
+            .filter(F.col("_keep"))
+            .select(*MOVERS_COLS))
 
 
 def top_movers_single_pass(daily: DataFrame, k: int = TOP_N, min_ticks: int = MIN_TICKS) -> DataFrame:

@@ -93,7 +93,7 @@ def q_parse_fetched_at(spark, sf):
 
 
 def q_session_ticks(spark, sf):
-    b = bronze_by_user(spark, sf).withColumn("fetched_utc", parse_to_utc(F.col("fetched_at")))
+    b = ingest.bind(bronze_by_user(spark, sf), "fetched_utc", parse_to_utc(F.col("fetched_at")))
     return (b.filter(in_session(F.col("fetched_utc"), NAIROBI))
             .select("seq", "ticker", "price", F.col("fetched_utc").alias("fetched_at")))
 
@@ -129,7 +129,9 @@ def q_top_movers_single_pass(spark, sf):
 
 
 def q_movers_report(spark, sf):
-    movers = marts.top_movers(daily_by_user(spark, sf))
+    # the report reads the stored movers mart, as the scheduled run does
+    movers = batch.build_marts(bronze_by_user(spark, sf), bars=bars_by_type(spark, sf)).top_movers
+    movers = storage.materialize(movers, "top_movers")
     as_of = movers.select(F.max("trade_date")).scalar()
     return reports.movers_report(movers, as_of)
 
@@ -151,7 +153,7 @@ def q_peek(spark, sf):
 def quality_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """The six checked tables, built like a scheduled run: the daily mart
     is computed once and stored, movers and checks read it."""
-    bars = bars_by_type(spark, sf)
+    bars = storage.materialize(bars_by_type(spark, sf), "ohlcv_5min")
     return batch.build_marts(bronze_by_user(spark, sf), bars=bars).tables()
 
 
