@@ -106,3 +106,20 @@ def test_ordered_readers(spark):
     assert [r["ticker"] for r in marts.ordered_daily(daily).collect()] == ["B", "A"]
     mv = marts.ordered_movers(marts.top_movers(daily)).collect()
     assert [r["rank"] for r in mv] == [1, 2]
+
+
+def test_session_only_daily_drops_ticks_outside_hours(spark):
+    from ticksmith.functions import iso_local
+    # 08:59 EAT and 15:30 EAT are outside the session; 09:00 and 15:29 inside
+    local = [dt.datetime(2026, 4, 21, 8, 59), dt.datetime(2026, 4, 21, 9, 0),
+             dt.datetime(2026, 4, 21, 15, 29), dt.datetime(2026, 4, 21, 15, 30)]
+    data = [("A", float(i + 1), t - dt.timedelta(hours=3), i) for i, t in enumerate(local)]
+    df = spark.createDataFrame(data, "ticker string, price double, utc timestamp_ntz, seq long")
+    bronze = df.select("ticker", F.col("ticker").alias("name"), "price", F.lit(0).cast("bigint").alias("volume"),
+                       F.lit(0.0).alias("market_cap"), F.lit("KES").alias("currency"),
+                       iso_local(F.col("utc"), "Africa/Nairobi").alias("fetched_at"),
+                       F.lit("NSE").alias("exchange"), F.col("utc").alias("inserted_at"), "seq")
+    all_day = marts.daily_summary_from_bronze(bronze).first()
+    session = marts.daily_summary_from_bronze(bronze, session_only=True).first()
+    assert (all_day["open_price"], all_day["close_price"], all_day["total_ticks"]) == (1.0, 4.0, 4)
+    assert (session["open_price"], session["close_price"], session["total_ticks"]) == (2.0, 3.0, 2)

@@ -142,3 +142,30 @@ def test_fan_out_two_queries(spark, tmp_dir):
     bronze = spark.read.schema(storage.table_schema(BRONZE)).parquet(os.path.join(tmp_dir, "bronze"))
     bars = spark.read.schema(storage.table_schema(BAR)).parquet(os.path.join(tmp_dir, "bars"))
     assert bronze.count() > 0 and bars.count() > 0
+
+
+def test_enforce_retention_removes_boundary_month_left_empty(spark, tmp_dir):
+    times = [dt.datetime(2024, 1, 10), dt.datetime(2024, 3, 1)]
+    path = os.path.join(tmp_dir, "bronze")
+    storage.write_table(_bronze_rows(spark, times), path, partition_source="inserted_at")
+    storage.enforce_retention(spark, path, BRONZE, as_of="2026-01-15")   # cutoff 2024-01-15
+    back = spark.read.schema(storage.table_schema(BRONZE)).parquet(path)
+    assert rows(back, "seq") == [(1,)]
+    assert not os.path.exists(os.path.join(path, "ym=202401"))
+
+
+def test_rocksdb_state_store_bars(spark, tmp_dir):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    try:
+        jobs.use_rocksdb_state_store(spark)
+        assert spark.conf.get(key) == jobs.ROCKSDB_PROVIDER
+        ticks = events_as_bronze(_event_stream(spark, SF_SMALL), "event_type")
+        out = os.path.join(tmp_dir, "bars")
+        jobs.run_available_now(jobs.bar_stream(ticks, "event", "0 seconds"), out, os.path.join(tmp_dir, "ckpt"))
+        assert spark.read.schema(BAR).parquet(out).count() > 0
+    finally:
+        if before:
+            spark.conf.set(key, before)
+        else:
+            spark.conf.unset(key)

@@ -61,11 +61,16 @@ def daily_summary(staged: DataFrame, updated_at: datetime | str | None = None) -
 
 
 def daily_summary_from_bronze(bronze: DataFrame, updated_at: datetime | str | None = None,
-                              tz: str = NAIROBI) -> DataFrame:
+                              tz: str = NAIROBI, session_only: bool = False) -> DataFrame:
     """A2 over D1 without a sort: ``daily_summary(stage_ticks(bronze))``
     computed as two hash aggregations (``latest_prices`` then the daily
-    one).  The plan to use when the mart is rebuilt from all of bronze."""
-    return daily_summary(latest_prices(bronze, tz), updated_at)
+    one).  The plan to use when the mart is rebuilt from all of bronze.
+
+    ``session_only`` keeps only ticks fetched inside the trading session
+    (F5), so "close" is really the last price before 15:30; off by default,
+    as the reference relies on the producer's gate instead.
+    """
+    return daily_summary(latest_prices(bronze, tz, session_only=session_only), updated_at)
 
 
 def eligible_movers(daily: DataFrame, min_ticks: int = MIN_TICKS) -> DataFrame:

@@ -21,8 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticksmith.functions.numeric import is_positive
-from ticksmith.functions.timefn import (NAIROBI, epoch_order_key, floor_time, local_date,
-                                        ntz_micros, parse_to_utc)
+from ticksmith.functions.timefn import (NAIROBI, epoch_order_key, floor_time, in_session,
+                                        local_date, ntz_micros, parse_to_utc)
 from ticksmith.operators.ingest import bind
 from ticksmith.schemas import STAGED_TICK_COLS
 
@@ -77,7 +77,8 @@ def latest_order_key(inserted_at: Column, seq: Column) -> Column:
     return epoch_order_key(us, F.coalesce(seq, F.lit(-1)))
 
 
-def latest_prices(bronze: DataFrame, tz: str = NAIROBI, grain: str = DEDUP_GRAIN) -> DataFrame:
+def latest_prices(bronze: DataFrame, tz: str = NAIROBI, grain: str = DEDUP_GRAIN,
+                  session_only: bool = False) -> DataFrame:
     """D1 for the marts, sort-free: per (ticker, minute) the price and
     ``fetched_at`` of the latest row, as a hash aggregation.
 
@@ -88,6 +89,8 @@ def latest_prices(bronze: DataFrame, tz: str = NAIROBI, grain: str = DEDUP_GRAIN
     task.  Same rows as ``stage_ticks`` projected to these columns.
     """
     ok = _parsed(bronze, tz).filter(F.col("fetched_at").isNotNull())
+    if session_only:
+        ok = ok.filter(in_session(F.col("fetched_at"), tz))
     key = latest_order_key(F.col("inserted_at"), F.col("seq"))
     latest = (ok.groupBy("ticker", floor_time(F.col("fetched_at"), grain).alias("minute"))
               .agg(F.max_by("price", key).alias("price"),

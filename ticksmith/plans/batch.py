@@ -55,18 +55,21 @@ def bars_from_bronze(bronze: DataFrame) -> DataFrame:
 
 
 def build_marts(bronze: DataFrame, bars: DataFrame | None = None, out_dir: str | None = None,
-                updated_at: datetime | str | None = None, tz: str = NAIROBI) -> Marts:
+                updated_at: datetime | str | None = None, tz: str = NAIROBI,
+                session_only: bool = False) -> Marts:
     """Staging views, then the daily table (stored once), then movers."""
     spark = bronze.sparkSession
     bars = bars if bars is not None else bars_from_bronze(bronze)
-    daily = marts.daily_summary_from_bronze(bronze, updated_at, tz)
+    daily = marts.daily_summary_from_bronze(bronze, updated_at, tz, session_only)
     if out_dir:
         path = f"{out_dir.rstrip('/')}/daily_summary"
         storage.write_table(daily, path, partition_source="trade_date", sort_cols=["trade_date", "ticker"])
         daily = spark.read.schema(storage.table_schema(DAILY)).parquet(path).select(*DAILY.fieldNames())
     else:
         daily = storage.materialize(daily, "daily_summary")
-    movers = marts.top_movers(daily)
+    # single-pass ranking trims to the top k per (day, side) inside each task
+    # before the shuffle, so a day with very many tickers is not one task's work
+    movers = marts.top_movers_single_pass(daily)
     if out_dir:
         path = f"{out_dir.rstrip('/')}/top_movers"
         storage.write_table(movers, path, partition_source="trade_date",

@@ -153,9 +153,13 @@ def enforce_retention(spark: SparkSession, path: str, schema: T.StructType,
                 .filter((F.col(part_col) == cutoff_ym) & (F.col(ts_col) > F.lit(cutoff_row["c"]))))
     staged = scratch_path(spark, "retention")
     boundary.write.mode("overwrite").partitionBy(part_col).parquet(staged)
-    (spark.read.schema(full).parquet(staged)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(part_col).parquet(path))
+    kept = spark.read.schema(full).parquet(staged)
+    # dynamic overwrite only replaces months present in the new data, so a
+    # boundary month with nothing left is removed with the older months
+    keep_boundary = kept.limit(1).count() > 0
+    if keep_boundary:
+        (kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(part_col).parquet(path))
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -163,5 +167,5 @@ def enforce_retention(spark: SparkSession, path: str, schema: T.StructType,
         name = status.getPath().getName()
         if status.isDirectory() and name.startswith(f"{part_col}="):
             ym = int(name.split("=", 1)[1])
-            if ym < cutoff_ym:
+            if ym < cutoff_ym or (ym == cutoff_ym and not keep_boundary):
                 fs.delete(status.getPath(), True)

@@ -33,6 +33,20 @@ from ticksmith.operators.ingest import parse_messages, parsed_ticks, quarantined
 DEFAULT_DELAY = "10 minutes"
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state_store(spark: SparkSession) -> None:
+    """Keep streaming state (one row per open ticker-bar) in RocksDB instead
+    of executor heap, for key counts beyond what fits in memory.  Leaves an
+    existing choice alone; call before the first query starts (the provider
+    of a checkpoint cannot change afterwards)."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    current = spark.conf.get(key, None)
+    if not current or current.endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(key, ROCKSDB_PROVIDER)
+
+
 def bronze_stream(messages: DataFrame) -> DataFrame:
     """Messages -> bronze rows (parse, drop rejects, stamp ``inserted_at``)."""
     return to_bronze(parsed_ticks(parse_messages(messages)))
