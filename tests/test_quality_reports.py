@@ -71,6 +71,7 @@ def test_health_today_and_guard(spark):
     b = _bronze(spark)
     r = reports.health_today(b, "2026-04-21").first()
     assert (r["tick_count"], r["ticker_count"]) == (3, 2)
+    assert r["line"] == f"Today's ticks so far: {3:,} rows across 2 tickers"
     assert reports.assert_ticks_today(reports.health_today(b, "2026-04-21")) == 3
     with pytest.raises(ValueError):
         reports.assert_ticks_today(reports.health_today(b, "2026-05-01"))

@@ -17,7 +17,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticksmith.functions.text import mover_line
+from ticksmith.functions.text import mover_line, thousands
 
 # Movers shown in the text report, and rows in a peek.
 REPORT_TOP_N = 3
@@ -43,11 +43,15 @@ def day_range(ts: Column, first_day: Column, last_day: Column) -> Column:
 
 
 def health_today(bronze: DataFrame, as_of: date | str | Column | None = None) -> DataFrame:
-    """Z2 + A3: ticks and distinct tickers inserted on ``as_of``."""
+    """Z2 + A3: ticks and distinct tickers inserted on ``as_of``, with the
+    printable status line (thousands separators, like ``{:,}``)."""
     d = as_date(as_of)
-    return (bronze.filter(day_range(F.col("inserted_at"), d, d))
-            .agg(F.count(F.lit(1)).alias("tick_count"),
-                 F.countDistinct("ticker").alias("ticker_count")))
+    counts = (bronze.filter(day_range(F.col("inserted_at"), d, d))
+              .agg(F.count(F.lit(1)).alias("tick_count"),
+                   F.countDistinct("ticker").alias("ticker_count")))
+    line = F.format_string("Today's ticks so far: %s rows across %d tickers",
+                           thousands(F.col("tick_count")), F.col("ticker_count"))
+    return counts.withColumn("line", line)
 
 
 def assert_ticks_today(health: DataFrame) -> int:

@@ -199,8 +199,11 @@ ORACLE: dict[str, str] = {
                     ticker, pct_change, direction) AS line
       FROM m WHERE trade_date = (SELECT max(trade_date) FROM m) AND rank <= 3""",
     "health_today": f"""
-      SELECT count(*) AS tick_count, count(DISTINCT {USER_TICKER}) AS ticker_count
-      FROM events WHERE CAST({UTC} AS DATE) = (SELECT max(CAST({UTC} AS DATE)) FROM events)""",
+      SELECT tick_count, ticker_count,
+             'Today''s ticks so far: ' || format('{{:,}}', tick_count) || ' rows across '
+               || ticker_count || ' tickers' AS line
+      FROM (SELECT count(*) AS tick_count, count(DISTINCT {USER_TICKER}) AS ticker_count
+            FROM events WHERE CAST({UTC} AS DATE) = (SELECT max(CAST({UTC} AS DATE)) FROM events)) h""",
     "health_by_day": f"""
       SELECT CAST({UTC} AS DATE) AS day, count(*) AS total_ticks,
              count(DISTINCT {USER_TICKER}) AS unique_tickers, min(value) AS min_price, max(value) AS max_price

@@ -44,11 +44,17 @@ def work_dir(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
+        try:
+            d = spark.sparkContext.getCheckpointDir()
+        except Exception:   # no driver-side context (e.g. Spark Connect)
+            d = None
     if not d:
         d = tempfile.mkdtemp(prefix="ticksmith-")
         spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
+        try:
+            spark.sparkContext.setCheckpointDir(d)
+        except Exception:
+            pass
     return d.rstrip("/")
 
 

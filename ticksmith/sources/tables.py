@@ -27,9 +27,14 @@ def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFr
     (deterministic, so a retried task sees the same rows); a table of real
     size already has far more splits than cores and is left alone.
     """
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.isStreaming or want <= 1 or df.rdd.getNumPartitions() >= want:
+    if df.isStreaming:
+        return df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:   # no RDD view of the plan (e.g. a Spark Connect session)
+        return df
+    if want <= 1 or have >= want:
         return df
     return df.repartition(want, key)
 
