@@ -142,6 +142,13 @@ def test_fan_out_two_queries(spark, tmp_dir):
     bronze = spark.read.schema(storage.table_schema(BRONZE)).parquet(os.path.join(tmp_dir, "bronze"))
     bars = spark.read.schema(storage.table_schema(BAR)).parquet(os.path.join(tmp_dir, "bars"))
     assert bronze.count() > 0 and bars.count() > 0
+    q = jobs.start_quarantine(read_message_log(spark, src, stream=True), os.path.join(tmp_dir, "quarantine"),
+                              os.path.join(tmp_dir, "ckpt", "quarantine"), trigger={"availableNow": True})
+    q.awaitTermination(120)
+    rejected = spark.read.parquet(os.path.join(tmp_dir, "quarantine"))
+    assert rows(rejected, "reason") == sorted([("malformed",)] * 2 * (rejected.count() // 3)
+                                              + [("bad_number",)] * (rejected.count() // 3))
+    assert bronze.count() + rejected.count() == read_events(spark, SF_SMALL).count()
 
 
 def test_enforce_retention_removes_boundary_month_left_empty(spark, tmp_dir):
