@@ -88,8 +88,16 @@ def read_message_log(spark: SparkSession, path: str, stream: bool = False,
 
 
 def read_text_messages(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
-    """One JSON message per line of text.  ``seq`` is only unique (not
-    replay-stable) here, since plain text carries no offsets."""
+    """One JSON message per line of text.
+
+    Plain text carries no offsets, so ``seq`` is only a tie-breaker: in
+    batch the row id of the scan; in a stream (where row ids are not
+    allowed) a non-negative hash of (file, line), which is stable when a
+    micro-batch is replayed.
+    """
     df = (spark.readStream if stream else spark.read).format("text").load(path)
-    return df.select(F.lit(None).cast("string").alias("key"), F.col("value"),
-                     F.monotonically_increasing_id().alias("seq"))
+    if stream:
+        seq = F.pmod(F.xxhash64(F.input_file_name(), F.col("value")), F.lit(2 ** 62))
+    else:
+        seq = F.monotonically_increasing_id()
+    return df.select(F.lit(None).cast("string").alias("key"), F.col("value"), seq.alias("seq"))
