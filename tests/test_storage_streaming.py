@@ -176,3 +176,43 @@ def test_rocksdb_state_store_bars(spark, tmp_dir):
             spark.conf.set(key, before)
         else:
             spark.conf.unset(key)
+
+
+def test_heartbeat_closes_the_last_bar_of_a_quiet_stream(spark, tmp_dir):
+    import time
+
+    from ticksmith.sources.kafka import read_text_messages
+    path = os.path.join(tmp_dir, "msgs")
+    os.makedirs(path)
+    with open(os.path.join(path, "part-0.txt"), "w") as fh:
+        fh.write("\n".join('{"ticker":"A","price":%d}' % i for i in range(1, 6)) + "\n")
+    ticks = ingest.parsed_ticks(ingest.parse_messages(read_text_messages(spark, path, stream=True)))
+    bars = jobs.bar_stream(ticks, time_mode="arrival", delay="0 seconds", width="2 seconds",
+                           heartbeat=jobs.heartbeat_stream(spark, 2))
+    out = os.path.join(tmp_dir, "bars")
+    q = (bars.writeStream.format("parquet").outputMode("append").option("path", out)
+         .option("checkpointLocation", os.path.join(tmp_dir, "ckpt"))
+         .trigger(processingTime="500 milliseconds").start())
+    got = []
+    try:
+        deadline = time.time() + 60
+        while time.time() < deadline and not got:
+            time.sleep(1)
+            assert q.exception() is None
+            if os.path.isdir(out) and any(f.endswith(".parquet") for f in os.listdir(out)):
+                got = spark.read.schema(BAR).parquet(out).collect()
+    finally:
+        q.stop()
+    # no tick arrived after the first file, yet its bar was emitted; the
+    # heartbeat rows themselves never become a bar
+    assert len(got) == 1
+    b = got[0]
+    assert (b.ticker, b.high_price, b.low_price, b.tick_count) == ("A", 5.0, 1.0, 5)
+    assert (b.window_end - b.window_start) == dt.timedelta(seconds=2)
+
+
+def test_heartbeat_needs_arrival_time(spark):
+    import pytest
+    ticks = events_as_bronze(_event_stream(spark, SF_SMALL), "event_type")
+    with pytest.raises(ValueError):
+        jobs.bar_stream(ticks, "event", heartbeat=jobs.heartbeat_stream(spark))

@@ -26,12 +26,13 @@ BAR_WIDTH = "5 minutes"
 
 def ohlc_bars(ticks: DataFrame, time_col: str, key: str = "ticker",
               price: str = "price", seq: str | None = "seq",
-              width: str = BAR_WIDTH) -> DataFrame:
+              width: str = BAR_WIDTH, count_col: str | None = None) -> DataFrame:
     """Tumbling OHLC bars: ``ticker, window_start, window_end, open_price,
     high_price, low_price, close_price, tick_count``.
 
     ``time_col`` may be TIMESTAMP_NTZ (UTC wall clock, batch) or TIMESTAMP
     (streams, where the watermark needs it); bounds come out as NTZ UTC.
+    ``tick_count`` counts rows, or the non-NULL values of ``count_col``.
     """
     tcol = F.col(time_col)
     is_instant = isinstance(ticks.schema[time_col].dataType, T.TimestampType)
@@ -45,7 +46,7 @@ def ohlc_bars(ticks: DataFrame, time_col: str, key: str = "ticker",
                  F.max(p).alias("high_price"),
                  F.min(p).alias("low_price"),
                  F.max_by(p, order).alias("close_price"),
-                 F.count(F.lit(1)).alias("tick_count")))
+                 F.count(F.col(count_col) if count_col else F.lit(1)).alias("tick_count")))
     start, end = F.col("w.start"), F.col("w.end")
     if is_instant:
         start, end = instant_to_utc(start), instant_to_utc(end)

@@ -15,6 +15,16 @@ behind the watermark are dropped from the bar stream and counted by Spark
 ``ohlc_bars`` over bronze is the repair path (R5).  ``time_mode='arrival'``
 is the reference's processing-time behaviour: the broker append time when
 the source has one, else the micro-batch time.
+
+Quiet streams (R4): Spark moves the watermark only when rows arrive, so in
+arrival mode the last open bar would wait for the next tick, while the
+reference closes it on the wall clock.  ``heartbeat`` unions the ticks with
+Spark's ``rate`` source: its rows carry only the clock, advance the
+watermark through the same ``withWatermark``, and fall out after the
+aggregation (their group counts no ticks), so a bar is emitted about one
+trigger after ``window end + delay`` whether or not ticks keep coming.  The
+filter sits on an aggregate output on purpose: a filter on ``ticker`` would
+be pushed below the watermark and hide the heartbeats from it.
 """
 
 from __future__ import annotations
@@ -56,17 +66,40 @@ def quarantine_stream(messages: DataFrame) -> DataFrame:
     return quarantined(parse_messages(messages))
 
 
+def heartbeat_stream(spark: SparkSession, rows_per_second: int = 1) -> DataFrame:
+    """Clock rows from Spark's ``rate`` source: ``(timestamp, value)``."""
+    return spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
+
+
 def bar_stream(ticks: DataFrame, time_mode: str = "event", delay: str = DEFAULT_DELAY,
-               width: str = BAR_WIDTH) -> DataFrame:
-    """Ticks (with string ``fetched_at``) -> watermarked OHLC bar stream."""
+               width: str = BAR_WIDTH, heartbeat: DataFrame | None = None) -> DataFrame:
+    """Ticks (with string ``fetched_at``) -> watermarked OHLC bar stream.
+
+    ``heartbeat`` (arrival mode only; see ``heartbeat_stream``) closes bars
+    on the clock when no ticks arrive.
+    """
+    has_arrival = "arrival_ts" in ticks.columns
     if time_mode == "event":
         t = parse_instant(F.col("fetched_at"))
     elif time_mode == "arrival":
-        t = F.col("arrival_ts") if "arrival_ts" in ticks.columns else F.current_timestamp()
+        t = F.col("arrival_ts") if has_arrival else F.current_timestamp()
     else:
         raise ValueError(f"unknown time_mode {time_mode!r}")
     timed = ticks.withColumn("_event_ts", t).filter(F.col("_event_ts").isNotNull())
-    return ohlc_bars(timed.withWatermark("_event_ts", delay), "_event_ts")
+    if heartbeat is None:
+        return ohlc_bars(timed.withWatermark("_event_ts", delay), "_event_ts", width=width)
+    if time_mode != "arrival":
+        raise ValueError("heartbeat needs time_mode='arrival' (it is a wall clock)")
+    cols = ["ticker", "price", "seq"]
+    ticks_part = timed.select(*cols, "_event_ts", F.lit(1).alias("_is_tick"))
+    beats = heartbeat.select(F.lit(None).cast("string").alias("ticker"),
+                             F.lit(None).cast("double").alias("price"),
+                             F.lit(None).cast("bigint").alias("seq"),
+                             (F.col("timestamp") if has_arrival else F.current_timestamp()).alias("_event_ts"),
+                             F.lit(None).cast("int").alias("_is_tick"))
+    both = ticks_part.unionByName(beats).withWatermark("_event_ts", delay)
+    bars = ohlc_bars(both, "_event_ts", width=width, count_col="_is_tick")
+    return bars.filter(F.col("tick_count") > 0)
 
 
 def _start(df: DataFrame, path: str, checkpoint: str, partition_col: str | None,
@@ -97,10 +130,11 @@ def start_quarantine(messages: DataFrame, path: str, checkpoint: str,
 
 def start_bars(messages: DataFrame, path: str, checkpoint: str, time_mode: str = "event",
                delay: str = DEFAULT_DELAY, trigger: dict | None = None,
-               query_name: str | None = None) -> StreamingQuery:
+               query_name: str | None = None, heartbeat: DataFrame | None = None) -> StreamingQuery:
     """K3: append finished 5-minute bars, month-partitioned by bar start."""
     ticks = parsed_ticks(parse_messages(messages))
-    bars = bar_stream(ticks, time_mode, delay).withColumn("ym", month_key(F.col("window_start")))
+    bars = (bar_stream(ticks, time_mode, delay, heartbeat=heartbeat)
+            .withColumn("ym", month_key(F.col("window_start"))))
     return _start(bars, path, checkpoint, "ym", trigger or {"processingTime": "1 minute"}, query_name)
 
 
