@@ -96,9 +96,19 @@ def test_movers_plans(spark):
     # single pass: top-k per (day, side) trimmed inside each task before the shuffle
     plan = marts.top_movers_single_pass(daily)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
-    # two branches: the ranked relation (and everything under it) is planned once
+    # two branches: each trims to the top k inside each task before its shuffle
     plan = marts.top_movers(daily)._jdf.queryExecution().executedPlan().toString()
-    assert "Union" not in plan and plan.count("Exchange") == 1
+    assert "Union" in plan and plan.count("WindowGroupLimit") >= 4
+
+
+def test_movers_branches_reuse_the_daily_computation(spark):
+    from ticksmith.plans.catalog import daily_by_user
+    df = marts.top_movers(daily_by_user(spark, SF_SMALL))
+    df.collect()   # runs this query execution, so its adaptive plan is final
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # the tick scan and the daily aggregation under both branches run once
+    assert "ReusedExchange" in plan
+    assert plan.count("FileScan parquet") == 1
 
 
 def test_ordered_readers(spark):

@@ -79,32 +79,32 @@ def eligible_movers(daily: DataFrame, min_ticks: int = MIN_TICKS) -> DataFrame:
 
 
 def top_movers(daily: DataFrame, k: int = TOP_N, min_ticks: int = MIN_TICKS) -> DataFrame:
-    """W1 + W2 + F8 + P8 + U1: gainer and loser ranks per day, two branches.
-
-    Both ranks are computed in one ``ranked`` relation (the two windows share
-    one shuffle by ``trade_date``).  The UNION ALL of the gainer branch and
-    the loser branch is done row-wise: each ranked row yields its two branch
-    rows through a two-element generator and the branch filter keeps at most
-    one.  A DataFrame ``union`` would plan ``ranked`` — and the whole daily
-    computation under it — once per branch.  ``ticker`` is the tie-break the
+    """W1 + W2 + F8 + P8 + U1: gainer and loser ranks per day, two branches
+    joined by UNION ALL.
+
+    Each branch keeps only its own side before ranking: gainers
+    (``pct_change > 0``) sort ahead of every other row in the gainer order,
+    losers ahead of every other row in the loser order, so their ranks equal
+    the reference's ranks over all eligible rows.  With the rank filter
+    right above its window, each branch runs as partial + final
+    ``WindowGroupLimit``: at most ``k`` rows per day leave a task, however
+    many tickers a day has.  The branches share everything below the
+    ranking; Spark reuses that exchange (``ReusedExchange``), so the daily
+    computation under it runs once.  ``ticker`` is the tie-break the
     reference lacks.
     """
     pct = F.col("pct_change")
-    gw = Window.partitionBy("trade_date").orderBy(pct.desc(), F.col("ticker"))
-    lw = Window.partitionBy("trade_date").orderBy(pct.asc(), F.col("ticker"))
-    ranked = (eligible_movers(daily, min_ticks)
-              .select("trade_date", "ticker", "close_price", "pct_change",
-                      F.row_number().over(gw).alias("gainer_rank"),
-                      F.row_number().over(lw).alias("loser_rank")))
-
-    def branch(direction: str, rank: str, sign: Column) -> Column:
-        return F.struct(F.lit(direction).alias("direction"), F.col(rank).cast("int").alias("rank"),
-                        (sign & (F.col(rank) <= k)).alias("_keep"))
-
-    branches = F.array(branch(GAINER, "gainer_rank", pct > 0), branch(LOSER, "loser_rank", pct < 0))
-    return (ranked.select("trade_date", "ticker", "close_price", "pct_change", F.inline(branches))
-            .filter(F.col("_keep"))
-            .select(*MOVERS_COLS))
+    eligible = eligible_movers(daily, min_ticks).select("trade_date", "ticker", "close_price", "pct_change")
+
+    def branch(direction: str, side: Column, order: Column) -> DataFrame:
+        w = Window.partitionBy("trade_date").orderBy(order, F.col("ticker"))
+        return (eligible.filter(side)
+                .withColumn("rank", F.row_number().over(w))
+                .filter(F.col("rank") <= k)
+                .select("trade_date", F.lit(direction).alias("direction"),
+                        F.col("rank").cast("int").alias("rank"), "ticker", "close_price", "pct_change"))
+
+    return branch(GAINER, pct > 0, pct.desc()).unionByName(branch(LOSER, pct < 0, pct.asc()))
 
 
 def top_movers_single_pass(daily: DataFrame, k: int = TOP_N, min_ticks: int = MIN_TICKS) -> DataFrame:
