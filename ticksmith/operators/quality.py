@@ -17,7 +17,7 @@ greater than everything in Spark).
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,6 +79,13 @@ REFERENCE_CHECKS: tuple[Check, ...] = (
 )
 
 
+def retarget(checks: Iterable[Check], source: str, target: str) -> tuple[Check, ...]:
+    """The checks declared for table ``source``, pointed at ``target`` —
+    e.g. the staging checks run over the parsed feed before staging filters
+    it, to count what staging will drop."""
+    return tuple(replace(ch, table=target) for ch in checks if ch.table == source)
+
+
 def _by_table(checks: Iterable[Check]) -> dict[str, list[Check]]:
     out: dict[str, list[Check]] = {}
     for ch in checks:

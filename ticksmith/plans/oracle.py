@@ -10,7 +10,8 @@ clock, so the UTC instant is ``ts - INTERVAL 3 HOUR``.
 
 from __future__ import annotations
 
-from ticksmith.operators.quality import ACCEPTED_RANGE, ACCEPTED_VALUES, NOT_NULL, REFERENCE_CHECKS
+from ticksmith.operators.quality import (ACCEPTED_RANGE, ACCEPTED_VALUES, NOT_NULL, REFERENCE_CHECKS,
+                                         retarget)
 
 VOLUME = "COALESCE(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT), 0)"
 ISO = ("strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN microsecond(ts) % 1000000 = 0 THEN '' "
@@ -131,10 +132,10 @@ def _fail_sql(kind: str, col: str, lo, hi, inclusive: bool, values) -> str:
     raise ValueError(kind)
 
 
-def _quality_results() -> str:
-    tables = _quality_tables()
+def _quality_results(tables: dict[str, str] | None = None, checks=REFERENCE_CHECKS) -> str:
+    tables = tables or _quality_tables()
     parts = []
-    for ch in REFERENCE_CHECKS:
+    for ch in checks:
         cond = _fail_sql(ch.kind, f'"{ch.column}"', ch.min_value, ch.max_value, ch.inclusive, ch.values)
         parts.append(f"""SELECT '{ch.table}' AS table_name, '{ch.column}' AS column_name,
             '{ch.kind}' AS check_name, CAST(count(*) FILTER (WHERE {cond}) AS BIGINT) AS failures,
@@ -214,6 +215,8 @@ ORACLE: dict[str, str] = {
       ORDER BY ticker, inserted_at, seq LIMIT 10""",
     "quality_results": _quality_results(),
     "quality_failing_rows": _quality_failing_rows(),
+    "quality_parsed_ticks": _quality_results({"parsed_ticks": PARSED},
+                                             retarget(REFERENCE_CHECKS, "stg_ticks", "parsed_ticks")),
     "retain_two_years": f"""
       SELECT event_id AS seq, {USER_TICKER} AS ticker, {UTC} AS inserted_at,
              CAST(year({UTC}) * 100 + month({UTC}) AS INTEGER) AS ym
