@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from ticksmith.operators import ingest
 from ticksmith.schemas import BRONZE_COLS, TICK_COLS
 
+from .conftest import SF_SMALL
+
 FETCH_UTC = dt.datetime(2026, 4, 21, 7, 15, 0, 123456)   # 10:15:00.123456 EAT
 
 
@@ -126,3 +128,16 @@ def test_to_bronze_columns(spark):
     assert r["seq"] == 7 and r["inserted_at"] is not None and r["inserted_at"].microsecond == 0
     assert dict(b.dtypes)["inserted_at"] == "timestamp_ntz"
     assert b.filter(F.col("inserted_at") <= F.lit(dt.datetime(2000, 1, 1))).count() == 0
+
+
+def test_observed_publish_counters_equal_the_counts_table(spark):
+    from pyspark.sql import Observation
+
+    from ticksmith.sources import events_as_snapshots, read_events
+    snaps = events_as_snapshots(read_events(spark, SF_SMALL))
+    obs = Observation("producer")
+    published = ingest.normalise_snapshots(ingest.observe_published(snaps, obs))
+    n = published.count()   # the counters come with this pass, no second job
+    table = {r["status"]: r["n"] for r in ingest.ingest_counts(snaps).collect()}
+    assert obs.get == {"published": table["published"], "skipped": table["skipped"]}
+    assert n == table["published"]

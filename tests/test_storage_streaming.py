@@ -216,3 +216,16 @@ def test_heartbeat_needs_arrival_time(spark):
     ticks = events_as_bronze(_event_stream(spark, SF_SMALL), "event_type")
     with pytest.raises(ValueError):
         jobs.bar_stream(ticks, "event", heartbeat=jobs.heartbeat_stream(spark))
+
+
+def test_bronze_stream_reports_ingest_counters(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "log")
+    msgs = events_as_messages(read_events(spark, SF_SMALL), "user")
+    write_message_log(msgs, src)
+    q = jobs.run_available_now(jobs.bronze_stream(read_message_log(spark, src, stream=True), jobs.INGEST_METRICS),
+                               os.path.join(tmp_dir, "bronze"), os.path.join(tmp_dir, "ckpt"))
+    seen = [p["observedMetrics"][jobs.INGEST_METRICS] for p in q.recentProgress
+            if p.get("observedMetrics", {}).get(jobs.INGEST_METRICS)]
+    parsed = ingest.parse_messages(msgs)
+    assert sum(m["parsed"] for m in seen) == ingest.parsed_ticks(parsed).count()
+    assert sum(m["quarantined"] for m in seen) == ingest.quarantined(parsed).count() > 0

@@ -2,6 +2,7 @@
 
 from ticksmith.operators.bars import BAR_WIDTH, ohlc_bars
 from ticksmith.operators.ingest import (NSE_UNIVERSE, ingest_counts, normalise_snapshots,
+                                        observe_parsed, observe_published,
                                         parse_messages, parsed_ticks, quarantined,
                                         sink_time, to_bronze, to_messages)
 from ticksmith.operators.marts import (daily_summary, daily_summary_from_bronze, eligible_movers, ordered_daily,
@@ -18,7 +19,7 @@ __all__ = [
     "blocking_failures", "daily_summary", "daily_summary_from_bronze", "eligible_movers", "failing_rows",
     "health_by_day", "health_today", "ingest_counts", "keep_latest", "latest_day",
     "latest_prices",
-    "movers_report", "normalise_snapshots", "ohlc_bars", "ordered_daily",
+    "movers_report", "normalise_snapshots", "observe_parsed", "observe_published", "ohlc_bars", "ordered_daily",
     "ordered_movers", "parse_messages", "parsed_ticks", "peek", "quarantined",
     "run_checks", "show", "sink_time", "stage_bars", "stage_rejects", "stage_ticks",
     "to_bronze", "to_messages", "top_movers", "top_movers_single_pass",

@@ -83,6 +83,19 @@ def ingest_counts(snapshots: DataFrame) -> DataFrame:
     return snapshots.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def observe_published(snapshots: DataFrame, observation) -> DataFrame:
+    """A5 live: ``published`` / ``skipped`` counted while the snapshots flow
+    through (``DataFrame.observe``) — same pass, no extra job or shuffle.
+
+    ``observation`` is a ``pyspark.sql.Observation`` for batch (read
+    ``.get`` after the action) or a name for a stream (reported per
+    micro-batch in ``query.lastProgress['observedMetrics'][name]``).
+    """
+    ok = snapshot_is_valid(F.col("last_price"))
+    return snapshots.observe(observation, F.count_if(ok).alias("published"),
+                             F.count_if(~ok).alias("skipped"))
+
+
 # --------------------------------------------------------------------------
 # Message side (publish / consume)
 # --------------------------------------------------------------------------
@@ -174,6 +187,14 @@ def quarantined(parsed: DataFrame) -> DataFrame:
             .select(*cols, F.col("value").alias("raw_value"), F.col("reject").alias("reason")))
 
 
+def observe_parsed(parsed: DataFrame, observation) -> DataFrame:
+    """Live ``parsed`` / ``quarantined`` counters of ``parse_messages``
+    output, observed in the same pass (see ``observe_published``)."""
+    bad = F.col("reject").isNotNull()
+    return parsed.observe(observation, F.count_if(~bad).alias("parsed"),
+                          F.count_if(bad).alias("quarantined"))
+
+
 def sink_time() -> Column:
     """``inserted_at`` stamped by a sink: now, truncated to the second, as
     NTZ UTC (the reference table default is ``now()`` at 1 s precision)."""

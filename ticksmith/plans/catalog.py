@@ -207,7 +207,7 @@ def q_stream_bars(spark, sf):
 def q_stream_bronze(spark, sf):
     msgs = events_as_messages(_event_stream(spark, sf), "user")
     out = storage.scratch_path(spark, "stream_bronze")
-    stream_jobs.run_available_now(stream_jobs.bronze_stream(msgs), out,
+    stream_jobs.run_available_now(stream_jobs.bronze_stream(msgs, stream_jobs.INGEST_METRICS), out,
                                   storage.scratch_path(spark, "stream_bronze_ckpt"))
     return spark.read.schema(BRONZE).parquet(out).select("seq", *TICK_COLS)
 

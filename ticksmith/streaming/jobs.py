@@ -37,7 +37,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ticksmith.functions.timefn import NAIROBI, month_key, parse_instant
 from ticksmith.operators.bars import BAR_WIDTH, ohlc_bars
-from ticksmith.operators.ingest import parse_messages, parsed_ticks, quarantined, to_bronze
+from ticksmith.operators.ingest import (observe_parsed, parse_messages, parsed_ticks, quarantined,
+                                        to_bronze)
 
 # Fixed value: default allowed lateness for the bar stream.
 DEFAULT_DELAY = "10 minutes"
@@ -57,9 +58,20 @@ def use_rocksdb_state_store(spark: SparkSession) -> None:
         spark.conf.set(key, ROCKSDB_PROVIDER)
 
 
-def bronze_stream(messages: DataFrame) -> DataFrame:
-    """Messages -> bronze rows (parse, drop rejects, stamp ``inserted_at``)."""
-    return to_bronze(parsed_ticks(parse_messages(messages)))
+# Fixed value: name of the per-micro-batch ingest counters of the bronze query.
+INGEST_METRICS = "ingest"
+
+
+def bronze_stream(messages: DataFrame, metrics: str | None = None) -> DataFrame:
+    """Messages -> bronze rows (parse, drop rejects, stamp ``inserted_at``).
+
+    With ``metrics`` the query reports ``parsed`` / ``quarantined`` per
+    micro-batch under ``lastProgress['observedMetrics'][metrics]``.
+    """
+    parsed = parse_messages(messages)
+    if metrics:
+        parsed = observe_parsed(parsed, metrics)
+    return to_bronze(parsed_ticks(parsed))
 
 
 def quarantine_stream(messages: DataFrame) -> DataFrame:
@@ -117,7 +129,7 @@ def _start(df: DataFrame, path: str, checkpoint: str, partition_col: str | None,
 def start_bronze(messages: DataFrame, path: str, checkpoint: str,
                  trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery:
     """K2: append every parsed tick to the month-partitioned bronze table."""
-    df = bronze_stream(messages).withColumn("ym", month_key(F.col("inserted_at")))
+    df = bronze_stream(messages, INGEST_METRICS).withColumn("ym", month_key(F.col("inserted_at")))
     return _start(df, path, checkpoint, "ym", trigger or {"processingTime": "1 minute"}, query_name)
 
 
@@ -163,8 +175,9 @@ def file_stream(spark: SparkSession, directory: str, schema, glob: str | None =
 
 
 def run_available_now(df: DataFrame, path: str, checkpoint: str,
-                      partition_col: str | None = None, timeout_s: int = 600) -> None:
-    """Process everything available, then stop (backfills and tests)."""
+                      partition_col: str | None = None, timeout_s: int = 600) -> StreamingQuery:
+    """Process everything available, then stop (backfills and tests);
+    returns the finished query (its progress reports stay readable)."""
     q = _start(df, path, checkpoint, partition_col, {"availableNow": True}, None)
     q.awaitTermination(timeout_s)
     if q.isActive:
@@ -172,3 +185,4 @@ def run_available_now(df: DataFrame, path: str, checkpoint: str,
         raise TimeoutError(f"stream to {path} did not finish in {timeout_s}s")
     if q.exception() is not None:
         raise q.exception()
+    return q
