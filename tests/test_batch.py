@@ -36,3 +36,16 @@ def test_run_day_checks_report_health(spark):
     rep = res.report.collect()
     assert rep and all(r["rank"] <= 3 and r["trade_date"] == day for r in rep)
     assert res.health.first()["tick_count"] >= 0
+
+
+def test_register_views_for_ad_hoc_sql(spark):
+    from ticksmith.operators.reports import peek
+    m = batch.build_marts(bronze_by_user(spark, SF_SMALL))
+    names = m.register_views(prefix="t_")
+    assert names == ["t_raw_ticks", "t_ohlcv_5min", "t_stg_ticks", "t_stg_bars",
+                     "t_daily_summary", "t_top_movers"]
+    # the peek query of the reference, as SQL over the view
+    got = spark.sql("SELECT ticker, price, fetched_at FROM t_raw_ticks "
+                    "ORDER BY ticker, inserted_at, seq LIMIT 10").collect()
+    assert got == peek(m.raw_ticks).collect()
+    assert spark.sql("SELECT count(*) FROM t_top_movers").first()[0] == m.top_movers.count()

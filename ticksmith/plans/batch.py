@@ -47,6 +47,16 @@ class Marts:
             "top_movers": self.top_movers,
         }
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Name every relation as a session temp view, so ad-hoc
+        SQL (``spark.sql("SELECT ... FROM top_movers")``) reads the same lazy
+        plans and stored marts.  Returns the view names."""
+        names = []
+        for name, df in self.tables().items():
+            df.createOrReplaceTempView(prefix + name)
+            names.append(prefix + name)
+        return names
+
 
 def bars_from_bronze(bronze: DataFrame) -> DataFrame:
     """Batch A1 over bronze (also the repair path for late ticks, R5)."""
