@@ -28,6 +28,35 @@ def test_work_dir_comes_from_session(spark):
     assert storage.work_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
 
 
+def test_work_dir_never_falls_back_to_a_local_folder_on_a_cluster():
+    import pytest
+
+    class _Conf:
+        def __init__(self, master):
+            self.values = {"spark.master": master}
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+        def set(self, key, value):
+            self.values[key] = value
+
+    class _Ctx:
+        def getCheckpointDir(self):
+            return None
+
+        def setCheckpointDir(self, d):
+            pass
+
+    class _Session:
+        def __init__(self, master):
+            self.conf, self.sparkContext = _Conf(master), _Ctx()
+
+    with pytest.raises(ValueError):
+        storage.work_dir(_Session("yarn"))
+    assert os.path.isdir(storage.work_dir(_Session("local[2]")))
+
+
 def test_write_table_month_partitions_and_read_back(spark, tmp_dir):
     times = [dt.datetime(2024, 1, 31, 23, 0), dt.datetime(2024, 2, 1, 1, 0), dt.datetime(2024, 2, 10)]
     path = os.path.join(tmp_dir, "bronze")

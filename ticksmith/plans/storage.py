@@ -35,12 +35,23 @@ PART_COL = "ym"
 BRONZE_RETENTION = "2 years"
 
 
+def _is_local(spark: SparkSession) -> bool:
+    """True for a ``local[...]`` master (read from the session conf, which
+    classic and Connect sessions both expose)."""
+    try:
+        master = spark.conf.get("spark.master", None) or spark.sparkContext.master
+    except Exception:
+        return False
+    return str(master).startswith("local")
+
+
 def work_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and streaming state.
 
     Uses ``spark.checkpoint.dir`` (or the context's checkpoint dir).  Only
-    when neither is set — local runs and tests — a fresh temp folder is
-    created and registered.
+    when neither is set on a ``local[...]`` master — local runs and tests —
+    a fresh temp folder is created and registered; on a cluster that is an
+    error, never a machine-local folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
@@ -49,6 +60,9 @@ def work_dir(spark: SparkSession) -> str:
         except Exception:   # no driver-side context (e.g. Spark Connect)
             d = None
     if not d:
+        if not _is_local(spark):
+            raise ValueError("spark.checkpoint.dir is not set: lineage cuts and stream state need "
+                             "a folder every executor shares (HDFS or an object store)")
         d = tempfile.mkdtemp(prefix="ticksmith-")
         spark.conf.set("spark.checkpoint.dir", d)
         try:
