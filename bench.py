@@ -47,12 +47,17 @@ def main() -> None:
     spark.read.parquet(f"{sf_dir}/events.parquet").write.format("noop").mode("overwrite").save()
 
     times: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name, fn in QUERIES.items():
         best = float("inf")
-        for _ in range(repeat):
-            t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            best = min(best, time.perf_counter() - t0)
+        try:
+            for _ in range(repeat):
+                t0 = time.perf_counter()
+                fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                best = min(best, time.perf_counter() - t0)
+        except Exception as e:   # report the failure, keep timing the others
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
+            continue
         times[name] = round(best, 3)
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
@@ -66,6 +71,8 @@ def main() -> None:
         "master": f"local[{cpus}]",
         "repeat": repeat,
     }
+    if errors:
+        out["errors"] = errors
     print(json.dumps(out))
     spark.stop()
 
