@@ -49,3 +49,13 @@ def test_register_views_for_ad_hoc_sql(spark):
                     "ORDER BY ticker, inserted_at, seq LIMIT 10").collect()
     assert got == peek(m.raw_ticks).collect()
     assert spark.sql("SELECT count(*) FROM t_top_movers").first()[0] == m.top_movers.count()
+
+
+def test_check_counts_need_no_sort_of_the_ticks(spark):
+    from ticksmith.operators import quality
+    m = batch.build_marts(bronze_by_user(spark, SF_SMALL))
+    fast = quality.run_checks(m.check_tables())
+    assert rows(fast) == rows(quality.run_checks(m.tables()))
+    staging_only = [c for c in quality.REFERENCE_CHECKS if c.table == "stg_ticks"]
+    plan = quality.run_checks(m.check_tables(), staging_only)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Sort " not in plan and "SortAggregate" not in plan

@@ -151,19 +151,21 @@ def q_peek(spark, sf):
     return reports.peek(bronze_by_user(spark, sf))
 
 
-def quality_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+def quality_marts(spark: SparkSession, sf: str) -> batch.Marts:
     """The six checked tables, built like a scheduled run: the daily mart
     is computed once and stored, movers and checks read it."""
     bars = storage.materialize(bars_by_type(spark, sf), "ohlcv_5min")
-    return batch.build_marts(bronze_by_user(spark, sf), bars=bars).tables()
+    return batch.build_marts(bronze_by_user(spark, sf), bars=bars)
 
 
 def q_quality_results(spark, sf):
-    return quality.run_checks(quality_tables(spark, sf))
+    # counts only: the staging checks read the sort-free dedup relation
+    return quality.run_checks(quality_marts(spark, sf).check_tables())
 
 
 def q_quality_failing_rows(spark, sf):
-    return quality.failing_rows(quality_tables(spark, sf))
+    # whole failing rows: the staging view itself
+    return quality.failing_rows(quality_marts(spark, sf).tables())
 
 
 def q_quality_parsed_ticks(spark, sf):
