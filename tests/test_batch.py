@@ -59,3 +59,43 @@ def test_check_counts_need_no_sort_of_the_ticks(spark):
     staging_only = [c for c in quality.REFERENCE_CHECKS if c.table == "stg_ticks"]
     plan = quality.run_checks(m.check_tables(), staging_only)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "Sort " not in plan and "SortAggregate" not in plan
+
+
+def test_incremental_rebuild_replaces_only_recent_months(spark, tmp_dir):
+    import datetime as dt
+
+    from ticksmith.functions.timefn import NAIROBI, iso_local, parse_to_utc
+    stamp = "2024-02-01 00:00:00"
+    jan = bronze_by_user(spark, SF_SMALL)
+    # the same feed 40 days earlier gives a second trading month
+    shift = F.expr("INTERVAL 40 DAYS")
+    dec = (jan.withColumn("fetched_at", iso_local(parse_to_utc(F.col("fetched_at")) - shift, NAIROBI))
+           .withColumn("inserted_at", F.col("inserted_at") - shift)
+           .withColumn("seq", F.col("seq") + F.lit(10 ** 9)))
+    bronze = jan.unionByName(dec)
+    since = dt.date(2024, 1, 1)
+    batch.build_marts(bronze, out_dir=tmp_dir, updated_at=stamp)
+    # the feed changes everywhere; only January is rebuilt
+    changed = bronze.withColumn("price", F.col("price") + F.lit(1.0))
+    m = batch.build_marts(changed, out_dir=tmp_dir, updated_at=stamp, since=since)
+    old = marts.daily_summary_from_bronze(bronze, stamp)
+    new = marts.daily_summary_from_bronze(changed, stamp)
+    before, after = F.col("trade_date") < F.lit(since), F.col("trade_date") >= F.lit(since)
+    want = old.filter(before).unionByName(new.filter(after))
+    assert m.daily_summary.filter(before).count() > 0 and m.daily_summary.filter(after).count() > 0
+    assert rows(m.daily_summary) == rows(want)
+    assert rows(m.top_movers) == rows(marts.top_movers(want))
+
+
+def test_recent_bronze_prunes_month_directories(spark, tmp_dir):
+    import datetime as dt
+    from ticksmith.plans import storage
+    from ticksmith.schemas import BRONZE
+    path = os.path.join(tmp_dir, "bronze")
+    storage.write_table(bronze_by_user(spark, SF_SMALL), path, partition_source="inserted_at",
+                        sort_cols=["ticker", "inserted_at"])
+    stored = spark.read.schema(storage.table_schema(BRONZE)).parquet(path)
+    last = stored.agg(F.max("ym")).first()[0]
+    recent = batch.recent_bronze(stored, dt.date(last // 100, last % 100, 1))
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ym" in plan and "(ym#" in plan

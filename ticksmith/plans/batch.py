@@ -16,12 +16,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticksmith.functions.timefn import NAIROBI, parse_to_utc
+from ticksmith.functions.timefn import NAIROBI, month_key, parse_to_utc
 from ticksmith.operators import bars as bars_op
 from ticksmith.operators import marts, quality, reports, staging
 from ticksmith.plans import storage
@@ -75,26 +75,67 @@ def bars_from_bronze(bronze: DataFrame) -> DataFrame:
     return bars_op.ohlc_bars(timed.filter(F.col("_event_time").isNotNull()), "_event_time")
 
 
+def month_start(day: date | datetime | str) -> date:
+    return date.fromisoformat(str(day)[:10]).replace(day=1)
+
+
+def recent_bronze(bronze: DataFrame, first_day: date) -> DataFrame:
+    """Bronze rows that can carry a trade date on or after ``first_day``.
+
+    A tick is inserted after it is fetched, and the venue day starts at most
+    a day before the UTC day, so ``inserted_at >= first_day - 1 day`` keeps
+    every such tick; on a month-partitioned bronze the ``ym`` bound prunes
+    older month directories without reading them."""
+    lo = F.lit(first_day - timedelta(days=1)).cast("timestamp_ntz")
+    out = bronze.filter(F.col("inserted_at") >= lo)
+    if storage.PART_COL in bronze.columns:
+        out = out.filter(F.col(storage.PART_COL) >= month_key(lo))
+    return out
+
+
 def build_marts(bronze: DataFrame, bars: DataFrame | None = None, out_dir: str | None = None,
                 updated_at: datetime | str | None = None, tz: str = NAIROBI,
-                session_only: bool = False) -> Marts:
-    """Staging views, then the daily table (stored once), then movers."""
+                session_only: bool = False, since: date | str | None = None) -> Marts:
+    """Staging views, then the daily table (stored once), then movers.
+
+    ``since`` (needs ``out_dir`` with marts from an earlier run) rebuilds
+    only the months from ``since``'s month on: bronze is read from there
+    (``recent_bronze``) and those month partitions of both marts are
+    replaced (dynamic overwrite); older months are neither read nor
+    rewritten.  The reference rebuilds everything each run; at two years of
+    bronze that is ~24x the work of the current month.
+    """
     spark = bronze.sparkSession
     bars = bars if bars is not None else bars_from_bronze(bronze)
-    daily = marts.daily_summary_from_bronze(bronze, updated_at, tz, session_only)
+    first = None
+    source = bronze
+    if since is not None:
+        if not out_dir:
+            raise ValueError("since= rebuilds stored marts: pass out_dir")
+        first = month_start(since)
+        source = recent_bronze(bronze, first)
+    daily = marts.daily_summary_from_bronze(source, updated_at, tz, session_only)
+    if first is not None:
+        daily = daily.filter(F.col("trade_date") >= F.lit(first))
     if out_dir:
         path = f"{out_dir.rstrip('/')}/daily_summary"
-        storage.write_table(daily, path, partition_source="trade_date", sort_cols=["trade_date", "ticker"])
-        daily = spark.read.schema(storage.table_schema(DAILY)).parquet(path).select(*DAILY.fieldNames())
+        storage.write_table(daily, path, partition_source="trade_date", sort_cols=["trade_date", "ticker"],
+                            dynamic=first is not None)
+        stored = spark.read.schema(storage.table_schema(DAILY)).parquet(path)
+        daily = stored.select(*DAILY.fieldNames())
     else:
         daily = storage.materialize(daily, "daily_summary")
+    ranked_days = daily
+    if first is not None:   # the rebuilt months only; ym prunes the older directories
+        ranked_days = (stored.filter(F.col(storage.PART_COL) >= month_key(F.lit(first)))
+                       .filter(F.col("trade_date") >= F.lit(first)).select(*DAILY.fieldNames()))
     # single-pass ranking trims to the top k per (day, side) inside each task
     # before the shuffle, so a day with very many tickers is not one task's work
-    movers = marts.top_movers_single_pass(daily)
+    movers = marts.top_movers_single_pass(ranked_days)
     if out_dir:
         path = f"{out_dir.rstrip('/')}/top_movers"
         storage.write_table(movers, path, partition_source="trade_date",
-                            sort_cols=["trade_date", "direction", "rank"])
+                            sort_cols=["trade_date", "direction", "rank"], dynamic=first is not None)
         movers = spark.read.schema(storage.table_schema(MOVERS)).parquet(path).select(*MOVERS.fieldNames())
     return Marts(
         raw_ticks=bronze,
