@@ -21,7 +21,7 @@ from ticksmith.functions.text import GAINER, LOSER
 from ticksmith.functions.timefn import NAIROBI
 from ticksmith.operators.ingest import sink_time
 from ticksmith.operators.staging import latest_prices
-from ticksmith.schemas import DAILY_COLS, MOVERS_COLS
+from ticksmith.schemas import DAILY_COLS
 
 # Movers per side and the minimum polls for a reliable signal.
 TOP_N = 5

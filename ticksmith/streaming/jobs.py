@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ticksmith.functions.timefn import NAIROBI, month_key, parse_instant
+from ticksmith.functions.timefn import month_key, parse_instant
 from ticksmith.operators.bars import BAR_WIDTH, ohlc_bars
 from ticksmith.operators.ingest import (observe_parsed, parse_messages, parsed_ticks, quarantined,
                                         to_bronze)
