@@ -88,7 +88,11 @@ def bar_stream(ticks: DataFrame, time_mode: str = "event", delay: str = DEFAULT_
     """Ticks (with string ``fetched_at``) -> watermarked OHLC bar stream.
 
     ``heartbeat`` (arrival mode only; see ``heartbeat_stream``) closes bars
-    on the clock when no ticks arrive.
+    on the clock when no ticks arrive.  With a broker ``arrival_ts`` the
+    heartbeat carries the rate source's time (the Spark driver's clock), so
+    skew between the broker's and the driver's clocks acts like extra delay
+    (clock ahead) or an earlier close (clock behind); keep ``delay`` above
+    the expected skew.
     """
     has_arrival = "arrival_ts" in ticks.columns
     if time_mode == "event":
