@@ -189,3 +189,54 @@ def enforce_retention(spark: SparkSession, path: str, schema: T.StructType,
             ym = int(name.split("=", 1)[1])
             if ym < cutoff_ym or (ym == cutoff_ym and not keep_boundary):
                 fs.delete(status.getPath(), True)
+
+
+def _partition_values(spark: SparkSession, path: str, part_col: str = PART_COL) -> list[int]:
+    """``ym`` values present as directories under ``path`` (a listing, no
+    data read); empty when ``path`` does not exist."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return []
+    out = []
+    for status in fs.listStatus(hpath):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith(f"{part_col}="):
+            out.append(int(name.split("=", 1)[1]))
+    return sorted(out)
+
+
+def compact_months(spark: SparkSession, stream_path: str, table_path: str, schema: T.StructType,
+                   first_month: int, last_month: int, sort_cols: Sequence[str],
+                   part_col: str = PART_COL) -> None:
+    """Rewrite months ``first_month..last_month`` of a streaming file-sink
+    output into the key-sorted, month-partitioned layout of ``write_table``.
+
+    A stream appends small, unsorted files per micro-batch; compaction of
+    closed months restores the sort-key layout (K9) that Parquet min/max
+    skipping needs, the way the reference's storage engine merges parts in
+    the background.  The stream output is read through the sink's commit
+    log (committed files only); only the given months of ``table_path`` are
+    replaced (dynamic overwrite), so a rerun is idempotent.  The stream
+    output itself is left alone: its commit log owns those files.
+    """
+    src = (spark.read.schema(table_schema(schema, part_col)).parquet(stream_path)
+           .filter(F.col(part_col).between(first_month, last_month)))
+    write_table(src, table_path, sort_cols=sort_cols, dynamic=True, part_col=part_col)
+
+
+def read_compacted(spark: SparkSession, stream_path: str, table_path: str, schema: T.StructType,
+                   part_col: str = PART_COL) -> DataFrame:
+    """One relation over a compacted table and its stream output: months
+    present in ``table_path`` come from there, every other month from the
+    stream.  Both sides carry a ``ym`` predicate (one value per month), so
+    each scan prunes to its own months."""
+    full = table_schema(schema, part_col)
+    done = _partition_values(spark, table_path, part_col)
+    live = spark.read.schema(full).parquet(stream_path)
+    if not done:
+        return live
+    ym = F.col(part_col)
+    compacted = spark.read.schema(full).parquet(table_path).filter(ym.isin(done))
+    return compacted.unionByName(live.filter(~ym.isin(done)))
