@@ -214,14 +214,15 @@ def test_heartbeat_closes_the_last_bar_of_a_quiet_stream(spark, tmp_dir):
     path = os.path.join(tmp_dir, "msgs")
     os.makedirs(path)
     with open(os.path.join(path, "part-0.txt"), "w") as fh:
-        fh.write("\n".join('{"ticker":"A","price":%d}' % i for i in range(1, 6)) + "\n")
+        # five ticks of A and one empty message (ticker '', price 0)
+        fh.write("\n".join(['{"ticker":"A","price":%d}' % i for i in range(1, 6)] + ["{}"]) + "\n")
     ticks = ingest.parsed_ticks(ingest.parse_messages(read_text_messages(spark, path, stream=True)))
     bars = jobs.bar_stream(ticks, time_mode="arrival", delay="0 seconds", width="2 seconds",
-                           heartbeat=jobs.heartbeat_stream(spark, 2))
+                           heartbeat=jobs.heartbeat_stream(spark, 1))
     out = os.path.join(tmp_dir, "bars")
     q = (bars.writeStream.format("parquet").outputMode("append").option("path", out)
          .option("checkpointLocation", os.path.join(tmp_dir, "ckpt"))
-         .trigger(processingTime="500 milliseconds").start())
+         .trigger(processingTime="300 milliseconds").start())
     got = []
     try:
         deadline = time.time() + 60
@@ -232,12 +233,14 @@ def test_heartbeat_closes_the_last_bar_of_a_quiet_stream(spark, tmp_dir):
                 got = spark.read.schema(BAR).parquet(out).collect()
     finally:
         q.stop()
-    # no tick arrived after the first file, yet its bar was emitted; the
-    # heartbeat rows themselves never become a bar
-    assert len(got) == 1
-    b = got[0]
-    assert (b.ticker, b.high_price, b.low_price, b.tick_count) == ("A", 5.0, 1.0, 5)
-    assert (b.window_end - b.window_start) == dt.timedelta(seconds=2)
+    # no tick arrived after the first file, yet its bars were emitted; the
+    # heartbeat rows never become a bar nor join the '' ticker's bar
+    by_ticker = {b.ticker: b for b in got}
+    assert len(got) == 2 and set(by_ticker) == {"A", ""}
+    a, e = by_ticker["A"], by_ticker[""]
+    assert (a.high_price, a.low_price, a.tick_count) == (5.0, 1.0, 5)
+    assert (e.open_price, e.close_price, e.tick_count) == (0.0, 0.0, 1)
+    assert (a.window_end - a.window_start) == dt.timedelta(seconds=2)
 
 
 def test_heartbeat_needs_arrival_time(spark):
@@ -311,3 +314,13 @@ def test_compacted_months_read_with_the_live_stream(spark, tmp_dir):
     for f in (os.path.join(dp, n) for dp, _, fs in os.walk(table) for n in fs if n.endswith(".parquet")):
         got = [(r.ticker, r.inserted_at) for r in spark.read.parquet(f).select("ticker", "inserted_at").collect()]
         assert got == sorted(got)
+
+
+def test_retention_refuses_a_stream_sink_output(spark, tmp_dir):
+    import pytest
+    out = os.path.join(tmp_dir, "bronze_stream")
+    ticks = events_as_bronze(_event_stream(spark, SF_SMALL), "user").withColumn(
+        "ym", storage.month_key(F.col("inserted_at")))
+    jobs.run_available_now(ticks, out, os.path.join(tmp_dir, "ckpt"), partition_col="ym")
+    with pytest.raises(ValueError):
+        storage.enforce_retention(spark, out, BRONZE, "2026-01-15")

@@ -26,13 +26,15 @@ BAR_WIDTH = "5 minutes"
 
 def ohlc_bars(ticks: DataFrame, time_col: str, key: str = "ticker",
               price: str = "price", seq: str | None = "seq",
-              width: str = BAR_WIDTH, count_col: str | None = None) -> DataFrame:
+              width: str = BAR_WIDTH, count_col: str | None = None,
+              extra_keys: tuple[str, ...] = ()) -> DataFrame:
     """Tumbling OHLC bars: ``ticker, window_start, window_end, open_price,
     high_price, low_price, close_price, tick_count``.
 
     ``time_col`` may be TIMESTAMP_NTZ (UTC wall clock, batch) or TIMESTAMP
     (streams, where the watermark needs it); bounds come out as NTZ UTC.
-    ``tick_count`` counts rows, or the non-NULL values of ``count_col``.
+    ``tick_count`` counts rows, or the non-NULL values of ``count_col``;
+    ``extra_keys`` are further grouping columns, not part of the output.
     """
     tcol = F.col(time_col)
     is_instant = isinstance(ticks.schema[time_col].dataType, T.TimestampType)
@@ -41,7 +43,8 @@ def ohlc_bars(ticks: DataFrame, time_col: str, key: str = "ticker",
     order = epoch_order_key(micros, tie)
     p = F.col(price)
     bars = (ticks
-            .groupBy(F.window(tcol, width).alias("w"), F.col(key).alias("ticker"))
+            .groupBy(F.window(tcol, width).alias("w"), F.col(key).alias("ticker"),
+                     *[F.col(c) for c in extra_keys])
             .agg(F.min_by(p, order).alias("open_price"),
                  F.max(p).alias("high_price"),
                  F.min(p).alias("low_price"),

@@ -164,6 +164,11 @@ def enforce_retention(spark: SparkSession, path: str, schema: T.StructType,
     is read); the boundary month is rewritten through a staged copy with
     dynamic partition overwrite; newer months are untouched.
     """
+    jvm = spark.sparkContext._jvm
+    log = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_spark_metadata")
+    if log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(log):
+        raise ValueError(f"{path} is a streaming sink output whose commit log lists its files; "
+                         "apply retention to the compacted table (compact_months) instead")
     full = table_schema(schema, part_col)
     cutoff_row = spark.range(1).select(
         retention_cutoff(as_of, keep).alias("c"), month_key(retention_cutoff(as_of, keep)).alias("m")
@@ -180,7 +185,6 @@ def enforce_retention(spark: SparkSession, path: str, schema: T.StructType,
     if keep_boundary:
         (kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(part_col).parquet(path))
-    jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     for status in fs.listStatus(hpath):

@@ -106,15 +106,21 @@ def bar_stream(ticks: DataFrame, time_mode: str = "event", delay: str = DEFAULT_
         return ohlc_bars(timed.withWatermark("_event_ts", delay), "_event_ts", width=width)
     if time_mode != "arrival":
         raise ValueError("heartbeat needs time_mode='arrival' (it is a wall clock)")
+    # Heartbeats group under their own key (_heartbeat = true) and never
+    # carry a NULL key: when a micro-batch has no heartbeat rows Spark prunes
+    # that union branch, and the key columns must keep their nullability
+    # across batches, or restoring stored groups would break.
     cols = ["ticker", "price", "seq"]
-    ticks_part = timed.select(*cols, "_event_ts", F.lit(1).alias("_is_tick"))
-    beats = heartbeat.select(F.lit(None).cast("string").alias("ticker"),
+    ticks_part = timed.select(*cols, "_event_ts", F.lit(1).alias("_is_tick"),
+                              F.lit(False).alias("_heartbeat"))
+    beats = heartbeat.select(F.lit("").alias("ticker"),
                              F.lit(None).cast("double").alias("price"),
                              F.lit(None).cast("bigint").alias("seq"),
                              (F.col("timestamp") if has_arrival else F.current_timestamp()).alias("_event_ts"),
-                             F.lit(None).cast("int").alias("_is_tick"))
+                             F.lit(None).cast("int").alias("_is_tick"),
+                             F.lit(True).alias("_heartbeat"))
     both = ticks_part.unionByName(beats).withWatermark("_event_ts", delay)
-    bars = ohlc_bars(both, "_event_ts", width=width, count_col="_is_tick")
+    bars = ohlc_bars(both, "_event_ts", width=width, count_col="_is_tick", extra_keys=("_heartbeat",))
     return bars.filter(F.col("tick_count") > 0)
 
 
