@@ -178,6 +178,13 @@ def q_quality_parsed_ticks(spark, sf):
     return quality.run_checks({"parsed_ticks": feed}, checks)
 
 
+def q_quality_parsed_failing_rows(spark, sf):
+    # the rows behind those failures, as JSON (one per row and failed check)
+    checks = quality.retarget(quality.REFERENCE_CHECKS, "stg_ticks", "parsed_ticks")
+    feed = ingest.parsed_ticks(parsed_messages(spark, sf))
+    return quality.failing_rows({"parsed_ticks": feed}, checks)
+
+
 def q_retain_two_years(spark, sf):
     b = storage.with_month(bronze_by_user(spark, sf), "inserted_at")
     return storage.retain(b, RETENTION_AS_OF).select("seq", "ticker", "inserted_at", "ym")
@@ -237,6 +244,7 @@ QUERIES: dict[str, Query] = {
     "quality_results": q_quality_results,
     "quality_failing_rows": q_quality_failing_rows,
     "quality_parsed_ticks": q_quality_parsed_ticks,
+    "quality_parsed_failing_rows": q_quality_parsed_failing_rows,
     "retain_two_years": q_retain_two_years,
     "monthly_layout": q_monthly_layout,
     "stream_bars": q_stream_bars,

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from ticksmith.operators.quality import (ACCEPTED_RANGE, ACCEPTED_VALUES, NOT_NULL, REFERENCE_CHECKS,
                                          retarget)
+from ticksmith.schemas import TICK_COLS
 
 VOLUME = "COALESCE(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT), 0)"
 ISO = ("strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN microsecond(ts) % 1000000 = 0 THEN '' "
@@ -143,13 +144,17 @@ def _quality_results(tables: dict[str, str] | None = None, checks=REFERENCE_CHEC
     return "\nUNION ALL\n".join(parts)
 
 
-def _quality_failing_rows() -> str:
-    tables = _quality_tables()
+def _quality_failing_rows(tables: dict[str, str] | None = None, checks=REFERENCE_CHECKS,
+                          json_cols: list[str] | None = None) -> str:
+    """``json_cols`` fixes the field order of ``row_json`` (the Spark
+    relation's column order) when the SQL lists its columns differently."""
+    tables = tables or _quality_tables()
+    row = f"struct_pack({', '.join(json_cols)})" if json_cols else "t"
     parts = []
-    for ch in REFERENCE_CHECKS:
+    for ch in checks:
         cond = _fail_sql(ch.kind, f'"{ch.column}"', ch.min_value, ch.max_value, ch.inclusive, ch.values)
         parts.append(f"""SELECT '{ch.table}' AS table_name, '{ch.column}' AS column_name,
-            '{ch.kind}' AS check_name, CAST(to_json(t) AS VARCHAR) AS row_json
+            '{ch.kind}' AS check_name, CAST(to_json({row}) AS VARCHAR) AS row_json
             FROM ({tables[ch.table]}) t WHERE {cond}""")
     return "\nUNION ALL\n".join(parts)
 
@@ -217,6 +222,9 @@ ORACLE: dict[str, str] = {
     "quality_failing_rows": _quality_failing_rows(),
     "quality_parsed_ticks": _quality_results({"parsed_ticks": PARSED},
                                              retarget(REFERENCE_CHECKS, "stg_ticks", "parsed_ticks")),
+    "quality_parsed_failing_rows": _quality_failing_rows(
+        {"parsed_ticks": PARSED}, retarget(REFERENCE_CHECKS, "stg_ticks", "parsed_ticks"),
+        json_cols=[*TICK_COLS, "seq"]),
     "retain_two_years": f"""
       SELECT event_id AS seq, {USER_TICKER} AS ticker, {UTC} AS inserted_at,
              CAST(year({UTC}) * 100 + month({UTC}) AS INTEGER) AS ym
