@@ -10,7 +10,7 @@ from ticksmith.functions import iso_local
 from ticksmith.operators import bars, staging
 from ticksmith.schemas import STAGED_TICK_COLS
 
-from .conftest import rows
+from .conftest import SF_SMALL, rows
 
 T0 = dt.datetime(2026, 4, 21, 7, 0, 0)   # 10:00 EAT, a Tuesday
 
@@ -144,3 +144,16 @@ def test_latest_prices_equals_stage_ticks(spark):
     assert rows(fast) == rows(slow)
     plan = fast._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "Window" not in plan
+
+
+def test_dedup_trims_hot_keys_before_the_shuffle(spark):
+    from ticksmith.plans.catalog import bronze_by_type
+    plan = staging.stage_ticks(bronze_by_type(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    partial = [i for i, ln in enumerate(lines) if "WindowGroupLimit" in ln and "Partial" in ln]
+    final = [i for i, ln in enumerate(lines) if "WindowGroupLimit" in ln and "Final" in ln]
+    shuffle = [i for i, ln in enumerate(lines) if "Exchange hashpartitioning(ticker" in ln]
+    # printed top-down: Final limit, then the shuffle on (ticker, minute), then
+    # the Partial limit that runs in each map task before it
+    assert partial and final and shuffle
+    assert final[0] < shuffle[0] < partial[0]
