@@ -10,7 +10,7 @@ import pytest
 from ticksmith.operators import quality, reports
 from ticksmith.operators.quality import ACCEPTED_RANGE, ACCEPTED_VALUES, NOT_NULL, Check
 
-from .conftest import rows
+from .conftest import SF_SMALL, rows
 
 
 def test_reference_check_inventory():
@@ -106,3 +106,17 @@ def test_peek_is_ordered_top_n(spark):
     plan = reports.peek(b)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
     assert rows(reports.peek(b), "ticker")[0] == ("A",)
+
+
+def test_health_distinct_counts_combine_map_side(spark):
+    from ticksmith.plans.catalog import bronze_by_user
+    b = bronze_by_user(spark, SF_SMALL)
+    plan = reports.health_by_day(b, "2024-01-30")._jdf.queryExecution().executedPlan().toString()
+    lines = [ln for ln in plan.splitlines() if "Aggregate" in ln or "Exchange hashpartitioning" in ln]
+    # bottom-up: partial aggregation on (day, ticker) in each task, then the
+    # first shuffle on (day, ticker): a hot ticker ships one row per task
+    first_shuffle = max(i for i, ln in enumerate(lines) if "Exchange hashpartitioning(_groupingexpression" in ln
+                        and "ticker" in ln)
+    below = lines[first_shuffle + 1]
+    assert "HashAggregate" in below and "ticker" in below and "partial_count(1)" in below
+    assert "SortAggregate" not in plan
