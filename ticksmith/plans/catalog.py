@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticksmith.functions.timefn import NAIROBI, in_session, local_date, parse_to_utc
+from ticksmith.functions.timefn import NAIROBI, in_session, local_date, month_key, parse_to_utc
 from ticksmith.operators import bars as bars_op
 from ticksmith.operators import ingest, marts, quality, reports, staging
 from ticksmith.plans import batch, storage
@@ -222,6 +222,20 @@ def q_stream_bronze(spark, sf):
     return spark.read.schema(BRONZE).parquet(out).select("seq", *TICK_COLS)
 
 
+def q_stream_bars_via_bronze(spark, sf):
+    # the read-once fan-out: messages -> bronze stream; bars follow the
+    # committed bronze files (event time), as start_ingest(bars_source='bronze')
+    msgs = events_as_messages(_event_stream(spark, sf), "event_type")
+    bronze_out = storage.scratch_path(spark, "bronze_for_bars")
+    bronze = stream_jobs.bronze_stream(msgs).withColumn("ym", month_key(F.col("inserted_at")))
+    stream_jobs.run_available_now(bronze, bronze_out, storage.scratch_path(spark, "bronze_for_bars_ckpt"),
+                                  partition_col="ym")
+    bars = stream_jobs.bar_stream(stream_jobs.bronze_file_stream(spark, bronze_out), "event", STREAM_DELAY)
+    out = storage.scratch_path(spark, "bars_via_bronze")
+    stream_jobs.run_available_now(bars, out, storage.scratch_path(spark, "bars_via_bronze_ckpt"))
+    return spark.read.schema(BAR).parquet(out).select(*BAR_COLS)
+
+
 QUERIES: dict[str, Query] = {
     "normalise_snapshots": q_normalise_snapshots,
     "ingest_counts": q_ingest_counts,
@@ -249,4 +263,5 @@ QUERIES: dict[str, Query] = {
     "monthly_layout": q_monthly_layout,
     "stream_bars": q_stream_bars,
     "stream_bronze": q_stream_bronze,
+    "stream_bars_via_bronze": q_stream_bars_via_bronze,
 }
