@@ -35,10 +35,10 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9, five-word shingles at similarity 0.8: of each group the row of smallest doc_id stays."""
     found = jaccard.jaccard_components(docs.select("doc_id", "text"), k=5, threshold=Fraction(8, 10))
-    kept = found.where("doc_id IS NULL OR doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    # a repeated doc_id stands for repeated rows: the first text in order stays
-    same = docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
-    return same.dropDuplicates(["doc_id", "text"])
+    kept = found.where("doc_id = component_id").select("doc_id").distinct()
+    # rows that share a doc_id are one document; rows without an id can't be named and stay
+    return (docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+            .union(docs.where("doc_id IS NULL")))
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

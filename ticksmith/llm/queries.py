@@ -11,7 +11,9 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticksmith.llm import bpe, decontaminate, jaccard, quality, substring_dedup
+from ticksmith.llm import (ann, bpe, decontaminate, html_extract, jaccard, licenses, quality, substring_dedup,
+                           url_reputation, warc)
+from ticksmith.plans.storage import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,12 +25,40 @@ def vocabulary_path(name: str = "byte_bpe_multi_50k.tiktoken") -> str:
     return public_tokenizers.path(name)
 
 
+RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
+
+
+def op1_host_reputation(spark, sf_dir):
+    """A page's outcome is the label of the document that its url's number names."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    number = F.regexp_extract(url_reputation.path_of(F.col("url")), "/([0-9]{1,18})", 1)
+    numbered = pages.select("url", F.when(number != "", number).cast("bigint").alias("doc_id"))
+    labels = table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("bad"))
+    return url_reputation.judge(pages, numbered.join(labels, "doc_id").select("url", "bad"), RULES)
+
+
+def op2_chunked_records(spark, sf_dir):
+    path = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.records(warc.read_chunks(spark, path))
+
+
+def op3_main_text(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract(pages).select(F.col("row.page_id").alias("page_id"), F.col("row.url").alias("url"), "text", "n_chars")
+
+
 def op4_winnowing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")).select(
         F.col("row.doc_id").alias("doc_id"), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op5_hnsw(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(vectors, F.col("vec_id") % 50 == 0)
+
+
 def op6_super_kmers(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring_dedup.dedup_substrings(docs).select(
@@ -49,6 +79,12 @@ def op7_line_crf(spark, sf_dir):
         "score", "predicted")
 
 
+def op8_conditional_compression(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan_licenses(docs).select(
+        F.col("row.doc_id").alias("doc_id"), "n_blocks", "licenses", "n_exact", "best_reduction")
+
+
 def op9_signature_trees(spark, sf_dir):
     return jaccard.jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"),
                                       k=3, threshold=Fraction(90, 100))
@@ -60,7 +96,8 @@ def op10_byte_bpe(spark, sf_dir):
         F.col("row.doc_id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op4_winnowing, op6_super_kmers, op7_line_crf, op9_signature_trees, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_host_reputation, op2_chunked_records, op3_main_text, op4_winnowing, op5_hnsw, op6_super_kmers,
+                                  op7_line_crf, op8_conditional_compression, op9_signature_trees, op10_byte_bpe)}
 
 ORACLE = {
     "op4_winnowing": r"""
