@@ -11,8 +11,8 @@ the join runs between classes:
    shingles first and hot ones last, so few unrelated sets meet.  Prefix
    entries travel as flat arrays, one row per task and bucket; a hot shingle's
    entries are also split by size band.
-3. ``star_candidates``: each shingle's classes are first compared with one
-   neighbour and the group's first class, which joins the bulk of any large
+3. ``star_candidates``: each shingle's classes are first compared with the
+   group's first class, which joins the bulk of any large
    group of near copies by a linear number of pairs.
 4. ``tree_candidates``: in a bucket the entries of each shingle form a
    signature tree: leaves hold a set's token bitmap, size and digest, nodes the
@@ -48,7 +48,7 @@ FANOUT = 8
 HOT_LIST = 50_000        # at most so many shingles are sorted last: 400 kB broadcast
 HOT_LEAST = 8            # entries of one shingle in one task that make it a candidate
 FRONTIER = 400_000       # node pairs held at once
-BROADCAST_IDS = 1_000_000   # 8 MB; more ids are joined by a shuffle
+BROADCAST_IDS = 500_000     # 12 MB with their digests; more are joined by a shuffle
 
 
 def shingle_sets(batch_text, k: int):
@@ -302,13 +302,14 @@ def _bucket(batches):
 
 
 def _groups(shingle, who, n, sig, extra):
-    """(who, group offsets) of the shingles that two or more classes share, like sets side by side."""
+    """(shingle, who, group offsets) of the shingles that two or more classes share, like sets side by side."""
     order = np.lexsort((who, _popcount(sig)[who], n[who], extra[who], shingle))
     shingle, who = shingle[order], who[order]
     fresh = np.r_[True, (shingle[1:] != shingle[:-1]) | (who[1:] != who[:-1])]
     shingle, who = shingle[fresh], who[fresh]
     size = np.diff(np.r_[np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1]]), len(who)])
-    return who[np.repeat(size > 1, size)], np.r_[0, np.cumsum(size[size > 1])]
+    many = np.repeat(size > 1, size)
+    return shingle[many], who[many], np.r_[0, np.cumsum(size[size > 1])]
 
 
 def _packed(x, y):
@@ -324,34 +325,45 @@ def _named(pairs: np.ndarray, names: bytes):
                [max(p, q) for p, q in zip(one, two, strict=True)])
 
 
+SHARED = "bucket int, a binary, b binary, shingle binary, who binary, n binary, digest binary, sig binary"
+
+
 def star_candidates(entries: DataFrame, num: int, den: int) -> DataFrame:
-    """(bucket, a, b): of each shingle's classes the pairs with its neighbour and with the first.
+    """Of each shingle's classes the pairs (bucket, a, b) with the first one, and what the trees need.
 
-    At most two pairs an entry, so a large group of near copies gets no
-    quadratic number of them.  Rows with a null b name the classes that share
-    a shingle in the bucket.
+    At most one pair an entry, so a large group of near copies gets no
+    quadratic number of them.  One more row a bucket holds its entries whose
+    shingle two or more classes share, as flat arrays; rows with a but
+    no b name their classes.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = list(batches)
         shingle, who, n, sig, names = _bucket(held)
-        who, first = _groups(shingle, who, n, sig, np.zeros(len(n), np.int64))
+        shingle, who, first = _groups(shingle, who, n, sig, np.zeros(len(n), np.int64))
         if not len(who):
             return
         head = np.repeat(first[:-1], np.diff(first))
         inner = np.flatnonzero(np.arange(len(who)) > head)
-        forest = Forest(first, n[who], sig[who])
-        x, y = np.r_[inner - 1, head[inner]], np.r_[inner, inner]
-        ok = forest.keep(0, x, y, num, den)
+        x, y = head[inner], inner
+        ok = Forest(first, n[who], sig[who]).keep(0, x, y, num, den)
         bucket = held[0].column("bucket")[0].as_py()
+
+        def rows(a, b=None, flat=None):
+            flat = flat or {c: pa.nulls(len(a), pa.binary()) for c in ("shingle", "who", "n", "digest", "sig")}
+            return pa.record_batch({"bucket": pa.array([bucket] * len(a), pa.int32()), "a": pa.array(a, pa.binary()),
+                                    "b": pa.array(b or [None] * len(a), pa.binary()), **flat})
+
         for a, b in _named(np.unique(_packed(who[x[ok]], who[y[ok]])), names):
-            yield pa.record_batch({"bucket": pa.array([bucket] * len(a), pa.int32()),
-                                   "a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
-        there = [names[16 * j:16 * j + 16] for j in np.unique(who).tolist()]
-        yield pa.record_batch({"bucket": pa.array([bucket] * len(there), pa.int32()),
-                               "a": pa.array(there, pa.binary()), "b": pa.nulls(len(there), pa.binary())})
+            yield rows(a, b)
+        used, local = np.unique(who, return_inverse=True)
+        named = [names[16 * j:16 * j + 16] for j in used.tolist()]
+        yield rows(named)
+        yield rows([None], None, {c: pa.array([v.tobytes() if c != "digest" else b"".join(v)], pa.binary()) for c, v in (
+            ("shingle", shingle), ("who", local.astype(np.int32)), ("n", n[used].astype(np.int32)),
+            ("digest", named), ("sig", sig[used]))})
 
-    return entries.groupBy("bucket").applyInArrow(run, "bucket int, a binary, b binary")
+    return entries.groupBy("bucket").applyInArrow(run, SHARED)
 
 
 def tree_candidates(entries: DataFrame, joined: DataFrame, num: int, den: int) -> DataFrame:
@@ -373,7 +385,7 @@ def tree_candidates(entries: DataFrame, joined: DataFrame, num: int, den: int) -
         for d, r in zip(right.column("digest").to_pylist(), right.column("root").to_pylist(), strict=True):
             if d in place:
                 root[place[d]] = roots.setdefault(r, len(roots))
-        who, first = _groups(shingle, who, n, sig, root)
+        _, who, first = _groups(shingle, who, n, sig, root)
         if not len(who):
             return none
         alone = root < 0
@@ -402,17 +414,17 @@ def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, num: i
     def run(batches):
         for batch in batches:
             digest, sets = [], []
-            for u, _ in shingle_sets(batch.column("text"), k):
-                digest.append(_digest(u) if len(u) else None)
-                sets.append(u.tobytes())
+            for want, (u, _) in zip(batch.column("digest").to_pylist(), shingle_sets(batch.column("text"), k), strict=True):
+                if len(u) and _digest(u) == want:   # not another text under the same doc_id
+                    digest.append(want)
+                    sets.append(u.tobytes())
             yield pa.record_batch({"digest": pa.array(digest, pa.binary()), "grams": pa.array(sets, pa.binary())})
 
     ends = pairs.select(F.col("a").alias("digest")).union(pairs.select(F.col("b").alias("digest"))).distinct()
-    wanted = materialize(classes.join(ends, "digest").select(F.col("low").alias("doc_id")).distinct(), "jaccard-ids")
+    wanted = materialize(classes.join(ends, "digest").select(F.col("low").alias("doc_id"), "digest"), "jaccard-ids")
     few = wanted.count() <= BROADCAST_IDS
-    rows = docs.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi").select("text")
-    sets = materialize(rows.mapInArrow(run, "digest binary, grams binary")
-                       .join(ends, "digest", "left_semi").dropDuplicates(["digest"]), "jaccard-sets")
+    rows = docs.join(F.broadcast(wanted) if few else wanted, "doc_id").select("text", "digest")
+    sets = materialize(rows.mapInArrow(run, "digest binary, grams binary"), "jaccard-sets")
     return materialize(verify(pairs, sets, num, den), "jaccard-links")
 
 
@@ -453,16 +465,16 @@ def jaccard_components(docs: DataFrame, k: int = 5, threshold: Fraction = Fracti
     num, den = threshold.numerator, threshold.denominator
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     profiled = materialize(profile(docs, k, num, den), "shingle-profile")
     hot = hot_shingles(profiled)
     thin = profiled.where("shingle IS NULL").select("doc_id", "n", "digest")
     classes = thin.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("low"))
-    entries = materialize(prefix_blocks(docs, k, num, den, hot, buckets), "prefix-blocks")
-    star = materialize(star_candidates(entries, num, den), "star-pairs")
+    star = materialize(star_candidates(prefix_blocks(docs, k, num, den, hot, buckets), num, den), "star-pairs")
     near = _links(docs, classes, star.where("b IS NOT NULL").select("a", "b").distinct(), k, num, den)
     joined = materialize(components(near), "star-components")
-    there = star.where("b IS NULL").select("bucket", F.col("a").alias("digest"))
+    entries = star.where("shingle IS NOT NULL").select("bucket", "shingle", "who", "n", "digest", "sig")
+    there = star.where("a IS NOT NULL AND b IS NULL").select("bucket", F.col("a").alias("digest"))
     known = there.join(joined.select(F.col("node").alias("digest"), "root"), "digest").select("bucket", "digest", "root")
     pairs = materialize(tree_candidates(entries, known, num, den), "tree-pairs")
     rest = _links(docs, classes, pairs, k, num, den)
