@@ -369,7 +369,7 @@ def star_candidates(entries: DataFrame, num: int, den: int) -> DataFrame:
 def tree_candidates(entries: DataFrame, joined: DataFrame, num: int, den: int) -> DataFrame:
     """Distinct class pairs (a, b) that pass a bucket's signature trees.
 
-    ``joined`` (bucket, digest, root) names classes that the star pairs have
+    ``joined`` (place, digest, root; place is a bucket) names classes that the star pairs have
     already linked; pairs and node pairs inside one such component are left
     out, for they can add nothing to it.
     """
@@ -400,7 +400,7 @@ def tree_candidates(entries: DataFrame, joined: DataFrame, num: int, den: int) -
         return pa.table({"a": pa.array([p for a, _ in parts for p in a], pa.binary()),
                          "b": pa.array([p for _, b in parts for p in b], pa.binary())})
 
-    return (entries.groupBy("bucket").cogroup(joined.groupBy("bucket"))
+    return (entries.groupBy("bucket").cogroup(joined.groupBy("place"))
             .applyInArrow(run, "a binary, b binary").distinct())
 
 
@@ -474,8 +474,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, threshold: Fraction = Fracti
     near = _links(docs, classes, star.where("b IS NOT NULL").select("a", "b").distinct(), k, num, den)
     joined = materialize(components(near), "star-components")
     entries = star.where("shingle IS NOT NULL").select("bucket", "shingle", "who", "n", "digest", "sig")
-    there = star.where("a IS NOT NULL AND b IS NULL").select("bucket", F.col("a").alias("digest"))
-    known = there.join(joined.select(F.col("node").alias("digest"), "root"), "digest").select("bucket", "digest", "root")
+    there = star.where("a IS NOT NULL AND b IS NULL").select(F.col("bucket").alias("place"), F.col("a").alias("digest"))
+    known = there.join(joined.select(F.col("node").alias("digest"), "root"), "digest").select("place", "digest", "root")
     pairs = materialize(tree_candidates(entries, known, num, den), "tree-pairs")
     rest = _links(docs, classes, pairs, k, num, den)
     edges = joined.select(F.col("node").alias("a"), F.col("root").alias("b")).union(rest)
