@@ -20,8 +20,9 @@ the join runs between classes:
    tokens that share bits.  Dual traversal drops each node pair whose largest
    possible overlap is below the least needed one, or that lies inside one
    component already.
-5. ``verify``: the surviving pairs' sets are intersected exactly.
-6. components of the links, joined back to every row.
+5. ``fine_filter``: wider bitmaps of the surviving pairs drop most that don't link.
+6. ``verify``: the remaining pairs' sets are intersected exactly.
+7. components of the links, joined back to every row.
 
 Hashes of shingles are 64 bits wide; that two different shingles of compared
 texts collide is not expected in any corpus (about 2^-64 a pair).
@@ -413,21 +414,57 @@ def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, num: i
 
     def run(batches):
         for batch in batches:
-            digest, sets = [], []
+            digest, sets, fine = [], [], []
             for want, (u, _) in zip(batch.column("digest").to_pylist(), shingle_sets(batch.column("text"), k), strict=True):
                 if len(u) and _digest(u) == want:   # not another text under the same doc_id
                     digest.append(want)
                     sets.append(u.tobytes())
-            yield pa.record_batch({"digest": pa.array(digest, pa.binary()), "grams": pa.array(sets, pa.binary())})
+                    fine.append(fine_bitmap(u))
+            yield pa.record_batch({"digest": pa.array(digest, pa.binary()), "grams": pa.array(sets, pa.binary()),
+                                   "n": pa.array([len(x) // 8 for x in sets], pa.int32()), "fine": pa.array(fine, pa.binary())})
 
     ends = pairs.select(F.col("a").alias("digest")).union(pairs.select(F.col("b").alias("digest"))).distinct()
     wanted = materialize(classes.join(ends, "digest").select(F.col("low").alias("doc_id"), "digest"), "jaccard-ids")
     few = wanted.count() <= BROADCAST_IDS
     rows = docs.join(F.broadcast(wanted) if few else wanted, "doc_id").select("text", "digest")
-    sets = materialize(rows.mapInArrow(run, "digest binary, grams binary"), "jaccard-sets")
+    sets = materialize(rows.mapInArrow(run, "digest binary, grams binary, n int, fine binary"), "jaccard-sets")
+    pairs = materialize(fine_filter(pairs, sets, num, den), "fine-pairs")
     return materialize(verify(pairs, sets, num, den), "jaccard-links")
 
 
+def fine_bitmap(u: np.ndarray) -> bytes:
+    """Token bitmap of a set, four to eight bits a token, a power of two wide."""
+    width = max(256, 1 << int(4 * len(u) - 1).bit_length())
+    on = np.zeros(width, np.uint8)
+    on[(u & np.uint64(width - 1)).astype(np.int64)] = 1
+    return np.packbits(on, bitorder="little").tobytes()
+
+
+def fine_filter(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs whose bitmaps leave enough possible overlap; they travel in place of the sets."""
+
+    def run(batches):
+        for batch in batches:
+            ok = []
+            x, y, n, m = (batch.column(c) for c in ("x", "y", "nx", "ny"))
+            for i in range(batch.num_rows):
+                p, q = np.frombuffer(x[i].as_buffer(), np.uint64), np.frombuffer(y[i].as_buffer(), np.uint64)
+                while len(p) > len(q):     # the wider one is folded
+                    p = p[:len(p) // 2] | p[len(p) // 2:]
+                while len(q) > len(p):
+                    q = q[:len(q) // 2] | q[len(q) // 2:]
+                a, b = n[i].as_py(), m[i].as_py()
+                most = min(a - int(np.bitwise_count(p & ~q).sum()), b - int(np.bitwise_count(q & ~p).sum()))
+                ok.append(most * (den + num) >= num * (a + b))
+            keep = pa.array(ok, pa.bool_())
+            yield pa.record_batch({"a": batch.column("a").filter(keep), "b": batch.column("b").filter(keep)})
+
+    x = sets.select(F.col("digest").alias("a"), F.col("n").alias("nx"), F.col("fine").alias("x"))
+    y = sets.select(F.col("digest").alias("b"), F.col("n").alias("ny"), F.col("fine").alias("y"))
+    return (pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", "nx", "ny")
+            .mapInArrow(run, "a binary, b binary"))
+
+
 def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs whose sets really have the wanted Jaccard similarity."""
 
