@@ -5,14 +5,14 @@ A document is the set of its distinct k-word shingles; two documents link when
 the join runs between classes:
 
 1. ``profile``: one pass gives every row its set size and set digest, and the
-   shingles that are often a prefix shingle in some task (candidates for hot).
+   shingles that many sets of a task hold (candidates for hot).
 2. ``prefix_blocks``: linked sets share one of the first
    ``n - ceil(t * n) + 1`` shingles of any total order.  The order puts long
    shingles first and hot ones last, so few unrelated sets meet.  Prefix
    entries travel as flat arrays, one row per task and bucket; a hot shingle's
    entries are also split by size band.
-3. ``star_candidates``: each shingle's classes are first compared with the
-   group's first class, which joins the bulk of any large
+3. ``star_candidates``: each shingle's classes are first compared with one
+   of them, which joins the bulk of any large
    group of near copies by a linear number of pairs.
 4. ``tree_candidates``: in a bucket the entries of each shingle form a
    signature tree: leaves hold a set's token bitmap, size and digest, nodes the
@@ -44,10 +44,10 @@ from ticksmith.llm.arrays import (blocks, gram_hashes, lower_ascii, mix64, space
 from ticksmith.llm.components import components
 from ticksmith.plans.storage import materialize
 
-SIG_WORDS = 4            # bitmap of 256 bits
+SIG_WORDS = 16           # bitmap of 1024 bits
 FANOUT = 8
-HOT_LIST = 50_000        # at most so many shingles are sorted last: 400 kB broadcast
-HOT_LEAST = 8            # entries of one shingle in one task that make it a candidate
+HOT_LIST = 200_000       # at most so many shingles are sorted last: 1.6 MB broadcast
+HOT_LEAST = 8            # sets of one task with a shingle that make it a candidate
 FRONTIER = 400_000       # node pairs held at once
 BROADCAST_IDS = 500_000     # 12 MB with their digests; more are joined by a shuffle
 
@@ -100,8 +100,8 @@ def _digest(u: np.ndarray) -> bytes:
 PROFILE = "doc_id bigint, n bigint, digest binary, shingle bigint, entries bigint"
 
 
-def profile(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """Rows (doc_id, n, digest), and rows (shingle, entries) of each task's frequent prefix shingles."""
+def profile(docs: DataFrame, k: int) -> DataFrame:
+    """Rows (doc_id, n, digest), and rows (shingle, entries) of each task's frequent shingles."""
 
     def run(batches):
         seen, held, last = [], 0, None
@@ -122,7 +122,7 @@ def profile(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                 n.append(len(u))
                 if len(u):
                     last = _digest(u)
-                    seen.append(prefix(u, length, None, num, den))
+                    seen.append(ranks(u, length, None))
                     held += len(seen[-1])
                 digest.append(last if len(u) else None)
             m = len(n)
@@ -139,24 +139,20 @@ def profile(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
 
 
 def hot_shingles(profiled: DataFrame) -> np.ndarray:
-    """The most frequent prefix shingles, at most HOT_LIST; they only steer the order."""
+    """The most frequent shingles, at most HOT_LIST; they only steer the order."""
     top = (profiled.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("entries").alias("n"))
            .orderBy(F.desc("n"), "shingle").limit(HOT_LIST).select("shingle"))
     table = top.toArrow()
     return np.sort(table["shingle"].to_numpy().astype(np.int64).view(np.uint64))
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    out = np.zeros((len(sets), SIG_WORDS), np.uint64)
-    for i, u in enumerate(sets):
-        bit = (u >> np.uint64(20)) & np.uint64(64 * SIG_WORDS - 1)
-        on = np.zeros(64 * SIG_WORDS, np.uint8)
-        on[bit.astype(np.int64)] = 1
-        out[i] = np.packbits(on, bitorder="little").view(np.uint64)
-    return out
+def signature(u: np.ndarray) -> bytes:
+    on = np.zeros(64 * SIG_WORDS, np.uint8)
+    on[((u >> np.uint64(20)) & np.uint64(64 * SIG_WORDS - 1)).astype(np.int64)] = 1
+    return np.packbits(on, bitorder="little").tobytes()
 
 
-ENTRIES = "bucket int, shingle binary, who binary, n binary, digest binary, sig binary"
+ENTRIES = "bucket int, shingle binary, who binary, n binary, digest binary"
 
 
 def prefix_blocks(docs: DataFrame, k: int, num: int, den: int, hot: np.ndarray, buckets: int) -> DataFrame:
@@ -171,13 +167,13 @@ def prefix_blocks(docs: DataFrame, k: int, num: int, den: int, hot: np.ndarray,
     def run(batches):
         hot = held_hot.value
         known: dict[bytes, int] = {}
-        keys, who, sets, sizes = [], [], [], []
+        keys, who, sizes = [], [], []
 
         def emit():
             if not keys:
                 return
             key, own = np.concatenate(keys), np.repeat(np.arange(len(who)), who)
-            n, sig = np.array(sizes, np.int32), np.concatenate(sets)
+            n = np.array(sizes, np.int32)
             digest = np.frombuffer(b"".join(known), np.uint8).reshape(-1, 16)
             band = np.floor(np.log(n) / np.log(den / num) + 1e-9).astype(np.uint64) if den > num else n.astype(np.uint64)
             is_hot = (key >> np.uint64(56)) == np.uint64(255)
@@ -195,8 +191,7 @@ def prefix_blocks(docs: DataFrame, k: int, num: int, den: int, hot: np.ndarray,
                     "shingle": pa.array([key[a:b].tobytes()], pa.binary()),
                     "who": pa.array([local.astype(np.int32).tobytes()], pa.binary()),
                     "n": pa.array([n[used].tobytes()], pa.binary()),
-                    "digest": pa.array([digest[used].tobytes()], pa.binary()),
-                    "sig": pa.array([sig[used].tobytes()], pa.binary())})
+                    "digest": pa.array([digest[used].tobytes()], pa.binary())})
 
         total = 0
         for batch in batches:
@@ -211,11 +206,10 @@ def prefix_blocks(docs: DataFrame, k: int, num: int, den: int, hot: np.ndarray,
                 keys.append(p)
                 who.append(len(p))
                 sizes.append(len(u))
-                sets.append(signatures([u]))
                 total += len(p)
             if total > 3_000_000:
                 yield from emit()
-                known, keys, who, sets, sizes, total = {}, [], [], [], [], 0
+                known, keys, who, sizes, total = {}, [], [], [], 0
         yield from emit()
 
     return docs.select("text").mapInArrow(run, ENTRIES)
@@ -286,29 +280,28 @@ class Forest:
 
 
 def _bucket(batches):
-    """(shingle, who, n, sig, names) of a bucket; equal digests are one class, equal entries one."""
-    shingle, who, n, digest, sig, base = [], [], [], [], [], 0
+    """(shingle, who, n, names) of a bucket; equal digests are one class."""
+    shingle, who, n, digest, base = [], [], [], [], 0
     for t in batches:
         for i in range(t.num_rows):
             shingle.append(np.frombuffer(t.column("shingle")[i].as_buffer(), np.uint64))
             who.append(np.frombuffer(t.column("who")[i].as_buffer(), np.int32).astype(np.int64) + base)
             n.append(np.frombuffer(t.column("n")[i].as_buffer(), np.int32))
             digest.append(np.frombuffer(t.column("digest")[i].as_buffer(), np.uint64).reshape(-1, 2))
-            sig.append(np.frombuffer(t.column("sig")[i].as_buffer(), np.uint64).reshape(-1, SIG_WORDS))
             base += len(n[-1])
     wide = np.concatenate(digest)
     _, at, same = np.unique(np.rec.fromarrays([wide[:, 0], wide[:, 1]]), return_index=True, return_inverse=True)
     who = same.reshape(-1)[np.concatenate(who)]
-    return np.concatenate(shingle), who, np.concatenate(n).astype(np.int64)[at], np.concatenate(sig)[at], wide[at].tobytes()
+    return np.concatenate(shingle), who, np.concatenate(n).astype(np.int64)[at], wide[at].tobytes()
 
 
-def _groups(shingle, who, n, sig, extra):
+def _groups(shingle, who, *by):
     """(shingle, who, group offsets) of the shingles that two or more classes share, like sets side by side."""
-    order = np.lexsort((who, _popcount(sig)[who], n[who], extra[who], shingle))
+    order = np.lexsort((who, *(x[who] for x in by), shingle))
     shingle, who = shingle[order], who[order]
-    fresh = np.r_[True, (shingle[1:] != shingle[:-1]) | (who[1:] != who[:-1])]
+    fresh = np.r_[True, (shingle[1:] != shingle[:-1]) | (who[1:] != who[:-1])] if len(who) else np.zeros(0, bool)
     shingle, who = shingle[fresh], who[fresh]
-    size = np.diff(np.r_[np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1]]), len(who)])
+    size = np.diff(np.r_[np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1]][:len(who)]), len(who)])
     many = np.repeat(size > 1, size)
     return shingle[many], who[many], np.r_[0, np.cumsum(size[size > 1])]
 
@@ -326,11 +319,11 @@ def _named(pairs: np.ndarray, names: bytes):
                [max(p, q) for p, q in zip(one, two, strict=True)])
 
 
-SHARED = "bucket int, a binary, b binary, shingle binary, who binary, n binary, digest binary, sig binary"
+SHARED = "bucket int, a binary, b binary, shingle binary, who binary, n binary, digest binary"
 
 
 def star_candidates(entries: DataFrame, num: int, den: int) -> DataFrame:
-    """Of each shingle's classes the pairs (bucket, a, b) with the first one, and what the trees need.
+    """Of each shingle's classes the pairs (bucket, a, b) with one of them, and what the trees need.
 
     At most one pair an entry, so a large group of near copies gets no
     quadratic number of them.  One more row a bucket holds its entries whose
@@ -340,18 +333,21 @@ def star_candidates(entries: DataFrame, num: int, den: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = list(batches)
-        shingle, who, n, sig, names = _bucket(held)
-        shingle, who, first = _groups(shingle, who, n, sig, np.zeros(len(n), np.int64))
+        shingle, who, n, names = _bucket(held)
+        shingle, who, first = _groups(shingle, who, n)
         if not len(who):
             return
-        head = np.repeat(first[:-1], np.diff(first))
-        inner = np.flatnonzero(np.arange(len(who)) > head)
-        x, y = head[inner], inner
-        ok = Forest(first, n[who], sig[who]).keep(0, x, y, num, den)
+        # each shingle has a centre of its own, so the stars of a group of near copies overlap
+        lot = mix64(shingle ^ np.frombuffer(names, np.uint64)[::2][who])
+        least = np.flatnonzero(lot == np.repeat(np.minimum.reduceat(lot, first[:-1]), np.diff(first)))
+        centre = np.repeat(least[np.searchsorted(least, first[:-1])], np.diff(first))
+        y = np.flatnonzero(np.arange(len(who)) != centre)
+        x = centre[y]
+        ok = (n[who[x]] * den >= n[who[y]] * num) & (n[who[y]] * den >= n[who[x]] * num)
         bucket = held[0].column("bucket")[0].as_py()
 
         def rows(a, b=None, flat=None):
-            flat = flat or {c: pa.nulls(len(a), pa.binary()) for c in ("shingle", "who", "n", "digest", "sig")}
+            flat = flat or {c: pa.nulls(len(a), pa.binary()) for c in ("shingle", "who", "n", "digest")}
             return pa.record_batch({"bucket": pa.array([bucket] * len(a), pa.int32()), "a": pa.array(a, pa.binary()),
                                     "b": pa.array(b or [None] * len(a), pa.binary()), **flat})
 
@@ -362,31 +358,35 @@ def star_candidates(entries: DataFrame, num: int, den: int) -> DataFrame:
         yield rows(named)
         yield rows([None], None, {c: pa.array([v.tobytes() if c != "digest" else b"".join(v)], pa.binary()) for c, v in (
             ("shingle", shingle), ("who", local.astype(np.int32)), ("n", n[used].astype(np.int32)),
-            ("digest", named), ("sig", sig[used]))})
+            ("digest", named))})
 
     return entries.groupBy("bucket").applyInArrow(run, SHARED)
 
 
-def tree_candidates(entries: DataFrame, joined: DataFrame, num: int, den: int) -> DataFrame:
+def tree_candidates(entries: DataFrame, known: DataFrame, num: int, den: int) -> DataFrame:
     """Distinct class pairs (a, b) that pass a bucket's signature trees.
 
-    ``joined`` (place, digest, root; place is a bucket) names classes that the star pairs have
-    already linked; pairs and node pairs inside one such component are left
-    out, for they can add nothing to it.
+    ``known`` (place, digest, sig, root; place is a bucket) has the classes'
+    bitmaps and, of those that the star pairs have linked, the component; pairs
+    and node pairs inside one component are left out, for they can add nothing
+    to it.
     """
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         none = pa.table({"a": pa.array([], pa.binary()), "b": pa.array([], pa.binary())})
-        if left.num_rows == 0:
+        if left.num_rows == 0 or right.num_rows == 0:
             return none
-        shingle, who, n, sig, names = _bucket(left.to_batches())
-        root = np.full(len(n), -1, np.int64)
+        shingle, who, n, names = _bucket(left.to_batches())
+        root, sig, there = np.full(len(n), -1, np.int64), np.zeros((len(n), SIG_WORDS), np.uint64), np.zeros(len(n), bool)
         place = {names[16 * j:16 * j + 16]: j for j in range(len(n))}
         roots: dict[bytes, int] = {}
-        for d, r in zip(right.column("digest").to_pylist(), right.column("root").to_pylist(), strict=True):
+        for d, bits, r in zip(*(right.column(c).to_pylist() for c in ("digest", "sig", "root")), strict=True):
             if d in place:
-                root[place[d]] = roots.setdefault(r, len(roots))
-        _, who, first = _groups(shingle, who, n, sig, root)
+                sig[place[d]], there[place[d]] = np.frombuffer(bits, np.uint64), True
+                if r is not None:
+                    root[place[d]] = roots.setdefault(r, len(roots))
+        keep = there[who]
+        _, who, first = _groups(shingle[keep], who[keep], _popcount(sig), n, root)
         if not len(who):
             return none
         alone = root < 0
@@ -401,35 +401,40 @@ def tree_candidates(entries: DataFrame, joined: DataFrame, num: int, den: int) -
         return pa.table({"a": pa.array([p for a, _ in parts for p in a], pa.binary()),
                          "b": pa.array([p for _, b in parts for p in b], pa.binary())})
 
-    return (entries.groupBy("bucket").cogroup(joined.groupBy("place"))
+    return (entries.groupBy("bucket").cogroup(known.groupBy("place"))
             .applyInArrow(run, "a binary, b binary").distinct())
 
 
-def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The pairs that really link.
+def class_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """(digest, grams, n, fine, sig) of the wanted classes, from the rows of their smallest doc_id.
 
-    A class's set comes from the row of its smallest doc_id.  Those ids are
-    broadcast up to BROADCAST_IDS of them (counted first), else joined.
+    Those ids are broadcast up to BROADCAST_IDS of them (counted first), else
+    joined by a shuffle.
     """
 
     def run(batches):
         for batch in batches:
-            digest, sets, fine = [], [], []
+            digest, sets, fine, sig = [], [], [], []
             for want, (u, _) in zip(batch.column("digest").to_pylist(), shingle_sets(batch.column("text"), k), strict=True):
                 if len(u) and _digest(u) == want:   # not another text under the same doc_id
                     digest.append(want)
                     sets.append(u.tobytes())
                     fine.append(fine_bitmap(u))
+                    sig.append(signature(u))
             yield pa.record_batch({"digest": pa.array(digest, pa.binary()), "grams": pa.array(sets, pa.binary()),
-                                   "n": pa.array([len(x) // 8 for x in sets], pa.int32()), "fine": pa.array(fine, pa.binary())})
+                                   "n": pa.array([len(x) // 8 for x in sets], pa.int32()),
+                                   "fine": pa.array(fine, pa.binary()), "sig": pa.array(sig, pa.binary())})
+
+    ids = materialize(classes.join(wanted, "digest").select(F.col("low").alias("doc_id"), "digest"), "jaccard-ids")
+    few = ids.count() <= BROADCAST_IDS
+    rows = docs.join(F.broadcast(ids) if few else ids, "doc_id").select("text", "digest")
+    return materialize(rows.mapInArrow(run, "digest binary, grams binary, n int, fine binary, sig binary"), "jaccard-sets")
+
 
-    ends = pairs.select(F.col("a").alias("digest")).union(pairs.select(F.col("b").alias("digest"))).distinct()
-    wanted = materialize(classes.join(ends, "digest").select(F.col("low").alias("doc_id"), "digest"), "jaccard-ids")
-    few = wanted.count() <= BROADCAST_IDS
-    rows = docs.join(F.broadcast(wanted) if few else wanted, "doc_id").select("text", "digest")
-    sets = materialize(rows.mapInArrow(run, "digest binary, grams binary, n int, fine binary"), "jaccard-sets")
-    pairs = materialize(fine_filter(pairs, sets, num, den), "fine-pairs")
-    return materialize(verify(pairs, sets, num, den), "jaccard-links")
+def _links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs that really link."""
+    near = materialize(fine_filter(pairs, sets, num, den), "fine-pairs")
+    return materialize(verify(near, sets, num, den), "jaccard-links")
 
 
 def fine_bitmap(u: np.ndarray) -> bytes:
@@ -503,18 +508,21 @@ def jaccard_components(docs: DataFrame, k: int = 5, threshold: Fraction = Fracti
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    profiled = materialize(profile(docs, k, num, den), "shingle-profile")
+    profiled = materialize(profile(docs, k), "shingle-profile")
     hot = hot_shingles(profiled)
     thin = profiled.where("shingle IS NULL").select("doc_id", "n", "digest")
     classes = thin.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("low"))
     star = materialize(star_candidates(prefix_blocks(docs, k, num, den, hot, buckets), num, den), "star-pairs")
-    near = _links(docs, classes, star.where("b IS NOT NULL").select("a", "b").distinct(), k, num, den)
-    joined = materialize(components(near), "star-components")
-    entries = star.where("shingle IS NOT NULL").select("bucket", "shingle", "who", "n", "digest", "sig")
+    entries = star.where("shingle IS NOT NULL").select("bucket", "shingle", "who", "n", "digest")
     there = star.where("a IS NOT NULL AND b IS NULL").select(F.col("bucket").alias("place"), F.col("a").alias("digest"))
-    known = there.join(joined.select(F.col("node").alias("digest"), "root"), "digest").select("place", "digest", "root")
+    sets = class_sets(docs, classes, there.select("digest").distinct(), k)
+    near = _links(star.where("b IS NOT NULL").select("a", "b").distinct(), sets, num, den)
+    joined = materialize(components(near), "star-components")
+    known = (there.join(sets.select("digest", "sig"), "digest")
+             .join(joined.select(F.col("node").alias("digest"), "root"), "digest", "left")
+             .select("place", "digest", "sig", "root"))
     pairs = materialize(tree_candidates(entries, known, num, den), "tree-pairs")
-    rest = _links(docs, classes, pairs, k, num, den)
+    rest = _links(pairs, sets, num, den)
     edges = joined.select(F.col("node").alias("a"), F.col("root").alias("b")).union(rest)
     linked = (components(edges).select(F.col("node").alias("digest"), "root").join(classes, "digest"))
     low = linked.groupBy("root").agg(F.min("low").alias("low_all"))
