@@ -9,7 +9,7 @@ rate exceeds a limit; explicit rules go first.
 
 Everything is DataFrame expressions.  Counts combine map-side, so a host with
 a third of all pages sends one row a task; the page join is against one row a
-host, which Spark broadcasts only under its own size check.
+host, broadcast up to a checked number of hosts.
 """
 
 from __future__ import annotations
@@ -19,8 +19,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ticksmith.plans.storage import materialize
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LIMIT = 0.3          # bad rate that the lower bound has to exceed
+BROADCAST_HOSTS = 200_000   # some 20 MB; more hosts are joined by a shuffle that Spark splits where it is skewed
 Z = 1.645            # one-sided 95 % of the normal approximation
 # Suffixes of two labels under which names are registered.
 DOUBLE_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.nz", "co.jp", "co.kr",
@@ -111,8 +114,10 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str,
     a, b = F.col("alpha"), F.col("beta")
     mean = a / (a + b)
     bound = mean - z * F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
-    posterior = host_posteriors(rows.select("host").distinct(), outcomes).select(
-        "host", mean.alias("bad_rate"), bound.alias("lower_bound"))
+    posterior = materialize(host_posteriors(rows.select("host").distinct(), outcomes).select(
+        "host", mean.alias("bad_rate"), bound.alias("lower_bound")), "host-posteriors")
+    if posterior.count() <= BROADCAST_HOSTS:
+        posterior = F.broadcast(posterior)
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     return rows.join(posterior, "host", "left").select(
         "page_id", "host", "path", rule.alias("rule"),
