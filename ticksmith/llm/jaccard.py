@@ -48,6 +48,7 @@ SIG_WORDS = 16           # bitmap of 1024 bits
 FANOUT = 8
 HOT_LIST = 200_000       # at most so many shingles are sorted last: 1.6 MB broadcast
 HOT_LEAST = 8            # sets of one task with a shingle that make it a candidate
+FLUSH = 1_500_000        # shingles a task holds before it sends them on
 FRONTIER = 400_000       # node pairs held at once
 BROADCAST_IDS = 500_000     # 12 MB with their digests; more are joined by a shuffle
 
@@ -130,7 +131,7 @@ def profile(docs: DataFrame, k: int) -> DataFrame:
                 "doc_id": batch.column("doc_id"), "n": pa.array(n, pa.int64()),
                 "digest": pa.array(digest, pa.binary()),
                 "shingle": pa.nulls(m, pa.int64()), "entries": pa.nulls(m, pa.int64())})
-            if held > 4_000_000:
+            if held > FLUSH:
                 yield counted()
                 seen, held = [], 0
         yield counted()
@@ -207,7 +208,7 @@ def prefix_blocks(docs: DataFrame, k: int, num: int, den: int, hot: np.ndarray,
                 who.append(len(p))
                 sizes.append(len(u))
                 total += len(p)
-            if total > 3_000_000:
+            if total > FLUSH:
                 yield from emit()
                 known, keys, who, sizes, total = {}, [], [], [], 0
         yield from emit()
@@ -414,16 +415,24 @@ def class_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int) -
 
     def run(batches):
         for batch in batches:
-            digest, sets, fine, sig = [], [], [], []
+            digest, sets, fine, sig, load = [], [], [], [], 0
+
+            def out():
+                return pa.record_batch({"digest": pa.array(digest, pa.binary()), "grams": pa.array(sets, pa.binary()),
+                                        "n": pa.array([len(x) // 8 for x in sets], pa.int32()),
+                                        "fine": pa.array(fine, pa.binary()), "sig": pa.array(sig, pa.binary())})
+
             for want, (u, _) in zip(batch.column("digest").to_pylist(), shingle_sets(batch.column("text"), k), strict=True):
                 if len(u) and _digest(u) == want:   # not another text under the same doc_id
                     digest.append(want)
                     sets.append(u.tobytes())
                     fine.append(fine_bitmap(u))
                     sig.append(signature(u))
-            yield pa.record_batch({"digest": pa.array(digest, pa.binary()), "grams": pa.array(sets, pa.binary()),
-                                   "n": pa.array([len(x) // 8 for x in sets], pa.int32()),
-                                   "fine": pa.array(fine, pa.binary()), "sig": pa.array(sig, pa.binary())})
+                    load += len(sets[-1])
+                if load > 4 << 20:
+                    yield out()
+                    digest, sets, fine, sig, load = [], [], [], [], 0
+            yield out()
 
     ids = materialize(classes.join(wanted, "digest").select(F.col("low").alias("doc_id"), "digest"), "jaccard-ids")
     few = ids.count() <= BROADCAST_IDS
