@@ -141,3 +141,21 @@ def test_observed_publish_counters_equal_the_counts_table(spark):
     table = {r["status"]: r["n"] for r in ingest.ingest_counts(snaps).collect()}
     assert obs.get == {"published": table["published"], "skipped": table["skipped"]}
     assert n == table["published"]
+
+
+def test_messages_that_are_not_one_json_object_go_to_quarantine(spark):
+    from ticksmith.operators.ingest import parse_messages
+    texts = ['{"ticker":"A","price":1} trailing', "{'ticker':'A','price':1}", '{"ticker":"A","price":1}{"ticker":"B","price":2}',
+             '{"ticker":"A","price":"12.5d"}', '{"ticker":"A","price":"0x1p3"}', '{"ticker":"A","price":1,"volume":9223372036854775808}',
+             '{"ticker":"A","price":"\\"5\\""}', '{"ticker":"A","price":NaN}', '{"ticker":"A","price":"12.5","volume":"7"}']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "seq long, value string")
+    got = {r["seq"]: r["reject"] for r in parse_messages(df).collect()}
+    assert [got[i] is None for i in range(len(texts))] == [False] * 7 + [True] * 2
+
+
+def test_timestamps_need_a_full_date_and_time(spark):
+    from pyspark.sql import functions as F
+
+    from ticksmith.functions.timefn import parse_to_utc
+    df = spark.createDataFrame([("10:15:00",), ("2024",), ("2024-01",), ("2024-01-02",), ("2024-01-02T10:15:00Z",)], "s string")
+    assert [r[0] is None for r in df.select(parse_to_utc(F.col("s"))).collect()] == [True] * 4 + [False]

@@ -83,12 +83,13 @@ def local_to_utc(c: Column, tz: str) -> Column:
 
 
 def parse_instant(s: Column) -> Column:
-    """ISO-8601 text -> TIMESTAMP; NULL for junk or ''.
+    """ISO-8601 text -> TIMESTAMP; NULL for junk, '' and texts without a full date and time.
 
     Text without an offset is read in the session zone (the reference reads
     it in the server zone).
     """
-    return s.try_cast("timestamp")
+    full = s.rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}[T ]\d{1,2}:\d{2}")
+    return F.when(full, s).try_cast("timestamp")
 
 
 def parse_to_utc(s: Column) -> Column:

@@ -114,12 +114,15 @@ _RAW_SCHEMA = T.StructType(
     + [T.StructField("_corrupt", T.StringType())]
 )
 _JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt",
-                 "allowNonNumericNumbers": "true"}
+                 "allowNonNumericNumbers": "true", "allowSingleQuotes": "false"}
+# A JSON number, or one of the names that a float may have.
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+_NAMED = r"^\s*\"?[+-]?(?i:nan|inf|infinity)\"?\s*$"
 
 
 def _unquote(c: Column) -> Column:
     # A bare NaN arrives as the text "NaN" *with* quotes under a string schema.
-    return F.btrim(c, F.lit('"'))
+    return F.when(c.rlike(_NAMED), F.btrim(c, F.lit('" '))).when(c.rlike(_NUMBER), c)
 
 
 def _double(raw: Column) -> Column:
@@ -128,7 +131,16 @@ def _double(raw: Column) -> Column:
 
 def _bigint(raw: Column) -> Column:
     txt = _unquote(raw)
-    return F.coalesce(txt.try_cast("bigint"), txt.try_cast("double").try_cast("bigint"))
+    wide = txt.try_cast("double")
+    return F.coalesce(txt.try_cast("bigint"), F.when(F.abs(wide) < F.lit(2.0 ** 63), wide).try_cast("bigint"))
+
+
+def _one_object(value: Column) -> Column:
+    """True if the text is a single JSON object: nothing before, between or after."""
+    count = F.json_array_length(F.concat(F.lit("["), value, F.lit("]")))
+    # NaN and the like are accepted in numbers, but not by the count
+    flat = value.rlike(r"^\s*\{[^{}]*\}\s*$") & value.rlike(r"\b(NaN|Infinity)\b")
+    return F.coalesce(count == 1, flat, F.lit(False))
 
 
 def bind(df: DataFrame, name: str, expr: Column) -> DataFrame:
@@ -162,7 +174,7 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     bad_number = F.lit(False)
     for c, v in parsed.items():
         bad_number = bad_number | (raw[c].isNotNull() & v.isNull())
-    malformed = F.col("_j").isNull() | F.col("_j._corrupt").isNotNull()
+    malformed = F.col("_j").isNull() | F.col("_j._corrupt").isNotNull() | ~_one_object(F.col("value"))
     reject = (F.when(malformed, F.lit(REJECT_MALFORMED))
               .when(bad_number, F.lit(REJECT_BAD_NUMBER)))
     out = []

@@ -203,7 +203,8 @@ def q_monthly_layout(spark, sf):
 
 def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
     schema = spark.read.parquet(f"{sf.rstrip('/')}/events.parquet").select(*EVENT_COLS).schema
-    return stream_jobs.file_stream(spark, sf, schema, glob="events.parquet")
+    # the glob matches the table as one file and as a directory of parts
+    return stream_jobs.file_stream(spark, f"{sf.rstrip('/')}/events.parque[t]", schema)
 
 
 def q_stream_bars(spark, sf):

@@ -54,17 +54,15 @@ DAILY = f"""
          total_ticks
   FROM a WHERE open_price > 0 AND NOT isnan(open_price)"""
 
+# One window per day and sign: the largest moves of either sign come first.
 MOVERS = f"""
-  WITH d AS ({DAILY}),
-  ranked AS (SELECT trade_date, ticker, close_price, pct_change,
-               row_number() OVER (PARTITION BY trade_date ORDER BY pct_change DESC, ticker) AS gainer_rank,
-               row_number() OVER (PARTITION BY trade_date ORDER BY pct_change ASC, ticker) AS loser_rank
-             FROM d WHERE pct_change <> 0 AND total_ticks >= 3)
-  SELECT trade_date, 'gainer' AS direction, CAST(gainer_rank AS INTEGER) AS rank, ticker, close_price, pct_change
-    FROM ranked WHERE pct_change > 0 AND gainer_rank <= 5
-  UNION ALL
-  SELECT trade_date, 'loser' AS direction, CAST(loser_rank AS INTEGER) AS rank, ticker, close_price, pct_change
-    FROM ranked WHERE pct_change < 0 AND loser_rank <= 5"""
+  SELECT trade_date, CASE WHEN pct_change > 0 THEN 'gainer' ELSE 'loser' END AS direction,
+         CAST(row_number() OVER (PARTITION BY trade_date, sign(pct_change)
+                                 ORDER BY abs(pct_change) DESC, ticker) AS INTEGER) AS rank,
+         ticker, close_price, pct_change
+  FROM ({DAILY}) AS days
+  WHERE total_ticks >= 3 AND pct_change <> 0
+  QUALIFY rank <= 5"""
 
 BARS = f"""
   SELECT event_type AS ticker,
@@ -228,7 +226,7 @@ ORACLE: dict[str, str] = {
     "retain_two_years": f"""
       SELECT event_id AS seq, {USER_TICKER} AS ticker, {UTC} AS inserted_at,
              CAST(year({UTC}) * 100 + month({UTC}) AS INTEGER) AS ym
-      FROM events WHERE {UTC} > TIMESTAMP '2026-01-15 00:00:00' - INTERVAL 2 YEAR""",
+      FROM events WHERE {UTC} + INTERVAL 2 YEAR > TIMESTAMP '2026-01-15 00:00:00'""",
     "monthly_layout": f"""
       SELECT CAST(year({UTC}) * 100 + month({UTC}) AS INTEGER) AS ym, count(*) AS n_rows,
              count(DISTINCT {USER_TICKER}) AS n_tickers,

@@ -129,14 +129,18 @@ def retention_cutoff(as_of: date | datetime | str | Column, keep: str = BRONZE_R
     return _ts(as_of) - F.expr(f"INTERVAL {keep}")
 
 
+def _alive(ts_col: str, as_of, keep: str) -> Column:
+    return F.col(ts_col) + F.expr(f"INTERVAL {keep}") > _ts(as_of)
+
+
 def retain(df: DataFrame, as_of: date | datetime | str | Column,
            keep: str = BRONZE_RETENTION, ts_col: str = "inserted_at",
            part_col: str = PART_COL) -> DataFrame:
     """Rows that survive ``TTL ts + keep`` at ``as_of``
-    (``ts > as_of - keep``), pruning whole months first when ``df`` is
+    (``ts + keep > as_of``; a leap day expires with 28 February), pruning whole months first when ``df`` is
     month-partitioned."""
     cutoff = retention_cutoff(as_of, keep)
-    cond = F.col(ts_col) > cutoff
+    cond = _alive(ts_col, as_of, keep)
     if part_col in df.columns:
         cond = (F.col(part_col) >= month_key(cutoff)) & cond
     return df.filter(cond)
@@ -175,7 +179,7 @@ def enforce_retention(spark: SparkSession, path: str, schema: T.StructType,
     ).first()
     cutoff_ym = int(cutoff_row["m"])
     boundary = (spark.read.schema(full).parquet(path)
-                .filter((F.col(part_col) == cutoff_ym) & (F.col(ts_col) > F.lit(cutoff_row["c"]))))
+                .filter((F.col(part_col) == cutoff_ym) & _alive(ts_col, as_of, keep)))
     staged = scratch_path(spark, "retention")
     boundary.write.mode("overwrite").partitionBy(part_col).parquet(staged)
     kept = spark.read.schema(full).parquet(staged)

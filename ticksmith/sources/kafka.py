@@ -27,12 +27,14 @@ MESSAGE_LOG = T.StructType([
 
 
 def read_kafka_ticks(spark: SparkSession, bootstrap: str, topic: str = TICK_TOPIC,
-                     starting_offsets: str = "latest", stream: bool = True,
+                     starting_offsets: str | None = None, stream: bool = True,
                      **options: str) -> DataFrame:
     """Kafka topic -> ``(key, value, seq, partition, arrival_ts)``.
 
     ``seq`` is the partition offset; ticks of one ticker share a partition
     (the key is the ticker), so ``(ts, seq)`` orders a ticker's ticks.
+    A stream starts at the latest offsets by default, a batch read at the
+    earliest (``latest`` is not valid there).
     ``arrival_ts`` is the broker append time, used by the processing-time
     parity mode of the bar stream.
     """
@@ -40,7 +42,7 @@ def read_kafka_ticks(spark: SparkSession, bootstrap: str, topic: str = TICK_TOPI
     df = (reader.format("kafka")
           .option("kafka.bootstrap.servers", bootstrap)
           .option("subscribe", topic)
-          .option("startingOffsets", starting_offsets)
+          .option("startingOffsets", starting_offsets or ("latest" if stream else "earliest"))
           .options(**options)
           .load())
     return df.select(

@@ -227,11 +227,12 @@ def file_stream(spark: SparkSession, directory: str, schema, glob: str | None =
 
 
 def run_available_now(df: DataFrame, path: str, checkpoint: str,
-                      partition_col: str | None = None, timeout_s: int = 600) -> StreamingQuery:
+                      partition_col: str | None = None, timeout_s: int | None = None) -> StreamingQuery:
     """Process everything available, then stop (backfills and tests);
-    returns the finished query (its progress reports stay readable)."""
+    returns the finished query (its progress reports stay readable).  There is
+    no time limit unless ``timeout_s`` is given."""
     q = _start(df, path, checkpoint, partition_col, {"availableNow": True}, None)
-    q.awaitTermination(timeout_s)
+    q.awaitTermination(*([timeout_s] if timeout_s else []))
     if q.isActive:
         q.stop()
         raise TimeoutError(f"stream to {path} did not finish in {timeout_s}s")
