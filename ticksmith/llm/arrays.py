@@ -12,7 +12,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 
 def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
@@ -155,7 +155,3 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     rest = w - span
     return np.minimum(out[:len(out) - rest], out[rest:]) if rest else out
 
-
-def row_of(first: np.ndarray) -> np.ndarray:
-    """Row number of each word, from the rows' word ranges."""
-    return np.repeat(np.arange(len(first) - 1), np.diff(first))

@@ -48,7 +48,7 @@ SIG_WORDS = 16           # bitmap of 1024 bits
 FANOUT = 8
 HOT_LIST = 200_000       # at most so many shingles are sorted last: 1.6 MB broadcast
 HOT_LEAST = 8            # sets of one task with a shingle that make it a candidate
-FLUSH = 1_500_000        # shingles a task holds before it sends them on
+FLUSH = 1_000_000        # shingles a task holds before it sends them on
 FRONTIER = 400_000       # node pairs held at once
 BROADCAST_IDS = 500_000     # 12 MB with their digests; more are joined by a shuffle
 
@@ -496,6 +496,10 @@ def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
             keep = pa.array(ok, pa.bool_())
             yield pa.record_batch({"a": batch.column("a").filter(keep), "b": batch.column("b").filter(keep)})
 
+    ends = materialize(pairs.select(F.col("a").alias("digest")).union(pairs.select(F.col("b").alias("digest")))
+                       .distinct(), "pair-ends")
+    few = ends.count() <= BROADCAST_IDS
+    sets = sets.select("digest", "grams").join(F.broadcast(ends) if few else ends, "digest", "left_semi")
     x = sets.select(F.col("digest").alias("a"), F.col("grams").alias("x"))
     y = sets.select(F.col("digest").alias("b"), F.col("grams").alias("y"))
     return (pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")

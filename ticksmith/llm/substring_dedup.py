@@ -34,8 +34,8 @@ WINDOW = 35
 GRAM = 8
 HOT_LIST = 50_000
 HOT_LEAST = 8
-FLUSH_BYTES = 24 << 20
-FLUSH_GRAMS = 2_000_000
+FLUSH_BYTES = 16 << 20
+FLUSH_GRAMS = 1_000_000
 FAR = np.uint64(1 << 63)
 
 
