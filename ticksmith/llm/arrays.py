@@ -9,6 +9,9 @@ a block of its own.
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
+
 import numpy as np
 import pyarrow as pa
 
@@ -34,6 +37,14 @@ def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def release() -> None:
+    """Give freed memory back to the system, for workers that Spark keeps between tasks."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(ctypes.util.find_library("c") or None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES):
     """Row ranges (a, b) of about ``limit`` bytes each; at least one row."""
     n, a = len(offsets) - 1, 0
@@ -42,6 +53,7 @@ def blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES):
         b = min(max(b, a + 1), n)
         yield a, b
         a = b
+    release()
 
 
 def space_table() -> np.ndarray:

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticksmith.llm.arrays import (blocks, gram_hashes, lower_ascii, mix64, space_table,
+from ticksmith.llm.arrays import (blocks, gram_hashes, lower_ascii, mix64, release, space_table,
                                   text_bytes, word_hashes, words)
 from ticksmith.llm.components import components
 from ticksmith.plans.storage import materialize
@@ -290,6 +290,7 @@ def _bucket(batches):
             n.append(np.frombuffer(t.column("n")[i].as_buffer(), np.int32))
             digest.append(np.frombuffer(t.column("digest")[i].as_buffer(), np.uint64).reshape(-1, 2))
             base += len(n[-1])
+    release()
     wide = np.concatenate(digest)
     _, at, same = np.unique(np.rec.fromarrays([wide[:, 0], wide[:, 1]]), return_index=True, return_inverse=True)
     who = same.reshape(-1)[np.concatenate(who)]

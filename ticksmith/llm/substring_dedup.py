@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ticksmith.llm.arrays import (blocks, gram_hashes, mix64, sliding_min, space_table,
+from ticksmith.llm.arrays import (blocks, gram_hashes, mix64, release, sliding_min, space_table,
                                   text_bytes, word_hashes, words)
 from ticksmith.plans.storage import materialize
 
@@ -163,6 +163,8 @@ def pack(docs: DataFrame, hot: np.ndarray, size: int, buckets: int) -> DataFrame
                     yield from emit()
                     held, ids, keys, load = {}, [], [], 0
         yield from emit()
+        held, ids, keys = {}, [], []
+        release()
 
     return docs.mapInArrow(run, PACKED)
 
@@ -223,6 +225,7 @@ def repeated_ranges(packed: DataFrame, size: int) -> DataFrame:
                 key.append(np.frombuffer(batch.column("row_key")[i].as_py(), np.int64))
                 places.append(np.stack([np.array(local, np.int64)[at[0]], at[1] + base, at[2]]))
                 base += len(doc[-1])
+        release()
         string, row, begin = np.concatenate(places, axis=1)
         doc, key = np.concatenate(doc), np.concatenate(key)
         strings = list(number)
