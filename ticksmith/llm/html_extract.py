@@ -69,7 +69,8 @@ def _boiler(tag: str, attr: str, in_article: bool) -> bool:
 def tokens(page: str):
     """(kind, text, context) of a page: kind is word, tag or end; context is where a word stands.
 
-    Contexts: boiler (inside a boilerplate element), inside (the page's article
+    Contexts: boiler (inside a boilerplate element), nested (such an element within the
+    article: neither for nor against it, its tags too), inside (the page's article
     or main element), outside (not in it), plain (a page without one), link
     (plain text of a link that is not in a paragraph).
     """
@@ -83,7 +84,7 @@ def tokens(page: str):
         if tag:
             tag = tag.lower()
             if not m["end"]:
-                items.append(("tag", tag, ""))
+                items.append(("tag", tag, "nested" if boiler and (primary["article"] or primary["main"]) else ""))
                 if tag in VOID or tag not in CONTAINERS or m["attr"].endswith("/") and tag not in ("a", "p"):
                     continue
                 if tag == "p":
@@ -98,9 +99,11 @@ def tokens(page: str):
                     primary[kind] += 1
                     seen[kind] = True
                 boiler += bad
+                if bad and (primary["article"] or primary["main"]):
+                    items[-1] = ("tag", tag, "nested")
                 stack.append((tag, bad, kind))
             else:
-                items.append(("end", tag, ""))
+                items.append(("end", tag, "nested" if boiler and (primary["article"] or primary["main"]) else ""))
                 if any(t == tag for t, _, _ in stack):
                     while stack:
                         t, bad, kind = stack.pop()
@@ -112,15 +115,15 @@ def tokens(page: str):
                         if t == tag:
                             break
         elif m["text"]:
-            where = ("boiler" if boiler else "article" if primary["article"] else "main" if primary["main"]
+            where = ("nested" if boiler and (primary["article"] or primary["main"]) else "boiler" if boiler else "article" if primary["article"] else "main" if primary["main"]
                      else "link" if link and not para else "free")
             items.append(("word", m["text"], where))
         elif m["raw"]:
             items.append(("tag", m["raw"].lower(), ""))
     top = "article" if seen["article"] else "main" if seen["main"] else None
-    context = {"boiler": "boiler", "link": "link" if top is None else "outside", "free": "plain" if top is None else "outside",
+    context = {"boiler": "boiler", "nested": "nested", "link": "link" if top is None else "outside", "free": "plain" if top is None else "outside",
                "article": "inside", "main": "inside" if top == "main" else "outside"}
-    return [(k, t, context[w] if k == "word" else "") for k, t, w in items]
+    return [(k, t, context[w] if k == "word" else w) for k, t, w in items]
 
 
 # Labelled pages: the content stands between <mark> and </mark>.
@@ -185,17 +188,18 @@ def main_text(page: str | None, weights: dict[tuple[str, str], float]) -> str:
     items = tokens(page)
     scores = []
     for kind, text, where in items:
-        if kind == "word":
+        if where == "nested":
+            scores.append(0.0)
+        elif kind == "word":
             scores.append(weights.get(("word", where), -0.5) * len(WORD.findall(text)))
         else:
             scores.append(weights.get((kind, text), -0.05))
     a, b = best_region(scores)
-    blocks, now, dropped = [], [], False
+    blocks, now = [], []
     for kind, text, where in items[a:b]:
         if kind == "word":
             if where in ("inside", "plain", "link"):
                 now.append(text)
-            dropped = where not in ("inside", "plain", "link")
         elif text in BLOCKS:
             blocks.append("".join(now))
             now = []
