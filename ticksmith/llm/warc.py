@@ -22,8 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticksmith.plans.storage import materialize
+
 LEAST = 100
 CHUNK = 64 << 10
+BROADCAST_PAYLOADS = 200_000   # repeated payloads, some 20 MB; more are joined by a shuffle
 # The version line and the end of a record, from the WARC 1.1 standard.
 VERSION = "WARC/1.1\r\n"
 END = "\r\n\r\n"
@@ -59,6 +62,9 @@ def plan_records(pages: DataFrame, least: int = LEAST) -> DataFrame:
     rows = rows.withColumns({"bytes": F.octet_length("payload").cast("bigint"), "digest": F.sha2("payload", 256)})
     again = (rows.where(F.col("bytes") >= least).groupBy("digest")
              .agg(F.count("*").alias("copies"), F.min("page_id").alias("low")).where("copies > 1").select("digest", "low"))
+    again = materialize(again, "warc-repeats")
+    if again.count() <= BROADCAST_PAYLOADS:
+        again = F.broadcast(again)
     refers = F.when(F.col("low") != F.coalesce("page_id", F.col("low") - 1), F.col("low"))
     return rows.join(again, "digest", "left").select(
         "page_id", "url", F.when(refers.isNull(), F.col("payload")).alias("payload"), "bytes", "digest",
