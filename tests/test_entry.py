@@ -10,6 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from ticksmith.plans.catalog import QUERIES
 
 from .conftest import SF_SMALL
 
@@ -43,11 +44,14 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+def test_every_query_of_the_tick_engine_has_an_oracle():
+    # of the training-data operators only those that SQL can express have one; the others
+    # are compared with brute force in their own tests
+    assert set(E.oracle_sql()) >= set(QUERIES)
+    assert set(E.queries()) >= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     cols = sorted(df.columns)
