@@ -98,14 +98,30 @@ def test_movers_report_lines_match_python_format(spark):
         assert r["line"] == f"  {arrow} {r['ticker']:8s}  {r['pct_change']:+.2f}%  ({r['direction']})"
 
 
-def test_peek_is_ordered_top_n(spark):
+def test_peek_is_a_plain_limit_unless_ordered(spark):
     b = _bronze(spark)
-    out = reports.peek(b, 2).collect()
+    out = reports.peek(b, 2, ordered=True).collect()
     assert [(r["ticker"], r["price"]) for r in out] == [("A", 10.0), ("A", 11.0)]
-    assert reports.peek(b).count() == 5
-    plan = reports.peek(b)._jdf.queryExecution().executedPlan().toString()
-    assert "TakeOrderedAndProject" in plan
-    assert rows(reports.peek(b), "ticker")[0] == ("A",)
+    assert reports.peek(b).count() == 5 and reports.peek(b, 2).count() == 2
+    assert "Sort" not in reports.peek(b)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" in reports.peek(b, ordered=True)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_health_reads_only_the_months_of_its_days(spark, tmp_dir):
+    import os
+
+    from ticksmith.plans import storage
+    from ticksmith.plans.catalog import bronze_by_user
+    from ticksmith.schemas import BRONZE
+    b = bronze_by_user(spark, SF_SMALL)
+    path = os.path.join(tmp_dir, "bronze")
+    storage.write_table(b, path, partition_source="inserted_at", sort_cols=["ticker", "inserted_at"])
+    stored = spark.read.schema(storage.table_schema(BRONZE)).parquet(path)
+    day = reports.latest_day(stored, "inserted_at")
+    for report in (reports.health_today, reports.health_by_day):
+        assert rows(report(stored, day)) == rows(report(b, reports.latest_day(b, "inserted_at")))
+        plan = report(stored, "2024-01-30")._jdf.queryExecution().executedPlan().toString()
+        assert "ym" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
 def test_health_distinct_counts_combine_map_side(spark):

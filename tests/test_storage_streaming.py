@@ -165,15 +165,13 @@ def test_fan_out_two_queries(spark, tmp_dir):
     write_message_log(events_as_messages(read_events(spark, SF_SMALL), "event_type"), src)
     qs = jobs.start_ingest(lambda: read_message_log(spark, src, stream=True),
                            os.path.join(tmp_dir, "bronze"), os.path.join(tmp_dir, "bars"),
-                           os.path.join(tmp_dir, "ckpt"), delay="0 seconds", trigger={"availableNow": True})
+                           os.path.join(tmp_dir, "ckpt"), delay="0 seconds", trigger={"availableNow": True},
+                           bars_source="messages", quarantine_path=os.path.join(tmp_dir, "quarantine"))
     for q in qs:
         q.awaitTermination(120)
     bronze = spark.read.schema(storage.table_schema(BRONZE)).parquet(os.path.join(tmp_dir, "bronze"))
     bars = spark.read.schema(storage.table_schema(BAR)).parquet(os.path.join(tmp_dir, "bars"))
     assert bronze.count() > 0 and bars.count() > 0
-    q = jobs.start_quarantine(read_message_log(spark, src, stream=True), os.path.join(tmp_dir, "quarantine"),
-                              os.path.join(tmp_dir, "ckpt", "quarantine"), trigger={"availableNow": True})
-    q.awaitTermination(120)
     rejected = spark.read.parquet(os.path.join(tmp_dir, "quarantine"))
     assert rows(rejected, "reason") == sorted([("malformed",)] * 2 * (rejected.count() // 3)
                                               + [("bad_number",)] * (rejected.count() // 3))
@@ -268,11 +266,13 @@ def test_bars_follow_bronze_so_the_source_is_read_once(spark, tmp_dir):
     msgs = events_as_messages(read_events(spark, SF_SMALL), "event_type")
     write_message_log(msgs, src)
     bronze_out, bars_out = os.path.join(tmp_dir, "bronze"), os.path.join(tmp_dir, "bars")
-    bronze_q, bars_q = jobs.start_ingest(lambda: read_message_log(spark, src, stream=True), bronze_out,
-                                         bars_out, os.path.join(tmp_dir, "ckpt"), delay="0 seconds",
-                                         trigger={"availableNow": True}, bars_source="bronze")
-    bronze_q.awaitTermination(120)
-    bars_q.awaitTermination(120)
+    queries = jobs.start_ingest(lambda: read_message_log(spark, src, stream=True), bronze_out,
+                                bars_out, os.path.join(tmp_dir, "ckpt"), delay="0 seconds",
+                                trigger={"availableNow": True})
+    for q in queries:
+        q.awaitTermination(120)
+    rejects = spark.read.parquet(f"{bronze_out}.rejects")
+    assert rows(rejects, "reason") == rows(ingest.quarantined(ingest.parse_messages(msgs)), "reason")
     # the bar query may have started before bronze committed: run it again
     # from its checkpoint to pick up what it had not seen
     bars_q = jobs.start_bars_from_bronze(spark, bronze_out, bars_out, os.path.join(tmp_dir, "ckpt", "bars"),
@@ -316,6 +316,51 @@ def test_compacted_months_read_with_the_live_stream(spark, tmp_dir):
         assert got == sorted(got)
 
 
+def test_rows_committed_after_a_compaction_are_read(spark, tmp_dir):
+    import pytest
+    src, out, ckpt, table = (os.path.join(tmp_dir, n) for n in ("src", "stream", "ckpt", "bronze"))
+
+    def more(times, first_seq):
+        df = _bronze_rows(spark, times).withColumn("seq", F.col("seq") + first_seq)
+        storage.with_month(df, "inserted_at").write.mode("append").parquet(src)
+        stream = spark.readStream.schema(storage.table_schema(BRONZE)).parquet(src)
+        jobs.run_available_now(stream, out, ckpt, partition_col="ym")
+
+    def seen():
+        return [r[0] for r in rows(storage.read_compacted(spark, out, table, BRONZE), "seq")]
+
+    more([dt.datetime(2024, 1, 10), dt.datetime(2024, 2, 1)], 0)
+    storage.compact_months(spark, out, table, BRONZE, 202401, 202401, ["ticker", "inserted_at"])
+    more([dt.datetime(2024, 1, 31, 23, 59, 59), dt.datetime(2024, 2, 2)], 10)
+    assert seen() == [0, 1, 10, 11]
+    storage.compact_months(spark, out, table, BRONZE, 202401, 202401, ["ticker", "inserted_at"])
+    assert seen() == [0, 1, 10, 11]
+    with pytest.raises(ValueError):
+        storage.compact_months(spark, out, table, BRONZE, 202402, 202402, ["ticker"], as_of=dt.date(2024, 2, 3))
+
+
+def test_a_tick_from_the_future_does_not_stop_the_bars(spark, tmp_dir):
+    from ticksmith.sources.kafka import read_text_messages
+    src = os.path.join(tmp_dir, "msgs")
+    os.makedirs(src)
+
+    def run(name, times):
+        with open(os.path.join(src, name), "w") as fh:
+            fh.write("\n".join('{"ticker":"A","price":%d,"fetched_at":"%s"}' % (i + 1, t) for i, t in enumerate(times)) + "\n")
+        q = jobs.start_bars(read_text_messages(spark, src, stream=True), os.path.join(tmp_dir, "bars"),
+                            os.path.join(tmp_dir, "ckpt"), delay="0 seconds", trigger={"availableNow": True})
+        q.awaitTermination(120)
+
+    run("a.txt", ["2024-04-21T10:00:00+03:00", "2099-01-01T00:00:00+03:00"])
+    run("b.txt", ["2024-04-21T10:06:00+03:00", "2024-04-21T10:11:00+03:00"])
+    run("c.txt", ["2024-04-21T10:00:01+03:00", "2024-04-21T10:30:00+03:00"])    # the first is late
+    got = spark.read.schema(storage.table_schema(BAR)).parquet(os.path.join(tmp_dir, "bars"))
+    assert rows(got, "window_start", "tick_count") == [
+        (dt.datetime(2024, 4, 21, 7, m), 1) for m in (0, 5, 10)]
+    quarantine = jobs.quarantine_stream(read_text_messages(spark, src, stream=False))
+    assert rows(quarantine, "reason") == [(jobs.REJECT_TOO_EARLY,)]
+
+
 def test_retention_refuses_a_stream_sink_output(spark, tmp_dir):
     import pytest
     out = os.path.join(tmp_dir, "bronze_stream")

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticksmith.functions.text import mover_line, thousands
+from ticksmith.functions.timefn import month_key
 
 # Movers shown in the text report, and rows in a peek.
 REPORT_TOP_N = 3
@@ -32,8 +33,14 @@ def as_date(as_of: date | str | Column | None) -> Column:
     return F.lit(str(as_of)).cast("date")
 
 
-def latest_day(df: DataFrame, ts_col: str) -> Column:
-    """Scalar subquery: the latest calendar day present in ``ts_col``."""
+def latest_day(df: DataFrame, ts_col: str, part_col: str = "ym") -> Column:
+    """Scalar subquery: the latest calendar day present in ``ts_col``.
+
+    On a table partitioned by the month of ``ts_col`` only the last month is
+    read for it; which one that is comes from the partition values.
+    """
+    if part_col in df.columns:
+        df = df.filter(F.col(part_col) == df.select(F.max(part_col)).scalar())
     return df.select(F.max(F.to_date(F.col(ts_col)))).scalar()
 
 
@@ -42,11 +49,19 @@ def day_range(ts: Column, first_day: Column, last_day: Column) -> Column:
     return (ts >= first_day.cast("timestamp_ntz")) & (ts < F.date_add(last_day, 1).cast("timestamp_ntz"))
 
 
+def _days(df: DataFrame, ts_col: str, first_day: Column, last_day: Column, part_col: str = "ym") -> DataFrame:
+    """Rows of a day range; on a month-partitioned table other months' directories are skipped."""
+    out = df.filter(day_range(F.col(ts_col), first_day, last_day))
+    if part_col in df.columns:
+        out = out.filter(F.col(part_col).between(month_key(first_day), month_key(last_day)))
+    return out
+
+
 def health_today(bronze: DataFrame, as_of: date | str | Column | None = None) -> DataFrame:
     """Z2 + A3: ticks and distinct tickers inserted on ``as_of``, with the
     printable status line (thousands separators, like ``{:,}``)."""
     d = as_date(as_of)
-    counts = (bronze.filter(day_range(F.col("inserted_at"), d, d))
+    counts = (_days(bronze, "inserted_at", d, d)
               .agg(F.count(F.lit(1)).alias("tick_count"),
                    F.countDistinct("ticker").alias("ticker_count")))
     line = F.format_string("Today's ticks so far: %s rows across %d tickers",
@@ -70,7 +85,7 @@ def health_by_day(bronze: DataFrame, as_of: date | str | Column | None = None,
     ``as_of``: ticks, distinct tickers, min and max price; newest first."""
     d = as_date(as_of)
     day = F.to_date(F.col("inserted_at"))
-    return (bronze.filter(day_range(F.col("inserted_at"), F.date_sub(d, days - 1), d))
+    return (_days(bronze, "inserted_at", F.date_sub(d, days - 1), d)
             .groupBy(day.alias("day"))
             .agg(F.count(F.lit(1)).alias("total_ticks"),
                  F.countDistinct("ticker").alias("unique_tickers"),
@@ -90,13 +105,12 @@ def movers_report(movers: DataFrame, as_of: date | str | Column | None = None,
             .orderBy("direction", "rank"))
 
 
-def peek(bronze: DataFrame, n: int = PEEK_ROWS) -> DataFrame:
-    """Z4 + P11 + L1: ``ticker, price, fetched_at`` of ``n`` rows.  The
-    reference's LIMIT has no order; here the table's sort key gives one
-    (planned as a per-task top-n, never a full sort)."""
-    return (bronze.orderBy("ticker", "inserted_at", "seq")
-            .select("ticker", "price", "fetched_at")
-            .limit(n))
+def peek(bronze: DataFrame, n: int = PEEK_ROWS, ordered: bool = False) -> DataFrame:
+    """Z4 + P11 + L1: ``ticker, price, fetched_at`` of any ``n`` rows, read from
+    as few files as hold them; ``ordered`` takes the first by the table's sort
+    key instead, which reads the whole table."""
+    rows = bronze.orderBy("ticker", "inserted_at", "seq") if ordered else bronze
+    return rows.select("ticker", "price", "fetched_at").limit(n)
 
 
 def show(df: DataFrame, n: int = 20) -> None:

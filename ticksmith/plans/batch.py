@@ -21,7 +21,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticksmith.functions.timefn import NAIROBI, month_key, parse_to_utc
+from ticksmith.functions.timefn import NAIROBI, local_date, month_key, parse_to_utc
 from ticksmith.operators import bars as bars_op
 from ticksmith.operators import marts, quality, reports, staging
 from ticksmith.plans import storage
@@ -93,50 +93,75 @@ def recent_bronze(bronze: DataFrame, first_day: date) -> DataFrame:
     return out
 
 
+def _months_to_rebuild(bronze: DataFrame, first_day: date, paths: list[str], tz: str) -> list[int]:
+    """Months of the trade dates of rows inserted on or after ``first_day``, and the
+    stored months from ``first_day``'s on, in order: one number a month."""
+    new = bronze.filter(F.col("inserted_at") >= F.lit(first_day).cast("timestamp_ntz"))
+    if storage.PART_COL in bronze.columns:
+        new = new.filter(F.col(storage.PART_COL) >= month_key(F.lit(first_day)))
+    touched = new.select(month_key(local_date(parse_to_utc(F.col("fetched_at")), tz)).alias("m")).distinct()
+    months = {r["m"] for r in touched.where("m IS NOT NULL").toLocalIterator()}
+    for path in paths:
+        months |= {m for m in storage._partition_values(bronze.sparkSession, path)
+                   if m >= first_day.year * 100 + first_day.month}
+    return sorted(months)
+
+
+def _store(mart: DataFrame, path: str, sort_cols: list[str], months: list[int] | None) -> None:
+    """Write a mart, whole or (``months``) those months; ones left without rows are removed."""
+    spark = mart.sparkSession
+    if months is None:
+        storage.write_table(mart, path, partition_source="trade_date", sort_cols=sort_cols)
+        return
+    mart = storage.materialize(mart, "rebuilt-months")
+    found = {r["m"] for r in mart.select(month_key(F.col("trade_date")).alias("m")).distinct().toLocalIterator()}
+    storage.write_table(mart, path, partition_source="trade_date", sort_cols=sort_cols, dynamic=True)
+    storage.drop_months(spark, path, [m for m in months if m not in found])
+
+
 def build_marts(bronze: DataFrame, bars: DataFrame | None = None, out_dir: str | None = None,
                 updated_at: datetime | str | None = None, tz: str = NAIROBI,
                 session_only: bool = False, since: date | str | None = None) -> Marts:
     """Staging views, then the daily table (stored once), then movers.
 
-    ``since`` (needs ``out_dir`` with marts from an earlier run) rebuilds
-    only the months from ``since``'s month on: bronze is read from there
-    (``recent_bronze``) and those month partitions of both marts are
-    replaced (dynamic overwrite); older months are neither read nor
-    rewritten.  The reference rebuilds everything each run; at two years of
-    bronze that is ~24x the work of the current month.
+    ``since`` (needs ``out_dir`` with marts from an earlier run that saw
+    every row inserted before ``since``'s month) rebuilds the months from
+    ``since``'s month on and each older one that a row inserted since then
+    belongs to (a late tick).  Bronze is read from the oldest of these on
+    (``recent_bronze``); their partitions of both marts are replaced, or
+    removed where a month has no result any more; other months are neither
+    read nor rewritten.  The outcome equals a full rebuild, which the
+    reference does each run; at two years of bronze that is ~24x the work of
+    the current month.
     """
     spark = bronze.sparkSession
     bars = bars if bars is not None else bars_from_bronze(bronze)
-    first = None
-    source = bronze
+    source, months, names = bronze, None, ("daily_summary", "top_movers")
+    paths = [f"{out_dir.rstrip('/')}/{n}" for n in names] if out_dir else []
     if since is not None:
         if not out_dir:
             raise ValueError("since= rebuilds stored marts: pass out_dir")
-        first = month_start(since)
-        source = recent_bronze(bronze, first)
+        months = _months_to_rebuild(bronze, month_start(since), paths, tz)
+        if months:
+            source = recent_bronze(bronze, date(months[0] // 100, months[0] % 100, 1))
     daily = marts.daily_summary_from_bronze(source, updated_at, tz, session_only)
-    if first is not None:
-        daily = daily.filter(F.col("trade_date") >= F.lit(first))
+    if months is not None:
+        daily = daily.filter(month_key(F.col("trade_date")).isin(months))
     if out_dir:
-        path = f"{out_dir.rstrip('/')}/daily_summary"
-        storage.write_table(daily, path, partition_source="trade_date", sort_cols=["trade_date", "ticker"],
-                            dynamic=first is not None)
-        stored = spark.read.schema(storage.table_schema(DAILY)).parquet(path)
+        _store(daily, paths[0], ["trade_date", "ticker"], months)
+        stored = spark.read.schema(storage.table_schema(DAILY)).parquet(paths[0])
         daily = stored.select(*DAILY.fieldNames())
     else:
         daily = storage.materialize(daily, "daily_summary")
     ranked_days = daily
-    if first is not None:   # the rebuilt months only; ym prunes the older directories
-        ranked_days = (stored.filter(F.col(storage.PART_COL) >= month_key(F.lit(first)))
-                       .filter(F.col("trade_date") >= F.lit(first)).select(*DAILY.fieldNames()))
+    if months is not None:   # the rebuilt months only; ym prunes the other directories
+        ranked_days = stored.filter(F.col(storage.PART_COL).isin(months)).select(*DAILY.fieldNames())
     # single-pass ranking trims to the top k per (day, side) inside each task
     # before the shuffle, so a day with very many tickers is not one task's work
     movers = marts.top_movers_single_pass(ranked_days)
     if out_dir:
-        path = f"{out_dir.rstrip('/')}/top_movers"
-        storage.write_table(movers, path, partition_source="trade_date",
-                            sort_cols=["trade_date", "direction", "rank"], dynamic=first is not None)
-        movers = spark.read.schema(storage.table_schema(MOVERS)).parquet(path).select(*MOVERS.fieldNames())
+        _store(movers, paths[1], ["trade_date", "direction", "rank"], months)
+        movers = spark.read.schema(storage.table_schema(MOVERS)).parquet(paths[1]).select(*MOVERS.fieldNames())
     return Marts(
         raw_ticks=bronze,
         ohlcv_5min=bars,

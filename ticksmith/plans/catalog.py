@@ -30,6 +30,8 @@ from ticksmith.streaming import jobs as stream_jobs
 # Parameters of the registered queries.
 RETENTION_AS_OF = "2026-01-15"
 STREAM_DELAY = "0 seconds"
+COMPACTED_MONTHS = (190001, 202401)
+INCREMENT_DAY = "2024-01-16"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -148,7 +150,7 @@ def q_health_by_day(spark, sf):
 
 
 def q_peek(spark, sf):
-    return reports.peek(bronze_by_user(spark, sf))
+    return reports.peek(bronze_by_user(spark, sf), ordered=True)
 
 
 def quality_marts(spark: SparkSession, sf: str) -> batch.Marts:
@@ -223,6 +225,23 @@ def q_stream_bronze(spark, sf):
     return spark.read.schema(BRONZE).parquet(out).select("seq", *TICK_COLS)
 
 
+def q_compacted_bronze(spark, sf):
+    # streamed bronze, its closed months compacted, both read as one relation
+    ticks = events_as_bronze(_event_stream(spark, sf), "user").withColumn("ym", month_key(F.col("inserted_at")))
+    out, table = storage.scratch_path(spark, "bronze_stream"), storage.scratch_path(spark, "bronze_compacted")
+    stream_jobs.run_available_now(ticks, out, storage.scratch_path(spark, "bronze_stream_ckpt"), partition_col="ym")
+    storage.compact_months(spark, out, table, BRONZE, *COMPACTED_MONTHS, ["ticker", "inserted_at"])
+    return storage.read_compacted(spark, out, table, BRONZE).select("seq", "ticker", "inserted_at", "ym")
+
+
+def q_incremental_marts(spark, sf):
+    # marts of the feed as it stood at INCREMENT_DAY, then the rebuild of the months touched since
+    bronze, out = bronze_by_user(spark, sf), storage.scratch_path(spark, "marts")
+    batch.build_marts(bronze.filter(F.col("inserted_at") < INCREMENT_DAY), out_dir=out)
+    m = batch.build_marts(bronze, out_dir=out, since=INCREMENT_DAY)
+    return m.daily_summary.drop("updated_at")
+
+
 def q_stream_bars_via_bronze(spark, sf):
     # the read-once fan-out: messages -> bronze stream; bars follow the
     # committed bronze files (event time), as start_ingest(bars_source='bronze')
@@ -265,4 +284,6 @@ QUERIES: dict[str, Query] = {
     "stream_bars": q_stream_bars,
     "stream_bronze": q_stream_bronze,
     "stream_bars_via_bronze": q_stream_bars_via_bronze,
+    "compacted_bronze": q_compacted_bronze,
+    "incremental_marts": q_incremental_marts,
 }

@@ -194,6 +194,7 @@ ORACLE: dict[str, str] = {
     "bars_5min": BARS,
     "stage_bars": STAGE_BARS,
     "daily_summary": DAILY,
+    "incremental_marts": DAILY,      # equal to a full rebuild
     "top_movers": MOVERS,
     "top_movers_single_pass": MOVERS,
     "movers_report": f"""
@@ -227,6 +228,10 @@ ORACLE: dict[str, str] = {
       SELECT event_id AS seq, {USER_TICKER} AS ticker, {UTC} AS inserted_at,
              CAST(year({UTC}) * 100 + month({UTC}) AS INTEGER) AS ym
       FROM events WHERE {UTC} + INTERVAL 2 YEAR > TIMESTAMP '2026-01-15 00:00:00'""",
+    "compacted_bronze": f"""
+      SELECT event_id AS seq, {USER_TICKER} AS ticker, {UTC} AS inserted_at,
+             CAST(year({UTC}) * 100 + month({UTC}) AS INTEGER) AS ym
+      FROM events""",
     "monthly_layout": f"""
       SELECT CAST(year({UTC}) * 100 + month({UTC}) AS INTEGER) AS ym, count(*) AS n_rows,
              count(DISTINCT {USER_TICKER}) AS n_tickers,

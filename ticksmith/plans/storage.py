@@ -22,7 +22,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -215,9 +215,31 @@ def _partition_values(spark: SparkSession, path: str, part_col: str = PART_COL)
     return sorted(out)
 
 
+def drop_months(spark: SparkSession, path: str, months: Sequence[int], part_col: str = PART_COL) -> None:
+    """Delete the directories of ``months`` of a month-partitioned table."""
+    jvm = spark.sparkContext._jvm
+    for ym in months:
+        hpath = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{part_col}={ym}")
+        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
+def _month_files(df: DataFrame, part_col: str) -> list[tuple[int, str]]:
+    """(month, file) of the files that ``df``, a scan of a month-partitioned table, reads."""
+    found = []
+    for f in df.inputFiles():
+        month = f.rpartition(f"/{part_col}=")[2].partition("/")[0]
+        if month.isdigit():
+            found.append((int(month), f))
+    return found
+
+
+def _sources_path(table_path: str) -> str:
+    return f"{table_path.rstrip('/')}.sources"
+
+
 def compact_months(spark: SparkSession, stream_path: str, table_path: str, schema: T.StructType,
                    first_month: int, last_month: int, sort_cols: Sequence[str],
-                   part_col: str = PART_COL) -> None:
+                   part_col: str = PART_COL, as_of: date | None = None) -> None:
     """Rewrite months ``first_month..last_month`` of a streaming file-sink
     output into the key-sorted, month-partitioned layout of ``write_table``.
 
@@ -228,10 +250,25 @@ def compact_months(spark: SparkSession, stream_path: str, table_path: str, schem
     log (committed files only); only the given months of ``table_path`` are
     replaced (dynamic overwrite), so a rerun is idempotent.  The stream
     output itself is left alone: its commit log owns those files.
+
+    The stream files that went into a month are noted beside the table
+    (``<table>.sources``), so files that the stream commits to it afterwards are
+    still read; the next compaction takes them in.  A month that isn't over at
+    ``as_of`` (default: today, UTC) is refused.  The note follows the data:
+    between the two, readers of a month that is compacted again may see its late
+    rows twice, and a run that broke off there must be repeated.
     """
-    src = (spark.read.schema(table_schema(schema, part_col)).parquet(stream_path)
-           .filter(F.col(part_col).between(first_month, last_month)))
-    write_table(src, table_path, sort_cols=sort_cols, dynamic=True, part_col=part_col)
+    today = as_of or datetime.now(timezone.utc).date()
+    if last_month >= today.year * 100 + today.month:
+        raise ValueError(f"month {last_month} isn't over on {today}: only closed months are compacted")
+    live = spark.read.schema(table_schema(schema, part_col)).parquet(stream_path)
+    taken = [(m, f) for m, f in _month_files(live, part_col) if first_month <= m <= last_month]
+    if not taken:
+        return
+    write_table(live.filter(F.col(part_col).between(first_month, last_month)), table_path,
+                sort_cols=sort_cols, dynamic=True, part_col=part_col)
+    (spark.createDataFrame(taken, f"{part_col} int, file string").coalesce(1).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(_sources_path(table_path)))
 
 
 def read_compacted(spark: SparkSession, stream_path: str, table_path: str, schema: T.StructType,
@@ -239,7 +276,9 @@ def read_compacted(spark: SparkSession, stream_path: str, table_path: str, schem
     """One relation over a compacted table and its stream output: months
     present in ``table_path`` come from there, every other month from the
     stream.  Both sides carry a ``ym`` predicate (one value per month), so
-    each scan prunes to its own months."""
+    each scan prunes to its own months.  Stream files of a compacted month
+    that its compaction didn't take in are read too, and only those; the lists
+    of files are as long as the ones Spark's own scan of the stream holds."""
     full = table_schema(schema, part_col)
     done = _partition_values(spark, table_path, part_col)
     live = spark.read.schema(full).parquet(stream_path)
@@ -247,4 +286,10 @@ def read_compacted(spark: SparkSession, stream_path: str, table_path: str, schem
         return live
     ym = F.col(part_col)
     compacted = spark.read.schema(full).parquet(table_path).filter(ym.isin(done))
-    return compacted.unionByName(live.filter(~ym.isin(done)))
+    both = compacted.unionByName(live.filter(~ym.isin(done)))
+    noted = spark.read.schema(f"file string, {part_col} int").parquet(_sources_path(table_path))
+    taken = {r["file"] for r in noted.toLocalIterator()}
+    late = [f for m, f in _month_files(live, part_col) if m in done and f not in taken]
+    if late:
+        both = both.unionByName(spark.read.schema(full).option("basePath", stream_path).parquet(*late))
+    return both

@@ -31,18 +31,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ticksmith.functions.timefn import month_key, parse_instant
+from ticksmith.functions.timefn import instant_to_utc, month_key, parse_instant
 from ticksmith.operators.bars import BAR_WIDTH, ohlc_bars
 from ticksmith.operators.ingest import (observe_parsed, parse_messages, parsed_ticks, quarantined,
-                                        to_bronze)
+                                        sink_time, to_bronze)
 
 # Fixed value: default allowed lateness for the bar stream.
 DEFAULT_DELAY = "10 minutes"
 
+# How far a tick's time may be ahead of its arrival, and the reason given beyond that.
+MAX_SKEW = "1 hour"
+REJECT_TOO_EARLY = "time_ahead_of_arrival"
+
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -74,8 +78,28 @@ def bronze_stream(messages: DataFrame, metrics: str | None = None) -> DataFrame:
     return to_bronze(parsed_ticks(parsed))
 
 
-def quarantine_stream(messages: DataFrame) -> DataFrame:
-    return quarantined(parse_messages(messages))
+def too_early(ticks: DataFrame, max_skew: str = MAX_SKEW) -> Column:
+    """True for ticks stamped more than ``max_skew`` after they arrived.
+
+    Arrival is the broker's append time, else bronze's ``inserted_at``, else the
+    micro-batch time.  One such tick would carry the watermark past all honest ones.
+    """
+    if "arrival_ts" in ticks.columns:
+        arrived = instant_to_utc(F.col("arrival_ts"))
+    elif "inserted_at" in ticks.columns:
+        arrived = F.col("inserted_at")
+    else:
+        arrived = sink_time()
+    late = instant_to_utc(parse_instant(F.col("fetched_at"))) > arrived + F.expr(f"INTERVAL {max_skew}")
+    return F.coalesce(late, F.lit(False))
+
+
+def quarantine_stream(messages: DataFrame, max_skew: str = MAX_SKEW) -> DataFrame:
+    """Messages that didn't parse, and those whose time the bars refuse
+    (``too_early``; bronze keeps these), with the reason."""
+    parsed = parse_messages(messages)
+    reason = F.coalesce("reject", F.when(too_early(parsed, max_skew), F.lit(REJECT_TOO_EARLY)))
+    return quarantined(parsed.withColumn("reject", reason))
 
 
 def heartbeat_stream(spark: SparkSession, rows_per_second: int = 1) -> DataFrame:
@@ -84,9 +108,13 @@ def heartbeat_stream(spark: SparkSession, rows_per_second: int = 1) -> DataFrame
 
 
 def bar_stream(ticks: DataFrame, time_mode: str = "event", delay: str = DEFAULT_DELAY,
-               width: str = BAR_WIDTH, heartbeat: DataFrame | None = None) -> DataFrame:
+               width: str = BAR_WIDTH, heartbeat: DataFrame | None = None,
+               max_skew: str = MAX_SKEW) -> DataFrame:
     """Ticks (with string ``fetched_at``) -> watermarked OHLC bar stream.
 
+    In event mode ticks stamped more than ``max_skew`` after their arrival are left
+    out before the watermark sees them (``quarantine_stream`` has them).
+
     ``heartbeat`` (arrival mode only; see ``heartbeat_stream``) closes bars
     on the clock when no ticks arrive.  With a broker ``arrival_ts`` the
     heartbeat carries the rate source's time (the Spark driver's clock), so
@@ -96,6 +124,7 @@ def bar_stream(ticks: DataFrame, time_mode: str = "event", delay: str = DEFAULT_
     """
     has_arrival = "arrival_ts" in ticks.columns
     if time_mode == "event":
+        ticks = ticks.filter(~too_early(ticks, max_skew))
         t = parse_instant(F.col("fetched_at"))
     elif time_mode == "arrival":
         t = F.col("arrival_ts") if has_arrival else F.current_timestamp()
@@ -191,18 +220,22 @@ def start_bars_from_bronze(spark: SparkSession, bronze_path: str, path: str, che
 
 def start_ingest(messages_factory: Callable[[], DataFrame], bronze_path: str, bars_path: str,
                  checkpoint_root: str, time_mode: str = "event", delay: str = DEFAULT_DELAY,
-                 trigger: dict | None = None, bars_source: str = "messages") -> list[StreamingQuery]:
-    """K4 fan-out: bronze and bars as two independently checkpointed queries.
-
-    ``bars_source='messages'`` (default) has each query read the source, like
-    the reference's two consumers of one topic.  ``'bronze'`` reads the
-    broker once: the bar query follows the bronze table as a file stream
-    (event time only), which at high volume halves broker reads and parses
-    every message once.
+                 trigger: dict | None = None, bars_source: str | None = None,
+                 quarantine_path: str | None = None) -> list[StreamingQuery]:
+    """K4 fan-out: bronze, bars and quarantine as independently checkpointed queries, in this order.
+
+    ``bars_source='bronze'`` (default for event time): the bar query follows the
+    bronze table as a file stream, so bars cost no broker read and no second
+    parse.  ``'messages'`` (default for arrival time) has it read the source
+    itself, like the reference's two consumers of one topic.  Rejected
+    messages go to ``quarantine_path`` (default: ``<bronze_path>.rejects``).
     """
     root = checkpoint_root.rstrip("/")
     messages = messages_factory()
+    bars_source = bars_source or ("bronze" if time_mode == "event" else "messages")
     bronze = start_bronze(messages, bronze_path, f"{root}/bronze", trigger)
+    rejects = start_quarantine(messages_factory(), quarantine_path or f"{bronze_path.rstrip('/')}.rejects",
+                               f"{root}/quarantine", trigger)
     if bars_source == "messages":
         bars = start_bars(messages_factory(), bars_path, f"{root}/bars", time_mode, delay, trigger)
     elif bars_source == "bronze":
@@ -212,7 +245,7 @@ def start_ingest(messages_factory: Callable[[], DataFrame], bronze_path: str, ba
                                       delay, trigger)
     else:
         raise ValueError(f"unknown bars_source {bars_source!r}")
-    return [bronze, bars]
+    return [bronze, bars, rejects]
 
 
 def file_stream(spark: SparkSession, directory: str, schema, glob: str | None = None,
