@@ -50,6 +50,7 @@ HOT_LIST = 200_000       # at most so many shingles are sorted last: 1.6 MB broa
 HOT_LEAST = 8            # sets of one task with a shingle that make it a candidate
 FLUSH = 1_000_000        # shingles a task holds before it sends them on
 FRONTIER = 400_000       # node pairs held at once
+BUCKET_ENTRIES = 400_000 # prefix entries of a bucket, about
 BROADCAST_IDS = 500_000     # 12 MB with their digests; more are joined by a shuffle
 
 
@@ -521,11 +522,13 @@ def jaccard_components(docs: DataFrame, k: int = 5, threshold: Fraction = Fracti
     num, den = threshold.numerator, threshold.denominator
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     profiled = materialize(profile(docs, k), "shingle-profile")
     hot = hot_shingles(profiled)
     thin = profiled.where("shingle IS NULL").select("doc_id", "n", "digest")
     classes = thin.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("low"))
+    if not buckets:   # a bucket is held by one task at a time: their number grows with the prefix entries
+        total = thin.agg(F.sum((F.col("n") * (den - num) / den + 1).cast("bigint"))).first()[0] or 0
+        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_ENTRIES)
     star = materialize(star_candidates(prefix_blocks(docs, k, num, den, hot, buckets), num, den), "star-pairs")
     entries = star.where("shingle IS NOT NULL").select("bucket", "shingle", "who", "n", "digest")
     there = star.where("a IS NOT NULL AND b IS NULL").select(F.col("bucket").alias("place"), F.col("a").alias("digest"))

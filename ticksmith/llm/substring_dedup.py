@@ -36,6 +36,7 @@ HOT_LIST = 50_000
 HOT_LEAST = 8
 FLUSH_BYTES = 16 << 20
 FLUSH_GRAMS = 1_000_000
+BUCKET_WORDS = 400_000      # words of the corpus for each bucket, about
 FAR = np.uint64(1 << 63)
 
 
@@ -49,15 +50,15 @@ def _blocks(column):
         yield a, part, start, end, first, word_hashes(part, start, end)
 
 
-def frequent_grams(docs: DataFrame) -> np.ndarray:
-    """Grams that are most frequent in the corpus, at most HOT_LIST.
+def frequent_grams(docs: DataFrame) -> tuple[np.ndarray, int]:
+    """(grams that are most frequent in the corpus, at most HOT_LIST; number of its words).
 
     Every task counts all its grams and sends those it has HOT_LEAST times;
     the list only steers which bucket a window goes to.
     """
 
     def run(batches):
-        held, total = [], 0
+        held, total, n_words = [], 0, 0
 
         def counted():
             gram, n = np.unique(np.concatenate(held), return_counts=True)
@@ -68,15 +69,20 @@ def frequent_grams(docs: DataFrame) -> np.ndarray:
             for _, _, _, _, _, h in _blocks(batch.column("text")):
                 held.append(gram_hashes(h, GRAM) >> np.uint64(1))
                 total += len(h)
+                n_words += len(h)
                 if total > FLUSH_GRAMS:
                     yield counted()
                     held, total = [], 0
         if held:
             yield counted()
+        # the row without a gram has the words of the task
+        yield pa.record_batch({"gram": pa.nulls(1, pa.int64()), "n": pa.array([n_words], pa.int64())})
 
     top = (docs.select("text").mapInArrow(run, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "gram").limit(HOT_LIST).select("gram").toArrow())
-    return np.sort(top["gram"].to_numpy().astype(np.int64).view(np.uint64))
+           .orderBy(F.col("gram").isNotNull(), F.desc("n"), "gram").limit(HOT_LIST + 1).toArrow())
+    gram = top["gram"].combine_chunks()
+    n_words = int(top["n"][0].as_py()) if len(top) else 0
+    return np.sort(gram.drop_null().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)), n_words
 
 
 def _joined(part, start, end):
@@ -175,9 +181,17 @@ def _repeats(strings: list[bytes], weight: np.ndarray, size: int):
     length = np.array([len(s) for s in strings], np.int64)
     off = np.r_[0, np.cumsum(length + 1)]
     off[-1] -= 1
-    start, end, first = words(data, off, space_table())
-    grams = gram_hashes(word_hashes(data, start, end), size)
-    count = np.diff(first) - size + 1
+    # hashing takes many times the bytes of a block, so the bucket is hashed in blocks
+    table, each = space_table(), []
+    for a, b in blocks(off):
+        part = data[off[a]:off[b]]
+        s, e, f = words(part, off[a:b + 1] - off[a], table)
+        each.append((s + off[a], e + off[a], np.diff(f), word_hashes(part, s, e)))
+    start, end, count, hashes = (np.concatenate(x) for x in zip(*each, strict=True))
+    first = np.r_[0, np.cumsum(count)]
+    grams = gram_hashes(hashes, size)
+    del each, hashes
+    count = count - size + 1
     before = np.r_[0, np.cumsum(count)]
     own = np.repeat(np.arange(len(strings)), count)
     place = first[own] + np.arange(len(own)) - before[own]
@@ -263,10 +277,11 @@ def dedup_substrings(docs: DataFrame, size: int = WINDOW, buckets: int | None =
     empty); texts shorter than a window keep all; repeated rows are
     occurrences like any other and are all returned.
     """
-    buckets = buckets or 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.col("text").cast("string").alias("text")).withColumn("row_key", F.xxhash64("doc_id", "text"))
-    hot = frequent_grams(rows)
+    hot, total = frequent_grams(rows)
+    # a bucket is held by one task at a time: their number grows with the corpus
+    buckets = buckets or max(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_WORDS)
     cuts = repeated_ranges(pack(rows.select("doc_id", "row_key", "text"), hot, size, buckets), size)
     ranges = materialize(cuts.groupBy("doc_id", "row_key").agg(F.collect_set(F.struct("first", "last")).alias("cuts")),
                          "repeated-ranges")
