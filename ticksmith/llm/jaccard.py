@@ -21,7 +21,8 @@ the join runs between classes:
    possible overlap is below the least needed one, or that lies inside one
    component already.
 5. ``fine_filter``: wider bitmaps of the surviving pairs drop most that don't link.
-6. ``verify``: the remaining pairs' sets are intersected exactly.
+6. ``verify``: the remaining pairs' sets, made anew from the texts, are
+   intersected exactly; other sets are never written.
 7. components of the links, joined back to every row.
 
 Hashes of shingles are 64 bits wide; that two different shingles of compared
@@ -408,44 +409,63 @@ def tree_candidates(entries: DataFrame, known: DataFrame, num: int, den: int) ->
             .applyInArrow(run, "a binary, b binary").distinct())
 
 
-def class_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(digest, grams, n, fine, sig) of the wanted classes, from the rows of their smallest doc_id.
+def _rows_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(text, digest) of the rows that ``ids`` (doc_id, digest) names.
 
-    Those ids are broadcast up to BROADCAST_IDS of them (counted first), else
+    The ids are broadcast up to BROADCAST_IDS of them (counted first), else
     joined by a shuffle.
     """
+    few = ids.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(ids) if few else ids, "doc_id").select("text", "digest")
 
-    def run(batches):
-        for batch in batches:
-            digest, sets, fine, sig, load = [], [], [], [], 0
 
-            def out():
-                return pa.record_batch({"digest": pa.array(digest, pa.binary()), "grams": pa.array(sets, pa.binary()),
-                                        "n": pa.array([len(x) // 8 for x in sets], pa.int32()),
-                                        "fine": pa.array(fine, pa.binary()), "sig": pa.array(sig, pa.binary())})
+def _of_ends(table: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
+    """The rows of ``table`` (digest, ...) whose class is in a pair (a, b)."""
+    ends = materialize(pairs.select(F.col("a").alias("digest")).union(pairs.select(F.col("b").alias("digest")))
+                       .distinct(), name)
+    few = ends.count() <= BROADCAST_IDS
+    return table.join(F.broadcast(ends) if few else ends, "digest", "left_semi")
 
+
+def _encoded(rows: DataFrame, k: int, layout: pa.Schema, encode) -> DataFrame:
+    """(digest, the fields of ``encode(set)``) of rows (text, digest), in batches of bounded size."""
+
+    def run(batches):
+        for batch in batches:
+            held, load = [], 0
             for want, (u, _) in zip(batch.column("digest").to_pylist(), shingle_sets(batch.column("text"), k), strict=True):
                 if len(u) and _digest(u) == want:   # not another text under the same doc_id
-                    digest.append(want)
-                    sets.append(u.tobytes())
-                    fine.append(fine_bitmap(u))
-                    sig.append(signature(u))
-                    load += len(sets[-1])
+                    held.append({"digest": want, **encode(u)})
+                    load += u.nbytes
                 if load > 4 << 20:
-                    yield out()
-                    digest, sets, fine, sig, load = [], [], [], [], 0
-            yield out()
+                    yield pa.RecordBatch.from_pylist(held, layout)
+                    held, load = [], 0
+            yield pa.RecordBatch.from_pylist(held, layout)
 
-    ids = materialize(classes.join(wanted, "digest").select(F.col("low").alias("doc_id"), "digest"), "jaccard-ids")
-    few = ids.count() <= BROADCAST_IDS
-    rows = docs.join(F.broadcast(ids) if few else ids, "doc_id").select("text", "digest")
-    return materialize(rows.mapInArrow(run, "digest binary, grams binary, n int, fine binary, sig binary"), "jaccard-sets")
+    return rows.mapInArrow(run, ", ".join(f"{f.name} {'int' if f.type == pa.int32() else 'binary'}" for f in layout))
+
+
+BITMAPS = pa.schema({"digest": pa.binary(), "n": pa.int32(), "fine": pa.binary(), "sig": pa.binary()})
+SETS = pa.schema({"digest": pa.binary(), "grams": pa.binary()})
+
+
+def class_bitmaps(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """(digest, n, fine, sig) of the classes in ``ids``: what filters pairs, a tenth of the sets' size."""
+    return materialize(_encoded(_rows_of(docs, ids), k, BITMAPS, lambda u: {
+        "n": len(u), "fine": fine_bitmap(u), "sig": signature(u)}), "jaccard-bitmaps")
 
 
-def _links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def class_sets(docs: DataFrame, ids: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+    """(digest, grams) of the classes in ``pairs``, made anew from their texts: few sets are ever compared."""
+    wanted = materialize(_of_ends(ids, pairs, "pair-ends"), "pair-ids")
+    return materialize(_encoded(_rows_of(docs, wanted), k, SETS,
+                                lambda u: {"grams": u.tobytes()}), "jaccard-sets")
+
+
+def _links(pairs: DataFrame, docs: DataFrame, ids: DataFrame, bitmaps: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """The pairs that really link."""
-    near = materialize(fine_filter(pairs, sets, num, den), "fine-pairs")
-    return materialize(verify(near, sets, num, den), "jaccard-links")
+    near = materialize(fine_filter(pairs, _of_ends(bitmaps, pairs, "fine-ends"), num, den), "fine-pairs")
+    return materialize(verify(near, class_sets(docs, ids, near, k), num, den), "jaccard-links")
 
 
 def fine_bitmap(u: np.ndarray) -> bytes:
@@ -498,10 +518,6 @@ def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
             keep = pa.array(ok, pa.bool_())
             yield pa.record_batch({"a": batch.column("a").filter(keep), "b": batch.column("b").filter(keep)})
 
-    ends = materialize(pairs.select(F.col("a").alias("digest")).union(pairs.select(F.col("b").alias("digest")))
-                       .distinct(), "pair-ends")
-    few = ends.count() <= BROADCAST_IDS
-    sets = sets.select("digest", "grams").join(F.broadcast(ends) if few else ends, "digest", "left_semi")
     x = sets.select(F.col("digest").alias("a"), F.col("grams").alias("x"))
     y = sets.select(F.col("digest").alias("b"), F.col("grams").alias("y"))
     return (pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
@@ -532,14 +548,17 @@ def jaccard_components(docs: DataFrame, k: int = 5, threshold: Fraction = Fracti
     star = materialize(star_candidates(prefix_blocks(docs, k, num, den, hot, buckets), num, den), "star-pairs")
     entries = star.where("shingle IS NOT NULL").select("bucket", "shingle", "who", "n", "digest")
     there = star.where("a IS NOT NULL AND b IS NULL").select(F.col("bucket").alias("place"), F.col("a").alias("digest"))
-    sets = class_sets(docs, classes, there.select("digest").distinct(), k)
-    near = _links(star.where("b IS NOT NULL").select("a", "b").distinct(), sets, num, den)
+    ids = materialize(classes.join(there.select("digest").distinct(), "digest")
+                      .select(F.col("low").alias("doc_id"), "digest"), "jaccard-ids")
+    bitmaps = class_bitmaps(docs, ids, k)
+    stars = materialize(star.where("b IS NOT NULL").select("a", "b").distinct(), "star-distinct")
+    near = _links(stars, docs, ids, bitmaps, k, num, den)
     joined = materialize(components(near), "star-components")
-    known = (there.join(sets.select("digest", "sig"), "digest")
+    known = (there.join(bitmaps.select("digest", "sig"), "digest")
              .join(joined.select(F.col("node").alias("digest"), "root"), "digest", "left")
              .select("place", "digest", "sig", "root"))
     pairs = materialize(tree_candidates(entries, known, num, den), "tree-pairs")
-    rest = _links(pairs, sets, num, den)
+    rest = _links(pairs, docs, ids, bitmaps, k, num, den)
     edges = joined.select(F.col("node").alias("a"), F.col("root").alias("b")).union(rest)
     linked = (components(edges).select(F.col("node").alias("digest"), "root").join(classes, "digest"))
     low = linked.groupBy("root").agg(F.min("low").alias("low_all"))
