@@ -62,6 +62,24 @@ def test_jaccard_components_equal_brute_force(spark, k, num, den):
         assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == want
 
 
+@pytest.mark.parametrize("k,num,den", [(3, 9, 10), (5, 8, 10)])
+def test_jaccard_links_texts_of_other_white_space(spark, k, num, den):
+    from fractions import Fraction
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 9))) for _ in range(400)]
+    gaps = [" ", "  ", "\r\n\r\n", "\n\n    "]     # each text has another word changed, so no two have equal sets
+    texts = [g.join([*words[:50 * i], f"changed{i}", *words[50 * i + 1:]]) for i, g in enumerate(gaps, 1)]
+    texts += [" ".join(words[:k - 1]), "\n\n".join(words[:k - 1]), " ".join(rng.sample(words, 400))]
+    got = jaccard.jaccard_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), k, Fraction(num, den)).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(0, 0), (1, 0), (2, 0), (3, 0), (4, 4), (5, 4), (6, 6)]
+
+
+def test_jaccard_order_ignores_white_space():
+    import pyarrow as pa
+    (u, a), (v, b) = jaccard.shingle_sets(pa.array(["Some words of a text of words", "some  words\r\nof\n\n a\ttext of   words "]), 3)
+    assert (u == v).all() and (jaccard.ranks(u, a, None) == jaccard.ranks(v, b, None)).all()
+
+
 def test_substring_dedup_equals_brute_force(spark):
     docs = odd_docs(spark)
     rows = [(r["doc_id"], WORD.findall(r["text"] or "")) for r in docs.collect()]

@@ -56,7 +56,11 @@ BROADCAST_IDS = 500_000     # 12 MB with their digests; more are joined by a shu
 
 
 def shingle_sets(batch_text, k: int):
-    """(hashes, lengths) of each row's distinct shingles, hashes ascending."""
+    """(hashes, lengths) of each row's distinct shingles, hashes ascending.
+
+    A length counts the bytes of the words alone, so that equal shingles have
+    equal ones whatever white space stands between their words.
+    """
     raw, off = text_bytes(batch_text)
     table = space_table()
     for a, b in blocks(off):
@@ -64,7 +68,8 @@ def shingle_sets(batch_text, k: int):
         start, end, first = words(part, off[a:b + 1] - off[a], table)
         h = word_hashes(part, start, end)
         grams = gram_hashes(h, k)
-        span = (end[k - 1:] - start[:len(start) - k + 1]) if len(start) >= k else start[:0]
+        upto = np.r_[0, np.cumsum(end - start)]
+        span = upto[k:] - upto[:-k]
         for i in range(b - a):
             f, g = int(first[i]), int(first[i + 1])
             if g - f >= k:
@@ -72,7 +77,7 @@ def shingle_sets(batch_text, k: int):
                 yield u, span[f + at]
             elif g > f:   # fewer words: the whole sequence is one shingle
                 whole = gram_hashes(h[f:g], g - f) ^ np.uint64(0xA5A5A5A5 + g - f)
-                yield whole, np.array([end[g - 1] - start[f]])
+                yield whole, upto[g:g + 1] - upto[f]
             else:
                 yield h[:0], start[:0]
 
