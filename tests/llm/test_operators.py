@@ -220,6 +220,32 @@ def test_license_scan(spark):
     assert got[1]["n_exact"] == 1 and got[4]["n_blocks"] == 1 and got[5]["n_blocks"] == 0
 
 
+def test_license_scan_of_wrapped_and_adjoining_notices():
+    import textwrap
+    scanner = licenses.Scanner()
+
+    def names(text):
+        return sorted(f[0] for f in scanner.scan(text)[1])
+
+    two = "Released under the MIT License. Licensed under the Apache License, Version 2.0."
+    n, found = scanner.scan(two)
+    assert n == 1 and [(f[0], f[2], two[f[3]:f[4]]) for f in sorted(found, key=lambda f: f[3])] == [
+        ("MIT", 0, "Released under the MIT License."), ("Apache-2.0", 0, "Licensed under the Apache License, Version 2.0.")]
+    for name, notice in licenses.TEMPLATES:
+        for width in (12, 30, 72):
+            for mark in ("", " * ", "// ", "# ", "-- "):
+                lines = textwrap.wrap(notice, width, break_long_words=False, break_on_hyphens=False)
+                assert names("Some code.\n\n" + "\n".join(mark + x for x in lines) + "\n\nint main") == [name]
+    # each template among all others, and with two of 29 words added
+    every = " ".join(text for _, text in licenses.TEMPLATES)
+    assert set(names(every)) == {name for name, _ in licenses.TEMPLATES}
+    mit = licenses.TEMPLATES[17][1].replace("free of charge,", "gratis and free of charge,")
+    assert [(f[0], f[2]) for f in scanner.scan("\n".join(textwrap.wrap(mit, 40)))[1]] == [("MIT", 2)]
+    assert names(mit.replace("deal", "trade")) == []
+    assert names("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0\nInternational License.") == ["CC-BY-NC-4.0"]
+    assert names("Rights are kept.\nAll rights\nreserved.") == ["Proprietary"]
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_oracles(spark, name):
     import duckdb
