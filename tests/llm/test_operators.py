@@ -172,6 +172,23 @@ def test_main_text(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in got.values())
 
 
+@pytest.mark.parametrize("page", [
+    "<html><head><title>T</title><meta charset=utf-8>\n<body><article><p>Kept words.</p></article></body></html>",
+    "<head><title>T</title><link rel=x><noscript><p>no</p></noscript><article><p>Kept words.</p></article>",
+    "<head><style>p{}</style>Kept words.",
+    "<article><svg width=1 /><p>Kept words.</p></article>",
+    "<article><svg><title/><path d='M0'/></svg><p>Kept words.</p></article>",
+    "<article><svg><g><svg><text>no</text></svg><text>no</text></g></svg><p>Kept words.</p></article>",
+    "<article><p>Kept <canvas>no</canvas>words.</p><object data=x><p>no</p></object></article>",
+    "<article><noscript></article><p>no</p></noscript><p>Kept words.</p></article>",
+    "<article><template><article><p>no</p></template><p>Kept words.</p></article>",
+    *(f"<div><{tag}></div><article><p>Kept words.</p></article>" for tag in "button select object canvas svg noscript template iframe".split()),
+    *(f"<div><{tag}></div><article><p>Kept words.</p><{tag}>no</{tag}></article>" for tag in "button select object canvas svg noscript template iframe".split()),
+])
+def test_main_text_of_unclosed_elements(page):
+    assert html_extract.main_text(page, html_extract.learn()) == "Kept words."
+
+
 def test_host_reputation(spark):
     pages = spark.createDataFrame([
         (1, "http://A.example.NET/en/x?q"), (2, "https://example.net"), (3, "http://b.example.com/de/1"), (4, "x://org/fr/a#b"),

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|iframe|svg|head|title|select|button|object|canvas)\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|textarea|title)\b(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attr>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
     r"|<[!?][^>]*>"
     r"|(?P<text>[^<]+|<)", re.S | re.I)
@@ -34,6 +34,10 @@ BLOCKS = frozenset("address article aside blockquote body center dd details dial
                    "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre "
                    "search section summary table tbody tfoot thead tr ul caption".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+# Elements whose content is no text of the page; those of NESTED may hold one of their own kind.
+DROPPED = frozenset("noscript template iframe svg head select button object canvas".split())
+NESTED = frozenset("template svg object canvas".split())
+IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
 BOILER_TAGS = frozenset("nav aside footer form menu dialog search label input".split())
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar toolbar".split())
 BOILER_WORDS = frozenset(
@@ -66,6 +70,55 @@ def _boiler(tag: str, attr: str, in_article: bool) -> bool:
     return False
 
 
+def _scan(page: str):
+    """Matches of TOKEN; inside svg a self-closed title, style or script has no content."""
+    at = svg = 0
+    while m := TOKEN.match(page, at):
+        at = m.end()
+        if m["raw"] and svg and m["rest"].endswith("/"):
+            at = m.end("rest") + 1
+        elif m["tag"] and m["tag"].lower() == "svg":
+            svg = max(0, svg - 1) if m["end"] else svg + (not m["attr"].endswith("/"))
+        yield m
+
+
+def _dropped(found: list[re.Match]) -> dict[int, int]:
+    """Start tags of DROPPED elements and where their content ends, as places in ``found``.
+
+    An element without an end tag of its own drops nothing.  head needs none:
+    it ends before body, the first element that can't stand in it, or text.
+    """
+    until: dict[int, int] = {}
+    waiting: dict[str, list[int]] = {tag: [] for tag in DROPPED}
+    for i, m in enumerate(found):
+        tag = (m["tag"] or "").lower()
+        if tag not in DROPPED or tag == "head":
+            continue
+        if not m["end"]:
+            if tag == "svg" and m["attr"].endswith("/"):
+                continue
+            if tag not in NESTED:
+                waiting[tag].clear()
+            waiting[tag].append(i)
+        elif waiting[tag]:
+            until[waiting[tag].pop()] = i + 1
+    i, head = 0, None
+    while i < len(found):
+        m, tag = found[i], (found[i]["tag"] or found[i]["raw"] or "").lower()
+        if head is None:
+            if tag == "head" and not m["end"]:
+                head = i
+        elif tag == "head" and m["end"]:
+            until[head], head = i + 1, None
+        elif tag and not m["end"] and tag not in IN_HEAD or m["text"] and not m["text"].isspace():
+            until[head], head = i, None
+            continue
+        i = max(i + 1, until.get(i, 0))
+    if head is not None:
+        until[head] = len(found)
+    return until
+
+
 def tokens(page: str):
     """(kind, text, context) of a page: kind is word, tag or end; context is where a word stands.
 
@@ -79,9 +132,17 @@ def tokens(page: str):
     boiler, primary = 0, {"article": 0, "main": 0}
     seen = {"article": False, "main": False}
     para = link = 0
-    for m in TOKEN.finditer(page):
+    found = list(_scan(page))
+    dropped = _dropped(found)
+    upto = 0
+    for i, m in enumerate(found):
+        if i < upto:
+            continue
         tag = m["tag"]
-        if tag:
+        if i in dropped:
+            items.append(("tag", tag.lower(), ""))
+            upto = dropped[i]
+        elif tag:
             tag = tag.lower()
             if not m["end"]:
                 items.append(("tag", tag, "nested" if boiler and (primary["article"] or primary["main"]) else ""))
