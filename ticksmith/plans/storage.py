@@ -19,6 +19,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -85,6 +86,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Delete the scratch tables behind ``materialize``d frames once nothing reads them.
+
+    Only folders that ``scratch_path`` made below the work folder are deleted.
+    """
+    for df in frames:
+        spark = df.sparkSession
+        root = work_dir(spark).partition(":")[2].lstrip("/") or work_dir(spark).lstrip("/")
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            if root in folder and re.fullmatch(r".+-[0-9a-f]{32}", folder.rpartition("/")[2]):
+                hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+                hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def with_month(df: DataFrame, source_col: str, part_col: str = PART_COL) -> DataFrame:
     """K8: add ``ym = year * 100 + month`` of ``source_col``."""
     return df.withColumn(part_col, month_key(F.col(source_col)))
