@@ -74,6 +74,54 @@ def test_jaccard_links_texts_of_other_white_space(spark, k, num, den):
     assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(0, 0), (1, 0), (2, 0), (3, 0), (4, 4), (5, 4), (6, 6)]
 
 
+def near_group(spark, n=60, words=120, seed=3):
+    """A base text with 0 to 14 changed words, rows without an id between them, and unrelated texts."""
+    rng = random.Random(seed)
+    base = [f"v{rng.randrange(5000)}" for _ in range(words)]
+    rows = []
+    for i in range(n):
+        w = list(base)
+        for at in rng.sample(range(words), rng.randrange(15)):
+            w[at] = f"x{rng.randrange(10**6)}"
+        rows.append((None if i % 7 == 3 else 1000 - i, " ".join(w)))
+    rows += [(i, " ".join(f"u{rng.randrange(10**6)}" for _ in range(80))) for i in range(10)]
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+
+
+def brute_components(rows, k, num, den):
+    """Sorted (doc_id, set size, smallest id of the component) of (doc_id, text) rows."""
+    sets = [ngrams(WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or "")), k) for _, t in rows]
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if sets[i] and sets[j] and den * both >= num * (len(sets[i]) + len(sets[j]) - both) and root[i] != root[j]:
+                a, b = root[i], root[j]
+                root = [a if r == b else r for r in root]
+    low = {}
+    for r, (d, _) in zip(root, rows, strict=True):
+        low[r] = min((x for x in (low.get(r), d) if x is not None), default=None)
+    return sorted(((d, len(s), low[r]) for (d, _), s, r in zip(rows, sets, root, strict=True)), key=repr)
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 900, 130])
+def test_jaccard_group_in_one_and_many_blocks(spark, limit):
+    from fractions import Fraction
+    docs = near_group(spark)
+    got = jaccard.jaccard_components(docs, 3, Fraction(9, 10), limit=limit).collect()
+    assert sorted(map(tuple, got), key=repr) == brute_components([tuple(r) for r in docs.collect()], 3, 9, 10)
+
+
+def test_jaccard_links_through_a_row_without_id(spark):
+    from fractions import Fraction
+    base = [f"w{i}" for i in range(100)]
+    other = [*base[:-2], "y", "z"]
+    rows = [(1, " ".join(["a", *base[1:]])), (None, " ".join(base)), (2, " ".join(other)), (None, "alone here now"), (None, "alone here now")]
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, Fraction(95, 100)).collect()
+    assert sorted(map(tuple, got), key=repr) == brute_components(rows, 3, 95, 100)
+    assert [r["component_id"] for r in got if r["n_shingles"] == 98] == [1, 1, 1]
+
+
 def test_jaccard_order_ignores_white_space():
     import pyarrow as pa
     (u, a), (v, b) = jaccard.shingle_sets(pa.array(["Some words of a text of words", "some  words\r\nof\n\n a\ttext of   words "]), 3)

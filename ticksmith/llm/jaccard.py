@@ -11,19 +11,17 @@ the join runs between classes:
    shingles first and hot ones last, so few unrelated sets meet.  Prefix
    entries travel as flat arrays, one row per task and bucket; a hot shingle's
    entries are also split by size band.
-3. ``star_candidates``: each shingle's classes are first compared with one
-   of them, which joins the bulk of any large
-   group of near copies by a linear number of pairs.
-4. ``tree_candidates``: in a bucket the entries of each shingle form a
-   signature tree: leaves hold a set's token bitmap, size and digest, nodes the
-   OR of their children's bitmaps, size ranges and the largest number of
-   tokens that share bits.  Dual traversal drops each node pair whose largest
-   possible overlap is below the least needed one, or that lies inside one
-   component already.
-5. ``fine_filter``: wider bitmaps of the surviving pairs drop most that don't link.
-6. ``verify``: the remaining pairs' sets, made anew from the texts, are
-   intersected exactly; other sets are never written.
-7. components of the links, joined back to every row.
+3. ``near_classes``: in a bucket the entries of each shingle form a signature
+   tree: leaves hold a set's token bitmap and size, nodes the OR of their
+   children's bitmaps, size ranges and the largest number of tokens that share
+   bits.  Dual traversal drops each node pair whose largest possible overlap is
+   below the least needed one, or that hangs together already.  Pairs don't
+   leave the bucket: a class and the first one it hangs together with are all
+   that is passed on, at most one row a class.
+4. ``setlinks.linked_classes``: classes that hang together over all buckets
+   meet once, as a group, with their full sets; signature trees over the group
+   and exact intersections give its links, again at most one row a class.
+5. components of the links, joined back to every row.
 
 Hashes of shingles are 64 bits wide; that two different shingles of compared
 texts collide is not expected in any corpus (about 2^-64 a pair).
@@ -43,7 +41,9 @@ from pyspark.sql import functions as F
 from ticksmith.llm.arrays import (blocks, gram_hashes, lower_ascii, mix64, release, space_table,
                                   text_bytes, word_hashes, words)
 from ticksmith.llm.components import components
-from ticksmith.plans.storage import materialize
+from ticksmith.llm.setlinks import (LIMIT, MATRIX, Joined, bitmap, encoded, linked_classes, most_overlap, popcount,
+                                    reaches, rows_of)
+from ticksmith.plans.storage import discard, materialize
 
 SIG_WORDS = 16           # bitmap of 1024 bits
 FANOUT = 8
@@ -51,8 +51,8 @@ HOT_LIST = 200_000       # at most so many shingles are sorted last: 1.6 MB broa
 HOT_LEAST = 8            # sets of one task with a shingle that make it a candidate
 FLUSH = 1_000_000        # shingles a task holds before it sends them on
 FRONTIER = 400_000       # node pairs held at once
+PORTION = 100_000        # leaf pairs judged at once
 BUCKET_ENTRIES = 400_000 # prefix entries of a bucket, about
-BROADCAST_IDS = 500_000     # 12 MB with their digests; more are joined by a shuffle
 
 
 def shingle_sets(batch_text, k: int):
@@ -105,11 +105,11 @@ def _digest(u: np.ndarray) -> bytes:
     return hashlib.blake2b(u.tobytes(), digest_size=16).digest()
 
 
-PROFILE = "doc_id bigint, n bigint, digest binary, shingle bigint, entries bigint"
+PROFILE = "doc_id bigint, key bigint, n bigint, digest binary, shingle bigint, entries bigint"
 
 
 def profile(docs: DataFrame, k: int) -> DataFrame:
-    """Rows (doc_id, n, digest), and rows (shingle, entries) of each task's frequent shingles."""
+    """Rows (doc_id, key, n, digest), and rows (shingle, entries) of each task's frequent shingles."""
 
     def run(batches):
         seen, held, last = [], 0, None
@@ -119,7 +119,7 @@ def profile(docs: DataFrame, k: int) -> DataFrame:
             keep = n >= HOT_LEAST
             m = int(keep.sum())
             return pa.record_batch({
-                "doc_id": pa.nulls(m, pa.int64()), "n": pa.nulls(m, pa.int64()),
+                "doc_id": pa.nulls(m, pa.int64()), "key": pa.nulls(m, pa.int64()), "n": pa.nulls(m, pa.int64()),
                 "digest": pa.nulls(m, pa.binary()),
                 "shingle": pa.array(keys[keep].astype(np.uint64).view(np.int64)),
                 "entries": pa.array(n[keep].astype(np.int64))})
@@ -135,7 +135,7 @@ def profile(docs: DataFrame, k: int) -> DataFrame:
                 digest.append(last if len(u) else None)
             m = len(n)
             yield pa.record_batch({
-                "doc_id": batch.column("doc_id"), "n": pa.array(n, pa.int64()),
+                "doc_id": batch.column("doc_id"), "key": batch.column("key"), "n": pa.array(n, pa.int64()),
                 "digest": pa.array(digest, pa.binary()),
                 "shingle": pa.nulls(m, pa.int64()), "entries": pa.nulls(m, pa.int64())})
             if held > FLUSH:
@@ -154,12 +154,6 @@ def hot_shingles(profiled: DataFrame) -> np.ndarray:
     return np.sort(table["shingle"].to_numpy().astype(np.int64).view(np.uint64))
 
 
-def signature(u: np.ndarray) -> bytes:
-    on = np.zeros(64 * SIG_WORDS, np.uint8)
-    on[((u >> np.uint64(20)) & np.uint64(64 * SIG_WORDS - 1)).astype(np.int64)] = 1
-    return np.packbits(on, bitorder="little").tobytes()
-
-
 ENTRIES = "bucket int, shingle binary, who binary, n binary, digest binary"
 
 
@@ -223,10 +217,6 @@ def prefix_blocks(docs: DataFrame, k: int, num: int, den: int, hot: np.ndarray,
     return docs.select("text").mapInArrow(run, ENTRIES)
 
 
-def _popcount(x: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(x).sum(axis=-1, dtype=np.int64)
-
-
 class Forest:
     """Signature trees over consecutive groups of leaves, FANOUT children a node.
 
@@ -235,7 +225,7 @@ class Forest:
     """
 
     def __init__(self, first: np.ndarray, n: np.ndarray, sig: np.ndarray, root: np.ndarray | None = None):
-        spill = n - _popcount(sig)
+        spill = n - popcount(sig)
         root = np.arange(len(n)) if root is None else root
         self.levels = [(first, sig, n, n, spill, root, root)]
         while (np.diff(self.levels[-1][0]) > 1).any():
@@ -253,7 +243,7 @@ class Forest:
         ok = (hi[x] * den >= lo[y] * num) & (hi[y] * den >= lo[x] * num)
         ok &= (r[x] != t[x]) | (r[y] != t[y]) | (r[x] != r[y])
         x, y = x[ok], y[ok]
-        most = np.minimum(np.minimum(hi[x], hi[y]), _popcount(sig[x] & sig[y]) + np.minimum(spill[x], spill[y]))
+        most = np.minimum(np.minimum(hi[x], hi[y]), popcount(sig[x] & sig[y]) + np.minimum(spill[x], spill[y]))
         ok[ok] = most * (den + num) >= num * (lo[x] + lo[y])
         return ok
 
@@ -315,70 +305,83 @@ def _groups(shingle, who, *by):
     return shingle[many], who[many], np.r_[0, np.cumsum(size[size > 1])]
 
 
-def _packed(x, y):
-    return (np.minimum(x, y).astype(np.uint64) << np.uint64(32)) | np.maximum(x, y).astype(np.uint64)
-
-
-def _named(pairs: np.ndarray, names: bytes):
-    for i in range(0, len(pairs), 50_000):
-        part = pairs[i:i + 50_000]
-        one = [names[16 * j:16 * j + 16] for j in (part >> np.uint64(32)).tolist()]
-        two = [names[16 * j:16 * j + 16] for j in (part & np.uint64(0xFFFFFFFF)).tolist()]
-        yield ([min(p, q) for p, q in zip(one, two, strict=True)],
-               [max(p, q) for p, q in zip(one, two, strict=True)])
-
+SHARED = "bucket int, name binary, shingle binary, who binary, n binary, digest binary"
 
-SHARED = "bucket int, a binary, b binary, shingle binary, who binary, n binary, digest binary"
 
+def shared_entries(entries: DataFrame) -> DataFrame:
+    """Of each bucket the entries whose shingle two or more classes share, as flat arrays in one row.
 
-def star_candidates(entries: DataFrame, num: int, den: int) -> DataFrame:
-    """Of each shingle's classes the pairs (bucket, a, b) with one of them, and what the trees need.
-
-    At most one pair an entry, so a large group of near copies gets no
-    quadratic number of them.  One more row a bucket holds its entries whose
-    shingle two or more classes share, as flat arrays; rows with a but
-    no b name their classes.
+    Rows with a name are the classes of these entries.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = list(batches)
+        bucket = held[0].column("bucket")[0].as_py()
         shingle, who, n, names = _bucket(held)
-        shingle, who, first = _groups(shingle, who, n)
+        shingle, who, _ = _groups(shingle, who, n)
         if not len(who):
             return
-        # each shingle has a centre of its own, so the stars of a group of near copies overlap
-        lot = mix64(shingle ^ np.frombuffer(names, np.uint64)[::2][who])
-        least = np.flatnonzero(lot == np.repeat(np.minimum.reduceat(lot, first[:-1]), np.diff(first)))
-        centre = np.repeat(least[np.searchsorted(least, first[:-1])], np.diff(first))
-        y = np.flatnonzero(np.arange(len(who)) != centre)
-        x = centre[y]
-        ok = (n[who[x]] * den >= n[who[y]] * num) & (n[who[y]] * den >= n[who[x]] * num)
-        bucket = held[0].column("bucket")[0].as_py()
-
-        def rows(a, b=None, flat=None):
-            flat = flat or {c: pa.nulls(len(a), pa.binary()) for c in ("shingle", "who", "n", "digest")}
-            return pa.record_batch({"bucket": pa.array([bucket] * len(a), pa.int32()), "a": pa.array(a, pa.binary()),
-                                    "b": pa.array(b or [None] * len(a), pa.binary()), **flat})
-
-        for a, b in _named(np.unique(_packed(who[x[ok]], who[y[ok]])), names):
-            yield rows(a, b)
         used, local = np.unique(who, return_inverse=True)
         named = [names[16 * j:16 * j + 16] for j in used.tolist()]
-        yield rows(named)
-        yield rows([None], None, {c: pa.array([v.tobytes() if c != "digest" else b"".join(v)], pa.binary()) for c, v in (
-            ("shingle", shingle), ("who", local.astype(np.int32)), ("n", n[used].astype(np.int32)),
-            ("digest", named))})
+
+        def rows(name, flat=None):
+            flat = flat or {c: pa.nulls(len(name), pa.binary()) for c in ("shingle", "who", "n", "digest")}
+            return pa.record_batch({"bucket": pa.array([bucket] * len(name), pa.int32()), "name": pa.array(name, pa.binary()), **flat})
+
+        for i in range(0, len(named), 50_000):
+            yield rows(named[i:i + 50_000])
+        yield rows([None], {c: pa.array([v], pa.binary()) for c, v in (
+            ("shingle", shingle.tobytes()), ("who", local.astype(np.int32).tobytes()),
+            ("n", n[used].astype(np.int32).tobytes()), ("digest", b"".join(named)))})
 
     return entries.groupBy("bucket").applyInArrow(run, SHARED)
 
 
-def tree_candidates(entries: DataFrame, known: DataFrame, num: int, den: int) -> DataFrame:
-    """Distinct class pairs (a, b) that pass a bucket's signature trees.
+class Bitmaps:
+    """Bitmaps of several widths, compared at the narrower one of a pair."""
+
+    def __init__(self, maps: list[bytes]):
+        self.words = np.array([len(m) // 8 for m in maps], np.int64)
+        self.place, self.of = np.zeros(len(maps), np.int64), {}
+        for w in np.unique(self.words).tolist():
+            at = np.flatnonzero(self.words == w)
+            self.place[at] = np.arange(len(at))
+            self.of[w] = np.frombuffer(b"".join(maps[i] for i in at.tolist()), np.uint64).reshape(-1, w)
+
+    def at(self, x: np.ndarray, wide: int, narrow: int) -> np.ndarray:
+        """The bitmaps of members x, all ``wide`` words long, folded to ``narrow`` words."""
+        found = self.of[wide][self.place[x]]
+        return found if wide == narrow else np.bitwise_or.reduce(found.reshape(len(x), wide // narrow, narrow), axis=1)
+
+    def folded(self, narrow: int) -> np.ndarray:
+        out = np.zeros((len(self.words), narrow), np.uint64)
+        for w in self.of:
+            at = np.flatnonzero(self.words == w)
+            out[at] = self.at(at, w, narrow)
+        return out
+
+    def may_link(self, x, y, n, num: int, den: int) -> np.ndarray:
+        ok = (n[x] * den >= n[y] * num) & (n[y] * den >= n[x] * num)
+        both = np.flatnonzero(ok)
+        kind = self.words[x[both]] * (1 << 32) + self.words[y[both]]
+        for k in np.unique(kind).tolist():
+            wx, wy = k >> 32, k & 0xFFFFFFFF
+            at = both[kind == k]
+            step = max(1, MATRIX // (32 * max(wx, wy)))
+            for i in range(0, len(at), step):
+                part = at[i:i + step]
+                p, q = x[part], y[part]
+                most = most_overlap(self.at(p, wx, min(wx, wy)), self.at(q, wy, min(wx, wy)), n[p], n[q])
+                ok[part] = reaches(most, n[p], n[q], num, den)
+        return ok
+
+
+def near_classes(entries: DataFrame, known: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): each class of a bucket that its signature trees can't keep apart from another, and the first such one.
 
-    ``known`` (place, digest, sig, root; place is a bucket) has the classes'
-    bitmaps and, of those that the star pairs have linked, the component; pairs
-    and node pairs inside one component are left out, for they can add nothing
-    to it.
+    ``known`` (place, digest, fine; place is a bucket) has the classes'
+    bitmaps.  Each shingle's classes are compared with one of them first, so a
+    group of near copies hangs together before its trees are traversed.
     """
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -386,189 +389,110 @@ def tree_candidates(entries: DataFrame, known: DataFrame, num: int, den: int) ->
         if left.num_rows == 0 or right.num_rows == 0:
             return none
         shingle, who, n, names = _bucket(left.to_batches())
-        root, sig, there = np.full(len(n), -1, np.int64), np.zeros((len(n), SIG_WORDS), np.uint64), np.zeros(len(n), bool)
         place = {names[16 * j:16 * j + 16]: j for j in range(len(n))}
-        roots: dict[bytes, int] = {}
-        for d, bits, r in zip(*(right.column(c).to_pylist() for c in ("digest", "sig", "root")), strict=True):
+        fine: list = [None] * len(n)
+        for d, bits in zip(right.column("digest").to_pylist(), right.column("fine").to_pylist(), strict=True):
             if d in place:
-                sig[place[d]], there[place[d]] = np.frombuffer(bits, np.uint64), True
-                if r is not None:
-                    root[place[d]] = roots.setdefault(r, len(roots))
+                fine[place[d]] = bits
+        there = np.array([f is not None for f in fine], bool)
         keep = there[who]
-        _, who, first = _groups(shingle[keep], who[keep], _popcount(sig), n, root)
+        maps = Bitmaps([f or bytes(8 * SIG_WORDS) for f in fine])
+        del fine
+        sig = maps.folded(SIG_WORDS)
+        shingle, who, first = _groups(shingle[keep], who[keep], popcount(sig), n)
         if not len(who):
             return none
-        alone = root < 0
-        root[alone] = -1 - np.flatnonzero(alone)
-        forest = Forest(first, n[who], sig[who], root[who])
-        found, waiting = np.zeros(0, np.uint64), []
+        joined = Joined(len(n))
+        # each shingle has a centre of its own, so the stars of a group of near copies overlap
+        lot = mix64(shingle ^ np.frombuffer(names, np.uint64)[::2][who])
+        least = np.flatnonzero(lot == np.repeat(np.minimum.reduceat(lot, first[:-1]), np.diff(first)))
+        centre = who[np.repeat(least[np.searchsorted(least, first[:-1])], np.diff(first))]
+        ok = maps.may_link(centre, who, n, num, den)
+        joined.join(centre[ok], who[ok])
+        forest = Forest(first, n[who], sig[who], joined.root[who])
+        held: list = []
+
+        def settle():
+            x, y = (np.concatenate(v) for v in zip(*held, strict=True))
+            ok = joined.open(x, y)
+            x, y = x[ok], y[ok]
+            ok = maps.may_link(x, y, n, num, den)
+            joined.join(x[ok], y[ok])
+            held.clear()
+
         for x, y in forest.pairs(num, den):
-            waiting.append(_packed(who[x], who[y]))
-            if sum(map(len, waiting)) > 2_000_000:
-                found, waiting = np.unique(np.concatenate([found, *waiting])), []
-        parts = list(_named(np.unique(np.concatenate([found, *waiting])), names))
-        return pa.table({"a": pa.array([p for a, _ in parts for p in a], pa.binary()),
-                         "b": pa.array([p for _, b in parts for p in b], pa.binary())})
+            x, y = who[x], who[y]
+            ok = joined.open(x, y)
+            held.append((x[ok], y[ok]))
+            if sum(len(v) for v, _ in held) > PORTION:
+                settle()
+        if held:
+            settle()
+        one = np.flatnonzero(joined.root != np.arange(len(n)))
+        return pa.table({"a": pa.array([names[16 * j:16 * j + 16] for j in joined.root[one].tolist()], pa.binary()),
+                         "b": pa.array([names[16 * j:16 * j + 16] for j in one.tolist()], pa.binary())})
 
     return (entries.groupBy("bucket").cogroup(known.groupBy("place"))
             .applyInArrow(run, "a binary, b binary").distinct())
 
 
-def _rows_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(text, digest) of the rows that ``ids`` (doc_id, digest) names.
-
-    The ids are broadcast up to BROADCAST_IDS of them (counted first), else
-    joined by a shuffle.
-    """
-    few = ids.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(ids) if few else ids, "doc_id").select("text", "digest")
-
-
-def _of_ends(table: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
-    """The rows of ``table`` (digest, ...) whose class is in a pair (a, b)."""
-    ends = materialize(pairs.select(F.col("a").alias("digest")).union(pairs.select(F.col("b").alias("digest")))
-                       .distinct(), name)
-    few = ends.count() <= BROADCAST_IDS
-    return table.join(F.broadcast(ends) if few else ends, "digest", "left_semi")
-
-
-def _encoded(rows: DataFrame, k: int, layout: pa.Schema, encode) -> DataFrame:
-    """(digest, the fields of ``encode(set)``) of rows (text, digest), in batches of bounded size."""
-
-    def run(batches):
-        for batch in batches:
-            held, load = [], 0
-            for want, (u, _) in zip(batch.column("digest").to_pylist(), shingle_sets(batch.column("text"), k), strict=True):
-                if len(u) and _digest(u) == want:   # not another text under the same doc_id
-                    held.append({"digest": want, **encode(u)})
-                    load += u.nbytes
-                if load > 4 << 20:
-                    yield pa.RecordBatch.from_pylist(held, layout)
-                    held, load = [], 0
-            yield pa.RecordBatch.from_pylist(held, layout)
-
-    return rows.mapInArrow(run, ", ".join(f"{f.name} {'int' if f.type == pa.int32() else 'binary'}" for f in layout))
-
-
-BITMAPS = pa.schema({"digest": pa.binary(), "n": pa.int32(), "fine": pa.binary(), "sig": pa.binary()})
-SETS = pa.schema({"digest": pa.binary(), "grams": pa.binary()})
-
-
-def class_bitmaps(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """(digest, n, fine, sig) of the classes in ``ids``: what filters pairs, a tenth of the sets' size."""
-    return materialize(_encoded(_rows_of(docs, ids), k, BITMAPS, lambda u: {
-        "n": len(u), "fine": fine_bitmap(u), "sig": signature(u)}), "jaccard-bitmaps")
-
-
-def class_sets(docs: DataFrame, ids: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
-    """(digest, grams) of the classes in ``pairs``, made anew from their texts: few sets are ever compared."""
-    wanted = materialize(_of_ends(ids, pairs, "pair-ends"), "pair-ids")
-    return materialize(_encoded(_rows_of(docs, wanted), k, SETS,
-                                lambda u: {"grams": u.tobytes()}), "jaccard-sets")
-
-
-def _links(pairs: DataFrame, docs: DataFrame, ids: DataFrame, bitmaps: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The pairs that really link."""
-    near = materialize(fine_filter(pairs, _of_ends(bitmaps, pairs, "fine-ends"), num, den), "fine-pairs")
-    return materialize(verify(near, class_sets(docs, ids, near, k), num, den), "jaccard-links")
+def tree_pairs(n: np.ndarray, bits: np.ndarray, joined: Joined, num: int, den: int):
+    """Pairs of a group's members that pass a signature tree over all of them."""
+    sig = np.bitwise_or.reduce(bits.reshape(len(n), -1, SIG_WORDS), axis=1)
+    order = np.lexsort((n, popcount(sig), joined.root))
+    forest = Forest(np.array([0, len(n)]), n[order], sig[order], joined.root[order])
+    for x, y in forest.pairs(num, den):
+        yield order[x], order[y]
 
 
 def fine_bitmap(u: np.ndarray) -> bytes:
-    """Token bitmap of a set, four to eight bits a token, a power of two wide."""
-    width = max(256, 1 << int(4 * len(u) - 1).bit_length())
-    on = np.zeros(width, np.uint8)
-    on[(u & np.uint64(width - 1)).astype(np.int64)] = 1
-    return np.packbits(on, bitorder="little").tobytes()
-
-
-def fine_filter(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs whose bitmaps leave enough possible overlap; they travel in place of the sets."""
-
-    def run(batches):
-        for batch in batches:
-            ok = []
-            x, y, n, m = (batch.column(c) for c in ("x", "y", "nx", "ny"))
-            for i in range(batch.num_rows):
-                p, q = np.frombuffer(x[i].as_buffer(), np.uint64), np.frombuffer(y[i].as_buffer(), np.uint64)
-                while len(p) > len(q):     # the wider one is folded
-                    p = p[:len(p) // 2] | p[len(p) // 2:]
-                while len(q) > len(p):
-                    q = q[:len(q) // 2] | q[len(q) // 2:]
-                a, b = n[i].as_py(), m[i].as_py()
-                most = min(a - int(np.bitwise_count(p & ~q).sum()), b - int(np.bitwise_count(q & ~p).sum()))
-                ok.append(most * (den + num) >= num * (a + b))
-            keep = pa.array(ok, pa.bool_())
-            yield pa.record_batch({"a": batch.column("a").filter(keep), "b": batch.column("b").filter(keep)})
-
-    x = sets.select(F.col("digest").alias("a"), F.col("n").alias("nx"), F.col("fine").alias("x"))
-    y = sets.select(F.col("digest").alias("b"), F.col("n").alias("ny"), F.col("fine").alias("y"))
-    return (pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", "nx", "ny")
-            .mapInArrow(run, "a binary, b binary"))
-
-
-def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs whose sets really have the wanted Jaccard similarity."""
-
-    def run(batches):
-        for batch in batches:
-            x, y = batch.column("x"), batch.column("y")
-            ok = []
-            for i in range(batch.num_rows):
-                p, q = np.frombuffer(x[i].as_buffer(), np.uint64), np.frombuffer(y[i].as_buffer(), np.uint64)
-                if len(p) > len(q):
-                    p, q = q, p
-                at = np.searchsorted(q, p)
-                both = int((q[np.minimum(at, len(q) - 1)] == p).sum())
-                ok.append(den * both >= num * (len(p) + len(q) - both))
-            keep = pa.array(ok, pa.bool_())
-            yield pa.record_batch({"a": batch.column("a").filter(keep), "b": batch.column("b").filter(keep)})
-
-    x = sets.select(F.col("digest").alias("a"), F.col("grams").alias("x"))
-    y = sets.select(F.col("digest").alias("b"), F.col("grams").alias("y"))
-    return (pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-            .mapInArrow(run, "a binary, b binary"))
+    """Token bitmap of a set, four to eight bits a token, a power of two wide, 1024 bits at least."""
+    return bitmap(u, 1 << max(10, int(4 * len(u) - 1).bit_length())).tobytes()
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, threshold: Fraction = Fraction(8, 10),
-                       buckets: int | None = None) -> DataFrame:
+                       buckets: int | None = None, limit: int = LIMIT) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row of ``docs`` (doc_id, text).
 
-    component_id is the smallest doc_id reachable by links, itself included.  Rows with equal sets are one class.  Null and empty texts
-    have n_shingles 0 and are linked with nothing; texts with fewer than k
-    words have one shingle, the whole sequence.  Repeated rows are all
-    returned; a row with a null doc_id gets the smallest id of its component, but
-    a class that has only such rows links with nothing.
-    Other columns are ignored; an empty table gives an empty result.
+    component_id is the smallest doc_id reachable by links, itself included.
+    Rows with equal sets are one class.  Null and empty texts have n_shingles 0
+    and are linked with nothing; texts with fewer than k words have one shingle,
+    the whole sequence.  Very long texts are one set like any other.  Repeated
+    rows are all returned.  A row with a null doc_id links like any other; it gets
+    the smallest id of its component, null if no row there has one.  Other
+    columns are ignored; an empty table gives an empty result.  ``limit`` is the
+    number of shingles beyond which a group of near classes is cut into blocks.
     """
     num, den = threshold.numerator, threshold.denominator
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.withColumn("key", F.xxhash64("text"))
     profiled = materialize(profile(docs, k), "shingle-profile")
     hot = hot_shingles(profiled)
-    thin = profiled.where("shingle IS NULL").select("doc_id", "n", "digest")
-    classes = thin.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("low"))
+    thin = profiled.where("shingle IS NULL").select("doc_id", "key", "n", "digest")
+    classes = thin.where("digest IS NOT NULL").groupBy("digest").agg(
+        F.min("doc_id").alias("low"), F.coalesce(F.min_by("key", "doc_id"), F.min("key")).alias("rep"), F.max("n").alias("n"))
     if not buckets:   # a bucket is held by one task at a time: their number grows with the prefix entries
         total = thin.agg(F.sum((F.col("n") * (den - num) / den + 1).cast("bigint"))).first()[0] or 0
         buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_ENTRIES)
-    star = materialize(star_candidates(prefix_blocks(docs, k, num, den, hot, buckets), num, den), "star-pairs")
-    entries = star.where("shingle IS NOT NULL").select("bucket", "shingle", "who", "n", "digest")
-    there = star.where("a IS NOT NULL AND b IS NULL").select(F.col("bucket").alias("place"), F.col("a").alias("digest"))
-    ids = materialize(classes.join(there.select("digest").distinct(), "digest")
-                      .select(F.col("low").alias("doc_id"), "digest"), "jaccard-ids")
-    bitmaps = class_bitmaps(docs, ids, k)
-    stars = materialize(star.where("b IS NOT NULL").select("a", "b").distinct(), "star-distinct")
-    near = _links(stars, docs, ids, bitmaps, k, num, den)
-    joined = materialize(components(near), "star-components")
-    known = (there.join(bitmaps.select("digest", "sig"), "digest")
-             .join(joined.select(F.col("node").alias("digest"), "root"), "digest", "left")
-             .select("place", "digest", "sig", "root"))
-    pairs = materialize(tree_candidates(entries, known, num, den), "tree-pairs")
-    rest = _links(pairs, docs, ids, bitmaps, k, num, den)
-    edges = joined.select(F.col("node").alias("a"), F.col("root").alias("b")).union(rest)
-    linked = (components(edges).select(F.col("node").alias("digest"), "root").join(classes, "digest"))
-    low = linked.groupBy("root").agg(F.min("low").alias("low_all"))
-    named = linked.join(low, "root").select("digest", "low_all")
-    whole = classes.join(named, "digest", "left").select(
-        "digest", F.least("low_all", "low").alias("component_id"))
-    return thin.join(whole, "digest", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    shared = materialize(shared_entries(prefix_blocks(docs.drop("key"), k, num, den, hot, buckets)), "shared-entries")
+    entries = shared.where("name IS NULL").drop("name")
+    there = shared.where("name IS NOT NULL").select(F.col("bucket").alias("place"), F.col("name").alias("digest"))
+    ids = materialize(classes.join(there.select("digest").distinct(), "digest"), "jaccard-ids")
+
+    def sets(column):
+        return (u for u, _ in shingle_sets(column, k))
+
+    bitmaps = materialize(encoded(rows_of(docs, ids), sets, _digest, "fine binary", lambda u: {"fine": fine_bitmap(u)}),
+                          "jaccard-bitmaps")
+    near = materialize(near_classes(entries, there.join(bitmaps, "digest"), num, den), "near-classes")
+    links = linked_classes(near, ids, docs, sets, _digest, num, den, tree_pairs, limit)
+    linked = components(links).select(F.col("node").alias("digest"), "root").join(classes.select("digest", "low"), "digest")
+    low = linked.groupBy("root").agg(F.min("low").alias("component_id"))
+    named = materialize(linked.join(low, "root").select("digest", "component_id"), "linked-classes")
+    alone = classes.join(named, "digest", "left_anti").select("digest", F.col("low").alias("component_id"))
+    found = thin.join(named.union(alone), "digest", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    discard(shared, ids, bitmaps, near, links)
+    return found
