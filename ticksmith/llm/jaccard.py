@@ -11,17 +11,18 @@ the join runs between classes:
    shingles first and hot ones last, so few unrelated sets meet.  Prefix
    entries travel as flat arrays, one row per task and bucket; a hot shingle's
    entries are also split by size band.
-3. ``near_classes``: in a bucket the entries of each shingle form a signature
+3. ``by_members``: shingles with the same classes become one group.
+4. ``near_classes``: in a bucket the entries of each group form a signature
    tree: leaves hold a set's token bitmap and size, nodes the OR of their
    children's bitmaps, size ranges and the largest number of tokens that share
    bits.  Dual traversal drops each node pair whose largest possible overlap is
    below the least needed one, or that hangs together already.  Pairs don't
    leave the bucket: a class and the first one it hangs together with are all
    that is passed on, at most one row a class.
-4. ``setlinks.linked_classes``: classes that hang together over all buckets
+5. ``setlinks.linked_classes``: classes that hang together over all buckets
    meet once, as a group, with their full sets; signature trees over the group
    and exact intersections give its links, again at most one row a class.
-5. components of the links, joined back to every row.
+6. components of the links, joined back to every row.
 
 Hashes of shingles are 64 bits wide; that two different shingles of compared
 texts collide is not expected in any corpus (about 2^-64 a pair).
@@ -157,6 +158,22 @@ def hot_shingles(profiled: DataFrame) -> np.ndarray:
 ENTRIES = "bucket int, shingle binary, who binary, n binary, digest binary"
 
 
+def _flat_rows(key: np.ndarray, own: np.ndarray, n: np.ndarray, digest: np.ndarray, buckets: int):
+    """Entries (key, owner) as ENTRIES rows, one a bucket; n and digest are the owners'."""
+    to = (mix64(key) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(to, kind="stable")
+    key, own, to = key[order], own[order], to[order]
+    cuts = np.flatnonzero(np.r_[True, to[1:] != to[:-1], True])
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        used, local = np.unique(own[a:b], return_inverse=True)
+        yield pa.record_batch({
+            "bucket": pa.array([int(to[a])], pa.int32()),
+            "shingle": pa.array([key[a:b].tobytes()], pa.binary()),
+            "who": pa.array([local.astype(np.int32).tobytes()], pa.binary()),
+            "n": pa.array([n[used].tobytes()], pa.binary()),
+            "digest": pa.array([digest[used].tobytes()], pa.binary())})
+
+
 def prefix_blocks(docs: DataFrame, k: int, num: int, den: int, hot: np.ndarray, buckets: int) -> DataFrame:
     """Prefix entries as flat arrays: one row per task (or full buffer) and bucket.
 
@@ -182,18 +199,7 @@ def prefix_blocks(docs: DataFrame, k: int, num: int, den: int, hot: np.ndarray,
             salt = band[own[is_hot]]
             key, own = (np.concatenate([key[~is_hot], mix64(key[is_hot] + salt), mix64(key[is_hot] + salt + np.uint64(1))]),
                         np.concatenate([own[~is_hot], own[is_hot], own[is_hot]]))
-            to = (mix64(key) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(to, kind="stable")
-            key, own, to = key[order], own[order], to[order]
-            cuts = np.flatnonzero(np.r_[True, to[1:] != to[:-1], True])
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                used, local = np.unique(own[a:b], return_inverse=True)
-                yield pa.record_batch({
-                    "bucket": pa.array([int(to[a])], pa.int32()),
-                    "shingle": pa.array([key[a:b].tobytes()], pa.binary()),
-                    "who": pa.array([local.astype(np.int32).tobytes()], pa.binary()),
-                    "n": pa.array([n[used].tobytes()], pa.binary()),
-                    "digest": pa.array([digest[used].tobytes()], pa.binary())})
+            yield from _flat_rows(key, own, n, digest, buckets)
 
         total = 0
         for batch in batches:
@@ -305,6 +311,29 @@ def _groups(shingle, who, *by):
     return shingle[many], who[many], np.r_[0, np.cumsum(size[size > 1])]
 
 
+def by_members(entries: DataFrame, buckets: int) -> DataFrame:
+    """Entries under a key of their shingle's members in place of the shingle.
+
+    Near copies share nearly all their prefix, so most shingles have the same
+    members as another; these become one group, and go to one bucket.  Two
+    groups under one key would be compared as one: nothing is lost.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingle, who, n, names = _bucket(list(batches))
+        _, who, first = _groups(shingle, who, n)
+        if not len(who):
+            return
+        name = np.frombuffer(names, np.uint64).reshape(-1, 2)
+        key = np.add.reduceat(mix64(name[:, 0] ^ mix64(name[:, 1]))[who], first[:-1])
+        key, at = np.unique(key, return_index=True)
+        size = np.diff(first)[at]
+        who = who[np.repeat(first[at] - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())]
+        yield from _flat_rows(np.repeat(key, size), who, n.astype(np.int32), name, buckets)
+
+    return entries.groupBy("bucket").applyInArrow(run, ENTRIES)
+
+
 SHARED = "bucket int, name binary, shingle binary, who binary, n binary, digest binary"
 
 
@@ -475,7 +504,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, threshold: Fraction = Fracti
     if not buckets:   # a bucket is held by one task at a time: their number grows with the prefix entries
         total = thin.agg(F.sum((F.col("n") * (den - num) / den + 1).cast("bigint"))).first()[0] or 0
         buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_ENTRIES)
-    shared = materialize(shared_entries(prefix_blocks(docs.drop("key"), k, num, den, hot, buckets)), "shared-entries")
+    shared = materialize(shared_entries(by_members(prefix_blocks(docs.drop("key"), k, num, den, hot, buckets), buckets)), "shared-entries")
     entries = shared.where("name IS NULL").drop("name")
     there = shared.where("name IS NOT NULL").select(F.col("bucket").alias("place"), F.col("name").alias("digest"))
     ids = materialize(classes.join(there.select("digest").distinct(), "digest"), "jaccard-ids")
