@@ -11,7 +11,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticksmith.llm import (ann, bpe, decontaminate, html_extract, jaccard, licenses, quality, substring_dedup,
+from ticksmith.llm import (ann, bpe, chosen_path, decontaminate, html_extract, jaccard, licenses, quality, substring_dedup,
                            url_reputation, warc)
 from ticksmith.plans.storage import scratch_path
 
@@ -96,8 +96,12 @@ def op10_byte_bpe(spark, sf_dir):
         F.col("row.doc_id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op11_chosen_path(spark, sf_dir):
+    return chosen_path.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), k=5, threshold=Fraction(85, 100))
+
+
 QUERIES = {f.__name__: f for f in (op1_host_reputation, op2_chunked_records, op3_main_text, op4_winnowing, op5_hnsw, op6_super_kmers,
-                                  op7_line_crf, op8_conditional_compression, op9_signature_trees, op10_byte_bpe)}
+                                  op7_line_crf, op8_conditional_compression, op9_signature_trees, op10_byte_bpe, op11_chosen_path)}
 
 ORACLE = {
     "op4_winnowing": r"""
