@@ -11,7 +11,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticksmith.llm import (ann, bpe, chosen_path, decontaminate, html_extract, jaccard, licenses, quality, substring_dedup,
+from ticksmith.llm import (ann, bpe, chosen_path, conversations, decontaminate, html_extract, jaccard, licenses, quality, substring_dedup,
                            url_reputation, warc)
 from ticksmith.plans.storage import scratch_path
 
@@ -100,8 +100,14 @@ def op11_chosen_path(spark, sf_dir):
     return chosen_path.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), k=5, threshold=Fraction(85, 100))
 
 
+def op12_structure_repair(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversations.repair(conversations.damage(rows))
+
+
 QUERIES = {f.__name__: f for f in (op1_host_reputation, op2_chunked_records, op3_main_text, op4_winnowing, op5_hnsw, op6_super_kmers,
-                                  op7_line_crf, op8_conditional_compression, op9_signature_trees, op10_byte_bpe, op11_chosen_path)}
+                                  op7_line_crf, op8_conditional_compression, op9_signature_trees, op10_byte_bpe, op11_chosen_path,
+                                  op12_structure_repair)}
 
 ORACLE = {
     "op4_winnowing": r"""
