@@ -11,7 +11,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticksmith.llm import (ann, bpe, chosen_path, conversations, decontaminate, html_extract, jaccard, licenses, quality, substring_dedup,
+from ticksmith.llm import (ann, bit_sliced, bpe, chosen_path, conversations, decontaminate, html_extract, jaccard, licenses, quality, substring_dedup,
                            url_reputation, warc)
 from ticksmith.plans.storage import scratch_path
 
@@ -105,11 +105,35 @@ def op12_structure_repair(spark, sf_dir):
     return conversations.repair(conversations.damage(rows))
 
 
+def op13_bit_sliced(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bit_sliced.search(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 QUERIES = {f.__name__: f for f in (op1_host_reputation, op2_chunked_records, op3_main_text, op4_winnowing, op5_hnsw, op6_super_kmers,
                                   op7_line_crf, op8_conditional_compression, op9_signature_trees, op10_byte_bpe, op11_chosen_path,
-                                  op12_structure_repair)}
+                                  op12_structure_repair, op13_bit_sliced)}
+
+def _components_sql(k: int, num: int, den: int, kept: str = "") -> str:
+    """Components of all pairs of distinct shingle sets, which SQL can list at test size only."""
+    return rf"""
+WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                      '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {k} THEN [array_to_string(w, ' ')]
+         ELSE list_sort(list_distinct(list_transform(range(1, len(w) - {k - 1} + 1), lambda p: array_to_string(list_slice(w, p, p + {k - 1}), ' ')))) END AS s FROM words),
+classes AS (SELECT min(doc_id) AS id, len(s) AS n, s FROM sets WHERE len(s) > 0 GROUP BY s),
+grams AS (SELECT id, n, unnest(s) AS g FROM classes),
+links AS (SELECT a.id AS a, b.id AS b FROM grams AS a JOIN grams AS b ON a.g = b.g AND a.id <> b.id AND {den} * least(a.n, b.n) >= {num} * greatest(a.n, b.n)
+          GROUP BY a.id, b.id, a.n, b.n HAVING {den} * count(*) >= {num} * (a.n + b.n - count(*))),
+reach(id, other) AS (SELECT id, id FROM classes UNION SELECT reach.id, links.b FROM reach JOIN links ON reach.other = links.a),
+low AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
+SELECT doc_id, CAST(len(sets.s) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id{kept}
+FROM sets LEFT JOIN classes ON sets.s = classes.s LEFT JOIN low USING (id)"""
+
 
 ORACLE = {
+    "op9_signature_trees": _components_sql(3, 90, 100),
+    "op11_chosen_path": _components_sql(5, 85, 100, ", coalesce(component_id, doc_id) = doc_id AS kept"),
     "op4_winnowing": r"""
 WITH words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -137,4 +161,17 @@ kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY q) AS text
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
        sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM words LEFT JOIN kept USING (doc_id)""",
+    "op13_bit_sliced": r"""
+WITH words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+size AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(len(w)) AS BIGINT) AS terms FROM words WHERE len(w) > 0),
+asked AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(regexp_extract_all(
+              translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY item_id, term),
+tf AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, CAST(len(w) AS BIGINT) AS n, unnest(w) AS term FROM words) GROUP BY doc_id, n, term),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM tf, size GROUP BY term, docs),
+scores AS (SELECT item_id, doc_id, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms)))) AS BIGINT) AS score
+           FROM asked JOIN tf USING (term) JOIN weights USING (term), size GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 20""",
 }
