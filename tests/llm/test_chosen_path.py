@@ -42,8 +42,8 @@ def test_pairs_at_the_threshold_survive_the_trees():
     """Share of trees' first five levels that a pair at the threshold passes, over many pairs."""
     rng, t, alive = random.Random(2), 0.85, 0
     for pair in range(300):
-        x = np.array([[rng.randrange(60_000) for _ in range(128)]], np.uint16)
-        y = np.where(np.array([[rng.random() < t for _ in range(128)]]), x, x + np.uint16(1)).astype(np.uint16)
+        x = np.array([[rng.randrange(60_000) for _ in range(128)]], np.uint32)
+        y = np.where(np.array([[rng.random() < t for _ in range(128)]]), x, x + np.uint32(1)).astype(np.uint32)
         met = False
         for tree in range(chosen_path.TREES):
             nodes = {int(chosen_path.mix64(np.array([tree + 1 + 100 * pair], np.uint64))[0])}

@@ -40,7 +40,7 @@ from ticksmith.plans.storage import discard, materialize
 
 POSITIONS = 128
 TREES = 8
-NODE = 256
+NODE = 1024
 WIDTH = 1 << 13       # shingles hashed at once
 PAIRS = 1 << 15       # pairs compared at once
 
@@ -48,11 +48,11 @@ _MULTIPLY = mix64(np.arange(1, POSITIONS + 1, dtype=np.uint64) * np.uint64(0x9E3
 
 
 def minwise(u: np.ndarray) -> np.ndarray:
-    """The set's minwise tokens, 16 bits each."""
+    """The set's minwise tokens, 32 bits each."""
     low = np.full(POSITIONS, np.uint64(0xFFFFFFFFFFFFFFFF))
     for i in range(0, len(u), WIDTH):
         low = np.minimum(low, np.multiply.outer(_MULTIPLY, u[i:i + WIDTH]).min(axis=1))
-    return (mix64(low) >> np.uint64(48)).astype(np.uint16)
+    return (mix64(low) >> np.uint64(32)).astype(np.uint32)
 
 
 def margin(share: float) -> float:
@@ -69,23 +69,28 @@ def radii(t: float) -> tuple[float, float, float]:
     return pair, leave, max(partner - margin(partner), 0.0)
 
 
-PROFILE = "doc_id bigint, key bigint, n bigint, digest binary, sig binary"
+PROFILE = "doc_id bigint, key bigint, n bigint, digest binary, sig binary, high binary"
 
 
 def profile(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, key, n, digest, sig) of rows (doc_id, key, text); sig once a batch and digest."""
+    """(doc_id, key, n, digest, sig, high) of rows (doc_id, key, text); the last two once a batch and digest.
+
+    sig has the low halves of the minwise tokens, enough to estimate by; paths need the high ones too.
+    """
 
     def run(batches):
         for batch in batches:
-            n, digests, sigs, seen = [], [], [], set()
+            n, digests, sigs, highs, seen = [], [], [], [], set()
             for u, _ in shingle_sets(batch.column("text"), k):
                 n.append(len(u))
                 d = _digest(u) if len(u) else None
                 digests.append(d)
-                sigs.append(minwise(u).tobytes() if d and d not in seen else None)
+                tokens = minwise(u) if d and d not in seen else None
+                sigs.append(None if tokens is None else tokens.astype(np.uint16).tobytes())
+                highs.append(None if tokens is None else (tokens >> np.uint32(16)).astype(np.uint16).tobytes())
                 seen.add(d)
             yield pa.record_batch({"doc_id": batch.column("doc_id"), "key": batch.column("key"), "n": pa.array(n, pa.int64()),
-                                   "digest": pa.array(digests, pa.binary()), "sig": pa.array(sigs, pa.binary())})
+                                   "digest": pa.array(digests, pa.binary()), "sig": pa.array(sigs, pa.binary()), "high": pa.array(highs, pa.binary())})
 
     return docs.mapInArrow(run, PROFILE)
 
@@ -94,14 +99,18 @@ def _matrix(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, POSITIONS)
 
 
-def children(node: np.ndarray, sig: np.ndarray, t: float):
+def _tokens(batch) -> np.ndarray:
+    return _matrix(batch.column("sig")).astype(np.uint32) | (_matrix(batch.column("high")).astype(np.uint32) << np.uint32(16))
+
+
+def children(node: np.ndarray, tokens: np.ndarray, t: float):
     """(row, child) of the paths that each row's node chooses."""
     for j in range(int(np.ceil(1 / t))):
         lot = mix64(node ^ np.uint64(0xC0FFEE + 2 * j))
         share = 1 / t - j
         take = np.flatnonzero((lot >> np.uint64(11)).astype(np.float64) / 2.0 ** 53 < share)
         place = (mix64(node[take] ^ np.uint64(0xC0FFEE + 2 * j + 1)) % np.uint64(POSITIONS)).astype(np.int64)
-        token = sig[take, place].astype(np.uint64) | (place.astype(np.uint64) << np.uint64(16))
+        token = tokens[take, place].astype(np.uint64) | (place.astype(np.uint64) << np.uint64(32))
         yield take, mix64(node[take] + mix64(token + np.uint64(1)))
 
 
@@ -110,13 +119,13 @@ def first_level(classes: DataFrame, trees: int, t: float) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            sig, cid = _matrix(batch.column("sig")), batch.column("cid").to_numpy()
+            tokens, cid = _tokens(batch), batch.column("cid").to_numpy()
             for tree in range(trees):
                 node = np.full(len(cid), mix64(np.array([tree + 1], np.uint64))[0])
-                for take, child in children(node, sig, t):
+                for take, child in children(node, tokens, t):
                     yield pa.record_batch({"node": pa.array(child.view(np.int64)), "cid": pa.array(cid[take])})
 
-    return classes.select("cid", "sig").mapInArrow(run, "node bigint, cid bigint")
+    return classes.select("cid", "sig", "high").mapInArrow(run, "node bigint, cid bigint")
 
 
 def leaf_pairs(members: DataFrame, num: int, den: int) -> DataFrame:
@@ -162,7 +171,7 @@ def leaf_pairs(members: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def branch(members: DataFrame, num: int, den: int) -> DataFrame:
-    """Of large nodes' rows (node, cid, digest, sig, centre, centre_sig): edges (a, b) to the centre, and child rows (node, cid)."""
+    """Of large nodes' rows (node, cid, digest, sig, high, centre, centre_sig): edges (a, b) to the centre, and child rows (node, cid)."""
     t = num / den
     _, leave, near = radii(t)
 
@@ -175,7 +184,7 @@ def branch(members: DataFrame, num: int, den: int) -> DataFrame:
             a, b = batch.column("centre").filter(there), batch.column("digest").filter(there)
             yield pa.record_batch({"a": a, "b": b, "node": pa.nulls(len(a), pa.int64()), "cid": pa.nulls(len(a), pa.int64())})
             go = np.flatnonzero(alike < leave)
-            for take, child in children(node[go], sig[go], t):
+            for take, child in children(node[go], _tokens(batch)[go], t):
                 none = pa.nulls(len(take), pa.binary())
                 yield pa.record_batch({"a": none, "b": none, "node": pa.array(child.view(np.int64)), "cid": pa.array(cid[go][take])})
 
@@ -184,35 +193,42 @@ def branch(members: DataFrame, num: int, den: int) -> DataFrame:
 
 def near_classes(classes: DataFrame, num: int, den: int, trees: int = TREES, node_size: int = NODE) -> DataFrame:
     """(a, b) edges that connect all classes (cid, digest, n, sig) which the trees find near."""
-    own = classes.select("cid", "digest", "n", "sig")
+    own = classes.select("cid", "digest", "n", "sig", "high")
     if classes.limit(node_size + 1).count() <= node_size:   # the root is a small node
         return materialize(leaf_pairs(own.withColumn("node", F.lit(0).cast("bigint")), num, den), "path-edges")
-    rows, found, scratch = materialize(first_level(own, trees, num / den), "path-rows"), [], []
+    rows, levels, found = materialize(first_level(own, trees, num / den), "path-rows"), [], []
     while True:
         lot = F.xxhash64("cid", "node")
-        sizes = materialize(rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min(lot).alias("least"))
+        sizes = materialize(rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min(lot).alias("least"),
+                                                     F.bit_xor(F.xxhash64("cid")).alias("members"))
                             .where("size > 1"), "path-nodes")
-        small = rows.join(sizes.where(F.col("size") <= node_size).select("node"), "node")
-        found.append(materialize(leaf_pairs(small.join(own, "cid").select("node", "digest", "n", "sig"), num, den).distinct(),
-                                 "path-edges"))
-        large = sizes.where(F.col("size") > node_size)
+        levels.append((rows, sizes))
+        large = sizes.where(F.col("size") > node_size).select("node", "least")
         if large.isEmpty():
             break
         members = rows.join(large, "node").withColumn("lot", lot).join(own, "cid")
-        centres = materialize(members.where("lot = least").dropDuplicates(["node"])
-                              .select("node", F.col("digest").alias("centre"), F.col("sig").alias("centre_sig")), "path-centres")
-        next_rows = materialize(branch(members.select("node", "cid", "digest", "sig").join(centres, "node"), num, den), "path-branch")
-        found.append(next_rows.where("a IS NOT NULL AND a <> b").select("a", "b"))
-        scratch += [rows, sizes, centres, next_rows]
-        rows = next_rows.where("node IS NOT NULL").select("node", "cid").distinct()
-    edges = found[0]
-    for more in found[1:]:
-        edges = edges.union(more)
+        centres = (members.where("lot = least").dropDuplicates(["node"])
+                   .select("node", F.col("digest").alias("centre"), F.col("sig").alias("centre_sig")))
+        found.append(materialize(branch(members.select("node", "cid", "digest", "sig", "high").join(centres, "node"), num, den),
+                                 "path-branch"))
+        rows = found[-1].where("node IS NOT NULL").select("node", "cid").distinct()
+    # near copies meet in many nodes of the same members, of any level: one of them is enough
+    once = materialize(_union([s.where(F.col("size") <= node_size) for _, s in levels])
+                       .groupBy("size", "members").agg(F.min("node").alias("node")).select("node"), "path-leaves")
+    leaves = _union([r for r, _ in levels]).join(once, "node").join(own.drop("high"), "cid").select("node", "digest", "n", "sig")
+    edges = _union([leaf_pairs(leaves, num, den), *(f.where("a IS NOT NULL AND a <> b").select("a", "b") for f in found)])
     edges = materialize(edges.distinct(), "near-edges")
-    discard(rows, sizes, *scratch, *found)
+    discard(levels[0][0], once, *(s for _, s in levels), *found)
     return edges
 
 
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, threshold: Fraction = Fraction(8, 10), trees: int = TREES,
                     node_size: int = NODE, limit: int = LIMIT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per row of ``docs`` (doc_id, text).
@@ -233,7 +249,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: Fraction = Fraction(
     thin = materialize(profile(docs, k), "minwise-profile")
     classes = materialize(thin.where("digest IS NOT NULL").groupBy("digest").agg(
         F.min("doc_id").alias("low"), F.coalesce(F.min_by("key", "doc_id"), F.min("key")).alias("rep"),
-        F.max("n").alias("n"), F.max("sig").alias("sig")).withColumn("cid", F.xxhash64("digest")), "minwise-classes")
+        F.max("n").alias("n"), F.max("sig").alias("sig"), F.max("high").alias("high")).withColumn("cid", F.xxhash64("digest")), "minwise-classes")
     near = near_classes(classes, num, den, trees, node_size)
 
     def sets(column):
@@ -245,7 +261,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: Fraction = Fraction(
     named = materialize(linked.join(low, "root").select("digest", "component_id"), "linked-classes")
     alone = classes.join(named, "digest", "left_anti").select("digest", F.col("low").alias("component_id"))
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    found = (thin.drop("sig").join(named.union(alone), "digest", "left")
+    found = (thin.drop("sig", "high").join(named.union(alone), "digest", "left")
              .select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
              .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))))
     discard(near, links)
