@@ -479,20 +479,13 @@ def fine_bitmap(u: np.ndarray) -> bytes:
     return bitmap(u, 1 << max(10, int(4 * len(u) - 1).bit_length())).tobytes()
 
 
-def jaccard_components(docs: DataFrame, k: int = 5, threshold: Fraction = Fraction(8, 10),
-                       buckets: int | None = None, limit: int = LIMIT) -> DataFrame:
-    """(doc_id, n_shingles, component_id) per row of ``docs`` (doc_id, text).
+def linked_rows(docs: DataFrame, k: int, num: int, den: int, buckets: int | None = None,
+                limit: int = LIMIT) -> tuple[DataFrame, DataFrame]:
+    """(rows, classes): rows (doc_id, key, n, digest) of ``docs`` and (digest, low, root) of its classes.
 
-    component_id is the smallest doc_id reachable by links, itself included.
-    Rows with equal sets are one class.  Null and empty texts have n_shingles 0
-    and are linked with nothing; texts with fewer than k words have one shingle,
-    the whole sequence.  Very long texts are one set like any other.  Repeated
-    rows are all returned.  A row with a null doc_id links like any other; it gets
-    the smallest id of its component, null if no row there has one.  Other
-    columns are ignored; an empty table gives an empty result.  ``limit`` is the
-    number of shingles beyond which a group of near classes is cut into blocks.
+    key is the 64-bit hash of the text, digest is null for an empty set, low is
+    the class's smallest doc_id, root the same for all classes of a component.
     """
-    num, den = threshold.numerator, threshold.denominator
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = docs.withColumn("key", F.xxhash64("text"))
@@ -516,12 +509,47 @@ def jaccard_components(docs: DataFrame, k: int = 5, threshold: Fraction = Fracti
                           "jaccard-bitmaps")
     near = materialize(near_classes(entries, there.join(bitmaps, "digest"), num, den), "near-classes")
     links = linked_classes(near, ids, docs, sets, _digest, num, den, tree_pairs, limit)
-    linked = components(links).select(F.col("node").alias("digest"), "root").join(classes.select("digest", "low"), "digest")
-    low = linked.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = materialize(linked.join(low, "root").select("digest", "component_id"), "linked-classes")
-    alone = classes.join(named, "digest", "left_anti").select("digest", F.col("low").alias("component_id"))
-    found = thin.join(named.union(alone), "digest", "left").select(
+    named = materialize(classes.select("digest", "low").join(components(links).withColumnRenamed("node", "digest"), "digest", "left")
+                        .select("digest", "low", F.coalesce("root", "digest").alias("root")), "linked-classes")
+    discard(shared, ids, bitmaps, near, links)
+    return thin, named
+
+
+def jaccard_components(docs: DataFrame, k: int = 5, threshold: Fraction = Fraction(8, 10),
+                       buckets: int | None = None, limit: int = LIMIT) -> DataFrame:
+    """(doc_id, n_shingles, component_id) per row of ``docs`` (doc_id, text).
+
+    component_id is the smallest doc_id reachable by links, itself included.
+    Rows with equal sets are one class.  Null and empty texts have n_shingles 0
+    and are linked with nothing; texts with fewer than k words have one shingle,
+    the whole sequence.  Very long texts are one set like any other.  Repeated
+    rows are all returned.  A row with a null doc_id links like any other; it gets
+    the smallest id of its component, null if no row there has one.  Other
+    columns are ignored; an empty table gives an empty result.  ``limit`` is the
+    number of shingles beyond which a group of near classes is cut into blocks.
+    """
+    rows, classes = linked_rows(docs, k, threshold.numerator, threshold.denominator, buckets, limit)
+    low = classes.groupBy("root").agg(F.min("low").alias("component_id"))
+    named = classes.join(low, "root").select("digest", "component_id")
+    return rows.join(named, "digest", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
-    discard(shared, ids, bitmaps, near, links)
-    return found
+
+
+def one_of_each_group(docs: DataFrame, k: int = 5, threshold: Fraction = Fraction(8, 10)) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, ...) without their near duplicates.
+
+    Of each component the row of the smallest doc_id stays, null ids last, and of
+    one id's texts that of the smallest 64-bit hash.  A row is known by its id and text, so
+    different texts under one id are judged one by one, and rows without
+    an id by their texts; of rows equal in both one stays.  Null and empty texts
+    are linked with nothing.  All columns are kept.
+    """
+    rows, classes = linked_rows(docs, k, threshold.numerator, threshold.denominator)
+    found = rows.join(classes.select("digest", "root"), "digest", "left")
+    name = F.struct(F.col("doc_id").isNull().alias("_none"), F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("key").alias("_key"))
+    best = (found.where("root IS NOT NULL").groupBy("root").agg(F.min(name).alias("row")).select("row.*")
+            .union(found.where("root IS NULL").select(name.alias("row")).select("row.*").distinct()))
+    named = docs.withColumns({"_none": F.col("doc_id").isNull(), "_id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)),
+                              "_key": F.xxhash64(F.col("text").cast("string"))})
+    return named.join(best, ["_none", "_id", "_key"], "left_semi").dropDuplicates(["_none", "_id", "_key"]).select(*docs.columns)
