@@ -6,8 +6,9 @@ returns a DataFrame.  Each stage's result is written as Parquet and read again
 as the next one's ``docs``.  All but the last return the columns of
 ``documents``; texts and columns beyond these pass through unchanged where a
 stage doesn't say otherwise.  Null and empty texts pass every stage unless the
-classifier rejects them; empty tables give empty results; repeated rows stay
-repeated until the near-duplicate stage, which keeps one.
+classifier rejects them; empty tables give empty results; rows equal in id and
+text stay repeated until the near-duplicate stage, which keeps one.  Different
+texts under one id, and rows without an id, are documents of their own.
 """
 
 from __future__ import annotations
@@ -34,11 +35,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9, five-word shingles at similarity 0.8: of each group the row of smallest doc_id stays."""
-    found = jaccard.jaccard_components(docs.select("doc_id", "text"), k=5, threshold=Fraction(8, 10))
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    # rows that share a doc_id are one document; rows without an id can't be named and stay
-    return (docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-            .union(docs.where("doc_id IS NULL")))
+    return jaccard.one_of_each_group(docs, k=5, threshold=Fraction(8, 10))
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,7 +67,8 @@ STAGES = [
     ("encoding", encode),
 ]
 
-#: SQL can't express the trained classifier; tests/llm compares the stages with brute force.
+#: SQL can't express the trained classifier; tests/llm/test_pipeline.py compares each stage with
+#: plain Python on its own input (the classifier's decisions with its scores, held out in test_operators).
 ORACLE_SQL = None
 
 
