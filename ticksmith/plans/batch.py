@@ -25,6 +25,7 @@ from ticksmith.functions.timefn import NAIROBI, local_date, month_key, parse_to_
 from ticksmith.operators import bars as bars_op
 from ticksmith.operators import marts, quality, reports, staging
 from ticksmith.plans import storage
+from ticksmith.plans.manifest import MonthTable
 from ticksmith.schemas import DAILY, MOVERS
 
 
@@ -93,30 +94,40 @@ def recent_bronze(bronze: DataFrame, first_day: date) -> DataFrame:
     return out
 
 
-def _months_to_rebuild(bronze: DataFrame, first_day: date, paths: list[str], tz: str) -> list[int]:
-    """Months of the trade dates of rows inserted on or after ``first_day``, and the
-    stored months from ``first_day``'s on, in order: one number a month."""
-    new = bronze.filter(F.col("inserted_at") >= F.lit(first_day).cast("timestamp_ntz"))
-    if storage.PART_COL in bronze.columns:
-        new = new.filter(F.col(storage.PART_COL) >= month_key(F.lit(first_day)))
-    touched = new.select(month_key(local_date(parse_to_utc(F.col("fetched_at")), tz)).alias("m")).distinct()
-    months = {r["m"] for r in touched.where("m IS NOT NULL").toLocalIterator()}
-    for path in paths:
-        months |= {m for m in storage._partition_values(bronze.sparkSession, path)
-                   if m >= first_day.year * 100 + first_day.month}
-    return sorted(months)
-
-
-def _store(mart: DataFrame, path: str, sort_cols: list[str], months: list[int] | None) -> None:
-    """Write a mart, whole or (``months``) those months; ones left without rows are removed."""
-    spark = mart.sparkSession
-    if months is None:
-        storage.write_table(mart, path, partition_source="trade_date", sort_cols=sort_cols)
-        return
-    mart = storage.materialize(mart, "rebuilt-months")
-    found = {r["m"] for r in mart.select(month_key(F.col("trade_date")).alias("m")).distinct().toLocalIterator()}
-    storage.write_table(mart, path, partition_source="trade_date", sort_cols=sort_cols, dynamic=True)
-    storage.drop_months(spark, path, [m for m in months if m not in found])
+LEDGER = "ledger"
+
+
+def month_ledger(bronze: DataFrame, tz: str = NAIROBI) -> list[tuple[int, int]]:
+    """(month of insertion, month of the trade date) pairs that some tick of ``bronze`` has.
+
+    One row a pair leaves each task; two columns are read.
+    """
+    ins = F.col(storage.PART_COL) if storage.PART_COL in bronze.columns else month_key(F.col("inserted_at"))
+    pairs = bronze.select(ins.alias("ins"), month_key(local_date(parse_to_utc(F.col("fetched_at")), tz)).alias("trade")).distinct()
+    return sorted((r["ins"], r["trade"]) for r in pairs.where("ins IS NOT NULL AND trade IS NOT NULL").toLocalIterator())
+
+
+def inserted_in(bronze: DataFrame, months: list[int]) -> DataFrame:
+    """Bronze rows inserted in these months; month directories of a stored bronze are pruned."""
+    own = month_key(F.col("inserted_at")).isin(months)
+    return bronze.filter(own & F.col(storage.PART_COL).isin(months) if storage.PART_COL in bronze.columns else own)
+
+
+def _plan_rebuild(bronze: DataFrame, first_day: date, table: MonthTable, tz: str) -> tuple[list[int], list[int], list[tuple[int, int]]]:
+    """(trade months to rebuild, insertion months that hold their ticks, the ledger now)."""
+    first = first_day.year * 100 + first_day.month
+    state = table.state()
+    known = [tuple(p) for p in state["notes"].get(LEDGER, [])]
+    if LEDGER in state["notes"]:
+        new = bronze.filter(F.col("inserted_at") >= F.lit(first_day).cast("timestamp_ntz"))
+        if storage.PART_COL in bronze.columns:
+            new = new.filter(F.col(storage.PART_COL) >= first)
+        ledger = sorted({p for p in known if p[0] < first} | set(month_ledger(new, tz)))
+    else:      # marts of an earlier layout: one pass over all ticks
+        ledger = month_ledger(bronze, tz)
+    # pairs of the months from first on that were there before and are gone also change their trade months
+    months = sorted({t for i, t in {*ledger, *known} if i >= first or t >= first} | {m for m in state["months"] if m >= first})
+    return months, sorted({i for i, t in ledger if t in set(months)}), ledger
 
 
 def build_marts(bronze: DataFrame, bars: DataFrame | None = None, out_dir: str | None = None,
@@ -125,43 +136,43 @@ def build_marts(bronze: DataFrame, bars: DataFrame | None = None, out_dir: str |
     """Staging views, then the daily table (stored once), then movers.
 
     ``since`` (needs ``out_dir`` with marts from an earlier run that saw
-    every row inserted before ``since``'s month) rebuilds the months from
+    every row inserted before ``since``'s month) rebuilds the trade months from
     ``since``'s month on and each older one that a row inserted since then
-    belongs to (a late tick).  Bronze is read from the oldest of these on
-    (``recent_bronze``); their partitions of both marts are replaced, or
-    removed where a month has no result any more; other months are neither
-    read nor rewritten.  The outcome equals a full rebuild, which the
-    reference does each run; at two years of bronze that is ~24x the work of
-    the current month.
+    belongs to (a late tick).  A ledger of (month of insertion, trade month)
+    pairs, kept in the daily table's manifest, names the insertion months that hold
+    ticks of these trade months, however late or far ahead they were stamped;
+    bronze is read there only.  Each mart is written once as new month versions
+    and swapped in by one commit (``plans.manifest``); months that have no result
+    any more are gone; others are neither read nor rewritten.  The outcome
+    equals a full rebuild, which the reference does each run.
     """
     spark = bronze.sparkSession
     bars = bars if bars is not None else bars_from_bronze(bronze)
-    source, months, names = bronze, None, ("daily_summary", "top_movers")
-    paths = [f"{out_dir.rstrip('/')}/{n}" for n in names] if out_dir else []
+    source, months, ledger = bronze, None, None
+    if out_dir:
+        days = MonthTable(spark, f"{out_dir.rstrip('/')}/daily_summary", DAILY, ["trade_date", "ticker"])
+        moves = MonthTable(spark, f"{out_dir.rstrip('/')}/top_movers", MOVERS, ["trade_date", "direction", "rank"])
     if since is not None:
         if not out_dir:
             raise ValueError("since= rebuilds stored marts: pass out_dir")
-        months = _months_to_rebuild(bronze, month_start(since), paths, tz)
-        if months:
-            source = recent_bronze(bronze, date(months[0] // 100, months[0] % 100, 1))
+        months, inserted, ledger = _plan_rebuild(bronze, month_start(since), days, tz)
+        source = inserted_in(bronze, inserted)
+    elif out_dir:
+        ledger = month_ledger(bronze, tz)
     daily = marts.daily_summary_from_bronze(source, updated_at, tz, session_only)
     if months is not None:
         daily = daily.filter(month_key(F.col("trade_date")).isin(months))
     if out_dir:
-        _store(daily, paths[0], ["trade_date", "ticker"], months)
-        stored = spark.read.schema(storage.table_schema(DAILY)).parquet(paths[0])
-        daily = stored.select(*DAILY.fieldNames())
+        days.replace(storage.with_month(daily, "trade_date"), months, notes={LEDGER: ledger})
+        daily, ranked_days = (days.read(which).select(*DAILY.fieldNames()) for which in (None, months))
     else:
-        daily = storage.materialize(daily, "daily_summary")
-    ranked_days = daily
-    if months is not None:   # the rebuilt months only; ym prunes the other directories
-        ranked_days = stored.filter(F.col(storage.PART_COL).isin(months)).select(*DAILY.fieldNames())
+        daily = ranked_days = storage.materialize(daily, "daily_summary")
     # single-pass ranking trims to the top k per (day, side) inside each task
     # before the shuffle, so a day with very many tickers is not one task's work
     movers = marts.top_movers_single_pass(ranked_days)
     if out_dir:
-        _store(movers, paths[1], ["trade_date", "direction", "rank"], months)
-        movers = spark.read.schema(storage.table_schema(MOVERS)).parquet(paths[1]).select(*MOVERS.fieldNames())
+        moves.replace(storage.with_month(movers, "trade_date"), months)
+        movers = moves.read().select(*MOVERS.fieldNames())
     return Marts(
         raw_ticks=bronze,
         ohlcv_5min=bars,

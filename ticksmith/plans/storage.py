@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticksmith.functions.timefn import month_key
+from ticksmith.plans.manifest import PART_COL, RANGE_BYTES, MonthTable
 
-PART_COL = "ym"
 # Fixed value: bronze retention (TTL).
 BRONZE_RETENTION = "2 years"
 
@@ -176,10 +176,12 @@ def between_days(df: DataFrame, first_day: date | str, last_day: date | str,
 
 def enforce_retention(spark: SparkSession, path: str, schema: T.StructType,
                       as_of: date | datetime | str, keep: str = BRONZE_RETENTION,
-                      ts_col: str = "inserted_at", part_col: str = PART_COL) -> None:
+                      ts_col: str = "inserted_at", part_col: str = PART_COL,
+                      sort_cols: Sequence[str] = ()) -> None:
     """Apply the TTL to a stored month-partitioned table.
 
-    Months wholly older than the cutoff are deleted as directories (no data
+    A table with a manifest (``plans.manifest``) changes in one commit.  Of a
+    plain one (``write_table``), months wholly older than the cutoff are deleted as directories (no data
     is read); the boundary month is rewritten through a staged copy with
     dynamic partition overwrite; newer months are untouched.
     """
@@ -188,6 +190,9 @@ def enforce_retention(spark: SparkSession, path: str, schema: T.StructType,
     if log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(log):
         raise ValueError(f"{path} is a streaming sink output whose commit log lists its files; "
                          "apply retention to the compacted table (compact_months) instead")
+    if MonthTable(spark, path, schema, sort_cols, part_col).exists():
+        MonthTable(spark, path, schema, sort_cols, part_col).expire(as_of, keep, ts_col)
+        return
     full = table_schema(schema, part_col)
     cutoff_row = spark.range(1).select(
         retention_cutoff(as_of, keep).alias("c"), month_key(retention_cutoff(as_of, keep)).alias("m")
@@ -198,6 +203,8 @@ def enforce_retention(spark: SparkSession, path: str, schema: T.StructType,
     staged = scratch_path(spark, "retention")
     boundary.write.mode("overwrite").partitionBy(part_col).parquet(staged)
     kept = spark.read.schema(full).parquet(staged)
+    if sort_cols:
+        kept = kept.repartitionByRange(part_col, *sort_cols).sortWithinPartitions(part_col, *sort_cols)
     # dynamic overwrite only replaces months present in the new data, so a
     # boundary month with nothing left is removed with the older months
     keep_boundary = kept.limit(1).count() > 0
@@ -215,8 +222,11 @@ def enforce_retention(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def _partition_values(spark: SparkSession, path: str, part_col: str = PART_COL) -> list[int]:
-    """``ym`` values present as directories under ``path`` (a listing, no
-    data read); empty when ``path`` does not exist."""
+    """``ym`` values of a table: those of its manifest, else the directories
+    under ``path`` (a listing, no data read); empty when ``path`` does not exist."""
+    table = MonthTable(spark, path, T.StructType([]), part_col=part_col)
+    if table.exists():
+        return sorted(table.state()["months"])
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -230,14 +240,6 @@ def _partition_values(spark: SparkSession, path: str, part_col: str = PART_COL)
     return sorted(out)
 
 
-def drop_months(spark: SparkSession, path: str, months: Sequence[int], part_col: str = PART_COL) -> None:
-    """Delete the directories of ``months`` of a month-partitioned table."""
-    jvm = spark.sparkContext._jvm
-    for ym in months:
-        hpath = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{part_col}={ym}")
-        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
-
-
 def _month_files(df: DataFrame, part_col: str) -> list[tuple[int, str]]:
     """(month, file) of the files that ``df``, a scan of a month-partitioned table, reads."""
     found = []
@@ -248,30 +250,24 @@ def _month_files(df: DataFrame, part_col: str) -> list[tuple[int, str]]:
     return found
 
 
-def _sources_path(table_path: str) -> str:
-    return f"{table_path.rstrip('/')}.sources"
-
-
 def compact_months(spark: SparkSession, stream_path: str, table_path: str, schema: T.StructType,
                    first_month: int, last_month: int, sort_cols: Sequence[str],
                    part_col: str = PART_COL, as_of: date | None = None) -> None:
     """Rewrite months ``first_month..last_month`` of a streaming file-sink
-    output into the key-sorted, month-partitioned layout of ``write_table``.
+    output into a key-sorted table of atomic month versions (``MonthTable``).
 
     A stream appends small, unsorted files per micro-batch; compaction of
     closed months restores the sort-key layout (K9) that Parquet min/max
     skipping needs, the way the reference's storage engine merges parts in
     the background.  The stream output is read through the sink's commit
-    log (committed files only); only the given months of ``table_path`` are
-    replaced (dynamic overwrite), so a rerun is idempotent.  The stream
-    output itself is left alone: its commit log owns those files.
-
-    The stream files that went into a month are noted beside the table
-    (``<table>.sources``), so files that the stream commits to it afterwards are
-    still read; the next compaction takes them in.  A month that isn't over at
-    ``as_of`` (default: today, UTC) is refused.  The note follows the data:
-    between the two, readers of a month that is compacted again may see its late
-    rows twice, and a run that broke off there must be repeated.
+    log (committed files only) and left alone: its commit log owns those files.
+
+    The stream files that went into the months are listed beside the table
+    (``<table>.sources/<id>``), and the manifest names that list with each month
+    in the same commit that makes the new version current.  So files that the
+    stream commits to a compacted month afterwards are still read, each once;
+    the next compaction takes them in; and a run broken off at any step changes nothing.
+    A month that isn't over at ``as_of`` (default: today, UTC) is refused.
     """
     today = as_of or datetime.now(timezone.utc).date()
     if last_month >= today.year * 100 + today.month:
@@ -280,31 +276,45 @@ def compact_months(spark: SparkSession, stream_path: str, table_path: str, schem
     taken = [(m, f) for m, f in _month_files(live, part_col) if first_month <= m <= last_month]
     if not taken:
         return
-    write_table(live.filter(F.col(part_col).between(first_month, last_month)), table_path,
-                sort_cols=sort_cols, dynamic=True, part_col=part_col)
-    (spark.createDataFrame(taken, f"{part_col} int, file string").coalesce(1).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(_sources_path(table_path)))
+    note = uuid.uuid4().hex
+    spark.createDataFrame(taken, f"{part_col} int, file string").write.parquet(f"{table_path.rstrip('/')}.sources/{note}")
+    # the very files that are noted: what the stream commits meanwhile stays its own
+    rows = spark.read.schema(table_schema(schema, part_col)).option("basePath", stream_path).parquet(*(f for _, f in taken))
+    MonthTable(spark, table_path, schema, sort_cols, part_col).replace(
+        rows, sorted({m for m, _ in taken}), taken={m: note for m, _ in taken}, ranges=_ranges(spark, [f for _, f in taken]))
+
+
+def _ranges(spark: SparkSession, files: Sequence[str]) -> int:
+    """Ranges of about RANGE_BYTES of input for a rewrite of these files."""
+    conf, size = spark.sparkContext._jsc.hadoopConfiguration(), 0
+    for f in files:
+        hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f)
+        size += hpath.getFileSystem(conf).getFileStatus(hpath).getLen()
+    return max(1, -(-size // RANGE_BYTES))
 
 
 def read_compacted(spark: SparkSession, stream_path: str, table_path: str, schema: T.StructType,
                    part_col: str = PART_COL) -> DataFrame:
-    """One relation over a compacted table and its stream output: months
-    present in ``table_path`` come from there, every other month from the
+    """One relation over a compacted table and its stream output: months that
+    the table's manifest names come from there, every other month from the
     stream.  Both sides carry a ``ym`` predicate (one value per month), so
     each scan prunes to its own months.  Stream files of a compacted month
     that its compaction didn't take in are read too, and only those; the lists
     of files are as long as the ones Spark's own scan of the stream holds."""
     full = table_schema(schema, part_col)
-    done = _partition_values(spark, table_path, part_col)
+    table = MonthTable(spark, table_path, schema, part_col=part_col)
+    state = table.state()
+    done = sorted(state["months"])
     live = spark.read.schema(full).parquet(stream_path)
     if not done:
         return live
-    ym = F.col(part_col)
-    compacted = spark.read.schema(full).parquet(table_path).filter(ym.isin(done))
-    both = compacted.unionByName(live.filter(~ym.isin(done)))
-    noted = spark.read.schema(f"file string, {part_col} int").parquet(_sources_path(table_path))
-    taken = {r["file"] for r in noted.toLocalIterator()}
-    late = [f for m, f in _month_files(live, part_col) if m in done and f not in taken]
+    both = table.read(state=state).unionByName(live.filter(~F.col(part_col).isin(done)))
+    notes = sorted({v["taken"] for v in state["months"].values() if v["taken"]})
+    taken: set[tuple[int, str]] = set()
+    for note in notes:
+        listed = spark.read.schema(f"{part_col} int, file string").parquet(f"{table_path.rstrip('/')}.sources/{note}")
+        taken |= {(r[part_col], r["file"]) for r in listed.toLocalIterator() if state["months"].get(r[part_col], {}).get("taken") == note}
+    late = [f for m, f in _month_files(live, part_col) if m in done and (m, f) not in taken]
     if late:
         both = both.unionByName(spark.read.schema(full).option("basePath", stream_path).parquet(*late))
     return both
