@@ -155,13 +155,23 @@ def in_session(utc: Column, tz: str = NAIROBI,
     return (F.pmod(mow, F.lit(1440)).between(open_minute, close_minute - 1)) & (mow < 5 * 1440)
 
 
-def epoch_order_key(ts_micros: Column, seq: Column) -> Column:
+def epoch_order_key(ts_micros: Column, seq: Column, partition: Column | None = None) -> Column:
     """Pack (timestamp micros, non-negative sequence) into DECIMAL(38,0).
 
     ``ts * 10^19 + seq`` orders exactly like the pair (for any BIGINT micros
     and 0 <= seq < 10^19), and being a single fixed-width value it keeps
     ``min_by``/``max_by`` on Spark's HashAggregate path (a STRUCT ordering
     forces SortAggregate, i.e. a sort of every row before the shuffle).
+
+    With ``partition`` it orders like (timestamp, partition, sequence), for times up to
+    the year 9999, partitions below 10^5 and offsets below 10^15; a null
+    partition counts as 0, and then any sequence below 10^19 fits.
     """
-    scale = F.expr("CAST(10000000000000000000 AS DECIMAL(38,0))")
-    return ts_micros.cast("decimal(38,0)") * scale + seq.cast("decimal(38,0)")
+    def power(n: int) -> Column:
+        return F.expr(f"CAST(1{'0' * n} AS DECIMAL(38,0))")
+
+    low = seq.cast("decimal(38,0)")
+    if partition is None:
+        return ts_micros.cast("decimal(38,0)") * power(19) + low
+    place = F.coalesce(partition, F.lit(0)).cast("decimal(38,0)") * power(15)
+    return ts_micros.cast("decimal(38,0)") * power(20) + place + low

@@ -35,12 +35,14 @@ def ohlc_bars(ticks: DataFrame, time_col: str, key: str = "ticker",
     (streams, where the watermark needs it); bounds come out as NTZ UTC.
     ``tick_count`` counts rows, or the non-NULL values of ``count_col``;
     ``extra_keys`` are further grouping columns, not part of the output.
+    Ticks go by (time, ``seq``), or (time, partition, ``seq``) where there is a
+    ``partition`` column.
     """
     tcol = F.col(time_col)
     is_instant = isinstance(ticks.schema[time_col].dataType, T.TimestampType)
     micros = F.unix_micros(tcol) if is_instant else ntz_micros(tcol)
     tie = F.coalesce(F.col(seq), F.lit(-1)) if seq else F.lit(0)
-    order = epoch_order_key(micros, tie)
+    order = epoch_order_key(micros, tie, F.col("partition") if "partition" in ticks.columns else None)
     p = F.col(price)
     bars = (ticks
             .groupBy(F.window(tcol, width).alias("w"), F.col(key).alias("ticker"),
@@ -55,3 +57,29 @@ def ohlc_bars(ticks: DataFrame, time_col: str, key: str = "ticker",
         start, end = instant_to_utc(start), instant_to_utc(end)
     return bars.select("ticker", start.alias("window_start"), end.alias("window_end"),
                        "open_price", "high_price", "low_price", "close_price", "tick_count")
+
+
+#: Columns that open and close are decided by, so that bars of parts of the ticks can be merged.
+ORDER_KEYS = ("open_key", "close_key")
+
+
+def bar_parts(ticks: DataFrame, time_col: str, width: str = BAR_WIDTH) -> DataFrame:
+    """Bars of some of the ticks, with the order keys of open and close: parts that ``merge_parts`` joins."""
+    order = epoch_order_key(ntz_micros(F.col(time_col)), F.coalesce(F.col("seq"), F.lit(-1)),
+                            F.col("partition") if "partition" in ticks.columns else F.lit(0))
+    keyed = ticks.select(F.window(F.col(time_col), width).alias("w"), "ticker", "price", order.alias("_key"))
+    bars = keyed.groupBy("w", "ticker").agg(
+        F.min_by("price", "_key").alias("open_price"), F.max("price").alias("high_price"), F.min("price").alias("low_price"),
+        F.max_by("price", "_key").alias("close_price"), F.count(F.lit(1)).alias("tick_count"),
+        F.min("_key").alias("open_key"), F.max("_key").alias("close_key"))
+    return bars.select("ticker", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "open_price",
+                       "high_price", "low_price", "close_price", "tick_count", *ORDER_KEYS)
+
+
+def merge_parts(parts: DataFrame) -> DataFrame:
+    """One bar a (ticker, window) from parts of it: the same as a bar of all their ticks."""
+    return parts.groupBy("ticker", "window_start", "window_end").agg(
+        F.min_by("open_price", "open_key").alias("open_price"), F.max("high_price").alias("high_price"),
+        F.min("low_price").alias("low_price"), F.max_by("close_price", "close_key").alias("close_price"),
+        F.sum("tick_count").alias("tick_count"), F.min("open_key").alias("open_key"), F.max("close_key").alias("close_key"),
+        F.max("inserted_at").alias("inserted_at"))

@@ -109,12 +109,8 @@ def to_messages(ticks: DataFrame) -> DataFrame:
     return ticks.select(*cols)
 
 
-_RAW_SCHEMA = T.StructType(
-    [T.StructField(c, T.StringType()) for c in TICK_COLS]
-    + [T.StructField("_corrupt", T.StringType())]
-)
-_JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt",
-                 "allowNonNumericNumbers": "true", "allowSingleQuotes": "false"}
+_RAW_SCHEMA = T.ArrayType(T.StructType([T.StructField(c, T.StringType()) for c in [*TICK_COLS, "__end"]]))
+_JSON_OPTIONS = {"mode": "PERMISSIVE", "allowNonNumericNumbers": "true", "allowSingleQuotes": "false"}
 # A JSON number, or one of the names that a float may have.
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 _NAMED = r"^\s*\"?[+-]?(?i:nan|inf|infinity)\"?\s*$"
@@ -135,12 +131,22 @@ def _bigint(raw: Column) -> Column:
     return F.coalesce(txt.try_cast("bigint"), F.when(F.abs(wide) < F.lit(2.0 ** 63), wide).try_cast("bigint"))
 
 
-def _one_object(value: Column) -> Column:
-    """True if the text is a single JSON object: nothing before, between or after."""
-    count = F.json_array_length(F.concat(F.lit("["), value, F.lit("]")))
-    # NaN and the like are accepted in numbers, but not by the count
-    flat = value.rlike(r"^\s*\{[^{}]*\}\s*$") & value.rlike(r"\b(NaN|Infinity)\b")
-    return F.coalesce(count == 1, flat, F.lit(False))
+# Fixed value: the field of the closing element that follows a message in the parsed array.
+_END = "__end"
+
+
+def _with_end(value: Column) -> Column:
+    """``[value, {"__end": mark}]``; the mark is a hash of the text, which the text can't hold itself."""
+    return F.concat(F.lit("["), value, F.lit(',{"' + _END + '":"'), F.hex(F.xxhash64(value)), F.lit('"}]'))
+
+
+def _only_object(parsed: Column, value: Column) -> Column:
+    """True if the text was a single JSON object: the closing element comes second and last.
+
+    Text that ends the array early, or a second value, moves or hides it.
+    """
+    whole = (F.size(parsed) == 2) & (F.get(parsed, F.lit(1)).getField(_END) == F.hex(F.xxhash64(value)))
+    return F.coalesce(whole & F.get(parsed, F.lit(0)).isNotNull(), F.lit(False))
 
 
 def bind(df: DataFrame, name: str, expr: Column) -> DataFrame:
@@ -164,7 +170,8 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     and ``value`` (raw text, kept for the quarantine).  The text is parsed
     once per row (``bind``), however many fields later filters read.
     """
-    df = bind(messages, "_j", F.from_json(F.col("value"), _RAW_SCHEMA, _JSON_OPTIONS))
+    both = bind(messages, "_both", F.from_json(_with_end(F.col("value")), _RAW_SCHEMA, _JSON_OPTIONS))
+    df = both.select("*", F.get("_both", F.lit(0)).alias("_j"), _only_object(F.col("_both"), F.col("value")).alias("_whole"))
     raw = {c: F.col(f"_j.{c}") for c in TICK_COLS}
     parsed = {
         "price": _double(raw["price"]),
@@ -174,8 +181,7 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     bad_number = F.lit(False)
     for c, v in parsed.items():
         bad_number = bad_number | (raw[c].isNotNull() & v.isNull())
-    malformed = F.col("_j").isNull() | F.col("_j._corrupt").isNotNull() | ~_one_object(F.col("value"))
-    reject = (F.when(malformed, F.lit(REJECT_MALFORMED))
+    reject = (F.when(~F.col("_whole"), F.lit(REJECT_MALFORMED))
               .when(bad_number, F.lit(REJECT_BAD_NUMBER)))
     out = []
     for c in TICK_COLS:
@@ -219,4 +225,5 @@ def to_bronze(ticks: DataFrame, inserted_at: Column | None = None) -> DataFrame:
     df = ticks.withColumn("inserted_at", ins)
     if "seq" not in df.columns:
         df = df.withColumn("seq", F.lit(None).cast("bigint"))
-    return df.select(*BRONZE_COLS)
+    # a log's partition stays with its offset: offsets are unique in one partition only
+    return df.select(*BRONZE_COLS, *(["partition"] if "partition" in df.columns else []))

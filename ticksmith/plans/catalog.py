@@ -23,8 +23,11 @@ from ticksmith.operators import bars as bars_op
 from ticksmith.operators import ingest, marts, quality, reports, staging
 from ticksmith.plans import batch, storage
 from ticksmith.schemas import BAR, BAR_COLS, BRONZE, TICK_COLS
-from ticksmith.sources.events import (EVENT_COLS, events_as_bronze, events_as_messages,
+from ticksmith.plans.manifest import MonthTable
+from ticksmith.sources.events import (EVENT_COLS, events_as_bronze, events_as_messages, events_as_shifted_bronze,
                                       events_as_snapshots, read_events)
+from ticksmith.sources.kafka import read_message_log, write_message_log
+from ticksmith.streaming import fanout
 from ticksmith.streaming import jobs as stream_jobs
 
 # Parameters of the registered queries.
@@ -242,6 +245,54 @@ def q_incremental_marts(spark, sf):
     return m.daily_summary.drop("updated_at")
 
 
+def q_incremental_marts_shifted(spark, sf):
+    # the same over two insertion months whose stamps run late and ahead of their arrival
+    bronze, out = events_as_shifted_bronze(read_events(spark, sf)), storage.scratch_path(spark, "marts_shifted")
+    batch.build_marts(bronze.filter(F.col("inserted_at") < INCREMENT_DAY), out_dir=out)
+    return batch.build_marts(bronze, out_dir=out, since=INCREMENT_DAY).daily_summary.drop("updated_at")
+
+
+def q_expired_bronze(spark, sf):
+    # bronze as month versions; a rewrite that was never committed changes nothing; then the TTL, in one commit
+    rows = storage.with_month(bronze_by_user(spark, sf), "inserted_at")
+    table = MonthTable(spark, storage.scratch_path(spark, "bronze_months"), BRONZE, ["ticker", "inserted_at"])
+    table.replace(rows)
+    table.write(rows.withColumn("price", F.lit(0.0)))
+    storage.enforce_retention(spark, table.path, BRONZE, RETENTION_AS_OF, sort_cols=table.sort_cols)
+    return table.read().select("seq", "ticker", "inserted_at", "ym")
+
+
+def fan_out(spark: SparkSession, sf: str) -> dict[str, str]:
+    """The feed as a message log of several files, one a micro-batch, through ``start_fan_out``.
+
+    The files hold every time of the feed, so most ticks of a later batch are late for
+    bars that an earlier one stored; the store is compacted between two runs, the second of which resumes
+    from the checkpoint.
+    """
+    at = {name: storage.scratch_path(spark, f"fan_out_{name}") for name in ("log", "bronze", "rejects", "bars", "ckpt")}
+    messages = events_as_messages(read_events(spark, sf), "event_type")
+    for part in range(2):
+        write_message_log(messages.filter(F.col("seq") % 2 == part).repartition(2), at["log"])
+        query = fanout.start_fan_out(read_message_log(spark, at["log"], stream=True, max_files_per_trigger=1), at["bronze"],
+                                     at["rejects"], at["bars"], at["ckpt"], {"availableNow": True})
+        query.awaitTermination()
+        if part == 0:
+            fanout.BarStore(spark, at["bars"]).compact()
+    return at
+
+
+def q_fan_out_bronze(spark, sf):
+    return fanout.read_batches(spark, fan_out(spark, sf)["bronze"], BRONZE, "ym").select("seq", *TICK_COLS)
+
+
+def q_fan_out_rejects(spark, sf):
+    return fanout.read_batches(spark, fan_out(spark, sf)["rejects"], fanout.REJECTED).select(*fanout.REJECTED.fieldNames())
+
+
+def q_fan_out_bars(spark, sf):
+    return fanout.BarStore(spark, fan_out(spark, sf)["bars"]).read().select(*BAR_COLS)
+
+
 def q_stream_bars_via_bronze(spark, sf):
     # the read-once fan-out: messages -> bronze stream; bars follow the
     # committed bronze files (event time), as start_ingest(bars_source='bronze')
@@ -286,4 +337,9 @@ QUERIES: dict[str, Query] = {
     "stream_bars_via_bronze": q_stream_bars_via_bronze,
     "compacted_bronze": q_compacted_bronze,
     "incremental_marts": q_incremental_marts,
+    "incremental_marts_shifted": q_incremental_marts_shifted,
+    "expired_bronze": q_expired_bronze,
+    "fan_out_bronze": q_fan_out_bronze,
+    "fan_out_rejects": q_fan_out_rejects,
+    "fan_out_bars": q_fan_out_bars,
 }

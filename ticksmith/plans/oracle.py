@@ -93,14 +93,44 @@ MESSAGES = f"SELECT *, seq % 50 AS r FROM ({bronze(USER_TICKER)}) b"
 PARSED = f"""
   SELECT seq,
          CASE WHEN r = 8 THEN '' ELSE ticker END AS ticker,
-         CASE WHEN r IN (3, 4, 5, 7, 8, 9, 10) THEN '' ELSE name END AS name,
+         CASE WHEN r = 13 THEN 'a}}b{{' WHEN r IN (3, 4, 5, 7, 8, 9, 10, 15) THEN '' ELSE name END AS name,
          CASE WHEN r IN (8, 10) THEN 0.0 ELSE price END AS price,
-         CASE WHEN r IN (3, 7, 8, 9, 10) THEN 0 ELSE volume END AS volume,
-         CASE WHEN r IN (3, 4, 5, 7, 8, 9, 10) THEN 0.0 ELSE market_cap END AS market_cap,
+         CASE WHEN r IN (3, 7, 8, 9, 10, 13, 15) THEN 0 ELSE volume END AS volume,
+         CASE WHEN r IN (3, 4, 5, 7, 8, 9, 10, 13, 15) THEN 0.0 ELSE market_cap END AS market_cap,
          'KES' AS currency,
-         CASE WHEN r = 9 THEN 'junk' WHEN r IN (3, 4, 5, 7, 8, 10) THEN '' ELSE fetched_at END AS fetched_at,
+         CASE WHEN r = 9 THEN 'junk' WHEN r = 15 THEN '2024-01' WHEN r IN (3, 4, 5, 7, 8, 10, 13) THEN '' ELSE fetched_at END AS fetched_at,
          'NSE' AS exchange
-  FROM ({MESSAGES}) m WHERE r NOT IN (0, 1, 2)"""
+  FROM ({MESSAGES}) m WHERE r NOT IN (0, 1, 2, 11, 12, 14)"""
+
+
+def rejects(ticker: str) -> str:
+    return f"""
+      SELECT seq, ticker AS key,
+             CASE r WHEN 0 THEN 'not json' WHEN 1 THEN '[1]'
+                    WHEN 11 THEN '{{"ticker":"' || ticker || '","price":1}}] trailing'
+                    WHEN 12 THEN '{{"ticker":"' || ticker || '","price":1}}]{{"ticker":"' || ticker || '","price":2}}'
+                    WHEN 14 THEN '{{"ticker":"' || ticker || '","price":"12.5d"}}'
+                    ELSE '{{"ticker":"' || ticker || '","price":"abc"}}' END AS raw_value,
+             CASE WHEN r IN (2, 14) THEN 'bad_number' ELSE 'malformed' END AS reason
+      FROM (SELECT *, seq % 50 AS r FROM ({bronze(ticker)}) b) m WHERE r IN (0, 1, 2, 11, 12, 14)"""
+
+
+# Ticks with a readable message and time: the spoil rules leave these.
+TIMED = "SELECT * FROM events WHERE event_id % 50 NOT IN (0, 1, 2, 3, 4, 5, 7, 8, 9, 10, 11, 12, 13, 14, 15)"
+
+# Two insertion months, stamps late and ahead (see sources.events).
+SHIFTED_DAILY = f"""
+  WITH t AS (SELECT *, arrived + CASE WHEN event_id % 10 IN (1, 2) THEN INTERVAL 20 DAY WHEN event_id % 10 IN (3, 4) THEN INTERVAL (-20) DAY
+                       ELSE INTERVAL 0 DAY END AS stamped
+             FROM (SELECT *, CASE WHEN event_id % 2 = 0 THEN ts - INTERVAL 31 DAY ELSE ts END AS arrived FROM events)),
+  s AS (SELECT {USER_TICKER} AS ticker, value AS price, stamped, CAST(stamped AS DATE) AS trade_date FROM t
+        WHERE value > 0 AND NOT isnan(value)
+        QUALIFY row_number() OVER (PARTITION BY user_id, date_trunc('minute', stamped) ORDER BY arrived DESC, event_id DESC) = 1),
+  a AS (SELECT trade_date, ticker, arg_min(price, stamped) AS open_price, max(price) AS high_price, min(price) AS low_price,
+               arg_max(price, stamped) AS close_price, count(*) AS total_ticks FROM s GROUP BY trade_date, ticker)
+  SELECT trade_date, ticker, open_price, high_price, low_price, close_price, {r2('close_price - open_price')} AS price_change,
+         {r2('(close_price - open_price) / open_price * 100')} AS pct_change, total_ticks
+  FROM a WHERE open_price > 0 AND NOT isnan(open_price)"""
 
 
 def _quality_tables() -> dict[str, str]:
@@ -173,12 +203,8 @@ ORACLE: dict[str, str] = {
       SELECT seq, ticker, name, price, volume, market_cap, currency, fetched_at, exchange
       FROM ({bronze(USER_TICKER)}) b""",
     "parse_ticks": PARSED,
-    "quarantine_ticks": f"""
-      SELECT seq, ticker AS key,
-             CASE r WHEN 0 THEN 'not json' WHEN 1 THEN '[1]'
-                    ELSE '{{"ticker":"' || ticker || '","price":"abc"}}' END AS raw_value,
-             CASE WHEN r IN (0, 1) THEN 'malformed' ELSE 'bad_number' END AS reason
-      FROM ({MESSAGES}) m WHERE r IN (0, 1, 2)""",
+    "quarantine_ticks": rejects(USER_TICKER),
+    "fan_out_rejects": rejects("event_type"),
     "parse_fetched_at": f"""
       SELECT event_id AS seq, {ISO} AS fetched_at_text, {UTC} AS fetched_at, CAST(ts AS DATE) AS trade_date
       FROM events""",
@@ -195,6 +221,7 @@ ORACLE: dict[str, str] = {
     "stage_bars": STAGE_BARS,
     "daily_summary": DAILY,
     "incremental_marts": DAILY,      # equal to a full rebuild
+    "incremental_marts_shifted": SHIFTED_DAILY,
     "top_movers": MOVERS,
     "top_movers_single_pass": MOVERS,
     "movers_report": f"""
@@ -228,6 +255,10 @@ ORACLE: dict[str, str] = {
       SELECT event_id AS seq, {USER_TICKER} AS ticker, {UTC} AS inserted_at,
              CAST(year({UTC}) * 100 + month({UTC}) AS INTEGER) AS ym
       FROM events WHERE {UTC} + INTERVAL 2 YEAR > TIMESTAMP '2026-01-15 00:00:00'""",
+    "expired_bronze": f"""
+      SELECT event_id AS seq, {USER_TICKER} AS ticker, {UTC} AS inserted_at,
+             CAST(year({UTC}) * 100 + month({UTC}) AS INTEGER) AS ym
+      FROM events WHERE {UTC} + INTERVAL 2 YEAR > TIMESTAMP '2026-01-15 00:00:00'""",
     "compacted_bronze": f"""
       SELECT event_id AS seq, {USER_TICKER} AS ticker, {UTC} AS inserted_at,
              CAST(year({UTC}) * 100 + month({UTC}) AS INTEGER) AS ym
@@ -241,10 +272,14 @@ ORACLE: dict[str, str] = {
       SELECT * FROM ({BARS}) b
       WHERE window_end <= (SELECT max({UTC}) FROM events)""",
     "stream_bronze": PARSED,
-    # bars need a parsed message with a parseable fetched_at: the spoil
-    # rules 0-5 and 7-10 (quarantined, missing or junk timestamp) drop out
+    # bars need a parsed message with a parseable fetched_at
     "stream_bars_via_bronze": f"""
-      WITH ev AS (SELECT * FROM events WHERE event_id % 50 NOT IN (0, 1, 2, 3, 4, 5, 7, 8, 9, 10))
+      WITH ev AS ({TIMED})
       SELECT * FROM ({BARS.replace("FROM events", "FROM ev")}) b
       WHERE window_end <= (SELECT max({UTC}) FROM ev)""",
+    # late ticks repair their bars, so every readable tick counts
+    "fan_out_bars": f"""
+      WITH ev AS ({TIMED})
+      SELECT * FROM ({BARS.replace("FROM events", "FROM ev")}) b""",
+    "fan_out_bronze": PARSED.replace(MESSAGES, f"SELECT *, seq % 50 AS r FROM ({bronze('event_type')}) b"),
 }

@@ -68,6 +68,16 @@ BAR = T.StructType([
 ])
 BAR_COLS = [f.name for f in BAR.fields]
 
+# Stored bars: when the sink last changed the bar, and what decides open and close.
+STORED_BAR = T.StructType(BAR.fields + [
+    _f("inserted_at", T.TimestampNTZType(), "When the sink last changed the bar (UTC)"),
+    _f("open_key", T.DecimalType(38, 0), "Order of the opening tick: time, partition, offset"),
+    _f("close_key", T.DecimalType(38, 0), "Order of the closing tick"),
+])
+
+# Bronze of a partitioned log.
+LOG_BRONZE = T.StructType(BRONZE.fields + [_f("partition", T.IntegerType(), "Log partition of the offset in seq")])
+
 STAGED_TICK = T.StructType([
     _f("ticker", T.StringType()),
     _f("name", T.StringType()),

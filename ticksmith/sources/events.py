@@ -37,6 +37,11 @@ EXTRA_FIELD = 7       # one unknown key                      -> ignored
 EMPTY_OBJECT = 8      # '{}'                                 -> ticker '', price 0
 BAD_TIMESTAMP = 9     # fetched_at 'junk'                    -> bronze, staging reject
 NULL_PRICE = 10       # "price":null                         -> price 0
+TRAILING_TEXT = 11    # an object, then '] trailing'         -> quarantine
+SECOND_OBJECT = 12    # an object, ']' and another object    -> quarantine
+BRACES_INSIDE = 13    # braces in a text, a nested object    -> parsed
+SUFFIXED_NUMBER = 14  # "price":"12.5d"                      -> quarantine
+PARTIAL_TIME = 15     # fetched_at '2024-01'                 -> bronze, staging reject
 
 # Snapshot spoil rules (event_id modulus -> effect).
 SNAPSHOT_ZERO_PRICE_MOD = 17    # last_price 0      -> skipped
@@ -139,6 +144,31 @@ def events_as_messages(events: DataFrame, ticker: str = "user", tz: str = NAIROB
         .when(r == BAD_TIMESTAMP, F.concat(F.lit('{"ticker":'), tk, F.lit(',"price":'), price_txt,
                                            F.lit(',"fetched_at":"junk"}')))
         .when(r == NULL_PRICE, F.concat(F.lit('{"ticker":'), tk, F.lit(',"price":null}')))
+        .when(r == TRAILING_TEXT, F.concat(F.lit('{"ticker":'), tk, F.lit(',"price":1}] trailing')))
+        .when(r == SECOND_OBJECT, F.concat(F.lit('{"ticker":'), tk, F.lit(',"price":1}]{"ticker":'), tk, F.lit(',"price":2}')))
+        .when(r == BRACES_INSIDE, F.concat(F.lit('{"ticker":'), tk, F.lit(',"name":"a}b{","price":'), price_txt,
+                                           F.lit(',"x":{"y":[1]}}')))
+        .when(r == SUFFIXED_NUMBER, F.concat(F.lit('{"ticker":'), tk, F.lit(',"price":"12.5d"}')))
+        .when(r == PARTIAL_TIME, F.concat(F.lit('{"ticker":'), tk, F.lit(',"price":'), price_txt,
+                                          F.lit(',"fetched_at":"2024-01"}')))
         .otherwise(good)
     )
     return b.select(F.col("ticker").alias("key"), value.alias("value"), F.col("seq"))
+
+
+def events_as_shifted_bronze(events: DataFrame, tz: str = NAIROBI) -> DataFrame:
+    """Bronze ticks of two insertion months whose stamps run late and ahead.
+
+    Even event ids arrive 31 days earlier; of every ten ids, two are stamped 20
+    days ahead of their arrival and two 20 days behind it.
+    """
+    eid = F.col("event_id")
+    arrived = F.when(eid % 2 == 0, F.col("ts") - F.expr("INTERVAL 31 DAYS")).otherwise(F.col("ts"))
+    stamped = (F.when((eid % 10).isin(1, 2), arrived + F.expr("INTERVAL 20 DAYS"))
+               .when((eid % 10).isin(3, 4), arrived - F.expr("INTERVAL 20 DAYS")).otherwise(arrived))
+    utc = local_to_utc(stamped, tz)
+    return events.select(
+        user_ticker(F.col("user_id")).alias("ticker"), user_ticker(F.col("user_id")).alias("name"), F.col("value").alias("price"),
+        _volume().alias("volume"), (F.col("value") * F.lit(1_000_000.0)).alias("market_cap"), F.lit("KES").alias("currency"),
+        iso_text(stamped, utc).alias("fetched_at"), F.lit("NSE").alias("exchange"),
+        local_to_utc(arrived, tz).alias("inserted_at"), eid.alias("seq"))

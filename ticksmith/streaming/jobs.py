@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ticksmith.functions.timefn import instant_to_utc, month_key, parse_instant
+from ticksmith.functions.timefn import instant_to_utc, month_key, parse_instant, width_micros
 from ticksmith.operators.bars import BAR_WIDTH, ohlc_bars
 from ticksmith.operators.ingest import (observe_parsed, parse_messages, parsed_ticks, quarantined,
                                         sink_time, to_bronze)
@@ -43,8 +43,7 @@ from ticksmith.operators.ingest import (observe_parsed, parse_messages, parsed_t
 # Fixed value: default allowed lateness for the bar stream.
 DEFAULT_DELAY = "10 minutes"
 
-# How far a tick's time may be ahead of its arrival, and the reason given beyond that.
-MAX_SKEW = "1 hour"
+# Fixed value: the reason given for a tick whose time is too far ahead of its arrival.
 REJECT_TOO_EARLY = "time_ahead_of_arrival"
 
 
@@ -78,7 +77,20 @@ def bronze_stream(messages: DataFrame, metrics: str | None = None) -> DataFrame:
     return to_bronze(parsed_ticks(parsed))
 
 
-def too_early(ticks: DataFrame, max_skew: str = MAX_SKEW) -> Column:
+def skew_bound(delay: str, max_skew: str | None) -> str:
+    """How far ahead of its arrival a tick may be stamped: ``delay`` unless less is asked for.
+
+    The watermark is the largest time seen less ``delay``.  A tick ahead by more
+    than that carries it past ticks that arrive on time, and they would be lost.
+    """
+    if max_skew is None:
+        return delay
+    if width_micros(max_skew) > width_micros(delay):
+        raise ValueError(f"max_skew {max_skew!r} is above delay {delay!r}: a tick that far ahead would drop honest ones")
+    return max_skew
+
+
+def too_early(ticks: DataFrame, max_skew: str = DEFAULT_DELAY) -> Column:
     """True for ticks stamped more than ``max_skew`` after they arrived.
 
     Arrival is the broker's append time, else bronze's ``inserted_at``, else the
@@ -94,7 +106,7 @@ def too_early(ticks: DataFrame, max_skew: str = MAX_SKEW) -> Column:
     return F.coalesce(late, F.lit(False))
 
 
-def quarantine_stream(messages: DataFrame, max_skew: str = MAX_SKEW) -> DataFrame:
+def quarantine_stream(messages: DataFrame, max_skew: str = DEFAULT_DELAY) -> DataFrame:
     """Messages that didn't parse, and those whose time the bars refuse
     (``too_early``; bronze keeps these), with the reason."""
     parsed = parse_messages(messages)
@@ -109,11 +121,12 @@ def heartbeat_stream(spark: SparkSession, rows_per_second: int = 1) -> DataFrame
 
 def bar_stream(ticks: DataFrame, time_mode: str = "event", delay: str = DEFAULT_DELAY,
                width: str = BAR_WIDTH, heartbeat: DataFrame | None = None,
-               max_skew: str = MAX_SKEW) -> DataFrame:
+               max_skew: str | None = None) -> DataFrame:
     """Ticks (with string ``fetched_at``) -> watermarked OHLC bar stream.
 
-    In event mode ticks stamped more than ``max_skew`` after their arrival are left
-    out before the watermark sees them (``quarantine_stream`` has them).
+    In event mode ticks stamped more than ``max_skew`` after their arrival (default
+    and at most ``delay``) are left out before the watermark sees them
+    (``quarantine_stream`` with the same bound has them).
 
     ``heartbeat`` (arrival mode only; see ``heartbeat_stream``) closes bars
     on the clock when no ticks arrive.  With a broker ``arrival_ts`` the
@@ -124,7 +137,7 @@ def bar_stream(ticks: DataFrame, time_mode: str = "event", delay: str = DEFAULT_
     """
     has_arrival = "arrival_ts" in ticks.columns
     if time_mode == "event":
-        ticks = ticks.filter(~too_early(ticks, max_skew))
+        ticks = ticks.filter(~too_early(ticks, skew_bound(delay, max_skew)))
         t = parse_instant(F.col("fetched_at"))
     elif time_mode == "arrival":
         t = F.col("arrival_ts") if has_arrival else F.current_timestamp()
@@ -139,12 +152,13 @@ def bar_stream(ticks: DataFrame, time_mode: str = "event", delay: str = DEFAULT_
     # carry a NULL key: when a micro-batch has no heartbeat rows Spark prunes
     # that union branch, and the key columns must keep their nullability
     # across batches, or restoring stored groups would break.
-    cols = ["ticker", "price", "seq"]
+    cols = ["ticker", "price", "seq", *(["partition"] if "partition" in timed.columns else [])]
     ticks_part = timed.select(*cols, "_event_ts", F.lit(1).alias("_is_tick"),
                               F.lit(False).alias("_heartbeat"))
     beats = heartbeat.select(F.lit("").alias("ticker"),
                              F.lit(None).cast("double").alias("price"),
                              F.lit(None).cast("bigint").alias("seq"),
+                             *([F.lit(None).cast("int").alias("partition")] if "partition" in timed.columns else []),
                              (F.col("timestamp") if has_arrival else F.current_timestamp()).alias("_event_ts"),
                              F.lit(None).cast("int").alias("_is_tick"),
                              F.lit(True).alias("_heartbeat"))
@@ -173,9 +187,9 @@ def start_bronze(messages: DataFrame, path: str, checkpoint: str,
 
 
 def start_quarantine(messages: DataFrame, path: str, checkpoint: str,
-                     trigger: dict | None = None) -> StreamingQuery:
-    """Reject sink: raw text + reason of every message that did not parse."""
-    return _start(quarantine_stream(messages), path, checkpoint, None,
+                     trigger: dict | None = None, max_skew: str = DEFAULT_DELAY) -> StreamingQuery:
+    """Reject sink: raw text + reason of every message that did not parse, or that bars of this delay refuse."""
+    return _start(quarantine_stream(messages, max_skew), path, checkpoint, None,
                   trigger or {"processingTime": "1 minute"}, None)
 
 
@@ -198,11 +212,11 @@ def bronze_file_stream(spark: SparkSession, bronze_path: str,
     missing, so this query may start before the bronze query's first commit.
     """
     from ticksmith.plans.storage import table_schema
-    from ticksmith.schemas import BRONZE
+    from ticksmith.schemas import LOG_BRONZE
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(bronze_path)
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hpath)
-    r = spark.readStream.schema(table_schema(BRONZE))
+    r = spark.readStream.schema(table_schema(LOG_BRONZE))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.parquet(bronze_path)
@@ -235,7 +249,7 @@ def start_ingest(messages_factory: Callable[[], DataFrame], bronze_path: str, ba
     bars_source = bars_source or ("bronze" if time_mode == "event" else "messages")
     bronze = start_bronze(messages, bronze_path, f"{root}/bronze", trigger)
     rejects = start_quarantine(messages_factory(), quarantine_path or f"{bronze_path.rstrip('/')}.rejects",
-                               f"{root}/quarantine", trigger)
+                               f"{root}/quarantine", trigger, delay)
     if bars_source == "messages":
         bars = start_bars(messages_factory(), bars_path, f"{root}/bars", time_mode, delay, trigger)
     elif bars_source == "bronze":
@@ -250,7 +264,11 @@ def start_ingest(messages_factory: Callable[[], DataFrame], bronze_path: str, ba
 
 def file_stream(spark: SparkSession, directory: str, schema, glob: str | None = None,
                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """A Parquet file stream over ``directory`` (optionally one file glob)."""
+    """A Parquet file stream over ``directory`` (optionally one file glob).
+
+    Files are taken by their modification time, which says nothing of the times
+    inside; a bar stream over files needs a ``delay`` that covers what one file may be behind another.
+    """
     r = spark.readStream.schema(schema)
     if glob:
         r = r.option("pathGlobFilter", glob)
