@@ -82,19 +82,26 @@ def local_to_utc(c: Column, tz: str) -> Column:
     return F.convert_timezone(F.lit(tz), F.lit("UTC"), c)
 
 
-def parse_instant(s: Column) -> Column:
+# A date and time to the minute at least, and the same with nothing behind it.
+_FULL = r"^\s*\d{4}-\d{1,2}-\d{1,2}[T ]\d{1,2}:\d{2}"
+_BARE = _FULL + r"(:\d{1,2}(\.\d*)?)?\s*$"
+# Zone of a text that names none: the servers of the feed run on UTC.
+DEFAULT_ZONE = "UTC"
+
+
+def parse_instant(s: Column, zone: str = DEFAULT_ZONE) -> Column:
     """ISO-8601 text -> TIMESTAMP; NULL for junk, '' and texts without a full date and time.
 
-    Text without an offset is read in the session zone (the reference reads
-    it in the server zone).
+    Text without an offset is read in ``zone``, whatever the session's zone is.
     """
-    full = s.rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}[T ]\d{1,2}:\d{2}")
-    return F.when(full, s).try_cast("timestamp")
+    seconds = F.when(s.rlike(_FULL + r"\s*$"), F.lit(":00")).otherwise(F.lit(""))   # a zone needs them before it
+    whole = F.when(s.rlike(_BARE), F.concat(F.trim(s), seconds, F.lit(f" {zone}"))).when(s.rlike(_FULL), s)
+    return whole.try_cast("timestamp")
 
 
-def parse_to_utc(s: Column) -> Column:
+def parse_to_utc(s: Column, zone: str = DEFAULT_ZONE) -> Column:
     """ISO-8601 text -> NTZ UTC wall clock (``parseDateTime64BestEffort``)."""
-    return instant_to_utc(parse_instant(s))
+    return instant_to_utc(parse_instant(s, zone))
 
 
 def local_date(utc: Column, tz: str) -> Column:

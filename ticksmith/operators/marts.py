@@ -122,11 +122,21 @@ def top_movers_single_pass(daily: DataFrame, k: int = TOP_N, min_ticks: int = MI
                     "ticker", "close_price", "pct_change"))
 
 
-def ordered_daily(daily: DataFrame) -> DataFrame:
+def daily_order() -> list[Column]:
     """O1: ``trade_date DESC, pct_change DESC`` (ticker breaks ties)."""
-    return daily.orderBy(F.col("trade_date").desc(), F.col("pct_change").desc(), F.col("ticker"))
+    return [F.col("trade_date").desc(), F.col("pct_change").desc(), F.col("ticker").asc()]
 
 
-def ordered_movers(movers: DataFrame) -> DataFrame:
+def movers_order() -> list[Column]:
     """O2: ``trade_date DESC, direction, rank``."""
-    return movers.orderBy(F.col("trade_date").desc(), F.col("direction"), F.col("rank"))
+    return [F.col("trade_date").desc(), F.col("direction").asc(), F.col("rank").asc()]
+
+
+def ordered_daily(daily: DataFrame) -> DataFrame:
+    """The daily table in its published order."""
+    return daily.orderBy(*daily_order())
+
+
+def ordered_movers(movers: DataFrame) -> DataFrame:
+    """The movers table in its published order."""
+    return movers.orderBy(*movers_order())

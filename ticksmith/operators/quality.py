@@ -19,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ticksmith.functions.numeric import in_range
@@ -138,3 +138,19 @@ def failing_rows(tables: Mapping[str, DataFrame],
 def blocking_failures(results: DataFrame) -> DataFrame:
     """Checks with ``severity = 'error'`` that failed (empty for warn-only)."""
     return results.filter((F.col("severity") == "error") & (F.col("failures") > 0))
+
+
+def counters(table: str, checks: Iterable[Check] = REFERENCE_CHECKS) -> list[Column]:
+    """The failure counts of one table's checks as aggregates, for ``DataFrame.observe``."""
+    return [F.count_if(ch.fails()).alias(f"_c{i}") for i, ch in enumerate(_by_table(checks).get(table, []))]
+
+
+def observed_checks(spark: SparkSession, observed: Mapping[str, Observation],
+                    checks: Iterable[Check] = REFERENCE_CHECKS) -> DataFrame:
+    """``run_checks`` of the tables that were written under ``observed``: the counts come from the write pass itself.
+
+    One small row a check; no table is scanned.
+    """
+    rows = [(ch.table, ch.column, ch.kind, int(observed[table].get[f"_c{i}"]), ch.severity)
+            for table, chs in _by_table(checks).items() if table in observed for i, ch in enumerate(chs)]
+    return spark.createDataFrame(rows, "table_name string, column_name string, check_name string, failures bigint, severity string")

@@ -64,6 +64,7 @@ def health_today(bronze: DataFrame, as_of: date | str | Column | None = None) ->
     counts = (_days(bronze, "inserted_at", d, d)
               .agg(F.count(F.lit(1)).alias("tick_count"),
                    F.countDistinct("ticker").alias("ticker_count")))
+    # Fixed value: the status line that readers of the report match.
     line = F.format_string("Today's ticks so far: %s rows across %d tickers",
                            thousands(F.col("tick_count")), F.col("ticker_count"))
     return counts.withColumn("line", line)
@@ -75,7 +76,7 @@ def assert_ticks_today(health: DataFrame) -> int:
     row = health.select("tick_count").first()
     n = int(row[0]) if row and row[0] is not None else 0
     if n == 0:
-        raise ValueError("No ticks found for today; check that the producer is running.")
+        raise ValueError("the ingest day is empty: bronze holds no row inserted on it")
     return n
 
 

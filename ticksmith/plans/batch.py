@@ -15,10 +15,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ticksmith.functions.timefn import NAIROBI, local_date, month_key, parse_to_utc
@@ -38,6 +38,12 @@ class Marts:
     daily_summary: DataFrame
     top_movers: DataFrame
     stg_ticks_latest: DataFrame | None = None
+    observed: dict[str, Observation] = field(default_factory=dict)
+
+    def written_checks(self) -> DataFrame:
+        """The checks of the marts that this run wrote (with ``out_dir``), counted while they were written;
+        after ``since`` over the rewritten months."""
+        return quality.observed_checks(self.raw_ticks.sparkSession, self.observed)
 
     def check_tables(self) -> dict[str, DataFrame]:
         """``tables()`` for failure *counts*: ``stg_ticks`` is replaced by the
@@ -162,8 +168,14 @@ def build_marts(bronze: DataFrame, bars: DataFrame | None = None, out_dir: str |
     daily = marts.daily_summary_from_bronze(source, updated_at, tz, session_only)
     if months is not None:
         daily = daily.filter(month_key(F.col("trade_date")).isin(months))
+    watch: dict[str, Observation] = {}
+
+    def watched(table: str):
+        watch[table] = Observation(f"checks_{table}")
+        return watch[table], quality.counters(table)
+
     if out_dir:
-        days.replace(storage.with_month(daily, "trade_date"), months, notes={LEDGER: ledger})
+        days.replace(storage.with_month(daily, "trade_date"), months, notes={LEDGER: ledger}, observe=watched("daily_summary"))
         daily, ranked_days = (days.read(which).select(*DAILY.fieldNames()) for which in (None, months))
     else:
         daily = ranked_days = storage.materialize(daily, "daily_summary")
@@ -171,7 +183,7 @@ def build_marts(bronze: DataFrame, bars: DataFrame | None = None, out_dir: str |
     # before the shuffle, so a day with very many tickers is not one task's work
     movers = marts.top_movers_single_pass(ranked_days)
     if out_dir:
-        moves.replace(storage.with_month(movers, "trade_date"), months)
+        moves.replace(storage.with_month(movers, "trade_date"), months, observe=watched("top_movers"))
         movers = moves.read().select(*MOVERS.fieldNames())
     return Marts(
         raw_ticks=bronze,
@@ -181,6 +193,7 @@ def build_marts(bronze: DataFrame, bars: DataFrame | None = None, out_dir: str |
         daily_summary=daily,
         top_movers=movers,
         stg_ticks_latest=staging.latest_prices(bronze, tz),
+        observed=watch,
     )
 
 

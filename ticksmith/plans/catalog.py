@@ -18,15 +18,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticksmith.functions.timefn import NAIROBI, in_session, local_date, month_key, parse_to_utc
+from ticksmith.functions.timefn import NAIROBI, in_session, local_date, month_key, parse_to_utc, wall_to_instant
 from ticksmith.operators import bars as bars_op
 from ticksmith.operators import ingest, marts, quality, reports, staging
 from ticksmith.plans import batch, storage
 from ticksmith.schemas import BAR, BAR_COLS, BRONZE, TICK_COLS
 from ticksmith.plans.manifest import MonthTable
 from ticksmith.sources.events import (EVENT_COLS, events_as_bronze, events_as_messages, events_as_shifted_bronze,
-                                      events_as_snapshots, read_events)
+                                      events_as_snapshots, events_as_universe_snapshots, read_events, spoiled_tables)
 from ticksmith.sources.kafka import read_message_log, write_message_log
+from ticksmith.sources.tables import read_partitioned
 from ticksmith.streaming import fanout
 from ticksmith.streaming import jobs as stream_jobs
 
@@ -199,13 +200,52 @@ def q_monthly_layout(spark, sf):
     path = storage.scratch_path(spark, "monthly_layout")
     storage.write_table(bronze_by_user(spark, sf), path, partition_source="inserted_at",
                         sort_cols=["ticker", "inserted_at"])
-    back = spark.read.schema(storage.table_schema(BRONZE)).parquet(path)
+    back = read_partitioned(spark, path, storage.table_schema(BRONZE))
     return back.groupBy("ym").agg(F.count(F.lit(1)).alias("n_rows"),
                                   F.countDistinct("ticker").alias("n_tickers"),
                                   F.min("inserted_at").alias("first_inserted_at"),
                                   F.max("inserted_at").alias("last_inserted_at"))
 
 
+def q_universe_snapshots(spark, sf):
+    return ingest.normalise_snapshots(events_as_universe_snapshots(read_events(spark, sf), ingest.NSE_UNIVERSE),
+                                      universe=ingest.NSE_UNIVERSE)
+
+
+def q_message_keys(spark, sf):
+    # K1: every record's key beside the ticker inside it
+    parsed = ingest.parse_messages(ingest.to_messages(bronze_by_user(spark, sf)))
+    return parsed.select("seq", "key", "ticker")
+
+
+def q_published_daily(spark, sf):
+    return storage.published(daily_by_user(spark, sf).drop("updated_at"), marts.daily_order())
+
+
+def q_published_movers(spark, sf):
+    return storage.published(marts.top_movers_single_pass(daily_by_user(spark, sf)), marts.movers_order())
+
+
+def q_quality_spoiled_results(spark, sf):
+    return quality.run_checks(spoiled_tables(quality_marts(spark, sf).tables()))
+
+
+def q_quality_written(spark, sf):
+    # counted by the write pass of the marts, not by a scan of them
+    m = batch.build_marts(bronze_by_user(spark, sf), bars=bars_by_type(spark, sf), out_dir=storage.scratch_path(spark, "marts_watched"))
+    return m.written_checks()
+
+
+def q_stream_bars_arrival(spark, sf):
+    # the reference's mode: bars by arrival; the ticks' own times are unreadable here
+    ticks = (events_as_bronze(_event_stream(spark, sf), "event_type").withColumn("arrival_ts", wall_to_instant(F.col("inserted_at")))
+             .withColumn("fetched_at", F.lit("junk")))
+    out = storage.scratch_path(spark, "stream_bars_arrival")
+    stream_jobs.run_available_now(stream_jobs.bar_stream(ticks, "arrival", STREAM_DELAY), out,
+                                  storage.scratch_path(spark, "stream_bars_arrival_ckpt"))
+    return spark.read.schema(BAR).parquet(out).select(*BAR_COLS)
+
+
 def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
     schema = spark.read.parquet(f"{sf.rstrip('/')}/events.parquet").select(*EVENT_COLS).schema
     # the glob matches the table as one file and as a directory of parts
@@ -339,6 +379,13 @@ QUERIES: dict[str, Query] = {
     "incremental_marts": q_incremental_marts,
     "incremental_marts_shifted": q_incremental_marts_shifted,
     "expired_bronze": q_expired_bronze,
+    "universe_snapshots": q_universe_snapshots,
+    "message_keys": q_message_keys,
+    "published_daily": q_published_daily,
+    "published_movers": q_published_movers,
+    "quality_spoiled_results": q_quality_spoiled_results,
+    "quality_written": q_quality_written,
+    "stream_bars_arrival": q_stream_bars_arrival,
     "fan_out_bronze": q_fan_out_bronze,
     "fan_out_rejects": q_fan_out_rejects,
     "fan_out_bars": q_fan_out_bars,

@@ -21,7 +21,7 @@ import uuid
 from collections.abc import Iterable, Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -103,18 +103,23 @@ class MonthTable:
 
     # ------------------------------------------------------------ writing
 
-    def write(self, df: DataFrame, ranges: int | None = None) -> tuple[str, list[int]]:
+    def write(self, df: DataFrame, ranges: int | None = None,
+              observe: tuple[Observation, list[Column]] | None = None) -> tuple[str, list[int]]:
         """Step one: rows (with the month column) as a new version of their months, seen by nobody yet.
 
         The rows are conformed to the declared schema and ranged on (month, sort
         keys): by ``ranges``, else as many as the session shuffles into, where
-        adaptive execution merges small neighbours.
+        adaptive execution merges small neighbours.  ``observe`` counts while
+        the sorted rows go to the writer, so each row is counted once.
         """
         version = uuid.uuid4().hex
         keys = [self.part_col, *self.sort_cols]
         rows = conform(df, self.full)
         parted = rows.repartitionByRange(ranges, *keys) if ranges else rows.repartitionByRange(*keys)
-        (parted.sortWithinPartitions(*keys).withColumn(VERSION_COL, F.lit(version))
+        final = parted.sortWithinPartitions(*keys)
+        if observe and observe[1]:
+            final = final.observe(observe[0], *observe[1])
+        (final.withColumn(VERSION_COL, F.lit(version))
          .write.mode("append").partitionBy(self.part_col, VERSION_COL).parquet(self.path))
         return version, [m for m in self._folders() if self._holds(m, version)]
 
@@ -147,13 +152,14 @@ class MonthTable:
             out.close()
 
     def replace(self, df: DataFrame, months: Sequence[int] | None = None, taken: dict[int, str] | None = None,
-                notes: dict | None = None, ranges: int | None = None) -> None:
+                notes: dict | None = None, ranges: int | None = None,
+                observe: tuple[Observation, list[Column]] | None = None) -> None:
         """Months become the rows of ``df`` in one commit; those without rows are gone.
 
         ``months`` None: the whole table.  ``taken`` is noted with each month.
         """
         state = self.state()
-        version, found = self.write(df, ranges)
+        version, found = self.write(df, ranges, observe)
         gone = set(state["months"] if months is None else months) - set(found)
         self.commit(state, {**{m: None for m in gone},
                             **{m: {"version": version, "taken": (taken or {}).get(m)} for m in found}}, notes)

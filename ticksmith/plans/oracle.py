@@ -10,9 +10,24 @@ clock, so the UTC instant is ``ts - INTERVAL 3 HOUR``.
 
 from __future__ import annotations
 
-from ticksmith.operators.quality import (ACCEPTED_RANGE, ACCEPTED_VALUES, NOT_NULL, REFERENCE_CHECKS,
-                                         retarget)
-from ticksmith.schemas import TICK_COLS
+# The declared checks as (table, column, kind, condition of failure); written here, not imported.
+RANGE, VALUES, NULL = "accepted_range", "accepted_values", "not_null"
+CHECKS = (
+    [("raw_ticks", c, NULL, f"{c} IS NULL") for c in ("ticker", "price", "fetched_at")]
+    + [("ohlcv_5min", c, NULL, f"{c} IS NULL") for c in ("ticker", "window_start", "close_price")]
+    + [("stg_ticks", c, NULL, f"{c} IS NULL") for c in ("ticker", "price")]
+    + [("stg_ticks", "price", RANGE, "NOT price > 0 OR isnan(price)")]
+    + [("stg_bars", "ticker", NULL, "ticker IS NULL"), ("stg_bars", "tick_count", RANGE, "NOT tick_count >= 1")]
+    + [("daily_summary", c, NULL, f"{c} IS NULL") for c in ("trade_date", "ticker", "open_price", "close_price", "pct_change")]
+    + [("daily_summary", "open_price", RANGE, "NOT open_price > 0 OR isnan(open_price)")]
+    + [("top_movers", c, NULL, f"{c} IS NULL") for c in ("trade_date", "direction", "rank")]
+    + [("top_movers", "direction", VALUES, "direction NOT IN ('gainer', 'loser')")]
+    + [("top_movers", "rank", RANGE, "NOT rank BETWEEN 1 AND 5")]
+)
+# Fields of a parsed tick, in message order.
+PARSED_FIELDS = ["ticker", "name", "price", "volume", "market_cap", "currency", "fetched_at", "exchange", "seq"]
+# The listed symbols.
+LISTED = ("SCOM EQTY KCB EABL BAT COOP ABSA NCBA SBIC DTB SCBK IMM KEGN KPLC SASN BAMB CTUM CABL NMG TCL").split()
 
 VOLUME = "COALESCE(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT), 0)"
 ISO = ("strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN microsecond(ts) % 1000000 = 0 THEN '' "
@@ -144,47 +159,49 @@ def _quality_tables() -> dict[str, str]:
     }
 
 
-def _fail_sql(kind: str, col: str, lo, hi, inclusive: bool, values) -> str:
-    if kind == NOT_NULL:
-        return f"{col} IS NULL"
-    if kind == ACCEPTED_RANGE:
-        conds = []
-        if lo is not None:
-            conds.append(f"{col} {'>=' if inclusive else '>'} {lo}")
-        if hi is not None:
-            conds.append(f"{col} {'<=' if inclusive else '<'} {hi}")
-        nan = f"isnan(CAST({col} AS DOUBLE))"
-        return f"({col} IS NOT NULL AND ({nan} OR NOT ({' AND '.join(conds)})))"
-    if kind == ACCEPTED_VALUES:
-        vals = ", ".join(f"'{v}'" for v in values)
-        return f"({col} IS NOT NULL AND {col} NOT IN ({vals}))"
-    raise ValueError(kind)
-
-
-def _quality_results(tables: dict[str, str] | None = None, checks=REFERENCE_CHECKS) -> str:
+def checks_of(table: str, as_table: str | None = None) -> list[tuple[str, str, str, str]]:
+    return [(as_table or t, c, kind, cond) for t, c, kind, cond in CHECKS if t == table]
+
+
+def _quality_results(tables: dict[str, str] | None = None, checks=CHECKS) -> str:
     tables = tables or _quality_tables()
-    parts = []
-    for ch in checks:
-        cond = _fail_sql(ch.kind, f'"{ch.column}"', ch.min_value, ch.max_value, ch.inclusive, ch.values)
-        parts.append(f"""SELECT '{ch.table}' AS table_name, '{ch.column}' AS column_name,
-            '{ch.kind}' AS check_name, CAST(count(*) FILTER (WHERE {cond}) AS BIGINT) AS failures,
-            '{ch.severity}' AS severity FROM ({tables[ch.table]}) t""")
-    return "\nUNION ALL\n".join(parts)
+    return "\nUNION ALL\n".join(
+        f"""SELECT '{t}' AS table_name, '{c}' AS column_name, '{kind}' AS check_name,
+            CAST(count(*) FILTER (WHERE {cond}) AS BIGINT) AS failures, 'warn' AS severity FROM ({tables[t]}) t"""
+        for t, c, kind, cond in checks)
 
 
-def _quality_failing_rows(tables: dict[str, str] | None = None, checks=REFERENCE_CHECKS,
-                          json_cols: list[str] | None = None) -> str:
+def _quality_failing_rows(tables: dict[str, str] | None = None, checks=CHECKS, json_cols: list[str] | None = None) -> str:
     """``json_cols`` fixes the field order of ``row_json`` (the Spark
     relation's column order) when the SQL lists its columns differently."""
     tables = tables or _quality_tables()
     row = f"struct_pack({', '.join(json_cols)})" if json_cols else "t"
-    parts = []
-    for ch in checks:
-        cond = _fail_sql(ch.kind, f'"{ch.column}"', ch.min_value, ch.max_value, ch.inclusive, ch.values)
-        parts.append(f"""SELECT '{ch.table}' AS table_name, '{ch.column}' AS column_name,
-            '{ch.kind}' AS check_name, CAST(to_json({row}) AS VARCHAR) AS row_json
-            FROM ({tables[ch.table]}) t WHERE {cond}""")
-    return "\nUNION ALL\n".join(parts)
+    return "\nUNION ALL\n".join(
+        f"""SELECT '{t}' AS table_name, '{c}' AS column_name, '{kind}' AS check_name,
+            CAST(to_json({row}) AS VARCHAR) AS row_json FROM ({tables[t]}) t WHERE {cond}""" for t, c, kind, cond in checks)
+
+
+def _spoiled_tables() -> dict[str, str]:
+    t = _quality_tables()
+    return {
+        "raw_ticks": f"""SELECT * REPLACE (CASE WHEN seq % 7 <> 0 THEN ticker END AS ticker, CASE WHEN seq % 11 <> 0 THEN price END AS price,
+            CASE WHEN seq % 13 <> 0 THEN fetched_at END AS fetched_at) FROM ({t['raw_ticks']})""",
+        "ohlcv_5min": f"""SELECT * REPLACE (CASE WHEN minute(window_start) <> 5 THEN ticker END AS ticker,
+            CASE WHEN minute(window_start) <> 10 THEN window_start END AS window_start,
+            CASE WHEN minute(window_start) <> 15 THEN close_price END AS close_price) FROM ({t['ohlcv_5min']})""",
+        "stg_ticks": f"""SELECT * REPLACE (CASE WHEN seq % 7 <> 0 THEN ticker END AS ticker, CASE WHEN seq % 11 = 0 THEN NULL
+            WHEN seq % 13 = 0 THEN -price WHEN seq % 17 = 0 THEN 0 ELSE price END AS price) FROM ({t['stg_ticks']})""",
+        "stg_bars": f"""SELECT * REPLACE (CASE WHEN minute(window_start) <> 20 THEN ticker END AS ticker,
+            CASE WHEN minute(window_start) = 25 THEN 0 ELSE tick_count END AS tick_count) FROM ({t['stg_bars']})""",
+        "daily_summary": f"""SELECT * REPLACE (CASE WHEN day(trade_date) % 7 <> 0 THEN trade_date END AS trade_date,
+            CASE WHEN day(trade_date) % 7 <> 1 THEN ticker END AS ticker,
+            CASE day(trade_date) % 7 WHEN 2 THEN NULL WHEN 3 THEN 0 ELSE open_price END AS open_price,
+            CASE WHEN day(trade_date) % 7 <> 4 THEN close_price END AS close_price,
+            CASE WHEN day(trade_date) % 7 <> 5 THEN pct_change END AS pct_change) FROM ({t['daily_summary']})""",
+        "top_movers": f"""SELECT * REPLACE (CASE WHEN day(trade_date) % 7 <> 0 THEN trade_date END AS trade_date,
+            CASE day(trade_date) % 7 WHEN 1 THEN NULL WHEN 2 THEN 'flat' ELSE direction END AS direction,
+            CASE day(trade_date) % 7 WHEN 3 THEN NULL WHEN 4 THEN rank + 5 ELSE rank END AS rank) FROM ({t['top_movers']})""",
+    }
 
 
 ORACLE: dict[str, str] = {
@@ -246,11 +263,21 @@ ORACLE: dict[str, str] = {
       ORDER BY ticker, inserted_at, seq LIMIT 10""",
     "quality_results": _quality_results(),
     "quality_failing_rows": _quality_failing_rows(),
-    "quality_parsed_ticks": _quality_results({"parsed_ticks": PARSED},
-                                             retarget(REFERENCE_CHECKS, "stg_ticks", "parsed_ticks")),
+    "quality_parsed_ticks": _quality_results({"parsed_ticks": PARSED}, checks_of("stg_ticks", "parsed_ticks")),
     "quality_parsed_failing_rows": _quality_failing_rows(
-        {"parsed_ticks": PARSED}, retarget(REFERENCE_CHECKS, "stg_ticks", "parsed_ticks"),
-        json_cols=[*TICK_COLS, "seq"]),
+        {"parsed_ticks": PARSED}, checks_of("stg_ticks", "parsed_ticks"), json_cols=PARSED_FIELDS),
+    "quality_spoiled_results": _quality_results(_spoiled_tables()),
+    "quality_written": _quality_results(checks=checks_of("daily_summary") + checks_of("top_movers")),
+    "universe_snapshots": f"""
+      SELECT symbol AS ticker, replace(symbol, '.NR', '') AS name, round_even(last_price * 100, 0) / 100 AS price,
+             COALESCE(CAST(trunc(avg_volume_3m) AS BIGINT), 0) AS volume, COALESCE(market_cap, 0.0) AS market_cap, 'KES' AS currency,
+             {ISO} AS fetched_at, 'NSE' AS exchange, seq
+      FROM (SELECT * REPLACE ({LISTED}[CAST(substr(symbol, 2, length(symbol) - 4) AS INTEGER) % 40 + 1] || '.NR' AS symbol) FROM ({SNAPSHOTS})) s
+      WHERE symbol IS NOT NULL AND last_price IS NOT NULL AND last_price <> 0""",
+    "message_keys": f"SELECT event_id AS seq, {USER_TICKER} AS key, {USER_TICKER} AS ticker FROM events",
+    "published_daily": f"""SELECT *, row_number() OVER (ORDER BY trade_date DESC, pct_change DESC, ticker) AS position FROM ({DAILY}) d""",
+    "published_movers": f"""SELECT *, row_number() OVER (ORDER BY trade_date DESC, direction, rank) AS position FROM ({MOVERS}) m""",
+    "stream_bars_arrival": f"SELECT * FROM ({BARS}) b WHERE window_end <= (SELECT max({UTC}) FROM events)",
     "retain_two_years": f"""
       SELECT event_id AS seq, {USER_TICKER} AS ticker, {UTC} AS inserted_at,
              CAST(year({UTC}) * 100 + month({UTC}) AS INTEGER) AS ym

@@ -25,7 +25,7 @@ import uuid
 from collections.abc import Sequence
 from datetime import date, datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -129,6 +129,23 @@ def write_table(df: DataFrame, path: str, partition_source: str | None = None,
     w.parquet(path)
 
 
+def published(df: DataFrame, order: Sequence[Column], position: str = "position") -> DataFrame:
+    """O1/O2: ``df`` with each row's place (from 1) in the whole order, without one task that holds all rows.
+
+    Rows are ranged on the order, sorted inside each range and stored with the
+    row's number there; one small row a range gives the ranges' offsets.  The
+    order must be total.
+    """
+    stored = materialize(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                         .withColumn("_id", F.monotonically_increasing_id()), "published")
+    inside = F.lit(1 << 33)      # an id is its partition's number times this, plus the row's place there
+    sizes = stored.groupBy(F.floor(F.col("_id") / inside).alias("_range")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)     # as many rows as ranges
+    offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return (stored.withColumn("_range", F.floor(F.col("_id") / inside)).join(F.broadcast(offsets), "_range")
+            .withColumn(position, F.col("_before") + F.col("_id") % inside + 1).select(*df.columns, position))
+
+
 def table_schema(schema: T.StructType, part_col: str = PART_COL) -> T.StructType:
     """Declared schema plus the INT partition column, for reading back."""
     return T.StructType(schema.fields + [T.StructField(part_col, T.IntegerType())])

@@ -28,7 +28,7 @@ TICK = T.StructType([
     _f("ticker", T.StringType(), "Listed symbol, e.g. SCOM.NR"),
     _f("name", T.StringType(), "Short name, e.g. SCOM"),
     _f("price", T.DoubleType(), "Last traded price"),
-    _f("volume", T.LongType(), "3-month average volume (proxy for live volume)"),
+    _f("volume", T.LongType(), "Average daily volume of three months, in place of the day's own"),
     _f("market_cap", T.DoubleType(), "Market capitalisation"),
     _f("currency", T.StringType()),
     _f("fetched_at", T.StringType(), "ISO-8601 fetch time with offset"),
@@ -64,7 +64,7 @@ BAR = T.StructType([
     _f("high_price", T.DoubleType()),
     _f("low_price", T.DoubleType()),
     _f("close_price", T.DoubleType()),
-    _f("tick_count", T.LongType(), "Number of polls captured in this window"),
+    _f("tick_count", T.LongType(), "Ticks of the window"),
 ])
 BAR_COLS = [f.name for f in BAR.fields]
 
@@ -130,12 +130,12 @@ SNAPSHOT = T.StructType([
 def conform(df: DataFrame, schema: T.StructType,
             defaults: dict[str, object] | None = None,
             keep_extra: bool = False) -> DataFrame:
-    """Project ``df`` onto ``schema``: add missing columns (default or NULL),
+    """Project ``df`` onto ``schema``: add missing columns (their declared default, else NULL),
     cast to the declared types, order as declared, attach comments.
 
     Extra columns are dropped unless ``keep_extra``.
     """
-    defaults = defaults or {}
+    defaults = COLUMN_DEFAULTS if defaults is None else defaults
     present = set(df.columns)
     cols: list[Column] = []
     for field in schema.fields:
@@ -149,3 +149,31 @@ def conform(df: DataFrame, schema: T.StructType,
     if keep_extra:
         cols += [F.col(c) for c in df.columns if c not in schema.fieldNames()]
     return df.select(*cols)
+
+
+#: Declared defaults of stored columns, by name.
+COLUMN_DEFAULTS = {"currency": TICK_DEFAULTS["currency"], "exchange": TICK_DEFAULTS["exchange"]}
+
+
+def _literal(value: object) -> str:
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+def create_table(spark, name: str, schema: T.StructType, path: str | None = None, part_col: str | None = None,
+                 defaults: dict[str, object] | None = None) -> None:
+    """K7: declare ``name`` in the session's catalog, with column comments and defaults, unless it is there.
+
+    An INSERT that leaves out a column with a default stores the default.  ``path``
+    makes the table external; ``part_col`` adds an INT partition column.
+    """
+    defaults = COLUMN_DEFAULTS if defaults is None else defaults
+    cols = []
+    for f in schema.fields:
+        comment = f.metadata.get("comment")
+        cols.append(f"`{f.name}` {f.dataType.simpleString()}"
+                    + (f" DEFAULT {_literal(defaults[f.name])}" if f.name in defaults else "")
+                    + (f" COMMENT {_literal(comment)}" if comment else ""))
+    if part_col:
+        cols.append(f"`{part_col}` int COMMENT {_literal('Month, year * 100 + month')}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(cols)}) USING parquet"
+              + (f" PARTITIONED BY (`{part_col}`)" if part_col else "") + (f" LOCATION {_literal(path)}" if path else ""))

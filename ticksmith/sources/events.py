@@ -17,6 +17,8 @@ values; they never drop or sample rows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -172,3 +174,44 @@ def events_as_shifted_bronze(events: DataFrame, tz: str = NAIROBI) -> DataFrame:
         _volume().alias("volume"), (F.col("value") * F.lit(1_000_000.0)).alias("market_cap"), F.lit("KES").alias("currency"),
         iso_text(stamped, utc).alias("fetched_at"), F.lit("NSE").alias("exchange"),
         local_to_utc(arrived, tz).alias("inserted_at"), eid.alias("seq"))
+
+
+def events_as_universe_snapshots(events: DataFrame, universe: Sequence[str], tz: str = NAIROBI) -> DataFrame:
+    """Snapshots of listed symbols and as many others: symbol number ``user_id % (2 * listed)``."""
+    listed = F.array(*[F.lit(s) for s in universe])
+    number = (F.col("_user") % F.lit(2 * len(universe))).cast("int")
+    symbol = F.coalesce(F.get(listed, number), F.format_string("X%02d.NR", number))
+    return (events_as_snapshots(events, tz).withColumn("_user", F.regexp_extract("symbol", "[0-9]+", 0).cast("bigint"))
+            .withColumn("symbol", symbol).drop("_user"))
+
+
+# What ``spoiled_tables`` does to the six checked tables, by numbers that rows have anyway.
+def spoiled_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The checked tables with faults for every declared check; no row is dropped."""
+    def null_if(cond: Column, c: str) -> Column:
+        return F.when(~cond, F.col(c))
+
+    seq, minute, day = F.col("seq"), F.minute("_start"), F.dayofmonth("_date") % 7
+    raw, bars, ticks = tables["raw_ticks"], tables["ohlcv_5min"], tables["stg_ticks"]
+    staged, days, moves = tables["stg_bars"], tables["daily_summary"], tables["top_movers"]
+    return {
+        "raw_ticks": raw.withColumns({"ticker": null_if(seq % 7 == 0, "ticker"), "price": null_if(seq % 11 == 0, "price"),
+                                      "fetched_at": null_if(seq % 13 == 0, "fetched_at")}),
+        "ohlcv_5min": bars.withColumn("_start", F.col("window_start")).withColumns({
+            "ticker": null_if(minute == 5, "ticker"), "window_start": null_if(minute == 10, "window_start"),
+            "close_price": null_if(minute == 15, "close_price")}).drop("_start"),
+        "stg_ticks": ticks.withColumns({"ticker": null_if(seq % 7 == 0, "ticker"),
+                                        "price": F.when(seq % 11 == 0, None).when(seq % 13 == 0, -F.col("price"))
+                                        .when(seq % 17 == 0, F.lit(0.0)).otherwise(F.col("price"))}),
+        "stg_bars": staged.withColumn("_start", F.col("window_start")).withColumns({
+            "ticker": null_if(minute == 20, "ticker"),
+            "tick_count": F.when(minute == 25, F.lit(0)).otherwise(F.col("tick_count"))}).drop("_start"),
+        "daily_summary": days.withColumn("_date", F.col("trade_date")).withColumns({
+            "trade_date": null_if(day == 0, "trade_date"), "ticker": null_if(day == 1, "ticker"),
+            "open_price": F.when(day == 2, None).when(day == 3, F.lit(0.0)).otherwise(F.col("open_price")),
+            "close_price": null_if(day == 4, "close_price"), "pct_change": null_if(day == 5, "pct_change")}).drop("_date"),
+        "top_movers": moves.withColumn("_date", F.col("trade_date")).withColumns({
+            "trade_date": null_if(day == 0, "trade_date"),
+            "direction": F.when(day == 1, None).when(day == 2, F.lit("flat")).otherwise(F.col("direction")),
+            "rank": F.when(day == 3, None).when(day == 4, F.col("rank") + 5).otherwise(F.col("rank"))}).drop("_date"),
+    }
