@@ -311,6 +311,63 @@ def test_license_scan_of_wrapped_and_adjoining_notices():
     assert names("Rights are kept.\nAll rights\nreserved.") == ["Proprietary"]
 
 
+def brute_notices(words, want, limit):
+    """Least differing words of any run of ``words`` aligned with a template's, by a plain table; None above the limit."""
+    best = None
+    for a in range(len(words)):
+        row = [0] * (len(want) + 1)
+        for b in range(a, min(len(words), a + len(want) + limit)):
+            new = [0]
+            for j, w in enumerate(want):
+                new.append(row[j] + 1 if words[b] == w else max(row[j + 1], new[j]))
+            row = new
+            differ = max(len(want), b + 1 - a) - row[-1]
+            if differ <= limit and words[a] in want and words[b] in want:
+                best = differ if best is None else min(best, differ)
+    return best
+
+
+def test_license_of_every_template_equals_brute_force():
+    rng, scanner = random.Random(6), licenses.Scanner(licenses.TEMPLATES[:20])
+    for i, (name, text) in enumerate(licenses.TEMPLATES[:20]):
+        for _ in range(4):
+            words = text.split()
+            for _ in range(rng.randrange(4)):
+                at = rng.randrange(len(words))
+                words[at:at + rng.randrange(2)] = [rng.choice(("license", "other", "words"))] * rng.randrange(2)
+            block = licenses.wording("Some license of " + " ".join(words) + " and more")
+            want = [brute_notices(block, w, limit) for (_, w, _), limit in zip(scanner.templates, scanner.limit, strict=True)]
+            got = [min((d for d, _, _ in scanner.notices(block, j)), default=None) for j in range(20)]
+            assert got == want
+            names = {f[0] for f in scanner.scan("Some license of " + " ".join(words) + " and more")[1]}
+            assert bool(names) == any(d is not None for d in want) and names <= {licenses.TEMPLATES[j][0] for j, d in enumerate(want) if d is not None}
+
+
+def test_compression_decides_between_two_templates():
+    """Both templates are confirmed in the text, each with one word that differs; the one that compresses it better wins."""
+    a = "This work is licensed under the terms of the Alpha Public License agreement version one"
+    b = "This work is licensed under the terms of the Omega Public License agreement version one"
+    text = "This work is licensed under the terms of the OmegaX Public License agreement version one"
+    both = [("A", a), ("B", b)]
+    assert [f[:1] + f[2:3] for f in licenses.Scanner(both).scan(text)[1]] == [("B", 1)]
+    assert [f[:1] + f[2:3] for f in licenses.Scanner(both, ranked=False).scan(text)[1]] == [("A", 1)]
+    bsd = [t for n, t in licenses.TEMPLATES if n.startswith("BSD-")][2:]
+    assert [f[0] for f in licenses.Scanner().scan(bsd[1])[1]] == ["BSD-3-Clause"] and [f[0] for f in licenses.Scanner().scan(bsd[0])[1]] == ["BSD-2-Clause"]
+
+
+def test_many_notices_in_linear_time_and_odd_rows(spark):
+    import time
+    scanner, took = licenses.Scanner(), []
+    for n in (500, 2000):
+        text, start = " ".join(f"All rights reserved. Part {i}." for i in range(n)), time.process_time()
+        assert len(scanner.scan(text)[1]) == n
+        took.append(time.process_time() - start)
+    assert took[1] < 8 * took[0] + 0.5
+    rows = [(1, "Released under the MIT License.", "x", 5)] * 2 + [(None, "All rights reserved.", None, None)]
+    got = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string, licenses string, n_blocks int")).collect()
+    assert sorted((r["licenses"], r["row"]["licenses"] or "") for r in got) == [("MIT", "x"), ("MIT", "x"), ("Proprietary", "")]
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_oracles(spark, name):
     import duckdb

@@ -1,12 +1,16 @@
 """License scan by conditional compression (dealt operator 8).
 
-A candidate block is the stretch of text around a word of license language,
-across line feeds.  Each template is confirmed in it by the exact differences
-in wording: a notice is a run of the block's words of which, aligned with the
+A candidate block is the stretch of text around words of license language,
+across line feeds, of at most ``BLOCK_WORDS`` words (longer stretches are several blocks that
+overlap by more than any notice).  A block is compressed with zstandard alone and
+with every template as raw dictionary, and the templates are ranked by size
+reduction.  In that order each is confirmed by the exact differences in
+wording: a notice is a run of the block's words of which, aligned with the
 template's, at most a tenth of the template's words are missing or changed,
-and at most as many added.  Each notice is compressed with zstandard alone and
-with its template as raw dictionary; of notices that share their words, the one
-of fewest differences, longest template and largest size reduction stays.
+and at most as many added.  The first template that is confirmed wins: its
+notices leave the block (but those that another template has with fewer
+differences), and what remains is compressed and ranked anew, until no template
+is confirmed.
 """
 
 from __future__ import annotations
@@ -42,13 +46,19 @@ TEMPLATES = (
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Proprietary", "All rights reserved."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
 )
 # White space as str.split() sees it and the marks of comment lines, the same for Python's and Java's patterns.
 GAP = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000*#/;%|>-]+"
 LANGUAGE = (r"(?i)licen[cs]|copyright|copyleft|public domain|permission is hereby|redistribut|rights reserved|free software|spdx"
-            r"|\bCC0\b|\bCC BY").replace(" ", GAP)
+            r"|permission to use|\bCC0\b|\bCC BY").replace(" ", GAP)
 CONFIRMED = 0.1      # share of a template's words that may differ
 BEFORE, AFTER = 20, 60   # least words of a block before and after a word of license language
+BLOCK_WORDS = 600        # most words of a block
+LEVEL = 9                # of compression
 MARKS = punctuation + "\u2018\u2019\u201c\u201d\u00ab\u00bb\u2022\u00b7\u2013\u2014\u2026"
 WORD = re.compile(r"\S+")
 
@@ -59,7 +69,7 @@ def wording(text: str) -> list[str]:
 
 
 def candidate_blocks(text: str, before: int = BEFORE, after: int = AFTER) -> list[tuple[list[str], list[tuple[int, int]]]]:
-    """(words, their places in the text) of the stretches around license language; overlapping ones are one block."""
+    """(words, their places in the text) of the stretches around license language; overlapping ones are one stretch."""
     hits = [m.start() for m in re.finditer(LANGUAGE, text)]
     if not hits:
         return []
@@ -83,24 +93,26 @@ def candidate_blocks(text: str, before: int = BEFORE, after: int = AFTER) -> lis
 
 
 class Scanner:
-    def __init__(self, templates=TEMPLATES):
-        self.templates = [(name, wording(text), zstandard.ZstdCompressor(
-            level=19, dict_data=zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT),
-            write_content_size=False, write_checksum=False, write_dict_id=False)) for name, text in templates]
-        self.plain = zstandard.ZstdCompressor(level=19, write_content_size=False, write_checksum=False)
+    def __init__(self, templates=TEMPLATES, ranked: bool = True):
+        self.templates, self.ranked = [], ranked
+        for name, text in templates:
+            known = zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            known.precompute_compress(level=LEVEL)
+            self.templates.append((name, wording(text), zstandard.ZstdCompressor(
+                level=LEVEL, dict_data=known, write_content_size=False, write_checksum=False, write_dict_id=False)))
+        self.plain = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, write_checksum=False)
         self.limit = [int(CONFIRMED * len(want)) for _, want, _ in self.templates]
-        longest = max((len(want) + d for (_, want, _), d in zip(self.templates, self.limit, strict=True)), default=0)
-        self.before, self.after = max(BEFORE, longest), max(AFTER, longest)   # a block holds any notice around its hit whole
+        self.longest = max((len(want) + d for (_, want, _), d in zip(self.templates, self.limit, strict=True)), default=0)
+        self.before, self.after = max(BEFORE, self.longest), max(AFTER, self.longest)   # a stretch holds any notice around its hit whole
         # d words missing and d added leave one of 2 d + 1 pieces of a template as it is
-        pieces = []
+        self.pieces: list[dict[str, list[tuple[int, list[str]]]]] = []
         for i, (_, want, _) in enumerate(self.templates):
-            n = 2 * self.limit[i] + 1
+            n, own = 2 * self.limit[i] + 1, {}
             cuts = [len(want) * j // n for j in range(n + 1)]
-            pieces += [(i, a, want[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if a < b]
-        self.key = min((len(piece) for _, _, piece in pieces), default=1)
-        self.pieces: dict[tuple[str, ...], list[tuple[int, int, list[str]]]] = {}
-        for i, a, piece in pieces:
-            self.pieces.setdefault(tuple(piece[:self.key]), []).append((i, a, piece))
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if a < b:
+                    own.setdefault(want[a], []).append((a, want[a:b]))
+            self.pieces.append(own)
         self.places = []     # of each template: word -> bits of its places
         for _, want, _ in self.templates:
             bits: dict[str, int] = {}
@@ -108,10 +120,30 @@ class Scanner:
                 bits[w] = bits.get(w, 0) | 1 << j
             self.places.append(bits)
 
-    def reduction(self, notice: str, number: int) -> float:
-        """Size reduction of a notice by a template."""
-        data = notice.lower().encode()
-        return 1 - len(self.templates[number][2].compress(data)) / len(self.plain.compress(data))
+    def ranking(self, block: str) -> list[tuple[float, int]]:
+        """(size reduction, template) of every template, the largest reduction first, of equals the first template."""
+        data = block.lower().encode()
+        alone = len(self.plain.compress(data))
+        gains = [1 - len(c.compress(data)) / alone if self.ranked else 0.0 for _, _, c in self.templates]
+        return sorted(((g, i) for i, g in enumerate(gains)), key=lambda x: (-x[0], x[1]))
+
+    def notices(self, words: list[str | None], number: int) -> list[tuple[int, int, int]]:
+        """(differing words, start, end) of a template's notices that share no word: fewest differences first."""
+        own, tried, found = self.pieces[number], set(), set()
+        for q, w in enumerate(words):
+            for p, piece in own.get(w, ()) if w is not None else ():
+                if q - p not in tried and words[q:q + len(piece)] == piece:
+                    tried.add(q - p)
+                    notice = self.confirm(words, number, q - p)
+                    if notice:
+                        found.add(notice)
+        kept: list[tuple[int, int, int]] = []
+        last: dict[int, int] = {}            # word -> 1 for words of kept notices
+        for differ, a, b in sorted(found):
+            if not any(x in last for x in range(a, b)):
+                kept.append((differ, a, b))
+                last.update((x, 1) for x in range(a, b))
+        return kept
 
     def confirm(self, words: list[str], number: int, begin: int) -> tuple[int, int, int] | None:
         """(differing words, start, end) of the notice that starts within the template's limit of ``begin``.
@@ -138,24 +170,35 @@ class Scanner:
         return best
 
     def scan(self, text: str) -> tuple[int, list[tuple[str, float, int, int, int]]]:
-        """(candidate blocks, (license, reduction, differing words, start, end) of each notice)."""
-        blocks, found = candidate_blocks(text, self.before, self.after), []
-        for words, at in blocks:
-            notices = set()
-            for q in range(len(words) - self.key + 1):
-                for i, p, piece in self.pieces.get(tuple(words[q:q + self.key]), ()):
-                    if words[q:q + len(piece)] == piece:
-                        notice = self.confirm(words, i, q - p)
-                        if notice:
-                            notices.add((notice[0], -len(self.templates[i][1]), i, *notice[1:]))
-            ranked = sorted((differ, size, -self.reduction(text[at[a][0]:at[b - 1][1]], i), a, b, i) for differ, size, i, a, b in notices)
-            taken: list[tuple[int, int]] = []
-            for differ, _, gain, a, b, i in ranked:
-                # words of a better notice count as differing
-                if differ + sum(max(0, min(b, y) - max(a, x)) for x, y in taken) <= self.limit[i]:
-                    taken.append((a, b))
-                    found.append((self.templates[i][0], -gain, differ, at[a][0], at[b - 1][1]))
-        return len(blocks), found
+        """(stretches of license language, (license, reduction, differing words, start, end) of each notice)."""
+        stretches, found = candidate_blocks(text, self.before, self.after), []
+        for whole, at in stretches:
+            words: list[str | None] = list(whole)
+            step = max(1, BLOCK_WORDS - 2 * self.longest)
+            for begin in range(0, max(1, len(words) - 2 * self.longest), step):
+                self._block(words, begin, min(len(words), begin + step + 2 * self.longest), text, at, found)
+        return len(stretches), found
+
+    def _block(self, words, begin, end, text, at, found) -> None:
+        """Compress, rank and confirm until nothing is confirmed; notices found leave ``words``."""
+        while True:
+            rest = " ".join(text[at[i][0]:at[i][1]] for i in range(begin, end) if words[i] is not None)
+            if not rest:
+                return
+            ranked, held = self.ranking(rest), words[begin:end]
+            for gain, i in ranked:
+                won = self.notices(held, i)
+                if any(n[0] for n in won):   # words that another template has with fewer differences are left to it
+                    better = [n for _, j in ranked if j != i for n in self.notices(held, j)]
+                    won = [n for n in won if not any(m[0] < n[0] and m[1] < n[2] and n[1] < m[2] for m in better)]
+                if won:
+                    break
+            else:
+                return
+            for differ, a, b in won:
+                a, b = a + begin, b + begin
+                found.append((self.templates[i][0], gain, differ, at[a][0], at[b - 1][1]))
+                words[a:b] = [None] * (b - a)
 
 
 def scan_licenses(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
@@ -163,7 +206,7 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
 
     ``licenses`` are the confirmed names, sorted and comma-joined, empty if
     none; n_exact counts notices whose wording has no difference;
-    best_reduction is the largest size reduction of a confirmed notice, 0 if
+    best_reduction is the largest size reduction of a block by a template confirmed in it, 0 if
     none.  Null and empty texts have no block; texts are scanned whole;
     repeated rows get equal results; ``row`` is the whole input row.
     """
