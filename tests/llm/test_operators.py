@@ -237,6 +237,60 @@ def test_main_text_of_unclosed_elements(page):
     assert html_extract.main_text(page, html_extract.learn()) == "Kept words."
 
 
+PLAIN = [   # pages without article or main: (page, its text)
+    ("<body><nav><a>Home</a> <a>News</a></nav><div><h1>A head</h1><p>Words of the story that go on.</p><p>More of them here.</p></div>"
+     "<div class=comments><p>I like it a lot.</p></div><footer>All rights kept</footer></body>", "A head\nWords of the story that go on.\nMore of them here."),
+    ("<body><div class=cookie-notice>We use cookies here</div><div><p>First part of the text.</p><div class='ad banner'>Buy now and save a lot today</div>"
+     "<p>Second part of the text.</p></div><div class=sidebar><p>Read this next</p></div></body>", "First part of the text.\nSecond part of the text."),
+    ("<body><p>Short note.</p><hr><div class=newsletter><form>Sign up for our letter <input></form></div><ul><li><a>One</a></li><li><a>Two</a></li></ul></body>", "Short note."),
+    ("<body><header>The Paper</header><section><h2>On talk</h2><p>What people say.</p></section><div class=talkback><p>Great story!</p></div></body>", "On talk\nWhat people say."),
+    # two regions: the scan takes the larger one, though words of the other score as well
+    ("<body><p>Above.</p><footer>" + "Contact us. " * 30 + "</footer><div><p>" + "The long story goes on. " * 9 + "</p></div></body>",
+     ("The long story goes on. " * 9).strip()),
+]
+
+
+def test_main_text_comes_through_weights_and_scan():
+    weights = html_extract.learn()
+    assert [html_extract.main_text(p, weights) for p, _ in PLAIN] == [t for _, t in PLAIN]
+    constant = {html_extract.WORDS: 1.0, html_extract.TAGS: -1.0}
+    assert all(html_extract.main_text(p, constant) != t for p, t in PLAIN)
+    assert html_extract.main_text(PLAIN[4][0], weights, whole=True) != PLAIN[4][1]     # without the scan
+    few = html_extract.learn(list(html_extract.labelled_pages())[:6])
+    assert any(html_extract.main_text(p, few) != t for p, t in PLAIN)
+
+
+def test_main_text_keeps_names_that_only_look_like_boilerplate():
+    page = ("<article><h1>T</h1><p>One.</p><section id='social-history'><p>Two.</p></section><p class='reply'>Three.</p>"
+            "<div class='search-results-map'>Four.</div><div class=talkback><p>No.</p></div></article>")
+    assert html_extract.main_text(page, html_extract.learn()) == "T\nOne.\nTwo.\nThree.\nFour."
+
+
+def test_best_region_equals_brute_force():
+    rng = random.Random(9)
+    for _ in range(200):
+        scores = [rng.choice((-2.0, -1.0, -0.5, 0.0, 0.5, 1.0, 3.0)) for _ in range(rng.randrange(12))]
+        a, b = html_extract.best_region(scores)
+        assert sum(scores[a:b]) == max([0.0, *(sum(scores[i:j]) for i in range(len(scores)) for j in range(i, len(scores) + 1))])
+
+
+@pytest.mark.parametrize("part", ["<a ", "<div>", "</p>", '<a "', '<a ">" ', "<p>", "<!", "<svg>", "<div class=c>x", "<b>", "<!--", "<article>", "<head>", "a<", "&amp;"])
+def test_main_text_of_a_long_page_of_one_kind(part):
+    import time
+    weights, start = html_extract.learn(), time.process_time()
+    html_extract.main_text(part * (1_000_000 // len(part)), weights)
+    html_extract.main_text("<div>" * 100_000 + part * 100_000, weights)
+    assert time.process_time() - start < 40
+
+
+def test_main_text_of_odd_tables(spark):
+    schema = "page_id long, url string, html string, text string, n_chars int"
+    assert html_extract.extract(spark.createDataFrame([], schema)).count() == 0
+    rows = [(1, "u", "<p>Words here.</p>", "x", 3)] * 2 + [(None, None, "<p>" + "long " * 200_000 + "</p>", None, None)]
+    got = html_extract.extract(spark.createDataFrame(rows, schema)).collect()
+    assert sorted(r["n_chars"] for r in got) == [11, 11, 999_999] and {r["row"]["text"] for r in got} == {"x", None}
+
+
 def test_host_reputation(spark):
     pages = spark.createDataFrame([
         (1, "http://A.example.NET/en/x?q"), (2, "https://example.net"), (3, "http://b.example.com/de/1"), (4, "x://org/fr/a#b"),

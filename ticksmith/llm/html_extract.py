@@ -1,33 +1,46 @@
 """Main text of web pages by maximum-scoring subsequence (dealt operator 3).
 
-A page is a sequence of tokens: words score positive where an article's words
-stand and negative inside menus, notices and the like; tags score negative.
-The weights are log-odds counted over labelled pages (TRAINING, where <mark>
-encloses the content), kept positive for words and negative for tags.  One linear scan
-finds the contiguous region of the largest sum; its words, without those of
-boilerplate elements inside it, are the text.
+A page is a sequence of tokens: words score by what they stand in, tags score
+negative.  All weights are log-odds counted over labelled pages (``labelled_pages``,
+where <mark> encloses the content and <del> what doesn't belong to it inside): a
+word's score sums the weights of the elements around it, their classes, ids and
+roles, whether the page has an article or main element that the word is not in,
+and links outside paragraphs; a tag's weight compares how often it stands in and
+out of the content.  One linear scan finds the contiguous region of the largest
+sum.  Its words whose own score is positive are the text: boilerplate inside
+the region is left out by the same learned scores.
+
+A name that the labelled pages don't have (or have on both sides) decides
+nothing.  A negative element costs the region a bounded sum, so that a long
+notice in the middle doesn't cut an article in two, and nothing where the elements around
+it are content by a wide margin.
 """
 
 from __future__ import annotations
 
 import html
+import itertools
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|textarea|title)\b(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attr>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
-    r"|<[!?][^>]*>"
-    r"|(?P<text>[^<]+|<)", re.S | re.I)
-ATTR = re.compile(r"\b(class|id|role|style|hidden|aria-hidden|aria-label|itemprop|data-[\w-]+)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+RAW = {"script", "style", "textarea", "title"}
+NAME = re.compile(r"[a-zA-Z][a-zA-Z0-9:-]*")
+RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW}
+QUOTE_OR_END = re.compile("[\"'>]")
+ATTR = re.compile(r"(?<![\w-])(class|id|role|style|hidden|aria-hidden)(?![\w-])(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 WORD = re.compile(r"\S+")
+CAP = 3.0        # what a negative element may cost a region, in sums of word scores
+WIDE = 2.0       # score of the elements around it from which it costs nothing
+INLINE = 6       # elements looked up for a link or paragraph around a word
+CLIP = 6.0       # most that one name weighs
+WORDS, TAGS = ("words",), ("tags",)
 
 # Elements that end a block of text, and those that never hold any.
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure "
@@ -38,48 +51,71 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 DROPPED = frozenset("noscript template iframe svg head select button object canvas".split())
 NESTED = frozenset("template svg object canvas".split())
 IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
-BOILER_TAGS = frozenset("nav aside footer form menu dialog search label input".split())
-BOILER_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar toolbar".split())
-BOILER_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising advertorial banner breadcrumb breadcrumbs byline-share comment comments commentlist "
-    "consent cookie cookies disqus footer form gdpr header login masthead menu modal nav navbar navigation newsletter "
-    "notice notices notification pager pagination paywall popup privacy promo promoted promotion related reply replies responses "
-    "search share sharing sidebar signup skip social sponsor sponsored subscribe subscription teaser toolbar topbar widget".split())
 CONTAINERS = frozenset("article main section div nav aside header footer form ul ol menu table td tr li dialog body figure "
                        "blockquote details span p search fieldset dl dd dt a label".split())
 
 
-def _boiler(tag: str, attr: str, in_article: bool) -> bool:
-    if tag in BOILER_TAGS or tag == "header" and not in_article:
-        return True
-    if not attr or tag in ("html", "body"):
-        return False
-    for name, a, b, c in ATTR.findall(attr):
-        name, value = name.lower(), (a or b or c).lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
-        if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-        if name == "role" and value in BOILER_ROLES:
-            return True
-        if name in ("class", "id"):
-            for part in re.split(r"\s+", value):
-                pieces = [p for p in re.split(r"[-_]+", re.sub(r"\d+", "", part)) if p]
-                if any(p in BOILER_WORDS for p in pieces) and not (in_article and "header" in pieces):
-                    return True
-    return False
-
-
-def _scan(page: str):
-    """Matches of TOKEN; inside svg a self-closed title, style or script has no content."""
-    at = svg = 0
-    while m := TOKEN.match(page, at):
-        at = m.end()
-        if m["raw"] and svg and m["rest"].endswith("/"):
-            at = m.end("rest") + 1
-        elif m["tag"] and m["tag"].lower() == "svg":
-            svg = max(0, svg - 1) if m["end"] else svg + (not m["attr"].endswith("/"))
-        yield m
+
+class Token:
+    """A piece of a page: a tag, an element without text (raw) or a stretch of text."""
+
+    __slots__ = ("attr", "end", "raw", "tag", "text")
+
+    def __init__(self, tag=None, attr="", end=False, raw=None, text=None):
+        self.tag, self.attr, self.end, self.raw, self.text = tag, attr, end, raw, text
+
+    def __getitem__(self, name):
+        return getattr(self, name)
+
+
+def _tag_end(page: str, at: int, last: dict[str, int]) -> int:
+    """Place of the > that ends a tag, quoted ones skipped; -1 if there is none."""
+    while m := QUOTE_OR_END.search(page, at):
+        if m[0] == ">":
+            return m.start()
+        # a quote that is never closed is a character like any other
+        at = page.index(m[0], m.end()) + 1 if last[m[0]] > m.start() else m.end()
+    return -1
+
+
+def _scan(page: str) -> Iterator[Token]:
+    """Tokens of a page in one pass; inside svg a self-closed title, style or script has no content."""
+    n, at, svg, quoted = len(page), 0, 0, True
+    last = {c: page.rfind(c) for c in "\"'>"}
+    while at < n:
+        begin = page.find("<", at)
+        if begin != at:
+            yield Token(text=page[at:begin if begin >= 0 else n])
+            if begin < 0:
+                return
+            at = begin
+        if page.startswith("<!--", at):
+            stop = page.find("-->", at)
+            at = n if stop < 0 else stop + 3
+            continue
+        if page.startswith(("<!", "<?"), at) and last[">"] > at:
+            at = page.index(">", at) + 1
+            continue
+        end = page.startswith("</", at)
+        name = NAME.match(page, at + 1 + end)
+        stop = -1
+        if name and last[">"] >= name.end():
+            stop = _tag_end(page, name.end(), last) if quoted else page.index(">", name.end())
+            if stop < 0:      # the rest of the page has no end of a tag outside quotes: look no further for one
+                quoted, stop = False, page.index(">", name.end())
+        if stop < 0:
+            yield Token(text="<")
+            at += 1
+            continue
+        tag, attr, at = name[0].lower(), page[name.end():stop], stop + 1
+        if tag in RAW and not end and not (svg and attr.endswith("/")):
+            close = RAW_END[tag].search(page, at)
+            at = close.end() if close else n
+            yield Token(raw=tag)
+            continue
+        if tag == "svg":
+            svg = max(0, svg - 1) if end else svg + (not attr.endswith("/"))
+        yield Token(raw=tag) if tag in RAW and not end else Token(tag, attr, end)
 
 
 def _dropped(found: list[re.Match]) -> dict[int, int]:
@@ -119,114 +155,197 @@ def _dropped(found: list[re.Match]) -> dict[int, int]:
     return until
 
 
-def tokens(page: str):
-    """(kind, text, context) of a page: kind is word, tag or end; context is where a word stands.
 
-    Contexts: boiler (inside a boilerplate element), nested (such an element within the
-    article: neither for nor against it, its tags too), inside (the page's article
-    or main element), outside (not in it), plain (a page without one), link
-    (plain text of a link that is not in a paragraph).
-    """
-    items = []
-    stack: list[tuple[str, bool, str]] = []       # (tag, boilerplate, article / main / '')
-    boiler, primary = 0, {"article": 0, "main": 0}
-    seen = {"article": False, "main": False}
-    para = link = 0
+def names_of(tag: str, attr: str, inside: bool) -> frozenset:
+    """What an element is known by: its tag (and whether it stands in an article or main element), classes, ids, role."""
+    found = {("tag", tag, inside)}
+    for name, a, b, c in ATTR.findall(attr) if attr and tag not in ("html", "body") else ():
+        name, value = name.lower(), (a or b or c).lower()
+        if name == "hidden" or name == "aria-hidden" and value == "true":
+            found.add(("hidden", "", False))
+        elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
+            found.add(("hidden", "", False))
+        elif name == "role":
+            found.add(("role", value.strip(), False))
+        elif name in ("class", "id"):
+            for part in value.split():
+                whole = re.sub(r"\d+", "", part).strip("-_")
+                found.add(("name", whole, False))
+                pieces = [p for p in re.split(r"[-_]+", whole) if p]
+                if len(pieces) > 1:
+                    found |= {("piece", p, False) for p in pieces}
+    return frozenset(found)
+
+
+class Item:
+    """A token of the scan: kind word, tag or end, its text, and for words the open elements' names from the outside in."""
+
+    __slots__ = ("kind", "marks", "path", "text")
+
+    def __init__(self, kind, text, path, marks=()):
+        self.kind, self.text, self.path, self.marks = kind, text, path, marks
+
+
+class Path:
+    """An open element, the names that no element around it has, and the one around it; shared by all tokens inside."""
+
+    __slots__ = ("above", "fresh", "names", "scored", "tag", "top")
+
+    def __init__(self, above, tag: str, names, fresh, top: str):
+        self.above, self.tag, self.names, self.fresh, self.top, self.scored = above, tag, names, fresh, top, None
+
+
+def items_of(page: str) -> list[Item]:
+    """The tokens of a page in order, each with the elements that are open there."""
     found = list(_scan(page))
     dropped = _dropped(found)
-    upto = 0
+    out, path, upto = [], None, 0
+    open_, known = Counter(), Counter()       # open elements by tag, and by name
+
+    def close():
+        nonlocal path
+        open_[path.tag] -= 1
+        known.subtract(path.names)
+        path = path.above
+
     for i, m in enumerate(found):
         if i < upto:
             continue
-        tag = m["tag"]
         if i in dropped:
-            items.append(("tag", tag.lower(), ""))
+            out.append(Item("tag", m.tag, path))
             upto = dropped[i]
-        elif tag:
-            tag = tag.lower()
-            if not m["end"]:
-                items.append(("tag", tag, "nested" if boiler and (primary["article"] or primary["main"]) else ""))
-                if tag in VOID or tag not in CONTAINERS or m["attr"].endswith("/") and tag not in ("a", "p"):
-                    continue
-                if tag == "p":
-                    para += 1
-                elif tag == "a":
-                    link += 1
-                bad = _boiler(tag, m["attr"], primary["article"] > 0)
-                kind = tag if tag in primary and not bad and not boiler else ""
-                if "main" not in (tag, kind) and not bad and re.search(r"role\s*=\s*[\"']?main", m["attr"], re.I):
-                    kind = "main"
-                if kind:
-                    primary[kind] += 1
-                    seen[kind] = True
-                boiler += bad
-                if bad and (primary["article"] or primary["main"]):
-                    items[-1] = ("tag", tag, "nested")
-                stack.append((tag, bad, kind))
-            else:
-                items.append(("end", tag, "nested" if boiler and (primary["article"] or primary["main"]) else ""))
-                if any(t == tag for t, _, _ in stack):
-                    while stack:
-                        t, bad, kind = stack.pop()
-                        boiler -= bad
-                        if kind:
-                            primary[kind] -= 1
-                        para -= t == "p"
-                        link -= t == "a"
-                        if t == tag:
-                            break
-        elif m["text"]:
-            where = ("nested" if boiler and (primary["article"] or primary["main"]) else "boiler" if boiler else "article" if primary["article"] else "main" if primary["main"]
-                     else "link" if link and not para else "free")
-            items.append(("word", m["text"], where))
-        elif m["raw"]:
-            items.append(("tag", m["raw"].lower(), ""))
-    top = "article" if seen["article"] else "main" if seen["main"] else None
-    context = {"boiler": "boiler", "nested": "nested", "link": "link" if top is None else "outside", "free": "plain" if top is None else "outside",
-               "article": "inside", "main": "inside" if top == "main" else "outside"}
-    return [(k, t, context[w] if k == "word" else w) for k, t, w in items]
-
-
-# Labelled pages: the content stands between <mark> and </mark>.
-TRAINING = (
-    "<html><body><nav><ul><li><a>Home</a></li><li><a>News</a></li><li><a>About us</a></li></ul></nav><div class=ad>Buy one and get two now</div>"
-    "<article><mark><h1>Rain over the hills</h1><p>The rain came early and <b>stayed</b> for days.</p><p>Farmers were glad of it, <br>they said.</p></mark></article>"
-    "<footer>Copyright of the paper, all rights kept</footer></body></html>",
-    "<html><body><header>The Daily Page <a>Log in</a></header><main><mark><h1>A new bridge</h1><p>Work on the bridge began in spring and is now over.</p>"
-    "<ul><li>Two lanes</li><li>One path for walkers</li></ul><p>It opens on <a>Monday</a> at noon.</p></mark></main><aside>Most read today</aside>"
-    "<div id=comments><p>Great news, I will walk there.</p><p>Me too!</p></div><footer>Contact the editors</footer></body></html>",
-    "<html><body><div class=cookie-notice>We use cookies on this page <a>OK</a></div><div class=menu><a>One</a> <a>Two</a> <a>Three</a></div>"
-    "<div><mark><h2>How bread is made</h2><p>Flour, water and salt are all that is needed.</p><p>Time does the rest of the work.</p></mark></div>"
-    "<div class=sidebar><p>Read next</p><a>How cheese is made</a></div><form>Sign up for letters</form></body></html>",
-    "<html><body><table><tr><td><a>Index</a></td><td><a>Archive</a></td></tr></table><mark><h1>Notes</h1><p>These notes were found in an old book.</p>"
-    "<blockquote>Keep them safe.</blockquote><p>They are printed here as they were.</p></mark><ul><li><a>Back</a></li><li><a>Forward</a></li></ul></body></html>",
-)
-
-
-def learn(pages=TRAINING) -> dict[tuple[str, str], float]:
-    """Weights of words by context and of tags by name: smoothed log-odds of standing in the content."""
+        elif m.tag and not m.end:
+            tag = m.tag
+            if tag in VOID or tag not in CONTAINERS or m.attr.endswith("/") and tag not in ("a", "p"):
+                out.append(Item("tag", tag, path))
+                continue
+            if tag == "p" and path is not None and path.tag == "p":      # an open paragraph ends here
+                close()
+            top = path.top if path else ""
+            names = names_of(tag, m.attr, bool(top))
+            own = "article" if tag == "article" else "main" if tag == "main" or ("role", "main", False) in names else ""
+            path = Path(path, tag, names, frozenset(n for n in names if not known[n]), top or own)
+            open_[tag] += 1
+            known.update(names)
+            out.append(Item("tag", tag, path))
+        elif m.tag:
+            out.append(Item("end", m.tag, path))
+            if open_[m.tag]:
+                while path.tag != m.tag:
+                    close()
+                close()
+        elif m.raw:
+            out.append(Item("tag", m.raw, path))
+        else:
+            out.append(Item("word", m.text, path))
+    tops = {x.path.top for x in out if x.path}
+    top = "article" if "article" in tops else "main" if "main" in tops else ""
+    for x in out:
+        if x.kind == "word":
+            tags, p = set(), x.path
+            for _ in range(INLINE):
+                if not p or p.tag not in ("a", "p", "span", "label"):
+                    break
+                tags.add(p.tag)
+                p = p.above
+            marks = [("link", "", False)] if "a" in tags and "p" not in tags else []
+            if top and (not x.path or x.path.top != top):
+                marks.append(("beside", top, False))
+            x.marks = tuple(marks)
+    return out
+
+
+def _names(x: Item) -> Iterator[tuple]:
+    """All names that tell where a word stands, each once."""
+    yield from x.marks
+    p = x.path
+    while p:
+        yield from p.fresh
+        p = p.above
+
+
+# Parts of the labelled pages.  Names on the first side stand around content, on the second around what isn't;
+# names of both sides are in pages of either kind, so they decide little.
+CONTENT = ("<article>{}</article>", "<main>{}</main>", "<div class=content>{}</div>", "<div id=main-content>{}</div>", "<div class=post-body>{}</div>",
+           "<section>{}</section>", "<div>{}</div>", "{}", "<div role=main>{}</div>", "<main><article class=post>{}</article></main>",
+           "<div class=entry-content>{}</div>", "<table><tr><td>{}</td></tr></table>", "<div class=story><div>{}</div></div>")
+BODY = ("<h1>{w4}</h1><p>{w30}</p><p>{w20} <b>{w3}</b> <a>{w2}</a> {w9}.</p>", "<header><h1>{w4}</h1></header><p>{w25}</p><ul><li>{w6}</li><li>{w5}</li></ul><p>{w12}</p>",
+        "<h2>{w4}</h2><p>{w20}</p><blockquote><p>{w9}</p></blockquote><figure><figcaption>{w5}</figcaption></figure><p>{w9}</p>",
+        "<h1>{w5}</h1><div><p>{w15}</p><pre>{w9}</pre></div><ol><li>{w8}</li></ol><dl><dt>{w2}</dt><dd>{w7}</dd></dl>",
+        "<h1>{w4}</h1>{w30}<br>{w20}<br>{w12}", "<h3>{w3}</h3><table><tr><th>{w2}</th><td>{w4}</td></tr></table><p class=lead>{w22}</p>",
+        "<h1>{w4}</h1><section id={both}><h2>{w3}</h2><p>{w20}</p></section><p class={either}>{w14}</p><div class={both}><p>{w11}</p></div>")
+MIXED = ("social-history", "search-results-map", "comment-on-policy", "share-prices", "related-work", "notice-of-meeting", "reply-to-critics", "menu-of-the-day",
+         "widget-design", "header-image", "footer-note-text", "login-security", "form-of-government", "promo-code-law", "cookie-recipe", "ad-hoc-report",
+         "banner-history", "sidebar-text", "navigation-at-sea", "popup-books", "newsletter-history", "subscription-law", "toolbar-guide", "tags-explained",
+         "consent-law", "sponsor-history", "modal-logic", "pager-history", "skip-logic", "teaser-text", "topbar-design", "privacy-law", "signup-rates")
+EITHER = ("reply", "note", "quote", "text", "intro", "author", "date", "tags", "share", "social", "search", "related", "header")
+ELEMENTS = ("<nav><ul><li><a>{w1}</a></li><li><a>{w2}</a></li></ul></nav>", "<header>{w3} <a>{w2}</a></header>", "<footer>{w9} <a>{w1}</a></footer>",
+            "<aside><h3>{w2}</h3><p>{w12}</p></aside>", "<form><label>{w2}</label><p>{w5}</p><button>{w1}</button></form>", "<menu><li>{w2}</li></menu>",
+            "<dialog><p>{w8}</p></dialog>", "<search><p>{w3}</p></search>", "<ul><li><a>{w2}</a></li><li><a>{w1}</a></li><li><a>{w2}</a></li></ul>",
+            "<table><tr><td><a>{w1}</a></td><td><a>{w1}</a></td></tr></table>", "<div><a>{w2}</a> <a>{w1}</a> <a>{w2}</a></div>", "<div hidden><p>{w9}</p></div>",
+            "<div style='display:none'><p>{w7}</p></div>", "<div aria-hidden=true>{w4}</div>")
+ROLES = ("navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar toolbar").split()
+KINDS = ("ad ads advert advertisement advertorial banner breadcrumb breadcrumbs comment comments commentlist comment-list comments-area consent cookie cookies "
+         "cookie-banner cookie-notice cookie-consent disqus footer site-footer gdpr site-header login masthead menu main-menu modal nav navbar navigation newsletter "
+         "newsletter-signup notice notices notification pager pagination paywall popup privacy-notice promo promoted promotion reader-comments related-articles related-posts "
+         "read-more replies responses respond search-box search-form share-buttons sharing sidebar side-bar signup skip-link social-links social-share sponsor sponsored "
+         "subscribe subscription talkback discussion feedback teaser toolbar topbar widget widgets").split()
+
+
+def _filled(part: str, turn: int) -> str:
+    """A part with its words and names; ``turn`` chooses among names of both sides."""
+    part = part.replace("{both}", MIXED[turn % len(MIXED)]).replace("{either}", EITHER[turn % len(EITHER)])
+    return re.sub(r"\{w(\d+)\}", lambda m: " ".join(["word"] * int(m[1])), part)
+
+
+def labelled_pages() -> Iterator[str]:
+    """Pages of every kind of content beside and around every kind of other element, by a fixed rule."""
+    others = [*ELEMENTS, *(f"<div role={r}><p>{{w9}}</p></div>" for r in ROLES),
+              *(f"<{t} {a}={k}>{x}</{t}>" for k in KINDS for t, a, x in (("div", "class", "<p>{w9}</p>"), ("div", "id", "{w6} <a>{w2}</a>"), ("ul", "class", "<li>{w5}</li>"))),
+              *(f"<div class={k}><a>{{w1}}</a></div>" for k in EITHER if k not in ("note", "quote", "text", "intro"))]
+    turn = itertools.count()
+    # every kind of other element before, after and inside every kind of content, then each inside the common ones
+    plan = [(content, body, k, None) for content, body in itertools.product(CONTENT, BODY) for k in range(6)]
+    plan += [(content, BODY[i % len(BODY)], 1, other) for i, other in enumerate(others) for content in CONTENT[:7]]
+    for content, body, k, other in plan:
+        t = next(turn)
+        before, after, inner = (others[(t * 3 + j) % len(others)] for j in range(3))
+        inner = f"<del>{other or inner}</del>" if k % 2 else ""
+        if "<article" not in content and "<main" not in content:     # a header of its own is an article's
+            body = body.replace("<header>", "").replace("</header>", "")
+        front, _, rest = body.partition("</p>")
+        whole = f"{front}</p>{inner}{rest}" if rest else body + inner
+        yield "<html><body>" + _filled(before, t) + content.format("<mark>" + _filled(whole, t) + "</mark>") + _filled(after, t) + "</body></html>"
+
+
+def learn(pages=None) -> dict:
+    """Weights: log-odds of each name around a word, of any word (WORDS) and of a tag among tokens (TAGS), smoothed, at most CLIP.
+
+    Log-odds compare the content with all else on the labelled pages.
+    """
     inside, outside = Counter(), Counter()
-    for page in pages:
-        begin, _, rest = page.partition("<mark>")
-        content, _, _ = rest.partition("</mark>")
-        plain = tokens(page.replace("<mark>", "").replace("</mark>", ""))
-        skip = len([t for t in tokens(begin)])
-        upto = skip + len(tokens(content))
-        for i, (kind, text, where) in enumerate(plain):
-            into = inside if skip <= i < upto else outside
-            if kind == "word":
-                into["word", where] += len(WORD.findall(text))
+    for page in labelled_pages() if pages is None else pages:
+        content, left_out = 0, 0
+        for x in items_of(page):
+            if x.kind != "word" and x.text in ("mark", "del"):
+                change = 1 if x.kind == "tag" else -1
+                content, left_out = content + change * (x.text == "mark"), left_out + change * (x.text == "del")
+                continue
+            into = inside if content and not left_out else outside
+            if x.kind == "word":
+                n = len(WORD.findall(x.text))
+                into[WORDS] += n
+                for name in _names(x):
+                    into[name] += n
             else:
-                into[kind, text] += 1
-    a, b = sum(inside.values()), sum(outside.values())
-    weights = {}
-    for key in inside | outside:
-        odds = math.log((inside[key] + 0.5) / (a + 1)) - math.log((outside[key] + 0.5) / (b + 1))
-        if key[0] == "word":
-            weights[key] = max(0.5, odds) if key[1] in ("inside", "plain") else min(-0.5, odds)
-        else:
-            weights[key] = min(-0.05, odds) / 4
-    return weights
+                into[TAGS] += 1
+
+    def odds(key, a, b):
+        return max(-CLIP, min(CLIP, math.log((inside[key] + 0.5) / (a + 1)) - math.log((outside[key] + 0.5) / (b + 1))))
+
+    a, b = inside[WORDS], outside[WORDS]
+    weights = {key: odds(key, a, b) for key in inside | outside if key not in (WORDS, TAGS)}
+    return {**weights, WORDS: math.log((a + 1) / (b + 1)), TAGS: odds(TAGS, a + inside[TAGS], b + outside[TAGS])}
 
 
 def best_region(scores: list[float]) -> tuple[int, int]:
@@ -242,40 +361,70 @@ def best_region(scores: list[float]) -> tuple[int, int]:
     return found
 
 
-def main_text(page: str | None, weights: dict[tuple[str, str], float]) -> str:
-    """Text of the best region: blocks joined by line feeds, white space inside one turned into one space."""
+def _around(path: Path | None, weights: dict) -> tuple[float, object, bool]:
+    """(score of a word in these elements, the outermost negative element, whether what is around that is content by a wide margin)."""
+    chain = []
+    while path is not None and path.scored is None:
+        chain.append(path)
+        path = path.above
+    total, bad, wide = path.scored if path is not None else (weights.get(WORDS, 0.0), None, False)
+    for p in reversed(chain):
+        before = total
+        total += sum(weights.get(n, 0.0) for n in p.fresh)
+        if total >= 0:
+            bad, wide = None, False
+        elif bad is None:
+            bad, wide = p, before >= WIDE
+        p.scored = total, bad, wide
+    return total, bad, wide
+
+
+def scored(items: list[Item], weights: dict) -> list[float]:
+    """Each token's score: words between -1 and 1 a word, tags below 0; a negative element costs CAP at most."""
+    out, spent = [], Counter()
+    for x in items:
+        total, bad, wide = _around(x.path, weights)
+        if x.kind == "word":
+            total += sum(weights.get(n, 0.0) for n in x.marks)
+            value = max(-1.0, min(1.0, total)) * len(WORD.findall(x.text))
+        else:
+            value = min(0.0, weights.get(TAGS, 0.0)) / 4
+        if value < 0 and bad is not None:
+            value = 0.0 if wide else max(value, -CAP - spent[id(bad)])
+            spent[id(bad)] += value
+        out.append(value)
+    return out
+
+
+def main_text(page: str | None, weights: dict, whole: bool = False) -> str:
+    """Text of the best region (of the page, if ``whole``): blocks joined by line feeds, white space inside one turned into one space."""
     if not page:
         return ""
-    items = tokens(page)
-    scores = []
-    for kind, text, where in items:
-        if where == "nested":
-            scores.append(0.0)
-        elif kind == "word":
-            scores.append(weights.get(("word", where), -0.5) * len(WORD.findall(text)))
-        else:
-            scores.append(weights.get((kind, text), -0.05))
-    a, b = best_region(scores)
+    items = items_of(page)
+    scores = scored(items, weights)
+    a, b = (0, len(items)) if whole else best_region(scores)
     blocks, now = [], []
-    for kind, text, where in items[a:b]:
-        if kind == "word":
-            if where in ("inside", "plain", "link"):
-                now.append(text)
-        elif text in BLOCKS:
+    for x in items[a:b]:
+        if x.kind == "word":
+            total = _around(x.path, weights)[0] + sum(weights.get(n, 0.0) for n in x.marks)
+            if total > 0:
+                now.append(x.text)
+        elif x.text in BLOCKS:
             blocks.append("".join(now))
             now = []
-        elif text in ("br", "td", "th", "img", "wbr"):
+        elif x.text in ("br", "td", "th", "img", "wbr"):
             now.append(" ")
     blocks.append("".join(now))
     clean = (" ".join(html.unescape(x).split()) for x in blocks)
     return "\n".join(x for x in clean if x)
 
 
-def extract(pages: DataFrame, weights: dict[tuple[str, str], float] | None = None) -> DataFrame:
+def extract(pages: DataFrame, weights: dict | None = None) -> DataFrame:
     """(row, text, n_chars) per row of ``pages`` (html); ``row`` is the whole input row as a struct.
 
     Null and empty html, and pages where no region scores above zero, have an
-    empty text.  Repeated rows get equal texts; pages are read whole.
+    empty text.  Repeated rows get equal texts; pages of any length are read
+    whole, in time that grows with their length; an empty table gives an empty result.
     """
     weights = learn() if weights is None else weights
     rows = pages.select(F.struct("*").alias("row"), F.col("html").cast("string").alias("html"))
