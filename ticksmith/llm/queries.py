@@ -132,6 +132,11 @@ FROM sets LEFT JOIN classes ON sets.s = classes.s LEFT JOIN low USING (id)"""
 
 
 ORACLE = {
+    "op2_chunked_records": """
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha256(h) AS payload_digest,
+       CASE WHEN strlen(h) >= 100 AND page_id <> min(page_id) OVER (PARTITION BY h) THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN strlen(h) >= 100 AND page_id <> min(page_id) OVER (PARTITION BY h) THEN min(page_id) OVER (PARTITION BY h) END AS refers_to
+FROM (SELECT page_id, coalesce(html, '') AS h FROM pages)""",
     "op9_signature_trees": _components_sql(3, 90, 100),
     "op11_chosen_path": _components_sql(5, 85, 100, ", coalesce(component_id, doc_id) = doc_id AS kept"),
     "op4_winnowing": r"""
