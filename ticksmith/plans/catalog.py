@@ -24,16 +24,19 @@ from ticksmith.operators import ingest, marts, quality, reports, staging
 from ticksmith.plans import batch, storage
 from ticksmith.schemas import BAR, BAR_COLS, BRONZE, TICK_COLS
 from ticksmith.plans.manifest import MonthTable
-from ticksmith.sources.events import (EVENT_COLS, events_as_bronze, events_as_messages, events_as_shifted_bronze,
+from ticksmith.sources.events import (EVENT_COLS, events_as_bronze, events_as_messages, events_as_replay,
+                                      events_as_shifted_bronze,
                                       events_as_snapshots, events_as_universe_snapshots, read_events, spoiled_tables)
 from ticksmith.sources.kafka import read_message_log, write_message_log
 from ticksmith.sources.tables import read_partitioned
 from ticksmith.streaming import fanout
 from ticksmith.streaming import jobs as stream_jobs
+from ticksmith.streaming import replay
 
 # Parameters of the registered queries.
 RETENTION_AS_OF = "2026-01-15"
 STREAM_DELAY = "0 seconds"
+REPLAY_DELAY = "10 minutes"
 COMPACTED_MONTHS = (190001, 202401)
 INCREMENT_DAY = "2024-01-16"
 
@@ -347,6 +350,50 @@ def q_stream_bars_via_bronze(spark, sf):
     return spark.read.schema(BAR).parquet(out).select(*BAR_COLS)
 
 
+def _replayed(spark: SparkSession, sf: str) -> DataFrame:
+    # stored once: every batch reads its own folder of it
+    at = storage.scratch_path(spark, "replay_ticks")
+    ticks = events_as_replay(read_events(spark, sf))
+    ticks.write.partitionBy("batch").parquet(at)
+    return spark.read.schema(ticks.schema).parquet(at)
+
+
+def q_replay_bars(spark, sf):
+    # event-time bars of a feed that is stopped and resumed between its batches
+    ticks = _replayed(spark, sf)
+    run = replay.Replay(spark, storage.scratch_path(spark, "replay_bars"), {"ticks": ticks.drop("batch").schema},
+                        lambda ticks: stream_jobs.bar_stream(ticks, "event", REPLAY_DELAY))
+    return run.run(ticks, "batch", "ticks").read(BAR).select(*BAR_COLS)
+
+
+def q_replay_ticks(spark, sf):
+    # which ticks each batch's watermark admits, by the stream itself; every batch delivers the one before it again
+    ticks = _replayed(spark, sf)
+    run = replay.Replay(spark, storage.scratch_path(spark, "replay_ticks_out"), {"ticks": ticks.drop("batch").schema},
+                        lambda ticks: replay.admitted_stream(ticks, REPLAY_DELAY))
+    again = ticks.unionByName(ticks.withColumn("batch", F.col("batch") + 1))
+    out = run.run(again, "batch", "ticks").read(replay.admitted_schema(ticks.drop("batch").schema))
+    return out.select("seq", "ticker", "price", "window_start", "window_end")
+
+
+def q_replay_admission(spark, sf):
+    # the same from stored ticks, with the reason and the watermark
+    told = replay.admission(_replayed(spark, sf), "batch", REPLAY_DELAY)
+    return told.select("seq", "batch", "watermark", "verdict")
+
+
+def q_replay_bars_arrival(spark, sf):
+    # arrival-time bars in batches; a last batch without ticks, only the clock, closes the last bars
+    ticks = _replayed(spark, sf)
+    beats = ticks.agg(F.max("arrival_ts").alias("last")).select(
+        (F.col("last") + F.expr(f"INTERVAL {bars_op.BAR_WIDTH}") + F.expr(f"INTERVAL {REPLAY_DELAY}")).alias("timestamp"))
+    run = replay.Replay(spark, storage.scratch_path(spark, "replay_arrival"),
+                        {"ticks": ticks.drop("batch").schema, "clock": beats.schema},
+                        lambda ticks, clock: stream_jobs.bar_stream(ticks, "arrival", REPLAY_DELAY, heartbeat=clock))
+    run.run(ticks, "batch", "ticks").step(clock=beats)
+    return run.read(BAR).select(*BAR_COLS)
+
+
 QUERIES: dict[str, Query] = {
     "normalise_snapshots": q_normalise_snapshots,
     "ingest_counts": q_ingest_counts,
@@ -389,4 +436,8 @@ QUERIES: dict[str, Query] = {
     "fan_out_bronze": q_fan_out_bronze,
     "fan_out_rejects": q_fan_out_rejects,
     "fan_out_bars": q_fan_out_bars,
+    "replay_bars": q_replay_bars,
+    "replay_ticks": q_replay_ticks,
+    "replay_admission": q_replay_admission,
+    "replay_bars_arrival": q_replay_bars_arrival,
 }

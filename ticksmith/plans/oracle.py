@@ -148,6 +148,19 @@ SHIFTED_DAILY = f"""
   FROM a WHERE open_price > 0 AND NOT isnan(open_price)"""
 
 
+# Arrival batches of five days, stamps late, ahead and unreadable; every batch meets the watermark of those before it.
+REPLAYED = f"""
+  WITH t AS (SELECT event_id, event_type, value, ts, CAST(floor(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) / 5.0) AS INTEGER) AS batch,
+               CASE WHEN event_id % 50 <> 9 THEN {UTC} + to_minutes(CASE event_id % 10 WHEN 1 THEN -55 WHEN 2 THEN -5 WHEN 3 THEN 5
+                    WHEN 4 THEN 55 WHEN 5 THEN -4320 ELSE 0 END) END AS stamp FROM events),
+  u AS (SELECT *, stamp > {UTC} + INTERVAL 10 MINUTE AS ahead, time_bucket(INTERVAL 5 MINUTE, stamp) AS window_start FROM t),
+  w AS (SELECT *, window_start + INTERVAL 5 MINUTE AS window_end,
+          max(CASE WHEN NOT ahead THEN stamp END) OVER (ORDER BY batch RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+            - INTERVAL 10 MINUTE AS watermark FROM u)
+  SELECT *, CASE WHEN stamp IS NULL THEN 'unreadable' WHEN ahead THEN 'ahead' WHEN window_end <= watermark THEN 'late'
+                 ELSE 'admitted' END AS verdict FROM w"""
+
+
 def _quality_tables() -> dict[str, str]:
     return {
         "raw_ticks": bronze(USER_TICKER),
@@ -309,4 +322,16 @@ ORACLE: dict[str, str] = {
       WITH ev AS ({TIMED})
       SELECT * FROM ({BARS.replace("FROM events", "FROM ev")}) b""",
     "fan_out_bronze": PARSED.replace(MESSAGES, f"SELECT *, seq % 50 AS r FROM ({bronze('event_type')}) b"),
+    # bars are given once they end by the last watermark
+    "replay_bars": f"""
+      WITH r AS ({REPLAYED})
+      SELECT event_type AS ticker, window_start, window_end, arg_min(value, (stamp, event_id)) AS open_price, max(value) AS high_price,
+             min(value) AS low_price, arg_max(value, (stamp, event_id)) AS close_price, count(*) AS tick_count
+      FROM r WHERE verdict = 'admitted' AND window_end <= (SELECT max(stamp) - INTERVAL 10 MINUTE FROM r WHERE NOT ahead)
+      GROUP BY 1, 2, 3""",
+    "replay_ticks": f"""
+      SELECT event_id AS seq, event_type AS ticker, value AS price, window_start, window_end
+      FROM ({REPLAYED}) r WHERE verdict = 'admitted'""",
+    "replay_admission": f"SELECT event_id AS seq, batch, watermark, verdict FROM ({REPLAYED}) r",
+    "replay_bars_arrival": BARS,     # the clock closes the last ones
 }

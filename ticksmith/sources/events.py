@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticksmith.functions.timefn import NAIROBI, iso_text, local_to_utc
+from ticksmith.functions.timefn import NAIROBI, iso_text, local_to_utc, wall_to_instant
 from ticksmith.sources.tables import read_table
 
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
@@ -45,6 +45,12 @@ BRACES_INSIDE = 13    # braces in a text, a nested object    -> parsed
 SUFFIXED_NUMBER = 14  # "price":"12.5d"                      -> quarantine
 PARTIAL_TIME = 15     # fetched_at '2024-01'                 -> bronze, staging reject
 
+# Replay rules, event_id % REPLAY_MOD -> minutes that the stamp is off the arrival.
+REPLAY_MOD = 10
+REPLAY_SHIFTS = {1: -55, 2: -5, 3: 5, 4: 55, 5: -4320}
+REPLAY_BATCH_DAYS = 5
+REPLAY_JUNK_MOD = 50            # remainder 9: the stamp is 'junk'
+
 # Snapshot spoil rules (event_id modulus -> effect).
 SNAPSHOT_ZERO_PRICE_MOD = 17    # last_price 0      -> skipped
 SNAPSHOT_NULL_PRICE_MOD = 19    # last_price NULL   -> skipped
@@ -176,6 +182,18 @@ def events_as_shifted_bronze(events: DataFrame, tz: str = NAIROBI) -> DataFrame:
         local_to_utc(arrived, tz).alias("inserted_at"), eid.alias("seq"))
 
 
+def events_as_replay(events: DataFrame, tz: str = NAIROBI) -> DataFrame:
+    """Ticks in arrival batches of five days, some of each stamped late, ahead or unreadably."""
+    eid = F.col("event_id")
+    shift = F.coalesce(*[F.when(eid % REPLAY_MOD == r, F.lit(m)) for r, m in REPLAY_SHIFTS.items()], F.lit(0))
+    stamped = F.timestamp_add("MINUTE", shift, F.col("ts"))
+    text = F.when(eid % REPLAY_JUNK_MOD == BAD_TIMESTAMP, F.lit("junk")).otherwise(iso_text(stamped, local_to_utc(stamped, tz)))
+    return events.select(
+        F.col("event_type").alias("ticker"), F.col("value").alias("price"), eid.alias("seq"), text.alias("fetched_at"),
+        wall_to_instant(F.col("ts"), tz).alias("arrival_ts"),
+        F.floor(F.date_diff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date")) / REPLAY_BATCH_DAYS).cast("int").alias("batch"))
+
+
 def events_as_universe_snapshots(events: DataFrame, universe: Sequence[str], tz: str = NAIROBI) -> DataFrame:
     """Snapshots of listed symbols and as many others: symbol number ``user_id % (2 * listed)``."""
     listed = F.array(*[F.lit(s) for s in universe])
