@@ -107,11 +107,13 @@ def _log_sum(x, axis):
     return (m + np.log(np.exp(x - m).sum(axis=axis, keepdims=True))).squeeze(axis)
 
 
-def marginals(logit: np.ndarray, count: np.ndarray, step: np.ndarray):
+def marginals(logit: np.ndarray, count: np.ndarray, step: np.ndarray, weight: np.ndarray | None = None):
     """(probability good of each line, expected transitions) by forward-backward.
 
-    All rows of like length go through the chain together.
+    All rows of like length go through the chain together.  ``weight`` counts
+    the transitions of a row so often (once if not given).
     """
+    weight = np.ones(len(count)) if weight is None else weight
     good, pairs = np.zeros(len(logit)), np.zeros((2, 2))
     first = np.r_[0, np.cumsum(count)]
     order = np.argsort(-count, kind="stable")
@@ -141,7 +143,7 @@ def marginals(logit: np.ndarray, count: np.ndarray, step: np.ndarray):
         if longest > 1:
             z = _log_sum(both[:, 0], 1)
             x = fwd[:, :-1, :, None] + step + (unary + back)[:, 1:, None, :] - z[:, None, None, None]
-            pairs += np.exp(np.where(live[:, 1:, None, None], x, -np.inf)).sum(axis=(0, 1))
+            pairs += np.einsum("n,ntij->ij", weight[rows], np.exp(np.where(live[:, 1:, None, None], x, -np.inf)))
     return good, pairs
 
 
@@ -156,22 +158,35 @@ def _logit(p):
     return np.log(p / (1 - p))
 
 
+# Strength of the normal priors of feature weights and transitions.
+PRIOR_W, PRIOR_STEP = 1e-4, 1e-3
+
+
+def gradient(w, step, count, x, label):
+    """Gradient of ``mean over rows of log p(labels of its lines) / its lines``, with normal priors.
+
+    Every row counts alike, whatever its number of lines; features and transitions of a
+    row have the same weight.  ``label`` is one number a row.
+    """
+    each = 1 / np.maximum(count, 1)
+    good, pairs = marginals(x @ w, count, step, each)
+    inner = each * (count - 1).clip(0)
+    seen = np.diag([inner[label == 0].sum(), inner[label == 1].sum()])
+    gone = np.repeat(each, count) * (np.repeat(label, count) - good)
+    return x.T @ gone / len(label) - PRIOR_W * w, (seen - pairs) / len(label) - PRIOR_STEP * step
+
+
 def fit(count, size, x, label, steps: int = STEPS) -> LineCrf:
-    """Maximum-likelihood chain by Adam, then the logistic on the mean marginals."""
+    """The chain of greatest likelihood (see ``gradient``) by Adam, then the logistic on the mean marginals."""
     label = label.astype(float)
     if not len(label) or label.min() == label.max() or not len(x):
         prior = float(label.mean()) if len(label) else 0.5
         return LineCrf(np.zeros(x.shape[1] if x.ndim == 2 else 34), np.zeros((2, 2)), 0.0, float(_logit(prior)), prior)
-    y = np.repeat(label, count)
-    weight = np.repeat(1 / np.maximum(count, 1), count)       # every document counts alike
-    seen = np.zeros((2, 2))
-    seen[0, 0], seen[1, 1] = ((count - 1).clip(0) * (label == 0)).sum(), ((count - 1).clip(0) * (label == 1)).sum()
     w, step = np.zeros(x.shape[1]), np.zeros((2, 2))
     m, v = np.zeros(len(w) + 4), np.zeros(len(w) + 4)
     for t in range(1, steps + 1):
-        good, pairs = marginals(x @ w, count, step)
-        g = np.r_[x.T @ (weight * (y - good)) / len(label) - 1e-4 * w,
-                  ((seen - pairs) / max(1.0, seen.sum()) - 1e-3 * step).ravel()]
+        of_w, of_step = gradient(w, step, count, x, label)
+        g = np.r_[of_w, of_step.ravel()]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         move = 0.1 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
         w, step = w + move[:-4], step + move[-4:].reshape(2, 2)
@@ -229,7 +244,7 @@ def score(docs: DataFrame, model: LineCrf, threshold: float = THRESHOLD) -> Data
 
     score is from 0 to 1, higher for likelier good; texts that are null, empty
     or without a word get the sample's share of good rows.  Repeated rows get
-    equal scores.
+    equal scores.  A very long text goes through the chain whole, line by line.
     """
     rows = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"))
 
