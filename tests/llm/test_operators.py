@@ -142,14 +142,14 @@ def test_substring_dedup_equals_brute_force(spark):
                    " ".join(WORD.findall(r["kept_text"]))) for r in got) == sorted(want)
 
 
-def test_decontamination_in_one_and_many_blocks(spark):
+def test_decontamination_with_a_wide_and_a_full_bitmap(spark):
     docs = odd_docs(spark)
     long = docs.where("doc_id = 14").first()["text"].split()
     items = [(1, " ".join(long[100:130])), (2, "one two"), (3, None), (4, ""), (10, " ".join(long[120:135])), (11, "NOT there at all")]
     bench = spark.createDataFrame(items, "item_id long, text string")
     cols = ["row.doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
     one = sorted(decontaminate.decontaminate(docs, bench).select(*cols).collect())
-    assert one == sorted(decontaminate.decontaminate(docs, bench, block_bytes=64).select(*cols).collect())
+    assert one == sorted(decontaminate.decontaminate(docs, bench, bits=8).select(*cols).collect())
     hit = {r["doc_id"]: r for r in one if r["contaminated"]}
     assert hit[14]["n_hit"] == 35 and hit[14]["items_sha256"] == hashlib.sha256(b"1,10").hexdigest()
     assert hit[15]["n_hit"] == 2 and set(hit) == {14, 15}

@@ -8,10 +8,13 @@ fingerprint of that span.  Documents keep the windows whose fingerprint a
 benchmark window has, and each such hit is extended to the whole window and
 compared word by word.
 
-Documents are read in one narrow pass without a shuffle.  The benchmark is
-the stated query set: its size is measured first, and it is broadcast in
-blocks of at most ``block_bytes`` of text (one block for usual benchmarks),
-each a further narrow pass whose hits are added to the row.
+The benchmark's windows are a table with one row for each different window, made in
+Spark tasks, however large the benchmark or however often an item repeats.  Its
+fingerprints set bits of a bitmap of at most MOST_BITS, which is all that is
+broadcast; document windows whose fingerprint has its bit set are candidates.
+Candidates are joined with the window table on fingerprint and words, so the
+bitmap decides nothing but how many travel.  A task sends a window once,
+with the places where it stands, whatever part of the rows holds it.
 """
 
 from __future__ import annotations
@@ -20,75 +23,148 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ticksmith.llm.arrays import (alnum_table, blocks, gram_hashes, lower_ascii, sliding_min,
+from ticksmith.llm.arrays import (alnum_table, blocks, gram_hashes, lower_ascii, mix64, sliding_min,
                                   text_bytes, word_hashes, words)
 from ticksmith.plans.storage import materialize
 
 WINDOW = 10
 GRAM = 5
-BLOCK_TEXT = 8 << 20
-CUT_EVERY = 8
-
-
-def _benchmark_block(items: list[tuple[str, str | None]], size: int):
-    """{n: (fingerprints ascending, {window words: item ids})} of a block of items."""
-    raw, off = text_bytes(pa.array([t for _, t in items], pa.string()))
-    raw = lower_ascii(raw)
-    start, end, first = words(raw, off, alnum_table())
-    h, data = word_hashes(raw, start, end), raw.tobytes()
-    text = [data[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
-    prints: dict[int, list] = {}
-    windows: dict[int, dict[bytes, list[str]]] = {}
-    for i, (name, _) in enumerate(items):
-        a, b = int(first[i]), int(first[i + 1])
-        n = min(size, b - a)
-        if n == 0 or name is None:
-            continue
-        k = min(GRAM, n)
-        prints.setdefault(n, []).append(sliding_min(gram_hashes(h[a:b], k), n - k + 1))
-        table = windows.setdefault(n, {})
-        for p in range(a, b - n + 1):
-            held = table.setdefault(b" ".join(text[p:p + n]), [])
-            if name not in held:
-                held.append(name)
-    return {n: (np.unique(np.concatenate(prints[n])), windows[n]) for n in windows}
-
-
-def _hits(column, index: dict):
-    """Per row: (words, covered [start, end) word ranges, item ids)."""
+BITS_A_WINDOW = 1024       # bits of the bitmap for each window of the benchmark, up to MOST_BITS
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 29
+CHUNK_BITS = 1 << 15
+FLUSH_BYTES = 32 << 20
+BROADCAST_TEXTS = 200_000  # more texts with hits are joined by a shuffle
+
+
+def _marks(h: np.ndarray, n: int) -> np.ndarray:
+    """Fingerprint of the window of n words from each position on; n is part of it."""
+    k = min(GRAM, n)
+    return mix64(sliding_min(gram_hashes(h, k), n - k + 1) ^ np.uint64(n))
+
+
+def _blocks(column):
+    """(first row, text bytes, word starts, ends, word ranges of rows) of each block, lower-cased."""
     raw, off = text_bytes(column)
     table = alnum_table()
     for a, b in blocks(off):
         part = lower_ascii(raw[off[a]:off[b]])
-        start, end, first = words(part, off[a:b + 1] - off[a], table)
-        h, data = word_hashes(part, start, end), part.tobytes()
-        found: dict[int, tuple[list, set]] = {}
-        for n, (prints, windows) in index.items():
-            k = min(GRAM, n)
-            least = sliding_min(gram_hashes(h, k), n - k + 1)
-            if not len(least):
-                continue
-            # neighbouring windows mostly keep the same gram: look each up once
-            fresh = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
-            at = np.minimum(np.searchsorted(prints, least[fresh]), len(prints) - 1)
-            hit = np.repeat(prints[at] == least[fresh], np.diff(np.r_[fresh, len(least)]))
-            place = np.flatnonzero(hit)
-            row = np.searchsorted(first, place, "right") - 1
-            ok = place + n <= first[row + 1]
-            for p, r in zip(place[ok].tolist(), row[ok].tolist(), strict=True):
-                names = windows.get(b" ".join([data[s:e] for s, e in zip(start[p:p + n].tolist(), end[p:p + n].tolist(), strict=True)]))
-                if names is not None:
-                    spans, ids = found.setdefault(r, ([], set()))
-                    q = p - int(first[r])
-                    spans += (q, q + n)
-                    ids.update(names)
-        for r in range(b - a):
-            spans, ids = found.get(r, ((), ()))
-            yield int(first[r + 1] - first[r]), spans, ids
+        yield a, part, *words(part, off[a:b + 1] - off[a], table)
+
+
+WINDOWS = "n int, mark bigint, words binary, name string"
+
+
+def benchmark_windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
+    """(n, mark, words, names) of each different window of the items; names are the ids of those that hold it."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("name"), F.col("text").cast("string").alias("text"))
+
+    def run(batches):
+        for batch in batches:
+            names = batch.column("name").to_pylist()
+            for a, part, start, end, first in _blocks(batch.column("text")):
+                h, data = word_hashes(part, start, end), part.tobytes()
+                out: dict[str, list] = {"n": [], "mark": [], "words": [], "name": []}
+                for i in range(len(first) - 1):
+                    f, g = int(first[i]), int(first[i + 1])
+                    n = min(size, g - f)
+                    if n == 0:
+                        continue
+                    text = [data[x:y] for x, y in zip(start[f:g].tolist(), end[f:g].tolist(), strict=True)]
+                    mark = _marks(h[f:g], n).view(np.int64).tolist()
+                    out["n"] += [n] * len(mark)
+                    out["mark"] += mark
+                    out["words"] += [b" ".join(text[p:p + n]) for p in range(len(mark))]
+                    out["name"] += [names[a + i]] * len(mark)
+                if out["n"]:
+                    yield pa.record_batch({"n": pa.array(out["n"], pa.int32()), "mark": pa.array(out["mark"], pa.int64()),
+                                           "words": pa.array(out["words"], pa.binary()), "name": pa.array(out["name"], pa.string())})
+
+    return (items.where("name IS NOT NULL AND text IS NOT NULL").distinct().mapInArrow(run, WINDOWS)
+            .groupBy("n", "mark", "words").agg(F.collect_set("name").alias("names")))
+
+
+def fingerprint_bits(windows: DataFrame, bits: int) -> bytes:
+    """Bitmap of ``bits`` bits (a power of two) with the bit of every window's fingerprint set."""
+    chunk = min(bits, CHUNK_BITS)
+    place = F.col("mark").bitwiseAND(F.lit(bits - 1))
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for at in batch.column("at").to_pylist():
+                on = np.zeros(chunk, bool)
+                on[at] = True
+                rows.append(np.packbits(on).tobytes())
+            yield pa.record_batch({"chunk": batch.column("chunk"), "bits": pa.array(rows, pa.binary())})
+
+    got = (windows.select((place / F.lit(chunk)).cast("bigint").alias("chunk"), (place % F.lit(chunk)).cast("int").alias("at"))
+           .groupBy("chunk").agg(F.collect_set("at").alias("at")).mapInArrow(run, "chunk bigint, bits binary").toArrow())
+    out = bytearray(bits // 8)
+    for c, b in zip(got["chunk"].to_pylist(), got["bits"].to_pylist(), strict=True):
+        out[c * chunk // 8:(c + 1) * chunk // 8] = b
+    return bytes(out)
+
+
+FOUND = "n int, mark bigint, words binary, places array<struct<a: bigint, b: bigint, at: int>>"
+PLACES = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64()), ("at", pa.int32())]))
+
+
+def candidates(texts: DataFrame, sizes: list[int], bitmap: bytes) -> DataFrame:
+    """Windows of ``texts`` (a, b, text) whose fingerprint is in the bitmap, each once a task with its places."""
+    held = texts.sparkSession.sparkContext.broadcast(bitmap)
+
+    def run(batches):
+        bit = np.frombuffer(held.value, np.uint8)
+        mask = np.uint64(len(bit) * 8 - 1)
+        found: dict[tuple[int, int, bytes], set] = {}
+        load = 0
+
+        def emit():
+            keys = list(found)
+            for i in range(0, len(keys), 10_000):
+                part = keys[i:i + 10_000]
+                yield pa.record_batch({
+                    "n": pa.array([k[0] for k in part], pa.int32()), "mark": pa.array([k[1] for k in part], pa.int64()),
+                    "words": pa.array([k[2] for k in part], pa.binary()),
+                    "places": pa.array([[{"a": x, "b": y, "at": z} for x, y, z in found[k]] for k in part], PLACES)})
+
+        for batch in batches:
+            a_of, b_of = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+            for row0, part, start, end, first in _blocks(batch.column("text")):
+                h, data = word_hashes(part, start, end), part.tobytes()
+                for n in sizes:
+                    if len(h) < n:
+                        continue
+                    mark = _marks(h, n)
+                    # neighbouring windows mostly keep the same gram: look each up once
+                    fresh = np.flatnonzero(np.r_[True, mark[1:] != mark[:-1]])
+                    slot = mark[fresh] & mask
+                    on = (bit[(slot >> np.uint64(3)).astype(np.int64)] >> (np.uint64(7) - (slot & np.uint64(7))).astype(np.uint8)) & 1
+                    place = np.flatnonzero(np.repeat(on > 0, np.diff(np.r_[fresh, len(mark)])))
+                    row = np.searchsorted(first, place, "right") - 1
+                    ok = place + n <= first[row + 1]
+                    place, row = place[ok], row[ok]
+                    for p, r, m, q in zip(place.tolist(), row.tolist(), mark[place].view(np.int64).tolist(),
+                                          (place - first[row]).tolist(), strict=True):
+                        key = (n, m, b" ".join([data[s:e] for s, e in zip(start[p:p + n].tolist(), end[p:p + n].tolist(), strict=True)]))
+                        at = found.get(key)
+                        if at is None:
+                            at = found[key] = set()
+                            load += len(key[2]) + 300
+                        at.add((a_of[row0 + r], b_of[row0 + r], q))
+                        load += 250
+                if load > FLUSH_BYTES:
+                    yield from emit()
+                    found.clear()
+                    load = 0
+        yield from emit()
+
+    return texts.mapInArrow(run, FOUND)
 
 
 def _covered(spans) -> int:
@@ -99,56 +175,64 @@ def _covered(spans) -> int:
     return total
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW,
-                  block_bytes: int = BLOCK_TEXT) -> DataFrame:
+HITS = "a bigint, b bigint, n_hit bigint, n_items bigint, items_sha256 string"
+
+
+def hits(texts: DataFrame, windows: DataFrame, bits: int | None = None) -> DataFrame:
+    """(a, b, n_hit, n_items, items_sha256) of the texts that hold a window."""
+    windows = materialize(windows, "benchmark-windows")
+    sizes = sorted(r["n"] for r in windows.select("n").distinct().collect())     # at most ``size`` numbers
+    if bits is None:
+        bits = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_A_WINDOW * windows.count()).bit_length()))
+    found = candidates(texts, sizes, fingerprint_bits(windows, bits)).join(windows, ["n", "mark", "words"])
+    spans = (found.select("n", "names", F.explode("places").alias("p")).groupBy("p.a", "p.b")
+             .agg(F.collect_set(F.struct(F.col("p.at").alias("at"), "n")).alias("spans"),
+                  F.array_distinct(F.flatten(F.collect_set("names"))).alias("names")))
+
+    def run(batches):
+        for batch in batches:
+            hit = [_covered([x for s in spans for x in (s["at"], s["at"] + s["n"])]) for spans in batch.column("spans").to_pylist()]
+            ids = [sorted(i) for i in batch.column("names").to_pylist()]
+            yield pa.record_batch({
+                "a": batch.column("a"), "b": batch.column("b"), "n_hit": pa.array(hit, pa.int64()),
+                "n_items": pa.array([len(i) for i in ids], pa.int64()),
+                "items_sha256": pa.array([hashlib.sha256(",".join(i).encode()).hexdigest() for i in ids], pa.string())})
+
+    return materialize(spans.mapInArrow(run, HITS), "benchmark-hits")
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, bits: int | None = None) -> DataFrame:
     """(row, n_words, n_hit, n_items, items_sha256, contaminated) per row of ``docs``.
 
     ``row`` is the whole input row as a struct, so extra columns of any name
     are kept apart; docs need a ``text``, the benchmark ``item_id`` and
     ``text``.  Null and empty texts have no words and no hits; an item without
     words or without id has no window; items that repeat count once an id.
-    Repeated documents are all returned; an empty benchmark hits nothing.
-    """
-    spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("string").alias("name"), F.col("text").cast("string").alias("text"))
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, -(-total // block_bytes))
-    rows = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text")).select(
-        "row", "text", F.lit(0).cast("long").alias("n_words"),
-        F.array().cast("array<int>").alias("spans"), F.array().cast("array<string>").alias("items"))
-    schema = rows.schema
-    for part in range(parts):
-        block = items.where(F.pmod(F.xxhash64("name", "text"), F.lit(parts)) == part) if parts > 1 else items
-        held = spark.sparkContext.broadcast(
-            _benchmark_block([(r["name"], r["text"]) for r in block.toLocalIterator()], size))
-
-        def run(batches, held=held):
-            index = held.value
-            for batch in batches:
-                n, spans, ids = [], [], []
-                before = zip(batch.column("spans").to_pylist(), batch.column("items").to_pylist(), strict=True)
-                for (count, s, i), (s0, i0) in zip(_hits(batch.column("text"), index), before, strict=True):
-                    n.append(count)
-                    spans.append(s0 + list(s))
-                    ids.append(sorted(set(i0) | set(i)))
-                yield pa.record_batch({
-                    "row": batch.column("row"), "text": batch.column("text"), "n_words": pa.array(n, pa.int64()),
-                    "spans": pa.array(spans, pa.list_(pa.int32())), "items": pa.array(ids, pa.list_(pa.string()))})
+    Repeated documents are all returned; an empty benchmark hits nothing.  A very
+    long text is read whole, by one task.  Texts are named by two 64-bit
+    hashes; ``bits`` sets the size of the bitmap (a power of two, 8 at least), which
+    changes no result.
 
-        rows = rows.mapInArrow(run, schema)
-        if part % CUT_EVERY == CUT_EVERY - 1:
-            rows = materialize(rows, "decontaminate")
+    Texts are read twice, once for their windows and once with their rows.  Texts with
+    hits are broadcast up to BROADCAST_TEXTS, else joined by a shuffle.
+    """
+    rows = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text")).withColumns(
+        {"a": F.xxhash64("text"), "b": F.xxhash64(F.lit(1), "text")})
+    held = hits(rows.select("a", "b", "text"), benchmark_windows(benchmark, size), bits)
+    if held.count() <= BROADCAST_TEXTS:
+        held = F.broadcast(held)
+    both = rows.join(held, ["a", "b"], "left").select("row", "text", "n_hit", "n_items", "items_sha256")
+    none = hashlib.sha256(b"").hexdigest()
 
     def finish(batches):
         for batch in batches:
-            spans, ids = batch.column("spans").to_pylist(), batch.column("items").to_pylist()
-            hit = [_covered(s) for s in spans]
+            n = [np.diff(first) for _, _, _, _, first in _blocks(batch.column("text"))]
+            hit = batch.column("n_hit").fill_null(0)
             yield pa.record_batch({
-                "row": batch.column("row"), "n_words": batch.column("n_words"), "n_hit": pa.array(hit, pa.int64()),
-                "n_items": pa.array([len(i) for i in ids], pa.int64()),
-                "items_sha256": pa.array([hashlib.sha256(",".join(i).encode()).hexdigest() for i in ids], pa.string()),
-                "contaminated": pa.array([x > 0 for x in hit], pa.bool_())})
+                "row": batch.column("row"), "n_words": pa.array(np.concatenate(n) if n else [], pa.int64()), "n_hit": hit,
+                "n_items": batch.column("n_items").fill_null(0), "items_sha256": batch.column("items_sha256").fill_null(none),
+                "contaminated": pc.greater(hit, 0)})
 
-    out = (T.StructType([schema["row"]]).add("n_words", "long").add("n_hit", "long").add("n_items", "long")
+    out = (T.StructType([rows.schema["row"]]).add("n_words", "long").add("n_hit", "long").add("n_items", "long")
            .add("items_sha256", "string").add("contaminated", "boolean"))
-    return rows.select("row", "n_words", "spans", "items").mapInArrow(finish, out)
+    return both.mapInArrow(finish, out)
