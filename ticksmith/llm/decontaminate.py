@@ -37,7 +37,7 @@ GRAM = 5
 BITS_A_WINDOW = 1024       # bits of the bitmap for each window of the benchmark, up to MOST_BITS
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 29
 CHUNK_BITS = 1 << 15
-FLUSH_BYTES = 32 << 20
+FLUSH_BYTES = 8 << 20
 BROADCAST_TEXTS = 200_000  # more texts with hits are joined by a shuffle
 
 
@@ -128,10 +128,15 @@ def candidates(texts: DataFrame, sizes: list[int], bitmap: bytes) -> DataFrame:
             keys = list(found)
             for i in range(0, len(keys), 10_000):
                 part = keys[i:i + 10_000]
+                each = [sorted(found[k]) for k in part]
+                flat = [p for e in each for p in e]
+                struct = pa.StructArray.from_arrays([pa.array([p[j] for p in flat], t.type) for j, t in enumerate(PLACES.value_type)],
+                                                    fields=list(PLACES.value_type))
+                ends = np.cumsum([0, *map(len, each)], dtype=np.int32)
                 yield pa.record_batch({
                     "n": pa.array([k[0] for k in part], pa.int32()), "mark": pa.array([k[1] for k in part], pa.int64()),
                     "words": pa.array([k[2] for k in part], pa.binary()),
-                    "places": pa.array([[{"a": x, "b": y, "at": z} for x, y, z in found[k]] for k in part], PLACES)})
+                    "places": pa.ListArray.from_arrays(pa.array(ends), struct)})
 
         for batch in batches:
             a_of, b_of = batch.column("a").to_pylist(), batch.column("b").to_pylist()
@@ -221,12 +226,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, bit
     held = hits(rows.select("a", "b", "text"), benchmark_windows(benchmark, size), bits)
     if held.count() <= BROADCAST_TEXTS:
         held = F.broadcast(held)
-    both = rows.join(held, ["a", "b"], "left").select("row", "text", "n_hit", "n_items", "items_sha256")
+    both = rows.join(held, ["a", "b"], "left").select("row", "n_hit", "n_items", "items_sha256")
+    text_at = [c.lower() for c in docs.columns].index("text")     # the text travels once, inside its row
     none = hashlib.sha256(b"").hexdigest()
 
     def finish(batches):
         for batch in batches:
-            n = [np.diff(first) for _, _, _, _, first in _blocks(batch.column("text"))]
+            n = [np.diff(first) for _, _, _, _, first in _blocks(batch.column("row").field(text_at).cast(pa.string()))]
             hit = batch.column("n_hit").fill_null(0)
             yield pa.record_batch({
                 "row": batch.column("row"), "n_words": pa.array(np.concatenate(n) if n else [], pa.int64()), "n_hit": hit,
