@@ -9,9 +9,14 @@ windows are sorted by hash, runs of equal hashes are compared byte by byte,
 and windows that start at two or more places are reported back as word ranges
 of their rows.
 
-Equal super-k-mers of one task are sent once, with the places where they
-stand, so a passage that a third of the rows hold costs each task one string.
-Packed strings are zstandard-compressed per task and bucket.
+A super-k-mer that stands at two places has repeated windows only, so it needs no
+comparison: a task sends a string that it has twice once and without its places,
+whose word ranges travel by themselves, spread over all buckets.  A bucket holds
+a string once, and its place only until the string comes again; then both
+places leave.  So what a bucket holds is its distinct strings, whatever number
+of rows hold them: a passage that a third of the rows hold costs each task
+one string and its bucket one.  Packed strings are zstandard-compressed per task
+and bucket.
 """
 
 from __future__ import annotations
@@ -36,6 +41,7 @@ HOT_LIST = 50_000
 HOT_LEAST = 8
 FLUSH_BYTES = 16 << 20
 FLUSH_GRAMS = 1_000_000
+FLUSH_PLACES = 100_000
 BUCKET_WORDS = 400_000      # words of the corpus for each bucket, about
 FAR = np.uint64(1 << 63)
 
@@ -117,27 +123,43 @@ PACKED = "bucket int, strings binary, places binary, doc_id binary, row_key bina
 
 
 def pack(docs: DataFrame, hot: np.ndarray, size: int, buckets: int) -> DataFrame:
-    """Super-k-mers of ``docs`` (doc_id, row_key, text), one row per task and bucket."""
+    """Super-k-mers of ``docs`` (doc_id, row_key, text), one row per task and bucket.
+
+    ``places`` has (string number, row, first, last) of the strings that the task has
+    once.  A row without strings has the word ranges of those that it has more often.
+    """
     held_hot = docs.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches):
         hot, squeeze = held_hot.value, zstandard.ZstdCompressor(level=3)
-        # bucket -> ({string: number}, [string number, row, first word] flat)
+        # bucket -> ({string: number}, [string number, row, first word, last word] flat)
         held: dict[int, tuple[dict, list]] = {}
         ids, keys, load = [], [], 0
 
         def emit():
-            doc, key = np.array(ids, np.int64), np.array(keys, np.int64)
-            for bucket, (strings, places) in held.items():
-                at = np.array(places, np.int64).reshape(-1, 3)
-                used, at[:, 1] = np.unique(at[:, 1], return_inverse=True)
-                yield pa.record_batch({
+            doc, key, again = np.array(ids, np.int64), np.array(keys, np.int64), []
+
+            def packed(bucket, strings, at):
+                used, row = np.unique(at[:, 1], return_inverse=True)
+                at = np.stack([at[:, 0], row, at[:, 2], at[:, 3]]).astype(np.int32)
+                return pa.record_batch({
                     "bucket": pa.array([bucket], pa.int32()),
-                    "strings": pa.array([squeeze.compress(b"\n".join(strings))], pa.binary()),
-                    "places": pa.array([squeeze.compress(at.astype(np.int32).T.tobytes())], pa.binary()),
+                    "strings": pa.array([strings and squeeze.compress(b"\n".join(strings))], pa.binary()),
+                    "places": pa.array([squeeze.compress(at.tobytes())], pa.binary()),
                     "doc_id": pa.array([doc[used].tobytes()], pa.binary()),
                     "row_key": pa.array([key[used].tobytes()], pa.binary())})
 
+            for bucket, (strings, places) in held.items():
+                at = np.array(places, np.int64).reshape(-1, 4)
+                once = np.bincount(at[:, 0])[at[:, 0]] == 1
+                yield packed(bucket, strings, at[once])
+                again.append(at[~once])
+            again = np.concatenate(again) if again else np.zeros((0, 4), np.int64)
+            # any bucket may pass these on: the rows' keys spread them
+            for a in range(0, len(again), FLUSH_PLACES):
+                part = again[a:a + FLUSH_PLACES]
+                yield packed(int(key[part[0, 1]]) % buckets, None, part)
+
         for batch in batches:
             doc = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
             key = batch.column("row_key").to_numpy(zero_copy_only=False)
@@ -153,8 +175,8 @@ def pack(docs: DataFrame, hot: np.ndarray, size: int, buckets: int) -> DataFrame
                 ids += doc[a + own].tolist()
                 keys += key[a + own].tolist()
                 low, high = at[place].tolist(), (at[stop] + end[stop] - start[stop]).tolist()
-                begin = (place - first[row]).tolist()
-                for b, i, j, r, p in zip(to, low, high, (local + base).tolist(), begin, strict=True):
+                begin, final = (place - first[row]).tolist(), (stop - first[row]).tolist()
+                for b, i, j, r, p, q in zip(to, low, high, (local + base).tolist(), begin, final, strict=True):
                     here = held.get(b)
                     if here is None:
                         here = held[b] = ({}, [])
@@ -163,8 +185,8 @@ def pack(docs: DataFrame, hot: np.ndarray, size: int, buckets: int) -> DataFrame
                     if n is None:
                         n = here[0][s] = len(here[0])
                         load += j - i
-                    here[1].extend((n, r, p))
-                load += 12 * len(to)
+                    here[1].extend((n, r, p, q))
+                load += 16 * len(to)
                 if load > FLUSH_BYTES:
                     yield from emit()
                     held, ids, keys, load = {}, [], [], 0
@@ -227,40 +249,54 @@ CUTS = "doc_id bigint, row_key bigint, first int, last int"
 def repeated_ranges(packed: DataFrame, size: int) -> DataFrame:
     """(doc_id, row_key, first, last): word ranges covered by windows that start at two or more places."""
 
+    def cuts(doc, key, low, high):
+        return pa.record_batch({"doc_id": pa.array(doc, pa.int64()), "row_key": pa.array(key, pa.int64()),
+                                "first": pa.array(low, pa.int32()), "last": pa.array(high, pa.int32())})
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_ = zstandard.ZstdDecompressor()
         number: dict[bytes, int] = {}
-        places, doc, key, base = [], [], [], 0
+        alone: dict[int, tuple[int, int, int, int]] = {}   # string seen at one place -> that place
         for batch in batches:
             for i in range(batch.num_rows):
-                local = [number.setdefault(s, len(number)) for s in open_.decompress(batch.column("strings")[i].as_py()).split(b"\n")]
-                at = np.frombuffer(open_.decompress(batch.column("places")[i].as_py()), np.int32).reshape(3, -1).astype(np.int64)
-                doc.append(np.frombuffer(batch.column("doc_id")[i].as_py(), np.int64))
-                key.append(np.frombuffer(batch.column("row_key")[i].as_py(), np.int64))
-                places.append(np.stack([np.array(local, np.int64)[at[0]], at[1] + base, at[2]]))
-                base += len(doc[-1])
+                at = np.frombuffer(open_.decompress(batch.column("places")[i].as_py()), np.int32).reshape(4, -1)
+                doc = np.frombuffer(batch.column("doc_id")[i].as_py(), np.int64)[at[1]]
+                key = np.frombuffer(batch.column("row_key")[i].as_py(), np.int64)[at[1]]
+                packed_strings = batch.column("strings")[i].as_py()
+                if packed_strings is None:
+                    yield cuts(doc, key, at[2], at[3])
+                    continue
+                places = dict(zip(at[0].tolist(), zip(doc.tolist(), key.tolist(), at[2].tolist(), at[3].tolist(), strict=True),
+                                  strict=True))
+                out = []
+                for local, s in enumerate(open_.decompress(packed_strings).split(b"\n")):
+                    fresh, here = len(number), places.get(local)
+                    n = number.setdefault(s, fresh)
+                    if n == fresh:
+                        if here is not None:
+                            alone[n] = here
+                        continue
+                    out += [p for p in (alone.pop(n, None), here) if p is not None]
+                if out:
+                    yield cuts(*zip(*out, strict=True))
         release()
-        string, row, begin = np.concatenate(places, axis=1)
-        doc, key = np.concatenate(doc), np.concatenate(key)
+        if not alone:
+            return
+        # strings seen at one place: which of their windows stand in other strings
         strings = list(number)
-        weight = np.bincount(string, minlength=len(strings)).astype(float)
+        del number
+        weight = np.full(len(strings), 2.0)
+        weight[list(alone)] = 1.0
         own, before, again = _repeats(strings, weight, size)
-        # runs of repeated windows of each string, then of each place of the string
+        again &= weight[own] == 1
         edge = np.flatnonzero(np.r_[True, (own[1:] != own[:-1]) | (again[1:] != again[:-1])])
         long = np.diff(np.r_[edge, len(own)])
         edge, long = edge[again[edge]], long[again[edge]]
-        runs_of = np.searchsorted(own[edge], np.arange(len(strings) + 1))
-        fan = np.diff(runs_of)[string]
-        for a in range(0, len(string), 100_000):
-            f = fan[a:a + 100_000]
-            at = np.repeat(np.arange(a, a + len(f)), f)
-            run_no = runs_of[string[at]] + np.arange(len(at)) - np.repeat(np.cumsum(f) - f, f)
-            low = begin[at] + edge[run_no] - before[string[at]]
-            if len(at):
-                yield pa.record_batch({
-                    "doc_id": pa.array(doc[row[at]]), "row_key": pa.array(key[row[at]]),
-                    "first": pa.array(low.astype(np.int32)),
-                    "last": pa.array((low + long[run_no] + size - 2).astype(np.int32))})
+        for a in range(0, len(edge), FLUSH_PLACES):
+            e, of = edge[a:a + FLUSH_PLACES], own[edge[a:a + FLUSH_PLACES]]
+            doc, key, begin, _ = np.array([alone[n] for n in of.tolist()], np.int64).T
+            low = begin + e - before[of]
+            yield cuts(doc, key, low, low + long[a:a + FLUSH_PLACES] + size - 2)
 
     return packed.groupBy("bucket").applyInArrow(run, CUTS)
 
@@ -275,7 +311,8 @@ def dedup_substrings(docs: DataFrame, size: int = WINDOW, buckets: int | None =
     removed words and the white space after each.  ``row`` is the whole input
     row as a struct.  Null and empty texts have no words (their kept_text is
     empty); texts shorter than a window keep all; repeated rows are
-    occurrences like any other and are all returned.
+    occurrences like any other and are all returned; a very long text is
+    hashed whole, as a block of its own, and its windows travel like any other's.
     """
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.col("text").cast("string").alias("text")).withColumn("row_key", F.xxhash64("doc_id", "text"))
