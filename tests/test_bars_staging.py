@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from ticksmith.functions import iso_local
 from ticksmith.operators import bars, staging
-from ticksmith.schemas import STAGED_TICK_COLS
+from ticksmith.schemas import LOG_BRONZE, STAGED_TICK_COLS
+from ticksmith.sources.events import events_as_log_bronze, read_events
 
 from .conftest import SF_SMALL, rows
 
@@ -157,3 +158,24 @@ def test_dedup_trims_hot_keys_before_the_shuffle(spark):
     # the Partial limit that runs in each map task before it
     assert partial and final and shuffle
     assert final[0] < shuffle[0] < partial[0]
+
+
+def test_latest_tick_of_a_partitioned_log(spark):
+    at = dt.datetime(2026, 4, 21, 7, 1)
+    text = "2026-04-21T10:01:00+03:00"
+    # (price, inserted_at, seq, partition): the insertion time, then the partition, then the offset decide
+    ticks = [(1.0, at, 9, 0), (2.0, at, 3, 2), (3.0, at, 3, 1), (4.0, at, 4, None), (5.0, None, 99, 7), (6.0, at, None, 2)]
+    for order in (ticks, ticks[::-1]):
+        bronze = spark.createDataFrame([("A", "A", p, 0, 0.0, "KES", text, "NSE", t, s, q) for p, t, s, q in order], LOG_BRONZE).repartition(3)
+        assert rows(staging.stage_ticks(bronze), "price", "seq") == [(2.0, 3)]
+        assert rows(staging.latest_prices(bronze), "price") == [(2.0,)]
+        only = bronze.where("price = 5.0 OR price = 4.0")    # a row without insertion time is the oldest
+        assert rows(staging.stage_ticks(only), "price") == rows(staging.latest_prices(only), "price") == [(4.0,)]
+
+
+def test_log_queries_depend_on_the_partition(spark):
+    bronze = events_as_log_bronze(read_events(spark, SF_SMALL))
+    assert bronze.groupBy("ticker", "inserted_at", "seq").count().where("count > 1").count() > 0
+    assert bronze.where("partition IS NULL").count() > 0
+    other = rows(staging.latest_prices(bronze.drop("partition")), "ticker", "price", "fetched_at")
+    assert rows(staging.latest_prices(bronze), "ticker", "price", "fetched_at") != other

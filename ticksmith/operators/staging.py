@@ -53,28 +53,35 @@ def _parsed(bronze: DataFrame, tz: str) -> DataFrame:
     # "parsed?" filter, the trade date and the dedup key all read an
     # attribute instead of re-parsing the text.
     seq = F.col("seq") if "seq" in bronze.columns else F.lit(None).cast("bigint")
+    place = ["partition"] if "partition" in bronze.columns else []
     valid = bronze.filter(valid_tick(F.col("price"), F.col("ticker")))
     timed = bind(valid, "_fetched_utc", parse_to_utc(F.col("fetched_at")))
     return timed.select("ticker", "name", "price", "volume", "market_cap", "currency", "exchange",
                         F.col("fetched_at").alias("fetched_at_raw"),
                         F.col("_fetched_utc").alias("fetched_at"),
                         local_date(F.col("_fetched_utc"), tz).alias("trade_date"),
-                        "inserted_at", seq.alias("seq"))
+                        "inserted_at", seq.alias("seq"), *place)
 
 
 def stage_ticks(bronze: DataFrame, tz: str = NAIROBI, grain: str = DEDUP_GRAIN) -> DataFrame:
-    """P5 + F3 + D1: bronze raw ticks -> clean, typed, deduplicated ticks."""
+    """P5 + F3 + D1: bronze raw ticks -> clean, typed, deduplicated ticks.
+
+    The latest row goes by (inserted_at, seq), or (inserted_at, partition, seq) where
+    there is a ``partition`` column; a null partition counts as 0.
+    """
     ok = _parsed(bronze, tz).filter(F.col("fetched_at").isNotNull())
-    order = [F.col("inserted_at").desc(), F.col("seq").desc()]
+    place = [F.coalesce("partition", F.lit(0)).desc()] if "partition" in ok.columns else []
+    order = [F.col("inserted_at").desc(), *place, F.col("seq").desc()]
     return keep_latest(ok, [F.col("ticker"), floor_time(F.col("fetched_at"), grain)], order) \
         .select(*STAGED_TICK_COLS)
 
 
-def latest_order_key(inserted_at: Column, seq: Column) -> Column:
-    """The D1 order (``inserted_at DESC, seq DESC``, NULLs lowest) packed
-    into one DECIMAL so ``max_by`` keeps the hash-aggregate path."""
-    us = F.coalesce(ntz_micros(inserted_at), F.lit(-(2 ** 62)))
-    return epoch_order_key(us, F.coalesce(seq, F.lit(-1)))
+def latest_order_key(inserted_at: Column, seq: Column, partition: Column | None = None) -> Column:
+    """The D1 order (``inserted_at DESC[, partition DESC], seq DESC``, NULL times and offsets
+    lowest) packed into one DECIMAL so ``max_by`` keeps the hash-aggregate path."""
+    # with a partition the key has fewer digits for the time: any instant before the year 1 is lowest
+    us = F.coalesce(ntz_micros(inserted_at), F.lit(-(2 ** 62) if partition is None else -(2 ** 59)))
+    return epoch_order_key(us, F.coalesce(seq, F.lit(-1)), partition)
 
 
 def latest_prices(bronze: DataFrame, tz: str = NAIROBI, grain: str = DEDUP_GRAIN,
@@ -91,7 +98,7 @@ def latest_prices(bronze: DataFrame, tz: str = NAIROBI, grain: str = DEDUP_GRAIN
     ok = _parsed(bronze, tz).filter(F.col("fetched_at").isNotNull())
     if session_only:
         ok = ok.filter(in_session(F.col("fetched_at"), tz))
-    key = latest_order_key(F.col("inserted_at"), F.col("seq"))
+    key = latest_order_key(F.col("inserted_at"), F.col("seq"), F.col("partition") if "partition" in ok.columns else None)
     latest = (ok.groupBy("ticker", floor_time(F.col("fetched_at"), grain).alias("minute"))
               .agg(F.max_by("price", key).alias("price"),
                    F.max_by("fetched_at", key).alias("fetched_at")))

@@ -24,7 +24,7 @@ from ticksmith.operators import ingest, marts, quality, reports, staging
 from ticksmith.plans import batch, storage
 from ticksmith.schemas import BAR, BAR_COLS, BRONZE, TICK_COLS
 from ticksmith.plans.manifest import MonthTable
-from ticksmith.sources.events import (EVENT_COLS, events_as_bronze, events_as_messages, events_as_replay,
+from ticksmith.sources.events import (EVENT_COLS, events_as_bronze, events_as_log_bronze, events_as_messages, events_as_replay,
                                       events_as_shifted_bronze,
                                       events_as_snapshots, events_as_universe_snapshots, read_events, spoiled_tables)
 from ticksmith.sources.kafka import read_message_log, write_message_log
@@ -394,6 +394,31 @@ def q_replay_bars_arrival(spark, sf):
     return run.read(BAR).select(*BAR_COLS)
 
 
+def log_bronze(spark: SparkSession, sf: str) -> DataFrame:
+    return events_as_log_bronze(read_events(spark, sf))
+
+
+def q_log_bars(spark, sf):
+    # opens and closes go by (time, partition, offset): offsets alone are not unique
+    return bars_op.ohlc_bars(log_bronze(spark, sf).withColumn("event_time", parse_to_utc(F.col("fetched_at"))), "event_time")
+
+
+def q_log_bar_parts(spark, sf):
+    # the same bars, merged from parts of the log as BarStore keeps them
+    ticks = log_bronze(spark, sf).withColumn("event_time", parse_to_utc(F.col("fetched_at")))
+    parts = [bars_op.bar_parts(ticks.where(F.col("seq") % 3 == r), "event_time") for r in range(3)]
+    stored = parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumn("inserted_at", F.lit(None).cast("timestamp_ntz"))
+    return bars_op.merge_parts(stored).select(*BAR_COLS)
+
+
+def q_log_stage_ticks(spark, sf):
+    return staging.stage_ticks(log_bronze(spark, sf))
+
+
+def q_log_daily_summary(spark, sf):
+    return marts.daily_summary_from_bronze(log_bronze(spark, sf)).drop("updated_at")
+
+
 QUERIES: dict[str, Query] = {
     "normalise_snapshots": q_normalise_snapshots,
     "ingest_counts": q_ingest_counts,
@@ -440,4 +465,8 @@ QUERIES: dict[str, Query] = {
     "replay_ticks": q_replay_ticks,
     "replay_admission": q_replay_admission,
     "replay_bars_arrival": q_replay_bars_arrival,
+    "log_bars": q_log_bars,
+    "log_bar_parts": q_log_bar_parts,
+    "log_stage_ticks": q_log_stage_ticks,
+    "log_daily_summary": q_log_daily_summary,
 }

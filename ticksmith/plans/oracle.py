@@ -148,6 +148,31 @@ SHIFTED_DAILY = f"""
   FROM a WHERE open_price > 0 AND NOT isnan(open_price)"""
 
 
+# A log of four partitions with offsets of their own; times cut to six hours.
+LOG = f"""SELECT event_type AS ticker, value AS price, {VOLUME} AS volume, value * CAST(1000000.0 AS DOUBLE) AS market_cap,
+      time_bucket(INTERVAL 6 HOUR, ts) AS wall, event_id // 4 AS seq, event_id % 4 AS part
+    FROM events"""
+
+LOG_BARS = f"""
+  SELECT ticker, wall - INTERVAL 3 HOUR AS window_start, wall - INTERVAL 3 HOUR + INTERVAL 5 MINUTE AS window_end,
+         arg_min(price, part * 1000000000000 + seq) AS open_price, max(price) AS high_price, min(price) AS low_price,
+         arg_max(price, part * 1000000000000 + seq) AS close_price, count(*) AS tick_count
+  FROM ({LOG}) AS log GROUP BY ticker, wall"""
+
+LOG_STAGED = f"""
+  SELECT ticker, ticker AS name, price, volume, market_cap, 'KES' AS currency, 'NSE' AS exchange, wall - INTERVAL 3 HOUR AS fetched_at,
+         CAST(wall AS DATE) AS trade_date, wall - INTERVAL 3 HOUR AS inserted_at, seq
+  FROM ({LOG}) AS log WHERE price > 0 AND NOT isnan(price)
+  QUALIFY row_number() OVER (PARTITION BY ticker, wall ORDER BY part DESC, seq DESC) = 1"""
+
+LOG_DAILY = f"""
+  WITH a AS (SELECT trade_date, ticker, arg_min(price, fetched_at) AS open_price, max(price) AS high_price, min(price) AS low_price,
+                    arg_max(price, fetched_at) AS close_price, count(*) AS total_ticks FROM ({LOG_STAGED}) AS s GROUP BY trade_date, ticker)
+  SELECT trade_date, ticker, open_price, high_price, low_price, close_price, {r2('close_price - open_price')} AS price_change,
+         {r2('(close_price - open_price) / open_price * 100')} AS pct_change, total_ticks
+  FROM a WHERE open_price > 0 AND NOT isnan(open_price)"""
+
+
 # Arrival batches of five days, stamps late, ahead and unreadable; every batch meets the watermark of those before it.
 REPLAYED = f"""
   WITH t AS (SELECT event_id, event_type, value, ts, CAST(floor(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) / 5.0) AS INTEGER) AS batch,
@@ -249,6 +274,10 @@ ORACLE: dict[str, str] = {
       WHERE price > 0 AND NOT isnan(price) AND ticker <> '' AND TRY_CAST(fetched_at AS TIMESTAMPTZ) IS NULL""",
     "bars_5min": BARS,
     "stage_bars": STAGE_BARS,
+    "log_bars": LOG_BARS,
+    "log_bar_parts": LOG_BARS,
+    "log_stage_ticks": LOG_STAGED,
+    "log_daily_summary": LOG_DAILY,
     "daily_summary": DAILY,
     "incremental_marts": DAILY,      # equal to a full rebuild
     "incremental_marts_shifted": SHIFTED_DAILY,

@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticksmith.functions.timefn import NAIROBI, iso_text, local_to_utc, wall_to_instant
+from ticksmith.functions.timefn import NAIROBI, floor_time, iso_text, local_to_utc, wall_to_instant
 from ticksmith.sources.tables import read_table
 
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
@@ -51,6 +51,10 @@ REPLAY_SHIFTS = {1: -55, 2: -5, 3: 5, 4: 55, 5: -4320}
 REPLAY_BATCH_DAYS = 5
 REPLAY_JUNK_MOD = 50            # remainder 9: the stamp is 'junk'
 
+# The partitioned log, whose times are cut to LOG_HOURS.
+LOG_PARTITIONS = 4
+LOG_HOURS = 6
+
 # Snapshot spoil rules (event_id modulus -> effect).
 SNAPSHOT_ZERO_PRICE_MOD = 17    # last_price 0      -> skipped
 SNAPSHOT_NULL_PRICE_MOD = 19    # last_price NULL   -> skipped
@@ -164,6 +168,24 @@ def events_as_messages(events: DataFrame, ticker: str = "user", tz: str = NAIROB
     return b.select(F.col("ticker").alias("key"), value.alias("value"), F.col("seq"))
 
 
+def events_as_log_bronze(events: DataFrame, tz: str = NAIROBI) -> DataFrame:
+    """Bronze of a partitioned log (schema ``LOG_BRONZE``) full of ties.
+
+    Four partitions with offsets of their own, so that up to four ticks share an offset;
+    times are cut to 6 hours, so that only (partition, offset) orders most ticks.
+    Every 16th row of partition 0 has no partition number, which counts as 0.
+    """
+    eid = F.col("event_id")
+    cut = floor_time(F.col("ts"), f"{LOG_HOURS} hours")
+    utc = local_to_utc(cut, tz)
+    place = F.when(eid % (16 * LOG_PARTITIONS) != 0, eid % LOG_PARTITIONS).cast("int")
+    return events.select(
+        F.col("event_type").alias("ticker"), F.col("event_type").alias("name"), F.col("value").alias("price"),
+        _volume().alias("volume"), (F.col("value") * F.lit(1_000_000.0)).alias("market_cap"), F.lit("KES").alias("currency"),
+        iso_text(cut, utc).alias("fetched_at"), F.lit("NSE").alias("exchange"), utc.alias("inserted_at"),
+        F.floor(eid / LOG_PARTITIONS).alias("seq"), place.alias("partition"))
+
+
 def events_as_shifted_bronze(events: DataFrame, tz: str = NAIROBI) -> DataFrame:
     """Bronze ticks of two insertion months whose stamps run late and ahead.
 
