@@ -12,6 +12,7 @@ from ticksmith.operators import marts
 from ticksmith.plans import batch, manifest, storage
 from ticksmith.plans.manifest import CommitConflict, MonthTable
 from ticksmith.schemas import BRONZE
+from ticksmith.sources import events_as_bronze, read_events
 from ticksmith.streaming import jobs
 
 from .conftest import rows
@@ -161,3 +162,27 @@ def test_since_reads_only_the_months_that_hold_the_ticks(spark, tmp_dir):
         (202601, 202601), (202602, 202602), (202603, 202603), (202604, 202604), (202604, 202605), (202605, 202605)]
     months, inserted, _ = batch._plan_rebuild(stored.read(), dt.date(2026, 5, 1), table, "Africa/Nairobi")
     assert months == [202605] and inserted == [202604, 202605]
+
+
+@pytest.mark.parametrize("sf,size", [("0.01", 48 << 10), ("0.1", 192 << 10)])
+@pytest.mark.parametrize("sort_cols", [["ticker"], ["ticker", "inserted_at"]])
+def test_a_rewrite_makes_files_of_the_stated_size(spark, tmp_dir, monkeypatch, sf, size, sort_cols):
+    monkeypatch.setattr(manifest, "RANGE_BYTES", size)
+    hot = F.when(F.col("seq") % 3 == 0, F.lit("HOT")).otherwise(F.col("ticker"))
+    df = events_as_bronze(read_events(spark, f"/root/testdata/sf{sf}"), "event_type").withColumn("ticker", hot)
+    table = MonthTable(spark, os.path.join(tmp_dir, "bronze"), BRONZE, sort_cols)
+    table.replace(storage.with_month(df, "inserted_at"), ranges=1)
+    month = max(table.state()["months"], key=lambda m: table.read([m]).count())
+    before = rows(table.read([month]))
+    table.replace(table.read([month]), [month], ranges=table._ranges([month], table.state()))
+    assert rows(table.read([month])) == before
+    sizes = [os.path.getsize(f.partition(":")[2].replace("///", "/")) for f in table.read([month]).inputFiles()]
+    assert len(sizes) >= 4 and size / 3 <= min(sizes) and max(sizes) <= 2 * size
+    # files are narrow ranges of the first sort key, sorted inside
+    bounds = []
+    for f in table.read([month]).inputFiles():
+        got = [tuple(r) for r in spark.read.parquet(f).select(*sort_cols).collect()]
+        assert got == sorted(got)
+        bounds.append((got[0], got[-1]))
+    bounds.sort()
+    assert all(a[1] <= b[0] for a, b in zip(bounds, bounds[1:], strict=False))

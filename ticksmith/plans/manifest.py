@@ -109,13 +109,15 @@ class MonthTable:
 
         The rows are conformed to the declared schema and ranged on (month, sort
         keys): by ``ranges``, else as many as the session shuffles into, where
-        adaptive execution merges small neighbours.  ``observe`` counts while
+        adaptive execution merges small neighbours.  A hash of the row is the last key
+        of the ranges, so that rows of one hot sort key are split too.  ``observe`` counts while
         the sorted rows go to the writer, so each row is counted once.
         """
         version = uuid.uuid4().hex
         keys = [self.part_col, *self.sort_cols]
         rows = conform(df, self.full)
-        parted = rows.repartitionByRange(ranges, *keys) if ranges else rows.repartitionByRange(*keys)
+        by = [*keys, F.xxhash64(*rows.columns)]
+        parted = rows.repartitionByRange(ranges, *by) if ranges else rows.repartitionByRange(*by)
         final = parted.sortWithinPartitions(*keys)
         if observe and observe[1]:
             final = final.observe(observe[0], *observe[1])
