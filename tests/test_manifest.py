@@ -186,3 +186,17 @@ def test_a_rewrite_makes_files_of_the_stated_size(spark, tmp_dir, monkeypatch, s
         bounds.append((got[0], got[-1]))
     bounds.sort()
     assert all(a[1] <= b[0] for a, b in zip(bounds, bounds[1:], strict=False))
+
+
+def test_a_compaction_is_ranged_by_rows(spark, tmp_dir, monkeypatch):
+    """Stored bytes say little of the memory a sort takes: all these rows are one file of a few pages."""
+    monkeypatch.setattr(manifest, "RANGE_ROWS", 500, raising=False)
+    src, out, ckpt, table = (os.path.join(tmp_dir, n) for n in ("src", "out", "ckpt", "table"))
+    bronze(spark, [(f"T{i % 7}", 1.0, AT(2024, 1, 10), AT(2024, 1, 10)) for i in range(4000)]).coalesce(1).write.parquet(src)
+    ticks = spark.readStream.schema(BRONZE).parquet(src)
+    jobs.run_available_now(storage.with_month(ticks, "inserted_at"), out, ckpt, partition_col="ym")
+    storage.compact_months(spark, out, table, BRONZE, 202401, 202401, ["ticker", "inserted_at"])
+    files = MonthTable(spark, table, BRONZE).read().inputFiles()
+    counts = [spark.read.parquet(f).count() for f in files]
+    assert sum(counts) == 4000 and 6 <= len(counts) <= 8 and max(counts) <= 1000
+    assert rows(storage.read_compacted(spark, out, table, BRONZE), "seq") == [(i,) for i in range(4000)]
