@@ -200,3 +200,14 @@ def test_a_compaction_is_ranged_by_rows(spark, tmp_dir, monkeypatch):
     counts = [spark.read.parquet(f).count() for f in files]
     assert sum(counts) == 4000 and 6 <= len(counts) <= 8 and max(counts) <= 1000
     assert rows(storage.read_compacted(spark, out, table, BRONZE), "seq") == [(i,) for i in range(4000)]
+
+
+def test_the_boundary_month_of_a_retention_is_ranged_by_rows(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(manifest, "RANGE_ROWS", 500, raising=False)
+    df = bronze(spark, [(f"T{i % 7}", 1.0, AT(2024, 1, 1 + i % 20), AT(2024, 1, 1 + i % 20)) for i in range(4000)])
+    table = MonthTable(spark, os.path.join(tmp_dir, "bronze"), BRONZE, ["ticker", "inserted_at"])
+    table.replace(storage.with_month(df, "inserted_at"), ranges=1)
+    storage.enforce_retention(spark, table.path, BRONZE, "2026-01-03", sort_cols=table.sort_cols)
+    counts = [spark.read.parquet(f).count() for f in table.read().inputFiles()]
+    assert rows(table.read(), "seq") == [(i,) for i in range(4000) if i % 20 > 2]
+    assert len(counts) >= 6 and max(counts) <= 1000
