@@ -136,3 +136,11 @@ def test_health_distinct_counts_combine_map_side(spark):
     below = lines[first_shuffle + 1]
     assert "HashAggregate" in below and "ticker" in below and "partial_count(1)" in below
     assert "SortAggregate" not in plan
+
+
+def test_the_bars_are_aggregated_once_for_all_checks(spark):
+    from ticksmith.operators import quality
+    from ticksmith.plans import catalog
+    checks = quality.run_checks(catalog.quality_marts(spark, "/root/testdata/sf0.001").check_tables())
+    assert checks._jdf.queryExecution().optimizedPlan().toString().count("precisetimestampconversion") == 0
+    assert checks.count() == 22
