@@ -43,3 +43,19 @@ def test_nearest_of_clashing_columns(spark):
     from pyspark.sql import functions as F
     got = ann.nearest(vectors, F.col("vec_id") == 0).collect()
     assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in got) == [(0, k, k) for k in range(1, 6)]
+
+
+def test_nearest_broadcasts_nothing(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    plans = []
+
+    def noted(df, name, write=ann.materialize):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(ann, "materialize", noted)
+    rows = [(i, [1.0, float(i)]) for i in range(40)]
+    got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 4 == 0, shard_rows=5)
+    assert got.count() == 50
+    plans.append(got._jdf.queryExecution().executedPlan().toString())
+    assert "MapInArrow" in plans[-1] and not [p for p in plans if "Broadcast" in p]

@@ -226,7 +226,7 @@ def search_index(index: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
                 yield pa.record_batch({"key": pa.array(out[0], pa.int64()), "vec_id": pa.array(out[1], pa.int64()),
                                        "score": pa.array(out[2], pa.float64())})
 
-    return (blocks.join(index, ["dim", "shard"]).select("dim", "vectors", "ids", "sizes", "links", "keys", "queries")
+    return (blocks.hint("merge").join(index, ["dim", "shard"]).select("dim", "vectors", "ids", "sizes", "links", "keys", "queries")
             .mapInArrow(run, "key bigint, vec_id bigint, score double"))
 
 
@@ -255,7 +255,9 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, shard_rows: int = SHARD) -
     shards = max(1, -(-classes.count() // shard_rows))
     classes = classes.withColumn("shard", F.pmod(F.xxhash64("vector"), F.lit(shards)).cast("int"))
     index = materialize(build_index(classes.select("dim", "shard", "vector", "ids")), "ann-index")
-    asking = rows.where("asks").select(F.col("vec_id").alias("query_id"), "vector").join(
+    # a broadcast passes through the driver, and Spark's guess of a size knows neither how parquet packs nor how often
+    # a block is repeated: these joins are sorted ones at any size
+    asking = rows.where("asks").select(F.col("vec_id").alias("query_id"), "vector").hint("merge").join(
         classes.select("vector", "dim", F.element_at("ids", 1).alias("key")), "vector")
     asking = materialize(asking, "ann-queries")
     different = asking.select("dim", "key", "vector").dropDuplicates(["dim", "key"])
@@ -267,6 +269,6 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, shard_rows: int = SHARD) -
     best = Window.partitionBy("key").orderBy(F.desc("score"), "vec_id")
     merged = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).drop("n")
     own = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (asking.select("query_id", "key").join(merged, "key").where("vec_id <> query_id")
+    return (asking.select("query_id", "key").hint("merge").join(merged, "key").where("vec_id <> query_id")
             .withColumn("rank", F.row_number().over(own)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
