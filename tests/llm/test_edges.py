@@ -59,3 +59,32 @@ def test_nearest_broadcasts_nothing(spark, monkeypatch):
     assert got.count() == 50
     plans.append(got._jdf.queryExecution().executedPlan().toString())
     assert "MapInArrow" in plans[-1] and not [p for p in plans if "Broadcast" in p]
+
+
+def test_nearest_merges_blocks_and_shards(spark, monkeypatch):
+    import numpy as np
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(ann, "QUERY_BLOCK", 7)
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.integers(-3, 4, 3 + i % 2)]) for i in range(400)]
+    rows = [(i, v) for i, v in rows if any(v)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in ann.nearest(df, F.col("vec_id") % 3 == 0, shard_rows=60).collect())
+    want = []
+    for q, v in rows:
+        if q % 3 == 0:
+            score = {i: float(np.dot(v, w) / np.sqrt(np.dot(v, v) * np.dot(w, w))) for i, w in rows if i != q and len(w) == len(v)}
+            want += [(q, n, score[i]) for n, i in enumerate(sorted(score, key=lambda i: (-score[i], i))[:5], 1)]
+    assert [r[:2] for r in got] == [w[:2] for w in want]
+    assert all(abs(r[3] - w[2]) < 1e-9 for r, w in zip(got, want, strict=True))
+
+
+def test_beam_search_orders_ids_of_either_width():
+    import numpy as np
+    rng = np.random.default_rng(5)
+    unit = ann._unit(rng.normal(size=(300, 6)))
+    layers = ann.build(unit)
+    for kind in (np.int32, np.int64):
+        ids, sims = ann.search(unit, [x.astype(kind) for x in layers], unit[:40], 4)
+        assert ids[:, 0].tolist() == list(range(40)) and (np.diff(sims, axis=1) <= 0).all()
+        assert np.allclose(sims, np.sort(unit[:40] @ unit.T, axis=1)[:, :-5:-1], atol=1e-6)

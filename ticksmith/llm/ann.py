@@ -3,9 +3,8 @@
 Equal vectors are one class, so copies neither crowd a graph nor cost a
 search.  Classes are dealt to shards by hash; a task builds a shard's
 hierarchical navigable small-world graph and stores it as flat neighbour
-arrays, one table row a shard.  Queries travel in blocks to every shard; a
-block is searched as a whole (all its beams advance together), and the shards'
-results are merged.  Scores are recomputed in double precision from the
+arrays, one table row a shard.  Queries travel in blocks to every shard; the beams
+of a block advance together, and the shards' results are merged.  Scores are recomputed in double precision from the
 original vectors.
 """
 
@@ -27,6 +26,16 @@ BUILD_BEAM = 64
 SEARCH_BEAM = 128
 BATCH = 1024
 QUERY_BLOCK = 4096
+ABREAST = 256        # beams that advance together
+LAST = (1 << 31) - 1
+NOTHING = np.iinfo(np.int64).min
+
+
+def _packed(sims, ids, open_):
+    """Integers that sort like ``sims``, of equal ones the smaller id last, and hold the id and in the lowest bit ``open_``."""
+    bits = sims.view(np.int32)
+    bits = (bits ^ ((bits >> 31) & 0x7FFFFFFF)).astype(np.int64)
+    return (bits << 32) | (LAST - ids.astype(np.int64) << 1) | open_
 
 
 def beam_search(vectors, adjacent, queries, entry, beam):
@@ -34,39 +43,42 @@ def beam_search(vectors, adjacent, queries, entry, beam):
 
     ``adjacent`` holds the neighbour array of the nodes present (-1: none).
     """
-    b = len(queries)
-    ids = np.full((b, beam), -1, np.int64)
-    sims = np.full((b, beam), -np.inf, np.float32)
-    open_ = np.zeros((b, beam), bool)
-    seen = np.zeros((b, len(adjacent)), bool)
-    rows = np.arange(b)
-    ids[:, 0], open_[:, 0] = entry, True
-    sims[:, 0] = np.einsum("ij,ij->i", vectors[entry], queries)
-    seen[rows, entry] = True
-    live = rows
-    while len(live):
-        score = np.where(open_[live], sims[live], -np.inf)
-        best = score.argmax(axis=1)
-        more = score[np.arange(len(live)), best] > -np.inf
-        live, best = live[more], best[more]
-        if not len(live):
-            break
-        open_[live, best] = False
-        near = adjacent[ids[live, best]]
-        fresh = (near >= 0) & ~seen[live[:, None], near]
-        r, c = np.nonzero(fresh)
-        node = near[r, c]
-        seen[live[r], node] = True
-        got = np.full(near.shape, -np.inf, np.float32)
-        got[r, c] = np.einsum("ij,ij->i", vectors[node], queries[live[r]])
-        all_sims = np.concatenate([sims[live], got], axis=1)
-        top = np.argpartition(-all_sims, beam - 1, axis=1)[:, :beam]
-        at = np.arange(len(live))[:, None]
-        ids[live] = np.concatenate([ids[live], np.where(fresh, near, -1)], axis=1)[at, top]
-        open_[live] = np.concatenate([open_[live], fresh], axis=1)[at, top]
-        sims[live] = all_sims[at, top]
-    order = np.argsort(-sims, axis=1, kind="stable")
-    return ids[rows[:, None], order], sims[rows[:, None], order]
+    parts = [_beam_search(vectors, adjacent, queries[a:a + ABREAST], entry[a:a + ABREAST], beam)
+             for a in range(0, len(queries), ABREAST)]
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def _beam_search(vectors, adjacent, queries, entry, beam):
+    b, n = len(queries), len(adjacent)
+    found = np.full((b, beam), NOTHING)      # each row sorted, its best last
+    found[:, -1] = _packed(np.einsum("ij,ij->i", vectors[entry], queries), entry, 1)
+    seen = np.zeros(b * n, bool)
+    seen[np.arange(b) * n + entry] = True
+    live, mine = np.arange(b), found
+    while True:
+        at, open_ = np.arange(len(live)), (mine & 1).astype(bool)
+        best = beam - 1 - open_[:, ::-1].argmax(axis=1)
+        more = open_[at, best]
+        if not more.all():
+            found[live] = mine
+            live, mine, best, at = live[more], mine[more], best[more], at[:more.sum()]
+            if not len(live):
+                break
+        mine[at, best] -= 1
+        near = adjacent.take(LAST - (mine[at, best] >> 1 & LAST), axis=0)
+        place = near + (live * n)[:, None]
+        r, c = np.nonzero((near >= 0) & ~seen.take(place, mode="clip"))
+        node, who = near[r, c], live[r]
+        seen[place[r, c]] = True
+        got = np.full(near.shape, NOTHING)
+        got[r, c] = _packed(np.einsum("ij,ij->i", vectors.take(node, axis=0), queries.take(who, axis=0)), node, 1)
+        both = np.concatenate([got, mine], axis=1)
+        both.sort(axis=1)
+        mine = both[:, near.shape[1]:]
+    found = found[:, ::-1]
+    there, bits = found != NOTHING, (found >> 32).astype(np.int32)
+    sims = (bits ^ ((bits >> 31) & 0x7FFFFFFF)).view(np.float32)
+    return np.where(there, LAST - (found >> 1 & LAST), -1), np.where(there, sims, np.float32(-np.inf))
 
 
 def choose(vectors, ids, sims, links):
@@ -196,10 +208,21 @@ def build_index(classes: DataFrame) -> DataFrame:
     return classes.groupBy("dim", "shard").applyInArrow(run, INDEX)
 
 
+def best_of(present, ids, scores, k: int):
+    """The first k columns of each row by score, of equal scores by id; those not present come last."""
+    order = np.lexsort((ids, -scores, ~present), axis=1)[:, :k]
+    return tuple(np.take_along_axis(x, order, axis=1) for x in (present, ids, scores))
+
+
 def search_index(index: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
-    """(key, vec_id, score): each shard's k best rows for every query of ``blocks`` (dim, shard, keys, queries)."""
+    """(key, vec_id, score): the k best rows of the shards of a task for every query of ``blocks`` (dim, part, keys, queries).
+
+    Every block meets every shard of its dimension, in tasks that each read some of the
+    stored shards and blocks: nothing is broadcast, and no block is stored once a shard.
+    """
 
     def run(batches):
+        best = {}
         for batch in batches:
             for i in range(batch.num_rows):
                 dim = batch.column("dim")[i].as_py()
@@ -208,25 +231,35 @@ def search_index(index: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
                 links = np.frombuffer(batch.column("links")[i].as_buffer(), np.int32).reshape(-1, 2 * LINKS)
                 cuts = np.r_[0, np.cumsum(batch.column("sizes")[i].as_py())]
                 layers = [links[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-                members = batch.column("ids")[i].as_py()
-                keys = batch.column("keys")[i].as_py()
-                queries = np.asarray(batch.column("queries")[i].as_py(), np.float64).reshape(-1, dim)
+                lists = batch.column("ids")[i].values
+                count = pc.list_value_length(lists).to_numpy()
+                has = np.arange(count.max()) < count[:, None]
+                members = np.zeros(has.shape, np.int64)
+                members[has] = lists.flatten().to_numpy()
+                keys = batch.column("keys")[i].values.to_numpy()
+                queries = batch.column("queries")[i].values.to_numpy().reshape(-1, dim)
                 norm = (vectors * vectors).sum(axis=1)
-                out = [], [], []
+                out = []
                 for a in range(0, len(keys), BATCH):
                     part = queries[a:a + BATCH]
                     found, _ = search(unit, layers, _unit(part), k)
-                    exact = np.einsum("ijk,ik->ij", vectors[np.maximum(found, 0)], part)
-                    exact /= np.sqrt(norm[np.maximum(found, 0)] * (part * part).sum(axis=1)[:, None])
-                    for q, (row, score) in enumerate(zip(found.tolist(), exact.tolist(), strict=True)):
-                        best = sorted((-s, v) for c, s in zip(row, score, strict=True) if c >= 0 for v in members[c])[:k]
-                        out[0].extend([keys[a + q]] * len(best))
-                        out[1].extend(v for _, v in best)
-                        out[2].extend(-s for s, _ in best)
-                yield pa.record_batch({"key": pa.array(out[0], pa.int64()), "vec_id": pa.array(out[1], pa.int64()),
-                                       "score": pa.array(out[2], pa.float64())})
-
-    return (blocks.hint("merge").join(index, ["dim", "shard"]).select("dim", "vectors", "ids", "sizes", "links", "keys", "queries")
+                    at = np.maximum(found, 0)
+                    exact = np.einsum("ijk,ik->ij", vectors[at], part)
+                    exact /= np.sqrt(norm[at] * (part * part).sum(axis=1)[:, None])
+                    flat = (len(part), -1)
+                    out.append(best_of((has[at] & (found >= 0)[:, :, None]).reshape(flat), members[at].reshape(flat),
+                                       np.repeat(exact, has.shape[1], axis=1), k))
+                out = [np.concatenate(x) for x in zip(*out, strict=True)]
+                block = dim, batch.column("part")[i].as_py()
+                if block in best:
+                    out = best_of(*(np.concatenate(x, axis=1) for x in zip(best[block][1:], out, strict=True)), k)
+                best[block] = np.array(keys), *out
+        for keys, present, ids, scores in best.values():
+            yield pa.record_batch({"key": pa.array(np.repeat(keys, present.sum(axis=1)), pa.int64()),
+                                   "vec_id": pa.array(ids[present], pa.int64()), "score": pa.array(scores[present], pa.float64())})
+
+    return (index.join(blocks.withColumnRenamed("dim", "of").hint("shuffle_replicate_nl"), F.col("dim") == F.col("of"))
+            .select("dim", "vectors", "ids", "sizes", "links", "part", "keys", "queries")
             .mapInArrow(run, "key bigint, vec_id bigint, score double"))
 
 
@@ -254,17 +287,17 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, shard_rows: int = SHARD) -
         .withColumn("dim", F.size("vector")), "ann-classes")
     shards = max(1, -(-classes.count() // shard_rows))
     classes = classes.withColumn("shard", F.pmod(F.xxhash64("vector"), F.lit(shards)).cast("int"))
-    index = materialize(build_index(classes.select("dim", "shard", "vector", "ids")), "ann-index")
-    # a broadcast passes through the driver, and Spark's guess of a size knows neither how parquet packs nor how often
-    # a block is repeated: these joins are sorted ones at any size
+    index = materialize(build_index(classes.select("dim", "shard", "vector", "ids").repartitionById(shards, "shard")), "ann-index")
+    # a broadcast passes through the driver, and Spark guesses its size without knowing how well parquet packed it:
+    # the joins are sorted ones at any size
     asking = rows.where("asks").select(F.col("vec_id").alias("query_id"), "vector").hint("merge").join(
         classes.select("vector", "dim", F.element_at("ids", 1).alias("key")), "vector")
     asking = materialize(asking, "ann-queries")
     different = asking.select("dim", "key", "vector").dropDuplicates(["dim", "key"])
     parts = max(1, -(-different.count() // QUERY_BLOCK))
-    blocks = (different.groupBy("dim", F.pmod(F.xxhash64("key"), F.lit(parts)).alias("part"))
+    blocks = (different.groupBy("dim", F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int").alias("part"))
               .agg(F.collect_list("key").alias("keys"), F.flatten(F.collect_list("vector")).alias("queries"))
-              .select("dim", "keys", "queries", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")))
+              .repartitionById(parts, "part"))
     found = search_index(index, blocks, k + 1)
     best = Window.partitionBy("key").orderBy(F.desc("score"), "vec_id")
     merged = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).drop("n")
