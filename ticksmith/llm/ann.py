@@ -278,21 +278,24 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, shard_rows: int = SHARD) -
         F.col("vec_id").isNotNull() & v.isNotNull()
         & F.coalesce(F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
         & F.exists(v, lambda x: x != 0))
-    rows = rows.groupBy("vec_id", "vector").agg(F.max("asks").alias("asks"))
-    # a class needs its k + 1 smallest ids only: the window limit applies before the shuffle
-    order = Window.partitionBy("vector").orderBy("vec_id")
+    # a class needs its k + 1 smallest ids only: the window limit applies before the shuffle; the hash spares
+    # the sort most comparisons of whole vectors
+    order = Window.partitionBy("hash", "vector").orderBy("vec_id")
     classes = materialize(
-        rows.select("vector", "vec_id").withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
-        .groupBy("vector").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
-        .withColumn("dim", F.size("vector")), "ann-classes")
+        rows.select("vec_id", "vector").distinct().withColumn("hash", F.xxhash64("vector"))
+        .withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
+        .groupBy("hash", "vector").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
+        .select("vector", "ids", F.size("vector").alias("dim")), "ann-classes")
     shards = max(1, -(-classes.count() // shard_rows))
-    classes = classes.withColumn("shard", F.pmod(F.xxhash64("vector"), F.lit(shards)).cast("int"))
+    classes = classes.withColumn("hash", F.xxhash64("vector")).withColumn("shard", F.pmod("hash", F.lit(shards)).cast("int"))
     index = materialize(build_index(classes.select("dim", "shard", "vector", "ids").repartitionById(shards, "shard")), "ann-index")
     # a broadcast passes through the driver, and Spark guesses its size without knowing how well parquet packed it:
     # the joins are sorted ones at any size
-    asking = rows.where("asks").select(F.col("vec_id").alias("query_id"), "vector").hint("merge").join(
-        classes.select("vector", "dim", F.element_at("ids", 1).alias("key")), "vector")
-    asking = materialize(asking, "ann-queries")
+    asking = rows.where("asks").select(F.col("vec_id").alias("query_id"), "vector").distinct()
+    asking = materialize(
+        asking.withColumn("hash", F.xxhash64("vector")).hint("merge")
+        .join(classes.select("hash", "vector", "dim", F.element_at("ids", 1).alias("key")), ["hash", "vector"])
+        .select("query_id", "vector", "dim", "key"), "ann-queries")
     different = asking.select("dim", "key", "vector").dropDuplicates(["dim", "key"])
     parts = max(1, -(-different.count() // QUERY_BLOCK))
     blocks = (different.groupBy("dim", F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int").alias("part"))
